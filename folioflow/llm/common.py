@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,7 +78,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.Record
     """Cut a batch so that the bytes of ``column`` stay near ``limit`` in each part."""
     array = batch.column(column)
     start, size = 0, 0
-    for i, n in enumerate(pa.compute.binary_length(array).to_pylist()):
+    for i, n in enumerate(pc.binary_length(array).to_pylist()):
         size += n or 0
         if size >= limit:
             yield batch.slice(start, i + 1 - start)
