@@ -6,20 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import bpe_stream, packing, telephony
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored as mu-law speech, read back, and described."""
+    return telephony.features(telephony.store(_table(spark, sf_dir, "documents")))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens; a row a piece."""
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op9_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded by the streaming byte-level BPE; digests of both."""
+    return bpe_stream.round_trip(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_telephony": op4_telephony,
     "op8_packing": op8_packing,
+    "op9_bpe_stream": op9_bpe_stream,
 }
 
 ORACLE_SQL: dict[str, str] = {}
