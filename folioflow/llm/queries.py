@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_stream, packing, telephony
+from . import bpe_stream, packing, sharding, telephony
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +28,18 @@ def op9_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document by extendible hashing, 64 MiB of text at most in each."""
+    return sharding.shard(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_telephony": op4_telephony,
     "op8_packing": op8_packing,
     "op9_bpe_stream": op9_bpe_stream,
+    "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_sharding": sharding.SHARD_SQL,
+}
