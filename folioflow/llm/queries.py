@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_stream, packing, sharding, telephony
+from . import bpe_stream, html_ttr, packing, sharding, telephony
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op4_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telephony.features(telephony.store(_table(spark, sf_dir, "documents")))
 
 
+def op6_html_ttr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_ttr.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens; a row a piece."""
     return packing.pack(_table(spark, sf_dir, "documents"))
@@ -35,6 +40,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_telephony": op4_telephony,
+    "op6_html_ttr": op6_html_ttr,
     "op8_packing": op8_packing,
     "op9_bpe_stream": op9_bpe_stream,
     "op10_sharding": op10_sharding,
