@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_stream, html_ttr, packing, sharding, telephony
+from . import bpe_stream, html_ttr, license_scan, packing, sharding, telephony
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op4_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telephony.features(telephony.store(_table(spark, sf_dir, "documents")))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and template notices of every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op6_html_ttr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_ttr.extract(_table(spark, sf_dir, "pages"))
@@ -40,6 +45,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_telephony": op4_telephony,
+    "op5_license_scan": op5_license_scan,
     "op6_html_ttr": op6_html_ttr,
     "op8_packing": op8_packing,
     "op9_bpe_stream": op9_bpe_stream,
@@ -47,5 +53,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_license_scan": license_scan.oracle_sql(),
     "op10_sharding": sharding.SHARD_SQL,
 }
