@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_stream, html_ttr, license_scan, packing, sharding, telephony
+from . import bpe_stream, html_ttr, license_scan, packing, quality_mcd, sharding, telephony
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base quality counts and the robust-outlier verdict of every document."""
+    return quality_mcd.judge(_table(spark, sf_dir, "documents"))
+
+
 def op4_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text stored as mu-law speech, read back, and described."""
     return telephony.features(telephony.store(_table(spark, sf_dir, "documents")))
@@ -44,6 +49,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_mcd": op1_quality_mcd,
     "op4_telephony": op4_telephony,
     "op5_license_scan": op5_license_scan,
     "op6_html_ttr": op6_html_ttr,
