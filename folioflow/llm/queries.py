@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_stream, html_ttr, license_scan, packing, quality_mcd, sharding, telephony
+from . import bpe_stream, html_ttr, license_scan, packing, pii_disclosure, quality_mcd, sharding, telephony
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.judge(_table(spark, sf_dir, "documents"))
 
 
+def op2_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, and the words near it that give it away."""
+    return pii_disclosure.report(_table(spark, sf_dir, "documents"))
+
+
 def op4_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text stored as mu-law speech, read back, and described."""
     return telephony.features(telephony.store(_table(spark, sf_dir, "documents")))
@@ -50,6 +55,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_mcd": op1_quality_mcd,
+    "op2_pii_disclosure": op2_pii_disclosure,
     "op4_telephony": op4_telephony,
     "op5_license_scan": op5_license_scan,
     "op6_html_ttr": op6_html_ttr,
