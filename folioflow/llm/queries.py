@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_stream, html_ttr, license_scan, packing, pii_disclosure, quality_mcd, sharding, telephony
+from . import bpe_stream, html_ttr, license_scan, ngram_jaccard, packing, pii_disclosure, quality_mcd, sharding, telephony
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_disclosure.report(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group, copies and number of near-duplicate links of every document."""
+    return ngram_jaccard.join(_table(spark, sf_dir, "documents"))
+
+
 def op4_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text stored as mu-law speech, read back, and described."""
     return telephony.features(telephony.store(_table(spark, sf_dir, "documents")))
@@ -56,6 +61,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_mcd": op1_quality_mcd,
     "op2_pii_disclosure": op2_pii_disclosure,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_telephony": op4_telephony,
     "op5_license_scan": op5_license_scan,
     "op6_html_ttr": op6_html_ttr,
