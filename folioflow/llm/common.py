@@ -92,3 +92,33 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+#: Bits of the bitmaps that tell rows apart by hash: 16 bytes for 64 of them, a broadcast of 1 MB at most.
+FILTER_BITS = 1 << 22
+
+
+def marked(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``maybe``: whether ``column`` may be among ``wanted``'s (false: surely not).
+
+    A bitmap of FILTER_BITS hashes decides, so what is broadcast has a fixed
+    size whatever ``wanted`` holds; a row is true wrongly only if its hash
+    meets another's.
+    """
+    at = lambda: F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    slot = lambda: (at() / 64).cast("long").alias("slot")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at() % 64).cast("int")).alias("bit")
+    bitmap = wanted.select(slot(), bit).groupBy("slot").agg(F.bit_or("bit").alias("bits"))
+    held = rows.withColumns({"slot": slot(), "place": (at() % 64).cast("int")}).join(F.broadcast(bitmap), "slot", "left")
+    return held.select(*rows.columns, (F.call_function("getbit", F.coalesce("bits", F.lit(0).cast("long")), F.col("place")) == 1).alias("maybe"))
+
+
+def without(rows: DataFrame, gone: DataFrame, column: str) -> DataFrame:
+    """``rows`` whose ``column`` is not among ``gone``'s; few other rows are shuffled."""
+    told = marked(rows, gone, column)
+    kept = told.where(~F.col("maybe")).drop("maybe")
+    return kept.unionByName(told.where("maybe").drop("maybe").join(gone.select(column), column, "left_anti").select(*rows.columns))
+
+
+#: The columns of ``documents``, which the stages of a pipeline pass on.
+DOCUMENT = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}

@@ -41,15 +41,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, slices, stored
+from .common import DOCUMENT, marked, pick, slices, stored, without
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Minima in a band, and the share of pairs at SIMILARITY that some band shall find.
 ROWS, RECALL = 8, 0.9999
 #: Members of a unit's block, and words of one (long texts make smaller blocks).
 BLOCK, BLOCK_WORDS = 512, 400_000
-#: Bits of the filter that keeps texts without candidates from being shuffled (a broadcast of 1 MB at most).
-FILTER_BITS = 1 << 22
 #: Words whose hashes a worker keeps before it starts anew (about 60 MB).
 CACHE_WORDS = 400_000
 
@@ -274,7 +272,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, rows: int = ROWS, reca
     copied = signed.where(F.col("content").isNotNull()).groupBy("content")
     classes = stored(copied.agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("words").alias("words"), F.first("bands").alias("bands")).withColumn("key", F.xxhash64("content")), "jaccard-classes")
     placed = stored(_placements(classes), "jaccard-placements")
-    near = _only(texts.withColumnRenamed("doc_id", "rep"), placed, "rep")
+    near = marked(texts.withColumnRenamed("doc_id", "rep"), placed, "rep").where("maybe").drop("maybe")
     units = placed.join(classes.select("rep", "key", "content", "bands"), ["rep", "key"]).join(near, "rep")
     found = stored(verified(units.repartition("unit").sortWithinPartitions("unit"), similarity), "jaccard-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
@@ -301,14 +299,17 @@ def _placements(classes: DataFrame) -> DataFrame:
     return members.select("rep", "key", "copies", "band", "side", F.explode(units).alias("unit"))
 
 
-def _only(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
-    """``rows`` whose ``column`` may be in ``wanted``, by a bitmap of FILTER_BITS hashes.
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``documents`` with one of each group: the one whose id is the group's.
 
-    The bitmap has a fixed size, so it can always be broadcast; a row passes
-    wrongly only if its hash meets another's.
+    Of rows that repeat such an id, one stays. Texts without words and rows
+    without an id are in no group and stay.
     """
-    at = lambda: F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-    bits = wanted.select(column).distinct().select((at() / 64).cast("long").alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), (at() % 64).cast("int")).alias("bit"))
-    bitmap = bits.groupBy("slot").agg(F.bit_or("bit").alias("bits"))
-    held = rows.withColumns({"slot": (at() / 64).cast("long"), "place": (at() % 64).cast("int")}).join(F.broadcast(bitmap), "slot")
-    return held.where(F.call_function("getbit", F.col("bits"), F.col("place")) == 1).select(*rows.columns)
+    rows = pick(docs, **DOCUMENT)
+    found = stored(join(rows).select("doc_id", "class_id", "n_words"), "jaccard-groups")
+    gone = found.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
+    repeated = found.where((F.col("doc_id") == F.col("class_id")) & (F.col("n_words") > 0)).groupBy("doc_id").count().where("count > 1").select("doc_id")
+    left = marked(without(rows, gone, "doc_id"), repeated, "doc_id")
+    again = left.where("maybe").drop("maybe")
+    once = again.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*[c for c in rows.columns if c != "doc_id"])).alias("x")).select("doc_id", "x.*")
+    return left.where(~F.col("maybe")).drop("maybe").unionByName(again.join(repeated, "doc_id", "left_anti").select(*rows.columns)).unionByName(once.select(*rows.columns))

@@ -35,7 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pick, stored
+from .common import DOCUMENT, pick, stored, without
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
@@ -251,3 +251,10 @@ def judge(docs: DataFrame) -> DataFrame:
         "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.round(F.sqrt("d2"), 6).alias("distance"), (~F.col("base_failed") & ~outlier).alias("kept"),
     )
+
+
+def kept_only(docs: DataFrame) -> DataFrame:
+    """``documents`` without the ids that ``judge`` rejects."""
+    rows = pick(docs, **DOCUMENT)
+    rejected = stored(judge(rows).where(~F.col("kept")).select("doc_id"), "mcd-rejected")
+    return without(rows, rejected, "doc_id")

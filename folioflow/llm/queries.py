@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_stream, html_ttr, license_scan, ngram_jaccard, packing, pii_disclosure, quality_mcd, sharding, telephony
+from . import bpe_stream, html_ttr, license_scan, ngram_jaccard, packing, pii_disclosure, quality_mcd, sharding, telephony, toxicity_gru
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,11 @@ def op6_html_ttr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_ttr.extract(_table(spark, sf_dir, "pages"))
 
 
+def op7_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learnt from the labelled rows that are not held out."""
+    return toxicity_gru.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens; a row a piece."""
     return packing.pack(_table(spark, sf_dir, "documents"))
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_telephony": op4_telephony,
     "op5_license_scan": op5_license_scan,
     "op6_html_ttr": op6_html_ttr,
+    "op7_toxicity_gru": op7_toxicity_gru,
     "op8_packing": op8_packing,
     "op9_bpe_stream": op9_bpe_stream,
     "op10_sharding": op10_sharding,
