@@ -1,0 +1 @@
+"""The library's transformations over streams (the batch operators are the reference point)."""
