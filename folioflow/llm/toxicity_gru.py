@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,6 +79,16 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return ids[order], np.searchsorted(owner[order], np.arange(len(words) + 1))
 
 
+def all_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``features`` of many words, some at a time, in half the bytes."""
+    ids, sizes = [], []
+    for i in range(0, len(words), 20_000):
+        part, begins = features(words[i : i + 20_000])
+        ids.append(part.astype(np.int32))
+        sizes.append(np.diff(begins))
+    return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
+
 def embed(table: np.ndarray, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Sums of feature embeddings by word, over the root of their number."""
     total = np.zeros((len(ids) + 1, table.shape[1]))
@@ -276,23 +285,29 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Params | None:
     if len(texts) == 0 or label.min() == label.max():
         return None
     random = np.random.default_rng(seed)
-    split = [[normal(c) for c in x.split()] for x in texts]
-    words = sorted(set().union(*split))
-    number = {w: i + 1 for i, w in enumerate(words)}
-    feature_ids, begins = features(["", *words])
-    windows, owner = windows_of([np.fromiter((number[w] for w in x), np.int32, len(x)) for x in split])
+    number: dict[str, int] = {"": 1}  # of words; 0 is the padding
+    known: dict[str, int] = {}  # of chunks as they stand in the texts
+    tokens = []
+    for text in texts:
+        chunks = text.split()
+        for c in chunks:
+            if c not in known:
+                known[c] = number.setdefault(normal(c), len(number) + 1)
+        tokens.append(np.fromiter(map(known.__getitem__, chunks), np.int32, len(chunks)))
+    del known
+    feature_ids, begins = all_features(["", *number])
+    windows, owner = windows_of(tokens)
     toxic = label[owner] > 0
     # How much likelier each feature is in toxic texts gives the first choice of windows.
-    seen = [Counter(), Counter()]
-    for x, y in zip(split, labels):
-        present = np.unique(np.array([number[w] for w in set(x)], np.int64))
-        seen[y].update(np.unique(np.concatenate([feature_ids[begins[i] : begins[i + 1]] for i in present.tolist()] or [np.zeros(0, np.int64)])).tolist())
-    yes, no = (np.array([c.get(i, 0) for i in range(WORDS + GRAMS)], np.float64) for c in (seen[1], seen[0]))
+    seen = np.zeros((2, WORDS + GRAMS))
+    for x, y in zip(tokens, labels):
+        spans = [feature_ids[begins[i] : begins[i + 1]] for i in np.unique(x).tolist()]
+        if spans:
+            seen[y, np.unique(np.concatenate(spans))] += 1
+    no, yes = seen
     odds = np.where(yes >= 3, np.log((yes + 0.5) / (no + 0.5) * ((1 - label).sum() + 1) / (label.sum() + 1)), 0.0)
     odds *= yes / (yes + 5)
-    best = np.zeros(len(words) + 1)
-    for i in range(1, len(words) + 1):
-        best[i] = odds[feature_ids[begins[i] : begins[i + 1]]].max(initial=0)
+    best = np.array([odds[feature_ids[begins[i] : begins[i + 1]]].max(initial=0) for i in range(len(begins) - 1)])
     value = best[windows].max(1)
     params = new_params(seed)
     optimiser = Adam(params, RATE)
@@ -330,9 +345,14 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Params | None:
 
 
 def _logits(params: Params, feature_ids: np.ndarray, begins: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Window logits with the projections of all words, worked out some at a time."""
     scorer = Scorer(params)
-    vectors = embed(params["E"], feature_ids, begins)
-    scorer.rows = {d: (vectors @ params[f"W{d}"] + params[f"c{d}"]).astype(np.float32) for d in "fb"}
+    scorer.rows = {d: np.zeros((len(begins) - 1, 3 * STATE), np.float32) for d in "fb"}
+    for i in range(0, len(begins) - 1, 20_000):
+        at = begins[i : i + 20_001]
+        vectors = embed(params["E"], feature_ids[at[0] : at[-1]], at - at[0])
+        for d, rows in scorer.rows.items():
+            rows[i : i + len(vectors)] = vectors @ params[f"W{d}"] + params[f"c{d}"]
     return scorer.window_logits(windows)
 
 
