@@ -7,11 +7,12 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as X
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Compatibility normal form, which no built-in gives."""
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")

@@ -1,7 +1,7 @@
 """Entity tables as triples: s, p, o, o_kind (iri, literal or blank), o_datatype, o_lang.
 
-Lifting is one projection a table: an array of (predicate, object) structs is
-exploded, nothing is shuffled until the triples are made a set. Nested structs
+Lifting is one projection a table: an array of all of a row's triples, nested
+ones too, is exploded; nothing is shuffled until the triples are made a set. Nested structs
 become nodes of their own, named by their ``about`` or by a digest of their
 content, so that equal content has equal names on every run and executor.
 """
@@ -25,7 +25,7 @@ PREFIXES = {"": "urn:folioflow:vocab:", "dc": "http://purl.org/dc/elements/1.1/"
 SHARED = {"format": "dcterms"}
 PASCAL = {"work_id", "person_id"}
 COLUMNS = ["s", "p", "o", "o_kind", "o_datatype", "o_lang"]
-_OBJECT = "array<struct<p:string,o:string,o_kind:string,o_datatype:string,o_lang:string>>"
+_TRIPLES = "array<struct<s:string,p:string,o:string,o_kind:string,o_datatype:string,o_lang:string>>"
 
 
 def predicate(field: str, prefixes: dict[str, str] = PREFIXES) -> str:
@@ -53,8 +53,10 @@ def _literal(value: Column, kind: T.DataType, date_type: str) -> tuple[Column, s
     return value.cast("string"), None
 
 
-def _object(p: str, o: Column, o_kind: str, datatype: str | None = None) -> Column:
-    return F.struct(F.lit(p).alias("p"), o.alias("o"), F.lit(o_kind).alias("o_kind"), F.lit(datatype).cast("string").alias("o_datatype"), F.lit(None).cast("string").alias("o_lang"))
+def _triple(s: Column, p: Column | str, o: Column, o_kind: Column | str, datatype: Column | str | None = None) -> Column:
+    named = lambda c: F.lit(c) if isinstance(c, str) else c
+    kind_of = F.lit(datatype).cast("string") if datatype is None or isinstance(datatype, str) else datatype
+    return F.struct(s.alias("s"), named(p).alias("p"), o.alias("o"), named(o_kind).alias("o_kind"), kind_of.alias("o_datatype"), F.lit(None).cast("string").alias("o_lang"))
 
 
 def node_name(value: Column, kind: T.StructType) -> Column:
@@ -67,74 +69,83 @@ def _name_kind(name: Column) -> Column:
     return F.when(F.startswith(name, F.lit("_:")), "blank").otherwise("iri")
 
 
-def lift(rows: DataFrame, id_column: str, links: Iterable[str] = (), link_prefix: str = "", mode: str = "multi", date_type: str = "date", prefixes: dict[str, str] = PREFIXES) -> DataFrame:
-    """The triples of a table, not yet a set.
+class _Lift:
+    """The choices of one ``lift``; builds array<triple> expressions by type."""
 
-    id_column: the subjects' IRIs. links: fields whose strings name entities,
-    made IRIs with ``link_prefix``. mode: arrays as one triple an element
-    (multi) or as ordered lists (list). date_type: the type of date literals
-    ("dateTime" where consumers expect that name).
-    """
-    if mode not in ("multi", "list"):
-        raise ValueError(f"mode is multi or list, not {mode!r}")
-    links = set(links)
-    parts: list[DataFrame] = []
+    def __init__(self, links: set[str], link_prefix: str, mode: str, date_type: str, prefixes: dict[str, str]) -> None:
+        self.links, self.link_prefix, self.mode, self.date_type, self.prefixes = links, link_prefix, mode, date_type, prefixes
+
+    def end(self, name: str, value: Column, kind: T.DataType) -> tuple[Column, Column | str, str | None]:
+        """Object, its kind and datatype for one value of a field."""
+        if isinstance(kind, T.StructType):
+            node = node_name(value, kind)
+            return node, _name_kind(node), None
+        if name in self.links:
+            return F.concat(F.lit(self.link_prefix), value), "iri", None
+        o, datatype = _literal(value, kind, self.date_type)
+        return o, "literal", datatype
 
-    def walk(frame: DataFrame, subject: str, kind: T.StructType, at: str | None) -> None:
-        flat: list[Column] = []
+    def chain(self, subject: Column, name: str, p: str, values: Column, kind: T.DataType) -> Column:
+        """An ordered list: its head, and a first and a rest for each cell, named by subject, field and place."""
+        cell = lambda i: F.concat(F.lit("_:l"), F.substring(F.sha2(F.concat_ws("\x1f", subject, F.lit(name), i.cast("string")), 256), 1, 32))
+        first, rest, nil = RDF + "first", RDF + "rest", F.lit(RDF + "nil")
+
+        def both(value: Column, i: Column) -> Column:
+            more = i + 1 < F.size(values)
+            return F.array(_triple(cell(i), first, *self.end(name, value, kind)), _triple(cell(i), rest, F.when(more, cell(i + 1)).otherwise(nil), F.when(more, "blank").otherwise("iri")))
+
+        some = F.size(values) > 0
+        head = F.array(_triple(subject, p, F.when(some, cell(F.lit(0))).otherwise(nil), F.when(some, "blank").otherwise("iri")))
+        return F.concat(head, F.flatten(F.transform(values, both)))
+
+    def fields(self, subject: Column, value, kind: T.StructType, skip: set[str]) -> list[Column]:
+        """array<triple> of each field of a node, null where the field is. value: name to Column."""
+        out: list[Column] = []
         for field in kind.fields:
-            name = field.name
-            if name in (id_column, "about") or name.startswith("_"):
+            name, data = field.name, field.dataType
+            if name in skip:
                 continue
-            value = F.col(f"{at}.{name}") if at else F.col(f"`{name}`")
-            p, data = predicate(name, prefixes), field.dataType
-            if isinstance(data, T.StructType):
-                node = node_name(value, data)
-                flat.append(F.when(value.isNotNull(), F.array(F.struct(F.lit(p).alias("p"), node.alias("o"), _name_kind(node).alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"), F.lit(None).cast("string").alias("o_lang")))))
-                walk(frame.where(value.isNotNull()).select(node.alias("_s"), value.alias("_v")), "_s", data, "_v")
-            elif isinstance(data, T.ArrayType) and isinstance(data.elementType, T.StructType):
-                inner = frame.select(F.col(subject).alias("_owner"), F.posexplode(value).alias("_i", "_v"))
-                node = node_name(F.col("_v"), data.elementType)
-                inner = inner.select("_owner", "_i", node.alias("_s"), "_v")
-                parts.append(_edges(inner.select("_owner", "_i", F.col("_s").alias("o"), _name_kind(F.col("_s")).alias("o_kind"), F.lit(None).cast("string").alias("o_datatype")), p, mode, name))
-                walk(inner.select("_s", "_v"), "_s", data.elementType, "_v")
-            elif isinstance(data, T.ArrayType):
-                inner = frame.select(F.col(subject).alias("_owner"), F.posexplode(value).alias("_i", "_v"))
-                if name in links:
-                    o, o_kind, datatype = F.concat(F.lit(link_prefix), F.col("_v")), "iri", None
+            given, p = value(name), predicate(name, self.prefixes)
+            if isinstance(data, T.ArrayType):
+                element = data.elementType
+                values = F.filter(given, lambda x: x.isNotNull())
+                if self.mode == "list":
+                    edges = self.chain(subject, name, p, values, element)
                 else:
-                    (o, datatype), o_kind = _literal(F.col("_v"), data.elementType, date_type), "literal"
-                parts.append(_edges(inner.where(F.col("_v").isNotNull()).select("_owner", "_i", o.alias("o"), F.lit(o_kind).alias("o_kind"), F.lit(datatype).cast("string").alias("o_datatype")), p, mode, name))
-            elif name in links:
-                flat.append(F.when(value.isNotNull(), F.array(_object(p, F.concat(F.lit(link_prefix), value), "iri"))))
+                    edges = F.transform(values, self._edge(subject, p, name, element))
+                if isinstance(element, T.StructType):
+                    edges = F.concat(edges, F.flatten(F.transform(values, self._inner(element))))
             else:
-                o, datatype = _literal(value, data, date_type)
-                flat.append(F.when(value.isNotNull(), F.array(_object(p, o, "literal", datatype))))
-        if flat:
-            every = F.flatten(F.array_compact(F.array(*[x.cast(_OBJECT) for x in flat])))
-            parts.append(frame.select(F.col(subject).alias("s"), F.explode(every).alias("x")).select("s", "x.*").select(*COLUMNS))
-
-    walk(rows.where(F.col(id_column).isNotNull()), id_column, rows.schema, None)
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _edges(elements: DataFrame, p: str, mode: str, field: str) -> DataFrame:
-    """The triples of one array field: from its owner to each element, or to a list of them."""
-    none = F.lit(None).cast("string").alias("o_lang")
-    if mode == "multi":
-        return elements.select(F.col("_owner").alias("s"), F.lit(p).alias("p"), "o", "o_kind", "o_datatype", none)
-    cell = lambda i: F.concat(F.lit("_:l"), F.substring(F.sha2(F.concat_ws("\x1f", "_owner", F.lit(field), i.cast("string")), 256), 1, 32))
-    kept = elements.groupBy("_owner").agg(F.array_sort(F.collect_list(F.struct("_i", "o", "o_kind", "o_datatype"))).alias("cells"))
-    chain = kept.select("_owner", F.size("cells").alias("n"), F.posexplode("cells").alias("i", "c"))
-    blank, iri = F.lit("blank"), F.lit("iri")
-    null = F.lit(None).cast("string")
-    more = F.col("i") + 1 < F.col("n")
-    rows = F.array(
-        F.when(F.col("i") == 0, F.struct(F.col("_owner").alias("s"), F.lit(p).alias("p"), cell(F.col("i")).alias("o"), blank.alias("o_kind"), null.alias("o_datatype"))),
-        F.struct(cell(F.col("i")).alias("s"), F.lit(RDF + "first").alias("p"), F.col("c.o").alias("o"), F.col("c.o_kind").alias("o_kind"), F.col("c.o_datatype").alias("o_datatype")),
-        F.struct(cell(F.col("i")).alias("s"), F.lit(RDF + "rest").alias("p"), F.when(more, cell(F.col("i") + 1)).otherwise(F.lit(RDF + "nil")).alias("o"), F.when(more, blank).otherwise(iri).alias("o_kind"), null.alias("o_datatype")),
-    )
-    return chain.select(F.explode(F.array_compact(rows)).alias("x")).select("x.*", none)
+                edges = F.array(_triple(subject, p, *self.end(name, given, data)))
+                if isinstance(data, T.StructType):
+                    edges = F.concat(edges, self._inner(data)(given))
+            out.append(F.when(given.isNotNull(), edges).cast(_TRIPLES))
+        return out
+
+    def _edge(self, subject: Column, p: str, name: str, kind: T.DataType):
+        return lambda x: _triple(subject, p, *self.end(name, x, kind))
+
+    def _inner(self, kind: T.StructType):
+        return lambda x: F.flatten(F.array_compact(F.array(*self.fields(node_name(x, kind), lambda f: x[f], kind, {"about"})))).cast(_TRIPLES)
+
+
+def lift(rows: DataFrame, id_column: str, links: Iterable[str] = (), link_prefix: str = "", mode: str = "multi", date_type: str = "date", prefixes: dict[str, str] = PREFIXES) -> DataFrame:
+    """The triples of a table, not yet a set: one projection and one explode.
+
+    id_column: the subjects' IRIs; rows without one give nothing. links: fields
+    whose strings name entities, made IRIs with ``link_prefix``. mode: arrays
+    as one triple an element (multi) or as ordered lists (list; an empty one is
+    nil). date_type: the type of date literals ("dateTime" where consumers
+    expect that name).
+    """
+    if mode not in ("multi", "list"):
+        raise ValueError(f"mode is multi or list, not {mode!r}")
+    choices = _Lift(set(links), link_prefix, mode, date_type, prefixes)
+    parts = choices.fields(F.col(id_column), lambda name: F.col(f"`{name}`"), rows.schema, {id_column, "about"})
+    if not parts:
+        raise ValueError("no field besides the subject")
+    every = F.flatten(F.array_compact(F.array(*parts)))
+    return rows.where(F.col(id_column).isNotNull()).select(F.explode(every).alias("x")).select("x.*").select(*COLUMNS)
 
 
 def as_graph(*triples: DataFrame) -> DataFrame:

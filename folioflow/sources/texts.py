@@ -13,6 +13,7 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import extension, route
 from ..functions.text import strip_cr
@@ -70,7 +71,7 @@ def fetch(resources: DataFrame, folder: str) -> DataFrame:
                     paths.append(None)
             yield batch.assign(path=paths)
 
-    return resources.mapInPandas(run, resources.schema.add("path", "string"))
+    return resources.mapInPandas(run, T.StructType([*resources.schema.fields, T.StructField("path", T.StringType())]))
 
 
 def read_texts(spark: SparkSession, files: str, encodings: DataFrame | None = None, pattern: str = "*") -> DataFrame:
