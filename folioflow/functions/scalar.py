@@ -165,6 +165,11 @@ def compact(value: Column, fields: list[str]) -> Column:
     return F.when(some, value)
 
 
+def with_about(value: Column, about: Column) -> Column:
+    """A struct with the name of the node that it describes."""
+    return value.withField("about", about)
+
+
 def camel_case(name: str) -> str:
     """first_published -> firstPublished."""
     head, *rest = [x for x in name.replace("-", "_").split("_") if x] or [""]

@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 Pattern = tuple[str, str, str]
 
 
@@ -103,11 +105,12 @@ def closure(triples: DataFrame, subclass: str, kind: str, depth: int = 32) -> Da
 
     The hierarchy's transitive closure doubles its reach each round.
     """
+    ensure_checkpoint_dir(triples.sparkSession)
     reach = triples.where(F.col("p") == subclass).select(F.col("s").alias("a"), F.col("o").alias("b")).distinct()
     reached, n = 1, -1
     while reached < depth:
         far = reach.alias("x").join(reach.alias("y"), F.col("x.b") == F.col("y.a")).select(F.col("x.a").alias("a"), F.col("y.b").alias("b"))
-        reach = reach.unionByName(far).distinct().checkpoint() if reach.sparkSession.sparkContext.getCheckpointDir() else reach.unionByName(far).distinct()
+        reach = reach.unionByName(far).distinct().checkpoint()
         count = reach.count()
         if count == n:
             break

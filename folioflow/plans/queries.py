@@ -168,6 +168,57 @@ def link_inverse(spark: SparkSession, d: str) -> DataFrame:
     return catalog.both_directions(links, "work", "person", "relation")
 
 
+def _catalogue(spark: SparkSession, d: str) -> DataFrame:
+    """Catalogue rows built from orders: works by order keys in groups of four, persons by customers."""
+    o, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    relation = F.element_at(F.array(*map(F.lit, S.RELATIONS)), (o % 5 + 1).cast("int"))
+    given = {
+        "作品ID": F.floor(o / 4).cast("string"), "人物ID": F.col("o_custkey").cast("string"), "役割フラグ": relation, "作品名": F.concat(F.lit("題"), F.col("o_orderpriority")),
+        "作品著作権フラグ": F.when(o % 2 == 0, "なし").otherwise("あり"), "人物著作権フラグ": F.when(F.col("o_custkey") % 7 == 0, "?").otherwise("なし"), "公開日": day, "最終更新日": F.when(F.floor(o / 4) % 11 == 0, "").otherwise(day),
+        "分類番号": F.concat(F.lit("NDC "), F.lpad((o % 1000).cast("string"), 3, "0")), "姓": F.concat(F.lit("姓"), F.col("o_custkey")),
+        "テキストファイルURL": F.when(o % 3 == 0, F.concat(F.lit("http://www.lib.example/cards/"), o)), "テキストファイル修正回数": F.lit("１"), "テキストファイル文字集合": F.lit("Unicode"), "テキストファイル最終更新日": day, "テキストファイル符号化方式": F.lit("UTF-8"),
+    }
+    return table(spark, d, "orders").select(o.alias("row_ix"), *[c.alias(n) for n, c in given.items()])
+
+
+_RELATION_OF = "CASE o_orderkey % 5 WHEN 0 THEN 'author' WHEN 1 THEN 'translator' WHEN 2 THEN 'editor' WHEN 3 THEN 'proofreader' ELSE 'other_author' END"
+
+
+@query("""
+SELECT 'w' || CAST(o_orderkey // 4 AS VARCHAR) AS work_id,
+       coalesce(array_to_string(list_sort(list(DISTINCT 'p' || CAST(o_custkey AS VARCHAR)) FILTER (WHERE o_orderkey % 5 = 0)), ','), '') AS authors,
+       first('題' || o_orderpriority ORDER BY o_orderkey) AS title, first(o_orderkey % 2 <> 0 ORDER BY o_orderkey) AS copyright_expired,
+       strftime(first(o_orderdate ORDER BY o_orderkey), '%Y-%m-%d') AS published, lpad(CAST(min(o_orderkey) % 1000 AS VARCHAR), 3, '0') AS code,
+       CAST(first(CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END ORDER BY o_orderkey) AS BIGINT) AS n_sources
+FROM orders GROUP BY o_orderkey // 4
+""")
+def catalogue_works(spark: SparkSession, d: str) -> DataFrame:
+    works, _ = merge.merged_catalogue(catalog.entities(_catalogue(spark, d)))
+    return works.select(
+        "work_id", F.coalesce(F.array_join("author", ","), F.lit("")).alias("authors"), "title", "copyright_expired", F.col("publishing_date").cast("string").alias("published"),
+        F.col("class_codes")[0]["category"].alias("code"), F.size("sources").cast("long").alias("n_sources"),
+    )
+
+
+@query("""
+SELECT 'person' AS kind, 'person_copyright_expired: required' AS rule, count(DISTINCT o_custkey) AS n FROM orders WHERE o_custkey % 7 = 0
+UNION ALL SELECT 'work', 'last_modified_date: required', count(DISTINCT o_orderkey // 4) FROM orders WHERE o_orderkey // 4 % 11 = 0
+""")
+def catalogue_violations(spark: SparkSession, d: str) -> DataFrame:
+    return pipelines.catalogue_violations(_catalogue(spark, d)).groupBy("kind", "rule").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+WITH w AS (SELECT DISTINCT 'w' || CAST(o_orderkey // 4 AS VARCHAR) AS w, 'p' || CAST(o_custkey AS VARCHAR) AS p, {_RELATION_OF} AS r FROM orders)
+SELECT CASE r WHEN 'other_author' THEN 'otherAuthor' ELSE r END AS relation, 'urn:folioflow:' || w AS s, 'urn:folioflow:' || p AS o FROM w
+""")
+def catalogue_graph_links(spark: SparkSession, d: str) -> DataFrame:
+    """The links from works to persons in the graph of a whole catalogue."""
+    graph = pipelines.catalogue_graph(_catalogue(spark, d))
+    names = [triples.predicate(r) for r in catalog.RELATIONS]
+    return graph.where(F.col("p").isin(*names)).select(F.substring_index("p", ":", -1).alias("relation"), "s", "o")
+
+
 def _nations(spark: SparkSession, d: str) -> DataFrame:
     nations = table(spark, d, "nation").select(F.concat(F.lit(NS + "n"), F.col("n_nationkey")).alias("id"), F.col("n_name").alias("name"), F.concat(F.lit("r"), F.col("n_regionkey")).alias("region"), F.col("n_nationkey").alias("number"))
     regions = table(spark, d, "region").select(F.concat(F.lit(NS + "r"), F.col("r_regionkey")).alias("id"), F.col("r_name").alias("name"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +29,10 @@ def session(app: str = "folioflow", master: str | None = None, **settings: str)
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the folder that spark.checkpoint.dir names; make one only where none is named."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="folioflow-"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 import subprocess
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,29 @@ def git(repo: str, *args: str) -> str:
     return subprocess.run(["git", "-c", "safe.directory=*", "-C", repo, *args], capture_output=True, check=True).stdout.decode("utf-8", "replace")
 
 
+def open_repository(repo: str) -> str:
+    """The path of a repository, begun there if there is none."""
+    Path(repo).mkdir(parents=True, exist_ok=True)
+    if not (Path(repo) / ".git").exists():
+        git(repo, "init", "-q")
+    return repo
+
+
+def pull(repo: str) -> None:
+    """Bring a clone up to date (on the machine that holds it)."""
+    git(repo, "pull", "--ff-only", "-q")
+
+
+def commit(repo: str, message: str, tag: str | None = None) -> str:
+    """Record what has been written to a repository, under a tag if one is given; the commit's name."""
+    git(repo, "add", "-A")
+    if git(repo, "status", "--porcelain").strip():
+        git(repo, "commit", "-qm", message)
+    if tag:
+        git(repo, "tag", tag)
+    return git(repo, "rev-parse", "HEAD").strip()
+
+
 def _when(seconds: str) -> datetime:
     return datetime.fromtimestamp(int(seconds), timezone.utc)
 

@@ -160,6 +160,15 @@ def test_revisions(spark, tmp_path):
     assert revisions.read_log(spark, str(tmp_path)).count() == 3 and revisions.current_tag(spark, str(tmp_path)).first()["tag"] == "v1"
 
 
+def test_repository_writing(tmp_path, monkeypatch):
+    for k, v in {"GIT_AUTHOR_NAME": "a", "GIT_AUTHOR_EMAIL": "a@b", "GIT_COMMITTER_NAME": "a", "GIT_COMMITTER_EMAIL": "a@b"}.items():
+        monkeypatch.setenv(k, v)
+    repo = revisions.open_repository(str(tmp_path / "out"))
+    (tmp_path / "out" / "x.xml").write_text("<x/>")
+    first = revisions.commit(repo, "first", "v1")
+    assert revisions.commit(repo, "nothing new") == first and [t[0] for t in revisions.tags(repo)] == ["v1"] and revisions.open_repository(repo) == repo
+
+
 def test_streams(spark, tmp_path):
     events = spark.read.parquet(f"{SF}/events.parquet").select("ts", "event_type").limit(400)
     events.write.parquet(str(tmp_path / "in"))
