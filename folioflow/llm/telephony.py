@@ -221,6 +221,8 @@ def _levels(payloads: list[np.ndarray]) -> list[str]:
     the peak after resampling to 16 kHz; as ADPCM blocks of UNIT bytes: root
     mean square. The ADPCM blocks of all payloads are decoded together.
     """
+    if not payloads:
+        return []
     blocks = np.concatenate([p[: len(p) // UNIT * UNIT].reshape(-1, UNIT) for p in payloads])
     power = np.concatenate([(decode_adpcm(blocks[i : i + 2048]).T.astype(np.float64) ** 2).sum(0).astype(np.int64) for i in range(0, len(blocks), 2048)]) if len(blocks) else np.zeros(0, np.int64)
     out, at = [], 0

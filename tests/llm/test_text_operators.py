@@ -1,0 +1,277 @@
+"""Operators on texts against brute force."""
+
+import collections
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from folioflow.llm import html_ttr, license_scan, ngram_jaccard, pii_disclosure, quality_mcd
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+# --- quality -----------------------------------------------------------------
+
+
+def base_counts(text):
+    w = words(text)
+    grams = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    often = collections.Counter(grams)
+    covered = {k for i, g in enumerate(grams) if often[g] > 1 for k in range(i, i + 5)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if words(line):
+            dup += line in seen
+            seen.add(line)
+    failed = len(w) < 10 or 100 * len(covered) > 20 * len(w)
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(covered), failed
+
+
+def test_base_counts(spark, docs):
+    texts = [r["text"] for r in docs.collect()] + ["a b c d e a b c d e a b c d e f", "x " * 300, "a\n \na\n\n", "é| é| 日 " * 9, "1 2 3 4 5 6 1 2 3 4 5"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in quality_mcd.statistics(rows).collect():
+        assert tuple(r[k] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == base_counts(texts[r["doc_id"]])
+
+
+def brute_mcd(x):
+    """The same concentration steps in numpy: the distance of each row of whole quanta."""
+    q = np.array([quality_mcd.FLOORS[f] / quality_mcd.QUANTUM for f in quality_mcd.FEATURES]) ** 2
+    p, n = x.shape[1], len(x)
+    distance = lambda m, c: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+    cov = lambda y, f: np.cov(y.T, bias=True) * f + np.diag(q)
+    median = np.median(x, 0)
+    mad = 1.4826 * np.median(np.abs(np.sign(x - median) * np.floor(np.abs(x - median) + 0.5)), 0)
+    ends = []
+    for m, c in ((median, np.diag(mad**2 + q)), (x.mean(0), cov(x, 1.0))):
+        for _ in range(quality_mcd.STEPS):
+            cell = np.floor(np.log2(1 + distance(m, c)) * quality_mcd.CELLS)
+            sizes = collections.Counter(cell.tolist())
+            total, chosen = 0, set()
+            for k in sorted(sizes):
+                if total < np.ceil(n * quality_mcd.SHARE):
+                    chosen.add(k)
+                total += sizes[k]
+            y = x[[v in chosen for v in cell.tolist()]]
+            m, c = y.mean(0), cov(y, quality_mcd.consistency(quality_mcd.SHARE, p))
+        ends.append((np.linalg.slogdet(c)[1], m, c))
+    _, m, c = min(ends, key=lambda e: e[0])
+    y = x[distance(m, c) <= quality_mcd.chi2_quantile(quality_mcd.REWEIGHT_TAIL, p)]
+    return np.sqrt(distance(y.mean(0), cov(y, quality_mcd.consistency(1 - quality_mcd.REWEIGHT_TAIL, p))))
+
+
+def test_mcd_matches_numpy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(500)
+    stats = quality_mcd.pooled(quality_mcd.statistics(docs)).where("not base_failed").toPandas()
+    ours = {r["doc_id"]: r["distance"] for r in quality_mcd.judge(docs).collect()}
+    checked = 0
+    for _, group in stats.groupby("pool"):
+        if len(group) >= quality_mcd.MIN_POOL:
+            for i, d in zip(group.doc_id, brute_mcd(group[list(quality_mcd.FEATURES)].to_numpy(np.float64))):
+                assert ours[i] == pytest.approx(d, rel=1e-4, abs=1e-4)
+                checked += 1
+    assert checked > 100
+
+
+def test_large_parameter_tables_are_salted(spark, monkeypatch):
+    from folioflow.llm import common
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300)
+    told = lambda: sorted((r["doc_id"], r["distance"], r["kept"]) for r in quality_mcd.judge(docs).collect())
+    broadcast = told()
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    assert told() == broadcast
+
+
+def test_chi2():
+    assert quality_mcd.chi2_quantile(0.05, 1) == pytest.approx(3.8415, abs=1e-3) and quality_mcd.chi2_quantile(0.01, 6) == pytest.approx(16.812, abs=1e-3)
+
+
+def test_clean_labelled_documents_stay(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    judged = quality_mcd.judge(docs).join(labels, "doc_id").where("not base_failed").groupBy("quality", "kept").count().collect()
+    n = {(r["quality"], r["kept"]): r["count"] for r in judged}
+    assert n.get((1, False), 0) <= 0.002 * n[1, True] and n.get((0, True), 0) <= 0.1 * n[0, False]
+
+
+# --- personal data -----------------------------------------------------------
+
+
+def luhn(digits):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def base_spans(text):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 16 <= len(digits) <= 19 and luhn(digits):
+            out.append(("card", *m.span()))
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in out)
+
+
+def test_base_spans(spark, docs):
+    r = random.Random(5)
+    alphabet = "0123456789" * 2 + " -.+()@ab_%é"
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 120))) for _ in range(500)]
+    texts += ["4111 1111 1111 1111", "x4111-1111-1111-1111 5", "a@b.c@d.e", "a@b.c_x@d.e", "1.2.3.4.5.6.7.8", "0000255.1.1.1 256.1.1.1", "+1 (743) 555-3824.", "9" * 30_000, "1 " * 20_000, "a@b.c " * 2_000, "a" * 30_000]
+    texts += [x["text"] for x in docs.collect()]
+    found = pii_disclosure.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for row in found.collect():
+        expected = base_spans(texts[row["doc_id"]])
+        assert row["base_sha256"] == hashlib.sha256(expected.encode()).hexdigest(), texts[row["doc_id"]][:200]
+        assert (row["spans"] == expected) if not row["n_term"] else row["spans"].startswith(expected)
+
+
+def test_disclosing_terms(spark):
+    texts = {i: f"plain words number {i} about nothing at all" for i in range(100)}
+    texts |= {200 + i: f"Call Zanzibarian at +1 (743) 555-3824 about the matter {i}." for i in range(4)}
+    texts |= {300: "Zanzibarian stands alone here", 301: "the the about +1 (999) 111-2222 plain"}
+    rows = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii_disclosure.report(rows).collect()}
+    # Brute force: mutual information of the name with the number, over all the information about it.
+    n, n_e, n_t, n_te = len(texts), 4, 5, 4
+    assert np.log2(n_te * n / (n_t * n_e)) / np.log2(n / n_e) >= pii_disclosure.GENERALISE
+    assert "term:5:16" in found[200]["spans"] and found[300]["spans"] == "" and found[301]["n_term"] == 0
+    clean = {r["doc_id"]: r["text"] for r in pii_disclosure.sanitise(rows).collect()}
+    assert "Zanzibarian" not in clean[200] and "[PHONE]" in clean[200] and clean[300] == texts[300]
+
+
+# --- n-gram join -------------------------------------------------------------
+
+
+def shingle_sets(text):
+    w = text.encode().split()
+    k = min(5, len(w))
+    return frozenset(b" ".join(w[i : i + k]) for i in range(len(w) - k + 1)) if w else frozenset()
+
+
+def edited(text, r):
+    w = text.split()
+    for _ in range(r.randint(0, 4)):
+        w[r.randrange(len(w))] = r.choice(["xx", "yy", "zz"])
+    return " ".join(w)
+
+
+def test_join_matches_brute_force(spark, monkeypatch):
+    r = random.Random(11)
+    base = [" ".join(f"w{r.randrange(400)}" for _ in range(120)) for _ in range(4)]
+    texts = [edited(r.choice(base), r) for _ in range(160)] + base * 2 + ["a b c", "a b c", "a b c d e f", "", "only one"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 24)  # several blocks a bucket
+    sets = [shingle_sets(t) for t in texts]
+    links = collections.Counter()
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and sets[j] and len(sets[i] & sets[j]) * 10 >= 8 * len(sets[i] | sets[j]):
+                links[i] += 1
+                links[j] += 1
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    for row in ngram_jaccard.join(rows).collect():
+        assert row["n_links"] == links[row["doc_id"]] and row["class_id"] == root(row["doc_id"])
+
+
+def test_bands_and_recall():
+    assert ngram_jaccard.plan_bands(0.8, 8, 0.9999) == 51
+    r = np.random.default_rng(3)
+    found = 0
+    for _ in range(150):
+        shared, own = r.integers(0, 2**63, 160).astype(np.uint64), r.integers(0, 2**63, (2, 20)).astype(np.uint64)
+        a, b = (ngram_jaccard.signature(np.unique(np.concatenate([shared, o])), 51) for o in own)
+        found += bool((a == b).any())
+    assert found >= 149
+
+
+# --- licenses ----------------------------------------------------------------
+
+
+def test_license_scan_finds_what_brute_force_finds(spark, docs):
+    extra = ["Released under the MIT\nLicense", "under the mit license under the mit license", "This is released under that mit license", "LICENSED UNDER CC BY-NC 4.0", "all rights are reserved here", "All   rights reserved", "é1 " * 60 + "licensed under apache license version 2 0 " + "x " * 60]
+    texts = [r["text"] for r in docs.collect()] + extra
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = license_scan.prepared(license_scan.TEMPLATES, license_scan.CONTAINMENT)
+    word = lambda t: re.findall(license_scan.WORD, t.translate(str.maketrans(license_scan.UPPER, license_scan.LOWER)))
+    half = license_scan.WINDOW // 2
+    for row in license_scan.scan(rows).collect():
+        text = texts[row["doc_id"]]
+        w = word(text)
+        places = [(i, label) for phrase, label in license_scan.PHRASES.items() for n in [len(phrase.split())] for i in range(len(w) - n + 1) if w[i : i + n] == phrase.split()]
+        held = {}
+        for line in text.split("\n"):
+            lw = word(line)
+            for s in range(0, max(len(lw) - half - 1, 0) + 1, half):
+                block = set(lw[s : s + license_scan.WINDOW])
+                for label, parts, need in known:
+                    if len(block & set(parts)) >= need:
+                        held[label] = max(held.get(label, 0), len(block & set(parts)) / len(parts))
+        base = {label for _, label in places}
+        assert row["n_words"] == len(w) and row["n_base"] == len(places)
+        assert row["first_word"] == min((i for i, _ in places), default=None) and row["last_word"] == max((i for i, _ in places), default=None)
+        assert row["base_labels"] == ",".join(sorted(base)) and row["labels"] == ",".join(sorted(base | set(held)))
+        assert row["score"] == (1.0 if places else max(held.values(), default=0.0))
+
+
+# --- pages -------------------------------------------------------------------
+
+
+def test_pages(spark):
+    import html as entities
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    raw = {r["page_id"]: r["html"] for r in pages.collect()}
+    for row in html_ttr.extract(pages).collect():
+        article = raw[row["page_id"]].split("<article>")[1].split("</article>")[0]
+        parts = [re.sub(r"<[^>]+>", " ", x) for x in re.split(r"</?(?:h1|p)>", article)]
+        expected = "\n".join(x for x in (re.sub(r"\s+", " ", entities.unescape(p)).strip() for p in parts) if x)
+        assert row["text"] == expected and row["n_chars"] == len(expected)
+
+
+PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header><div id="cookie-notice">We use cookies, a long text to accept here.</div>
+<div class="menu"><ul><li><a href=/a>A</a></li></ul></div><div class="content"><h2>Head &amp; line</h2><p>First   paragraph,\n long enough <i>to be</i> content.<p>Two.<br>Lines.
+<div class="share-buttons">Share</div><table><tr><td>cell one<td>cell two</table><form><input name=q> Send</form><section id="comments"><p>A reader's comment, longer than anything else that stands on this page, really.</p></section></div>
+<aside><p>Related things</p></aside><footer>Footer</footer><script>var x = "</p>";</script></body></html>"""
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        (PAGE, "Head & line\nFirst paragraph, long enough to be content.\nTwo. Lines.\ncell one\ncell two"),
+        ("plain text", "plain text"),
+        ("<p>a<p>b</p>c", "a\nb\nc"),
+        ("<div>a <b>c</div> d", "a c"),
+        ("<main><p>x &lt;y&gt; &am</p></main><p>out of it, a much longer paragraph than that one</p>", "x <y> &am"),
+        ("<nav>only a menu</nav>", ""),
+    ],
+)
+def test_page_forms(html, expected):
+    assert html_ttr.main_text(html) == expected
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="<>/=\"' &;!-pdivaul\n", max_size=80))
+def test_any_html_is_read(html):
+    assert isinstance(html_ttr.main_text(html), str)
