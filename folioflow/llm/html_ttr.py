@@ -56,7 +56,7 @@ SCOPES = frozenset({"table", "ul", "ol", "dl", "div", "section", "article", "mai
 ENDS_P = BLOCKS - {"option", "optgroup", "legend", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "body", "html"}
 #: Words of a class, id or role that name something beside the article.
 ASIDE_WORD = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|menu|nav(?:bar|igation)?|breadcrumbs?|header|masthead|topbar|footer|sidebar|aside|related|recommended|widget|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|comments?|respond|replies|reply|disqus|discussion|pagination|pager|toolbar|skip|copyright|legal|disclaimer|complementary|contentinfo|search|form)(?:$|[\s_-]|\d)",
+    r"(?:^|[\s_-])(?<!\bno[_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(ads?|adverts?|advertisement|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|menu|nav(?:bar|igation)?|breadcrumbs?|header|masthead|topbar|footer|sidebar|aside|related|recommended|widget|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|comments?|respond|replies|reply|disqus|discussion|pagination|pager|toolbar|skip|copyright|legal|disclaimer|complementary|contentinfo|search|form)(?:$|[\s_-]|\d)",
     re.I,
 )
 _SPACE = re.compile(r"\s+")
@@ -114,9 +114,8 @@ class LineParser(HTMLParser):
             self.unseen += 1
         box = 0
         if tag in BLOCKS or attrs:
-            out = tag in OTHER or any(v and ((k in ("class", "id", "role") and ASIDE_WORD.search(v)) or (k == "aria-hidden" and v.lower() == "true")) or k == "hidden" for k, v in attrs)
-            if tag == "header" and not any(t == "article" or t == "main" for t, _ in self.stack):
-                out = True
+            within = any(t == "article" or t == "main" for t, _ in self.stack)
+            out = tag in OTHER or (tag == "header" and not within) or any(self._says_aside(k, v, within) for k, v in attrs)
             if tag in ("html", "body", "article", "main"):
                 out = False
             if tag in BLOCKS or out:
@@ -128,6 +127,15 @@ class LineParser(HTMLParser):
                 self.boxes += (box,)
         self.stack.append((tag, box))
 
+    @staticmethod
+    def _says_aside(name: str, value: str | None, within: bool) -> bool:
+        """Whether an attribute names something beside the article; an article's own header is part of it."""
+        if name == "hidden" or (name == "aria-hidden" and (value or "").lower() == "true"):
+            return True
+        if name not in ("class", "id", "role") or not value:
+            return False
+        return any(not (within and m[1].lower() == "header") for m in ASIDE_WORD.finditer(value))
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID:

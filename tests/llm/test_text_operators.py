@@ -265,6 +265,8 @@ PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header><h1
         ("<div>a <b>c</div> d", "a c"),
         ("<main><p>x &lt;y&gt; &am</p></main><p>out of it, a much longer paragraph than that one</p>", "x <y> &am"),
         ("<nav>only a menu</nav>", ""),
+        ('<div class="wrap has-sidebar no-ads"><article><div class="post-header"><h1>T</h1></div><p>x y z</p></article></div>', "T\nx y z"),
+        ('<article><p>a</p><div class="ad-box">buy</div><ul class="x share"><li>s</li></ul><ul><li>kept</li></ul></article>', "a\nkept"),
     ],
 )
 def test_page_forms(html, expected):
