@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .bpe_merge import MergeTable
-from .common import pick, slices, tokenizer_path
+from .common import pick, resident, slices, tokenizer_path
 
 #: How byte-level vocabularies of this family cut a text into pretokens (fixed value).
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -209,14 +209,9 @@ class Encoder:
         yield machine.decode(b"", True)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One encoder a Python worker, kept across tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return resident(("bpe_stream", path), lambda: Encoder(path))
 
 
 def round_trip(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -16,12 +19,20 @@ from pyspark.sql import functions as F
 ASCII_SPACE = r"[\x20\x09-\x0D]"
 
 
+#: Rows that go to a Python worker at once, so that long texts don't fill it or the JVM's buffers.
+ARROW_ROWS = 500
+
+
 def pick(df: DataFrame, **want: str) -> DataFrame:
     """Select ``want`` (name -> type) whatever else ``df`` holds.
 
     An exact name wins, then the first that differs by case only; an absent
-    column becomes null. Extra columns, even ones whose names clash, go.
+    column becomes null. Extra columns, even ones whose names clash, go. Where
+    texts are asked for, the session's Arrow batches become ARROW_ROWS rows.
     """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if {"text", "html", "media"} & want.keys() and not 0 < int(df.sparkSession.conf.get(setting)) <= ARROW_ROWS:
+        df.sparkSession.conf.set(setting, str(ARROW_ROWS))
     names = df.columns
     plain = df.toDF(*[f"_in{i}" for i in range(len(names))])
     out: list[Column] = []
@@ -87,6 +98,50 @@ def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.Record
         yield batch.slice(start)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together, or cut, to about ``limit`` bytes of ``column``."""
+    held, size = [], 0
+    for batch in batches:
+        for part in slices(batch, column, limit):
+            held.append(part)
+            size += part.column(column).nbytes
+            if size >= limit:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+_RESIDENT: dict[object, object] = {}
+
+
+def resident(key: object, make: Callable[[], object]) -> object:
+    """What a Python worker keeps across tasks: one thing at a time.
+
+    Workers outlive stages, so the tables of an earlier operator go when
+    another one asks for its own.
+    """
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
+def releasing(batches: Iterator[pa.RecordBatch], release: bool) -> Iterator[pa.RecordBatch]:
+    """``batches``; at their end the worker's tables go, if asked for.
+
+    A pipeline asks: its workers serve other operators next, and what they hold
+    between stages would stand beside the memory of those.
+    """
+    yield from batches
+    if release:
+        _RESIDENT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def tokenizer_path(name: str) -> str:
     """Where the installed public vocabulary file ``name`` lies."""
     import public_tokenizers
@@ -120,5 +175,23 @@ def without(rows: DataFrame, gone: DataFrame, column: str) -> DataFrame:
     return kept.unionByName(told.where("maybe").drop("maybe").join(gone.select(column), column, "left_anti").select(*rows.columns))
 
 
+#: Rows that a side may have to be broadcast, and the ways a larger one's keys are dealt.
+BROADCAST_ROWS, SALTS = 50_000, 16
+
+
+def join_small(rows: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` with what ``small`` (stored, a row a key) says of their key.
+
+    Up to BROADCAST_ROWS rows, counted, ``small`` is broadcast. Beyond, both
+    sides are dealt by key and salt, so that a key which many rows share falls
+    on SALTS tasks, and what follows aggregates partially before it meets.
+    """
+    if small.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(small), key, how)
+    salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+
+
 #: The columns of ``documents``, which the stages of a pipeline pass on.
 DOCUMENT = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}

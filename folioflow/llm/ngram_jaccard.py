@@ -41,15 +41,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT, marked, pick, slices, stored, without
+from .common import DOCUMENT, marked, pick, releasing, resident, slices, stored, without
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Minima in a band, and the share of pairs at SIMILARITY that some band shall find.
 ROWS, RECALL = 8, 0.9999
 #: Members of a unit's block, and words of one (long texts make smaller blocks).
 BLOCK, BLOCK_WORDS = 512, 400_000
-#: Words whose hashes a worker keeps before it starts anew (about 60 MB).
-CACHE_WORDS = 400_000
+#: Words whose hashes a worker keeps before it starts anew (about 30 MB).
+CACHE_WORDS = 200_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -70,22 +70,20 @@ class _Words(dict):
         return value
 
 
-_WORDS = _Words()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * _MIX
     x = (x ^ (x >> np.uint64(29))) * _MIX2
     return x ^ (x >> np.uint64(32))
 
 
-def shingles(text: str, width: int = SHINGLE) -> tuple[np.ndarray, int, str]:
+def shingles(text: str, width: int = SHINGLE, known: dict[bytes, int] | None = None) -> tuple[np.ndarray, int, str]:
     """Sorted distinct shingle hashes, the number of words, and a digest of the words in order."""
     words = text.encode().split()
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64), 0, ""
-    hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, n)
+    known = _Words() if known is None else known
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, n)
     width = min(width, n)
     total = np.zeros(n - width + 1, np.uint64)
     for k in range(width):
@@ -123,11 +121,12 @@ def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: dict[str, np.ndarray] = {}
+        known = resident("jaccard", _Words)
         for whole in batches:
             for batch in slices(whole, "text", 4 << 20):
                 sizes, contents, values = [], [], []
                 for text in batch.column("text").to_pylist():
-                    hashes, n, content = shingles(text or "")
+                    hashes, n, content = shingles(text or "", SHINGLE, known)
                     sizes.append(n)
                     contents.append(content or None)
                     if content and content not in last:
@@ -137,7 +136,7 @@ def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                     values.append(last[content] if content else None)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(contents, pa.string()), pa.array(values, pa.list_(pa.int64()))], names=["doc_id", "words", "content", "bands"])
 
-    return pick(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, words long, content string, bands array<long>")
+    return pick(docs, doc_id="long", text="string").mapInArrow(lambda batches: releasing(run(batches), True), "doc_id long, words long, content string, bands array<long>")
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -203,11 +202,11 @@ def verified(units: DataFrame, limit: float) -> DataFrame:
     """
     names = ["unit", "rep", "text", "bands", "copies", "band", "side", "content"]
 
-    def unit(rows: list[tuple]) -> list[tuple[int, int, int]]:
+    def unit(rows: list[tuple], known: dict[bytes, int]) -> list[tuple[int, int, int]]:
         # Of rows that repeat an id, the one with the class's own words stands.
         each = {}
         for r in rows:
-            found = shingles(r[2] or "")
+            found = shingles(r[2] or "", SHINGLE, known)
             if found[2] == r[7]:
                 each[r[1], r[7]] = (r, found[0])
         if len(each) < 2:
@@ -226,15 +225,16 @@ def verified(units: DataFrame, limit: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for part in slices(batch, "text", 4 << 20) for row in zip(*(part.column(c).to_pylist() for c in names)))
         out: list[tuple[int, int, int]] = []
+        known = resident("jaccard", _Words)
         for _, members in groupby(rows, key=itemgetter(0)):
-            out += unit(list(members))
+            out += unit(list(members), known)
             if len(out) >= 4096:
                 yield _link_batch(out)
                 out = []
         if out:
             yield _link_batch(out)
 
-    return units.select(*names).mapInArrow(run, "rep long, links long, least long")
+    return units.select(*names).mapInArrow(lambda batches: releasing(run(batches), True), "rep long, links long, least long")
 
 
 def _link_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:

@@ -31,10 +31,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe_merge import MergeTable
-from .common import pick, slices, stored, tokenizer_path
+from .common import gathered, pick, releasing, resident, stored, tokenizer_path
 
 #: Entries kept by a worker before the cache starts anew (about 200 MB).
 CACHE_WORDS = 900_000
+#: The same, and bytes of text taken at a time, where a worker serves other operators too.
+SHARED_WORDS, SHARED_BYTES = 200_000, 2 << 20
 #: str.split() also splits at these, the tokenizer does not.
 _CONTROLS = "\x1c\x1d\x1e\x1f"
 #: Chunks whose lower case and parts need no Unicode tables: ASCII and the composed letters of Latin-1.
@@ -53,7 +55,8 @@ class ChunkEncoder:
     Latin text are merged many at a time; the library encodes all others.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, limit: int = CACHE_WORDS) -> None:
+        self.limit = limit
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -69,7 +72,7 @@ class ChunkEncoder:
         chunked = [x.split() if not any(c in x for c in _CONTROLS) else [x] for x in texts]
         cache = self.cache
         fresh = list(set().union(*chunked).difference(cache)) if chunked else []
-        if len(cache) + len(fresh) > CACHE_WORDS:
+        if len(cache) + len(fresh) > self.limit:
             cache.clear()
             fresh = list(set().union(*chunked))
         for i in range(0, len(fresh), 50_000):
@@ -100,35 +103,29 @@ class ChunkEncoder:
             self.cache[chunk] = array(self.code, e.ids).tobytes()
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
-def chunk_encoder(path: str) -> ChunkEncoder:
+def chunk_encoder(path: str, limit: int = CACHE_WORDS) -> ChunkEncoder:
     """One encoder a Python worker, kept across tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+    return resident(("packing", path, limit), lambda: ChunkEncoder(path, limit))
 
 
-def tokenise(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
+def tokenise(docs: DataFrame, vocabulary: str, end_id: int, release: bool = False) -> DataFrame:
     """doc_id, ids (packed), width, n, part, local_start: a partition's rows in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = chunk_encoder(tokenizer_path(vocabulary))
+        encoder = chunk_encoder(tokenizer_path(vocabulary), SHARED_WORDS if release else CACHE_WORDS)
         part, total = TaskContext.get().partitionId(), 0
         tail = array(encoder.code, [end_id]).tobytes()
-        for whole in batches:
-            for batch in slices(whole, "text", 8 << 20):
-                ids = [x + tail for x in encoder.encode([x or "" for x in batch.column("text").to_pylist()])]
-                n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // encoder.width
-                ends = total + np.cumsum(n)
-                total = int(ends[-1])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(np.full(len(n), encoder.width, np.int32)), pa.array(n), pa.array(np.full(len(n), part, np.int64)), pa.array(ends - n)],
-                    names=["doc_id", "ids", "width", "n", "part", "local_start"],
-                )
+        for batch in gathered(batches, "text", SHARED_BYTES if release else 8 << 20):
+            ids = [x + tail for x in encoder.encode([x or "" for x in batch.column("text").to_pylist()])]
+            n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // encoder.width
+            ends = total + np.cumsum(n)
+            total = int(ends[-1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(np.full(len(n), encoder.width, np.int32)), pa.array(n), pa.array(np.full(len(n), part, np.int64)), pa.array(ends - n)],
+                names=["doc_id", "ids", "width", "n", "part", "local_start"],
+            )
 
-    return pick(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, ids binary, width int, n long, part long, local_start long")
+    return pick(docs, doc_id="long", text="string").mapInArrow(lambda batches: releasing(run(batches), release), "doc_id long, ids binary, width int, n long, part long, local_start long")
 
 
 def cut(placed: DataFrame, length: int) -> DataFrame:
@@ -152,9 +149,9 @@ def cut(placed: DataFrame, length: int) -> DataFrame:
     return placed.select("doc_id", "ids", "width", "n", "start").mapInArrow(run, PIECES)
 
 
-def pack(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int = 1, length: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int = 1, length: int = 2048, release: bool = False) -> DataFrame:
     """Boundary records of the packed corpus, a row for each piece (``PIECES``)."""
-    tokens = stored(tokenise(docs, vocabulary, end_id), "packing-tokens")
+    tokens = stored(tokenise(docs, vocabulary, end_id, release), "packing-tokens")
     totals = tokens.groupBy("part").agg(F.sum("n").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row for each partition of the scan, which the scheduler itself holds: small at any size.

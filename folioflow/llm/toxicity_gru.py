@@ -7,7 +7,7 @@ pools their states, and a logistic output scores the window. All windows of
 WINDOW tokens at every half window are scored, over the whole text; a text's
 score is that of its worst window.
 
-Training is numpy on the driver, on a bounded sample of labelled rows: at most
+Training is numpy in one task, on a bounded sample of labelled rows: at most
 SAMPLE_ROWS rows of each label, lowest hashes first, of texts up to
 SAMPLE_CHARS code points; rows whose crc32(doc_id) is divisible by HOLD_OUT are
 never read. Labels are for whole texts, so the window that speaks for a toxic
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT, pick, slices
+from .common import DOCUMENT, pick, releasing, resident, slices
 
 WINDOW, HALF = 32, 16
 HOLD_OUT, SAMPLE_ROWS, SAMPLE_CHARS = 5, 1200, 10_000
@@ -42,8 +42,8 @@ HOLD_OUT, SAMPLE_ROWS, SAMPLE_CHARS = 5, 1200, 10_000
 EMBED, STATE, ATTEND = 12, 8, 8
 WORDS, GRAMS = 1 << 14, 1 << 16
 ROUNDS, EPOCHS, BATCH, RATE = 3, 4, 128, 0.02
-#: Chunks that a worker keeps before it starts anew (about 200 MB).
-CACHE_WORDS = 500_000
+#: Chunks that a worker keeps before it starts anew (about 400 MB), and where it serves other operators too.
+CACHE_WORDS, SHARED_WORDS = 500_000, 200_000
 #: Windows scored together.
 TOGETHER = 2048
 
@@ -231,13 +231,13 @@ def windows_of(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 class Scorer:
     """Scores texts with fixed parameters; keeps projections of the chunks it has met."""
 
-    def __init__(self, params: Params) -> None:
-        self.params = params
+    def __init__(self, params: Params, limit: int = CACHE_WORDS) -> None:
+        self.params, self.limit = params, limit
         self.ids: dict[str, int] = {}
-        self.rows = {d: np.zeros((1024, 3 * STATE), np.float32) for d in "fb"}
+        self.rows = {d: np.zeros((limit + 1, 3 * STATE), np.float32) for d in "fb"}
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self.ids) + len(chunks) > CACHE_WORDS:
+        if len(self.ids) + len(chunks) > self.limit:
             self.ids.clear()
         need = len(self.ids) + 1 + len(chunks)
         for d, rows in self.rows.items():
@@ -255,7 +255,7 @@ class Scorer:
         chunked = [x.split() for x in texts]
         every = set().union(*chunked)
         fresh = [c for c in every if c not in self.ids]
-        if len(self.ids) + len(fresh) > CACHE_WORDS:
+        if len(self.ids) + len(fresh) > self.limit:
             self.ids.clear()
             fresh = list(every)
         self._learn(fresh)
@@ -367,34 +367,43 @@ def _cut(score: np.ndarray, label: np.ndarray) -> float:
     return float((edges[k] + edges[k + 1]) / 2)
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int]]:
-    """Texts and labels to train on: at most SAMPLE_ROWS of each label, none held out."""
+def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """text and toxic of the rows to train on: at most SAMPLE_ROWS of each label, none held out."""
     known = pick(labels, doc_id="long", toxic="int").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % HOLD_OUT != 0))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = pick(docs, doc_id="long", text="string").where(F.length("text") <= SAMPLE_CHARS)
     order = F.xxhash64("doc_id")
-    chosen = None
-    for value in (0, 1):
-        # A few more ids than rows wanted, since some texts are too long; both numbers are fixed.
-        part = known.where(F.col("toxic") == value).orderBy(order, "doc_id").limit(2 * SAMPLE_ROWS)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    # A few more ids than rows wanted, since some texts are too long; both numbers are fixed.
+    chosen = [known.where(F.col("toxic") == value).orderBy(order, "doc_id").limit(2 * SAMPLE_ROWS) for value in (0, 1)]
     # Two fixed limits bound the broadcast side: at most 4 * SAMPLE_ROWS ids.
-    found = texts.join(F.broadcast(chosen), "doc_id")
-    rows: list = []
-    for value in (0, 1):
-        rows += found.where(F.col("toxic") == value).orderBy(order, "doc_id", "text").limit(SAMPLE_ROWS).select("text", "toxic").collect()
-    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+    found = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    rows = [found.where(F.col("toxic") == value).orderBy(order, "doc_id", "text").limit(SAMPLE_ROWS).select("text", "toxic") for value in (0, 1)]
+    return rows[0].unionByName(rows[1])
 
 
-_SCORERS: dict[int, Scorer] = {}
+def fit(docs: DataFrame, labels: DataFrame) -> Params | None:
+    """Parameters trained in one task, on the bounded sample; the driver gets them alone."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in releasing(batches, True):
+            texts += batch.column("text").to_pylist()
+            toxic += batch.column("toxic").to_pylist()
+        order = sorted(range(len(texts)), key=lambda i: (toxic[i], zlib.crc32(texts[i].encode()), texts[i]))
+        params = train([texts[i] for i in order], [toxic[i] for i in order])
+        names = sorted(params or {})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array([list(params[k].shape) for k in names], pa.list_(pa.int32())), pa.array([params[k].tobytes() for k in names], pa.binary())],
+            names=["name", "shape", "data"],
+        )
+
+    found = sample(docs, labels).coalesce(1).mapInArrow(run, "name string, shape array<int>, data binary").collect()
+    return {r["name"]: np.frombuffer(r["data"], np.float32).reshape(r["shape"]) for r in found} or None
 
-def _scorer(token: int, params: Params) -> Scorer:
-    """One scorer a Python worker for each set of parameters; the latest is kept."""
-    if token not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[token] = Scorer(params)
-    return _SCORERS[token]
+
+def _scorer(token: int, params: Params, limit: int = CACHE_WORDS) -> Scorer:
+    """One scorer a Python worker, kept across tasks."""
+    return resident(("toxicity", token, limit), lambda: Scorer(params, limit))
 
 
 def score(docs: DataFrame, params: Params | None) -> DataFrame:
@@ -418,22 +427,22 @@ def score(docs: DataFrame, params: Params | None) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Train on the labelled sample and score every document."""
-    return score(docs, train(*sample(docs, labels)))
+    return score(docs, fit(docs, labels))
 
 
 def clean_only(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``documents`` whose score is below one half."""
     rows = pick(docs, **DOCUMENT)
-    params = train(*sample(rows, labels))
+    params = fit(rows, labels)
     if params is None:
         return rows
     shared = docs.sparkSession.sparkContext.broadcast(params)
     token = zlib.crc32(params["w"].tobytes() + params["Uf"].tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(token, shared.value)
+        scorer = _scorer(token, shared.value, SHARED_WORDS)
         for whole in batches:
             for batch in slices(whole, "text", 2 << 20):
                 yield batch.filter(pa.array(scorer.score([x or "" for x in batch.column("text").to_pylist()]) < 0.5))
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(lambda batches: releasing(run(batches), True), rows.schema)
