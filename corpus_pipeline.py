@@ -35,7 +35,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boundary records of the packed corpus."""
-    return packing.pack(docs)
+    return packing.pack(docs, release=True)
 
 
 STAGES = [("toxicity", toxicity), ("quality", quality), ("near_duplicates", near_duplicates), ("pii", pii), ("pack", pack)]
