@@ -35,7 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT, pick, stored, without
+from .common import DOCUMENT, join_small, pick, stored, without
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
@@ -162,7 +162,7 @@ def pooled(rows: DataFrame) -> DataFrame:
     own = F.when(F.col("count") >= MIN_POOL, F.col("by_both"))
     rest = F.sum(F.when(F.col("count") < MIN_POOL, F.col("count"))).over(Window.partitionBy("by_lang"))
     pools = sizes.select("by_both", F.coalesce(own, F.when(rest >= MIN_POOL, F.col("by_lang")), F.lit("*")).alias("pool"))
-    return keyed.join(pools, "by_both", "left").withColumn("pool", F.coalesce("pool", F.lit("*"))).drop("by_lang", "by_both")
+    return join_small(keyed, stored(pools, "mcd-pools"), "by_both", "left").withColumn("pool", F.coalesce("pool", F.lit("*"))).drop("by_lang", "by_both")
 
 
 def _pairs() -> list[tuple[int, int]]:
@@ -213,7 +213,7 @@ def _first_estimates(rows: DataFrame) -> DataFrame:
     # Exact medians: a pool's map holds an entry for each quantum in use at most.
     middle = rows.groupBy("pool").agg(F.count("*").alias("n"), *[F.median(a).alias(f"m{i}") for i, a in enumerate(FEATURES)])
     middle = stored(middle, "mcd-medians")
-    spread = rows.join(middle, "pool").groupBy("pool").agg(*[(1.4826 * F.median(F.abs(F.round(F.col(a) - F.col(f"m{i}"))))).alias(f"d{i}") for i, a in enumerate(FEATURES)])
+    spread = join_small(rows, middle, "pool").groupBy("pool").agg(*[(1.4826 * F.median(F.abs(F.round(F.col(a) - F.col(f"m{i}"))))).alias(f"d{i}") for i, a in enumerate(FEATURES)])
     floor = [(FLOORS[a] / QUANTUM) ** 2 for a in FEATURES]
     robust = middle.join(spread, "pool").withColumns({f"l{i}_{j}": F.sqrt(F.col(f"d{i}") ** 2 + floor[i]) if i == j else F.lit(0.0) for i, j in _pairs()})
     robust = robust.select(F.lit(0).alias("start"), "pool", "n", F.lit(0.0).alias("logdet"), *[f"m{i}" for i in range(p)], *[f"l{i}_{j}" for i, j in _pairs()])
@@ -227,7 +227,7 @@ def estimates(rows: DataFrame) -> DataFrame:
     present = stored(_first_estimates(rows), "mcd-start")
     factor = consistency(SHARE, p)
     for _ in range(STEPS):
-        measured = _distance(rows.join(present.drop("n"), "pool"))
+        measured = _distance(join_small(rows, present.drop("n"), "pool"))
         cell = F.floor(F.log2(1 + F.col("d2")) * CELLS).cast("int")
         cells = measured.withColumn("cell", cell).groupBy("pool", "start", "cell").agg(*_moments())
         within = Window.partitionBy("pool", "start")
@@ -235,8 +235,8 @@ def estimates(rows: DataFrame) -> DataFrame:
         chosen = cells.withColumns({"nearer": nearer, "total": F.sum("n").over(within)}).where(F.col("nearer") < F.ceil(F.col("total") * SHARE))
         present = stored(_factored(chosen.groupBy("pool", "start").agg(*_added()), ["pool", "start"], factor), "mcd-step")
     best = present.groupBy("pool").agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
-    raw = present.join(best, ["pool", "start"]).drop("start")
-    near = _distance(rows.join(raw.drop("n"), "pool")).where(F.col("d2") <= chi2_quantile(REWEIGHT_TAIL, p))
+    raw = stored(present.join(best, ["pool", "start"]).drop("start"), "mcd-best")
+    near = _distance(join_small(rows, raw.drop("n"), "pool")).where(F.col("d2") <= chi2_quantile(REWEIGHT_TAIL, p))
     final = _factored(near.groupBy("pool").agg(*_moments()), ["pool"], consistency(1 - REWEIGHT_TAIL, p))
     return stored(final.where(F.col("n") >= MIN_POOL * SHARE / 2), "mcd-final")
 
@@ -245,7 +245,7 @@ def judge(docs: DataFrame) -> DataFrame:
     """A row a document: doc_id, lang, source, base counts, base_failed, distance and kept."""
     rows = stored(pooled(stored(statistics(docs), "mcd-statistics")), "mcd-rows")
     passed = rows.where(~F.col("base_failed")).select("pool", *FEATURES)
-    measured = _distance(rows.join(estimates(passed).drop("n"), "pool", "left"))
+    measured = _distance(join_small(rows, estimates(passed).drop("n"), "pool", "left"))
     outlier = F.coalesce(F.col("d2") > chi2_quantile(TAIL, len(FEATURES)), F.lit(False))
     return measured.select(
         "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
