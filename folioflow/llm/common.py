@@ -23,16 +23,17 @@ ASCII_SPACE = r"[\x20\x09-\x0D]"
 ARROW_ROWS = 500
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Make the session's Arrow batches ARROW_ROWS rows, as stages that share workers want them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def pick(df: DataFrame, **want: str) -> DataFrame:
     """Select ``want`` (name -> type) whatever else ``df`` holds.
 
     An exact name wins, then the first that differs by case only; an absent
-    column becomes null. Extra columns, even ones whose names clash, go. Where
-    texts are asked for, the session's Arrow batches become ARROW_ROWS rows.
+    column becomes null. Extra columns, even ones whose names clash, go.
     """
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if {"text", "html", "media"} & want.keys() and not 0 < int(df.sparkSession.conf.get(setting)) <= ARROW_ROWS:
-        df.sparkSession.conf.set(setting, str(ARROW_ROWS))
     names = df.columns
     plain = df.toDF(*[f"_in{i}" for i in range(len(names))])
     out: list[Column] = []
