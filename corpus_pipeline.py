@@ -10,31 +10,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from folioflow.llm import ngram_jaccard, packing, pii_disclosure, quality_mcd, toxicity_gru
-from folioflow.llm.common import stored
+from folioflow.llm.common import small_batches, stored
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on ``labels``, does not find toxic."""
+    small_batches(spark)
     return toxicity_gru.clean_only(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers of their language and source."""
+    small_batches(spark)
     return quality_mcd.kept_only(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return ngram_jaccard.one_of_each(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data, and the words that reveal it, replaced."""
+    small_batches(spark)
     return pii_disclosure.sanitise(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boundary records of the packed corpus."""
+    small_batches(spark)
     return packing.pack(docs, release=True)
 
 
