@@ -41,18 +41,58 @@ PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2
 CONTAINMENT = 0.8
 #: Words of a block; a template may have half as many.
 WINDOW = 48
-#: Notices to look for, by label.
+#: Notices to look for, by label: short notices, the pieces of the standard texts, and lines of their usual wrapping.
+#: A template of at most four words needs them all, so that what names the license can't be the word that is missing.
 TEMPLATES: list[tuple[str, str]] = [
-    ("mit", "released under the mit license"),
+    ("mit", "released under mit license"),
+    ("mit", "licensed under mit license"),
+    ("mit", "spdx identifier mit"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("apache-2", "licensed under the apache license version 2 0"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise"),
+    ("apache-2", "apache license version 2"),
+    ("apache-2", "under apache license 2"),
+    ("apache-2", "spdx identifier apache 2"),
     ("apache-2", "you may obtain a copy of the license at www apache org licenses license 2 0"),
+    ("apache-2", "www apache org licenses license 2 0"),
+    ("bsd", "under bsd license"),
+    ("bsd", "bsd clause license"),
+    ("bsd", "by bsd style license"),
+    ("bsd", "spdx identifier bsd clause"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "redistribution and use in source and binary forms with or without"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived"),
+    ("bsd", "procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability"),
     ("gpl", "under the terms of the gnu general public license as published by the free software foundation"),
+    ("gpl", "licensed under the gnu general public license"),
+    ("gpl", "under gnu general public"),
+    ("gpl", "under gnu gpl"),
+    ("gpl", "licensed under gpl"),
+    ("gpl", "released under gpl"),
+    ("gpl", "licensed under gplv2"),
+    ("gpl", "licensed under gplv3"),
+    ("gpl", "spdx identifier gpl"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", "but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program"),
+    ("gpl", "received a copy of the gnu general public license"),
     ("mpl-2", "subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-nc", "creative commons attribution noncommercial 4 0 international license"),
-    ("cc-by-sa", "creative commons attribution sharealike 4 0 international license"),
+    ("mpl-2", "mozilla public license 2"),
+    ("mpl-2", "spdx identifier mpl 2"),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public"),
+    ("mpl-2", "if a copy of the mpl was not distributed with this file you can obtain one at mozilla org mpl 2 0"),
+    ("mpl-2", "obtain one at mozilla org mpl 2 0"),
+    ("cc-by-nc", "under cc by nc"),
+    ("cc-by-nc", "creative commons attribution noncommercial"),
+    ("cc-by-nc", "creativecommons licenses by nc"),
+    ("cc-by-nc", "spdx cc by nc"),
+    ("cc-by-sa", "under cc by sa"),
+    ("cc-by-sa", "creative commons attribution sharealike"),
+    ("cc-by-sa", "creativecommons licenses by sa"),
+    ("cc-by-sa", "spdx cc by sa"),
     ("all-rights-reserved", "all rights reserved"),
 ]
 

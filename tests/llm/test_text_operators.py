@@ -235,6 +235,42 @@ def test_license_scan_finds_what_brute_force_finds(spark, docs):
         assert row["score"] == (1.0 if places else max(held.values(), default=0.0))
 
 
+NOTICES = [
+    ("This work is licensed under the GNU General Public License, version 3.", "gpl"),
+    ("Licensed under the GPLv3", "gpl"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "gpl"),
+    ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or", "gpl"),
+    ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.", "gpl"),
+    ("Released under the MIT License.", "mit"),
+    ("SPDX-License-Identifier: MIT", "mit"),
+    ('Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software', "mit"),
+    ("The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", "mit"),
+    ('THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE', "mit"),
+    ("Licensed under the Apache License, Version 2.0.", "apache-2"),
+    ("Licensed under Apache License 2.0", "apache-2"),
+    ('Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0', "apache-2"),
+    ("Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", "bsd"),
+    ("Released under the BSD License", "bsd"),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:", "bsd"),
+    ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.", "bsd"),
+    ('THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED. PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT', "bsd"),
+    ("Licensed under the Mozilla Public License, Version 2.0", "mpl-2"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/.", "mpl-2"),
+    ("Licensed under CC BY-NC 4.0.", "cc-by-nc"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "cc-by-nc"),
+    ("Licensed under CC BY-SA 4.0.", "cc-by-sa"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa"),
+    ("https://creativecommons.org/licenses/by-sa/4.0/", "cc-by-sa"),
+    ("Copyright 2020 A. Author. All rights reserved.", "all-rights-reserved"),
+    ("This work is licensed under no terms that the public knows of, version 3.", ""),
+]
+
+
+def test_real_notices_get_their_label(spark):
+    rows = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(NOTICES)], "doc_id long, text string")
+    assert {NOTICES[r["doc_id"]][0]: r["labels"] for r in license_scan.scan(rows).collect()} == dict(NOTICES)
+
+
 # --- pages -------------------------------------------------------------------
 
 
