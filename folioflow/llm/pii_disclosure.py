@@ -1,16 +1,16 @@
 """Personal data, and the words that give it away, in DataFrame functions only.
 
 Base spans are patterns: e-mail and IP addresses, card and phone numbers. Each
-distinct value is a protected entity. The words around its mentions are then
-weighed by what they reveal about it: with N documents, n_e texts that mention
-entity e, n_t documents with word t, and n_te texts with t near e,
+distinct value is a protected entity. All words of the documents that mention
+it are then weighed by what they reveal about it: with N documents, n_e texts
+that mention entity e, n_t documents with word t, and n_te texts with both,
 
     disclosure(t, e) = log2(n_te * N / (n_t * n_e)) / log2(N / n_e),
 
 the pointwise mutual information as a share of all the information there is
-about e. A word that gives away REMOVE of it is removed near the entity, one
-that gives away GENERALISE is replaced by a general term; both need SUPPORT
-different texts, since a word seen beside an entity once shows nothing. Equal
+about e. A word that gives away REMOVE of it is removed wherever it stands in
+the entity's documents, one that gives away GENERALISE is replaced by a general
+term; both need SUPPORT different texts, since a word seen beside an entity once shows nothing. Equal
 texts count once in n_e and n_te.
 
 Patterns are written so that matching is linear in the text: possessive runs
@@ -18,8 +18,10 @@ that start only where a run starts, and bounded or possessive groups (the
 matcher's plain groups recurse). A match's place comes from the lengths of the
 pieces between matches. Documents without any match, nearly all, end there.
 The others are stored; words are counted over all documents with partial
-aggregation; entity-word pairs exist only within NEAR code points of a mention,
-so they grow with the mentions.
+aggregation. Entity-word pairs come from one row of each distinct text, and only
+for entities with SUPPORT texts; they are counted by pair with partial
+aggregation. Words are runs of letters, marks and digits, without case; those
+inside a span go with the span.
 
 Edge cases: a null text is the empty text; overlapping kinds are both reported
 and replaced once; repeated rows are separate rows; an empty table gives no rows.
@@ -30,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, stored
+from .common import join_small, marked, pick, stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -38,11 +40,8 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: Runs of 16 to 19 digits that no digit, with or without one blank or hyphen, continues on either side.
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Words of letters alone that stand free, but for one mark behind.
-TERM = r"(?<![^\x20\x09-\x0D])\p{L}{3,}+(?=[.,;:!?]?(?:[\x20\x09-\x0D]|$))"
-ANY_TERM = r"\p{L}{3,}+"
-#: Code points before and behind a mention in which words are weighed.
-NEAR = 64
+#: Words: runs of letters, marks and digits.
+TERM = r"[\p{L}\p{M}\p{N}]++"
 GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 2
 #: What stands in a sanitised text for a span of each kind.
 SHOWN = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[WORD]"}
@@ -114,24 +113,38 @@ def base_spans(text: Column) -> Column:
     return F.concat(email, F.when(F.rlike(text, F.lit("[0-9]")), F.concat(ip, card)).otherwise(none), phone)
 
 
-def near_terms(text: Column, spans: Column) -> Column:
-    """array of (entity, term, s, e): words near each mention.
+def words_of(text: Column) -> Column:
+    """The distinct words of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+
+
+def entities_of(spans: Column) -> Column:
+    """The distinct entities of a text."""
+    return F.array_distinct(F.transform(spans, lambda x: F.concat(x["k"].cast("string"), F.lit(":"), x["v"])))
+
+
+def blanked(text: Column, spans: Column) -> Column:
+    """``text`` with a blank for each code point of its spans."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(done: Column, x: Column) -> Column:
+        gap = F.substring(text, done["at"] + 1, F.greatest(x["s"] - done["at"], F.lit(0)))
+        return F.struct(
+            F.greatest(done["at"], x["e"]).alias("at"),
+            F.concat(done["out"], gap, F.repeat(F.lit(" "), F.greatest(x["e"] - F.greatest(x["s"], done["at"]), F.lit(0)))).alias("out"),
+        )
+
+    cuts = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
+    return F.aggregate(cuts, start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
 
-    A window takes one code point more on both sides, so that a word cut by its
-    edge is seen to go on and is left out.
-    """
 
-    def words(window: Column, begin: Column, entity: Column) -> Column:
-        found = matches(window, TERM, 4, F.lower, lambda m: F.lit(True))
-        inside = F.filter(found, lambda x: ((x["s"] > 0) | (begin == 0)) & ((x["e"] < F.length(window)) | (begin + x["e"] == F.length(text))))
-        return F.transform(inside, lambda x: F.struct(entity.alias("entity"), x["v"].alias("term"), (begin + x["s"]).cast("int").alias("s"), (begin + x["e"]).cast("int").alias("e")))
+def free_terms(text: Column, spans: Column) -> Column:
+    """array<SPAN> of the words outside the spans."""
+    return _let(blanked(text, spans), lambda t: matches(t, TERM, 4, F.lower, lambda m: F.lit(True)))
 
-    def around(x: Column) -> Column:
-        entity = F.concat(x["k"].cast("string"), F.lit(":"), x["v"])
-        left = F.greatest(x["s"] - NEAR - 1, F.lit(0))
-        return F.concat(words(F.substring(text, left + 1, x["s"] - left), left, entity), words(F.substring(text, x["e"] + 1, F.lit(NEAR + 1)), x["e"], entity))
 
-    return F.flatten(F.transform(spans, around))
+def _pair() -> Column:
+    return F.concat_ws("\x1f", "entity", "term").alias("pair")
 
 
 def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
@@ -139,11 +152,13 @@ def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
 
     found: text and spans of the documents with entities; docs: text of all.
     """
-    near = found.select(F.xxhash64("text").alias("content"), F.explode(near_terms(F.col("text"), F.col("spans"))).alias("x")).select("content", "x.entity", "x.term")
-    pairs = near.groupBy("entity", "term").agg(F.countDistinct("content").alias("n_te")).where(F.col("n_te") >= SUPPORT)
-    entities = found.select(F.xxhash64("text").alias("content"), F.explode("spans").alias("x")).select("content", F.concat(F.col("x.k").cast("string"), F.lit(":"), F.col("x.v")).alias("entity"))
-    entities = entities.groupBy("entity").agg(F.countDistinct("content").alias("n_e"))
-    terms = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(ANY_TERM), F.lit(0)))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    firsts = stored(found.groupBy(F.xxhash64("text").alias("content")).agg(F.min("row").alias("row")).select("row"), "pii-texts")
+    once = join_small(found.select("row", "text", entities_of(F.col("spans")).alias("entities")), firsts, "row")
+    mentions = once.select("text", F.explode("entities").alias("entity"))
+    entities = stored(mentions.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT), "pii-entities")
+    together = marked(mentions, entities, "entity").where("maybe").select("entity", F.explode(words_of(F.col("text"))).alias("term"))
+    pairs = together.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
+    terms = docs.select(F.explode(words_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     total = docs.agg(F.count("*").alias("total"))
     pairs = stored(pairs, "pii-pairs")
     weighed = pairs.join(entities, "entity").join(terms, "term").crossJoin(F.broadcast(total))  # total: one row
@@ -160,16 +175,18 @@ def _joined(spans: Column) -> Column:
 def detect(docs: DataFrame, keep: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """The documents without entities, and those with: columns ``keep``, text, spans and terms.
 
-    terms: array of (s, e, removed) of the words near entities that give them
-    away, by place.
+    terms: array of (s, e, removed) of the words that give an entity of their
+    document away, by place.
     """
     columns = {"text": "string"} | keep
     picked = pick(docs, **columns).withColumn("text", F.coalesce("text", F.lit("")))
-    marked = picked.withColumn("spans", base_spans(F.col("text")))
-    clean = marked.where(F.size("spans") == 0).withColumn("terms", F.array().cast("array<struct<s:int,e:int,removed:boolean>>"))
-    found = stored(marked.where(F.size("spans") > 0).withColumn("row", F.monotonically_increasing_id()), "pii-found")
-    revealing = stored(disclosures(found, picked), "pii-disclosures")
-    near = found.select("row", F.explode(near_terms(F.col("text"), F.col("spans"))).alias("x")).select("row", "x.*").join(revealing, ["entity", "term"])
+    spanned = picked.withColumn("spans", base_spans(F.col("text")))
+    clean = spanned.where(F.size("spans") == 0).withColumn("terms", F.array().cast("array<struct<s:int,e:int,removed:boolean>>"))
+    found = stored(spanned.where(F.size("spans") > 0).withColumn("row", F.monotonically_increasing_id()), "pii-found")
+    revealing = stored(disclosures(found, picked).select("entity", _pair(), "disclosure"), "pii-disclosures")
+    told = marked(found.select("row", "text", "spans", F.explode(entities_of(F.col("spans"))).alias("entity")), revealing, "entity").where("maybe")
+    told = told.select("row", "entity", F.explode(free_terms(F.col("text"), F.col("spans"))).alias("x")).select("row", "x.s", "x.e", "entity", F.col("x.v").alias("term"))
+    near = join_small(marked(told.select("row", "s", "e", _pair()), revealing, "pair").where("maybe").drop("maybe"), revealing.drop("entity"), "pair")
     each = near.groupBy("row", "s", "e").agg((F.max("disclosure") >= REMOVE).alias("removed"))
     terms = each.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("s", "e", "removed"))).alias("terms"))
     found = found.join(terms, "row", "left").drop("row").withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<s:int,e:int,removed:boolean>>")))
@@ -216,8 +233,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
     Texts without any are passed on as they are, nulls too.
     """
     kept = {"doc_id": "long", "lang": "string", "source": "string", "n_chars": "long", "was_null": "boolean"}
-    marked = pick(docs, doc_id="long", text="string", lang="string", source="string", n_chars="long").withColumn("was_null", F.col("text").isNull())
-    clean, found = detect(marked, kept)
+    rows = pick(docs, doc_id="long", text="string", lang="string", source="string", n_chars="long").withColumn("was_null", F.col("text").isNull())
+    clean, found = detect(rows, kept)
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     same = clean.withColumn("text", F.when(~F.col("was_null"), F.col("text")))
     changed = found.withColumn("text", sanitised(F.col("text"), F.col("spans"), F.col("terms"))).withColumn("n_chars", F.length("text").cast("long"))

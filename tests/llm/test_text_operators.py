@@ -153,6 +153,17 @@ def test_disclosing_terms(spark):
     assert "Zanzibarian" not in clean[200] and "[PHONE]" in clean[200] and clean[300] == texts[300]
 
 
+def test_revealing_terms_are_found_anywhere(spark):
+    texts = [f"plain words number {i} about nothing at all" for i in range(100)]
+    texts += [f"(Zanzibarian) {'filler ' * 40}+1 (743) 555-3824 {'filler ' * 40}Quux-Smythe's Xy K9zq 山田太郎 {i}" for i in ("p", "q", "r")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii_disclosure.sanitise(rows).collect():
+        if r["doc_id"] >= 100:
+            assert not re.search("Zanzibarian|Quux|Smythe|Xy|K9zq|山田太郎", r["text"]) and "[PHONE]" in r["text"]
+        else:
+            assert r["text"] == texts[r["doc_id"]]
+
+
 # --- n-gram join -------------------------------------------------------------
 
 
