@@ -2,8 +2,8 @@
 
 Base spans are patterns: e-mail and IP addresses, card and phone numbers. Each
 distinct value is a protected entity. All words of the documents that mention
-it are then weighed by what they reveal about it: with N documents, n_e texts
-that mention entity e, n_t documents with word t, and n_te texts with both,
+it are then weighed by what they reveal about it: with N texts, n_e texts
+that mention entity e, n_t texts with word t, and n_te texts with both,
 
     disclosure(t, e) = log2(n_te * N / (n_t * n_e)) / log2(N / n_e),
 
@@ -11,7 +11,7 @@ the pointwise mutual information as a share of all the information there is
 about e. A word that gives away REMOVE of it is removed wherever it stands in
 the entity's documents, one that gives away GENERALISE is replaced by a general
 term; both need SUPPORT different texts, since a word seen beside an entity once shows nothing. Equal
-texts count once in n_e and n_te.
+texts count once everywhere.
 
 Patterns are written so that matching is linear in the text: possessive runs
 that start only where a run starts, and bounded or possessive groups (the
@@ -158,8 +158,13 @@ def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
     entities = stored(mentions.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT), "pii-entities")
     together = marked(mentions, entities, "entity").where("maybe").select("entity", F.explode(words_of(F.col("text"))).alias("term"))
     pairs = together.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
-    terms = docs.select(F.explode(words_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    total = docs.agg(F.count("*").alias("total"))
+    # Equal texts count once: words of texts that repeat (or meet one that does in the bitmap) by text first, others at once.
+    hashed = docs.select("text", F.xxhash64("text").alias("content"))
+    copies = stored(hashed.groupBy("content").count(), "pii-copies")
+    total = copies.agg(F.count("*").alias("total"))
+    told = marked(hashed, copies.where("count > 1"), "content")
+    held = told.select(F.when(F.col("maybe"), F.col("content")).alias("content"), F.explode(words_of(F.col("text"))).alias("term")).groupBy("content", "term").agg(F.count("*").alias("n"))
+    terms = held.groupBy("term").agg(F.sum(F.when(F.col("content").isNull(), F.col("n")).otherwise(1)).alias("n_t"))
     pairs = stored(pairs, "pii-pairs")
     weighed = pairs.join(entities, "entity").join(terms, "term").crossJoin(F.broadcast(total))  # total: one row
     information = F.log2(F.col("total") / F.col("n_e"))

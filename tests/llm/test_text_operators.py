@@ -164,6 +164,12 @@ def test_revealing_terms_are_found_anywhere(spark):
             assert r["text"] == texts[r["doc_id"]]
 
 
+def test_copies_count_once_in_disclosure(spark):
+    texts = [f"plain words number {i} about nothing at all" for i in range(100)] + ["Zanzibarian +1 (743) 555-3824 one", "two +1 (743) 555-3824 Zanzibarian"] * 20
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all("Zanzibarian" not in r["text"] for r in pii_disclosure.sanitise(rows).collect())
+
+
 # --- n-gram join -------------------------------------------------------------
 
 
