@@ -198,9 +198,9 @@ def local_roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
 def verified(units: DataFrame, limit: float) -> DataFrame:
     """Rows in order of unit -> a row a linked member: rep, links (documents), least (its local component).
 
-    A unit of two blocks compares across them only, a unit of one block within.
+    A unit of two blocks compares across them only, so nothing if one is empty; a unit of one block compares within.
     """
-    names = ["unit", "rep", "text", "bands", "copies", "band", "side", "content"]
+    names = ["unit", "rep", "text", "bands", "copies", "band", "side", "content", "cross"]
 
     def unit(rows: list[tuple], known: dict[bytes, int]) -> list[tuple[int, int, int]]:
         # Of rows that repeat an id, the one with the class's own words stands.
@@ -212,9 +212,11 @@ def verified(units: DataFrame, limit: float) -> DataFrame:
         if len(each) < 2:
             return []
         rows, sets = [r for r, _ in each.values()], [x for _, x in each.values()]
+        if rows[0][8] and len({r[6] for r in rows}) < 2:
+            return []
         linked = pair_links(sets, np.array([r[3] for r in rows], np.int64), rows[0][5], limit)
         side = np.array([r[6] for r in rows])
-        if side.min() != side.max():
+        if rows[0][8]:
             linked &= side[:, None] != side[None, :]
         if not linked.any():
             return []
@@ -285,7 +287,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, rows: int = ROWS, reca
 
 
 def _placements(classes: DataFrame) -> DataFrame:
-    """rep, key, copies, band, unit and side: the units in which each representative is compared."""
+    """rep, key, copies, band, side, unit and cross (whether of two blocks): the units in which each representative is compared."""
     banded = classes.select("rep", "key", "words", "copies", F.posexplode("bands").alias("band", "value"))
     # A bucket is told by its members: their number, extremes and summed hashes. Equal ones are the same bucket.
     member = F.xxhash64("rep", "key").cast("decimal(20,0)")
@@ -295,8 +297,8 @@ def _placements(classes: DataFrame) -> DataFrame:
     number = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK), F.ceil(F.col("all_words") / BLOCK_WORDS)).cast("int")
     members = banded.drop("words").join(buckets.withColumn("blocks", F.least(number, F.col("size").cast("int"))), ["band", "value"])
     members = members.withColumn("side", F.pmod(F.xxhash64("rep", "key", F.lit(7)), F.col("blocks")).cast("int"))
-    units = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.xxhash64("band", "value", F.least(o, F.col("side")), F.greatest(o, F.col("side"))))
-    return members.select("rep", "key", "copies", "band", "side", F.explode(units).alias("unit"))
+    units = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.xxhash64("band", "value", F.least(o, F.col("side")), F.greatest(o, F.col("side"))).alias("unit"), (o != F.col("side")).alias("cross")))
+    return members.select("rep", "key", "copies", "band", "side", F.explode(units).alias("x")).select("rep", "key", "copies", "band", "side", "x.unit", "x.cross")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -212,6 +212,18 @@ def test_join_matches_brute_force(spark, monkeypatch):
         assert row["n_links"] == links[row["doc_id"]] and row["class_id"] == root(row["doc_id"])
 
 
+def test_empty_blocks_count_nothing(spark, monkeypatch):
+    r = random.Random(12)
+    pairs = []
+    for k in range(12):
+        w = [f"p{k}w{r.randrange(400)}" for _ in range(120)]
+        pairs += [" ".join(w), " ".join([*w, "end"])]
+    monkeypatch.setattr(ngram_jaccard, "BLOCK_WORDS", 150)  # two long texts a bucket, in two blocks
+    rows = spark.createDataFrame(list(enumerate(pairs)), "doc_id long, text string")
+    for row in ngram_jaccard.join(rows).collect():
+        assert row["n_links"] == 1 and row["class_id"] == row["doc_id"] // 2 * 2
+
+
 def test_bands_and_recall():
     assert ngram_jaccard.plan_bands(0.8, 8, 0.9999) == 51
     r = np.random.default_rng(3)
