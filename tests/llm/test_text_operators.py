@@ -327,7 +327,7 @@ PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header><h1
         (PAGE, "Head & line\nFirst paragraph, long enough to be content.\nTwo. Lines.\ncell one\ncell two"),
         ("plain text", "plain text"),
         ("<p>a<p>b</p>c", "a\nb\nc"),
-        ("<div>a <b>c</div> d", "a c"),
+        ("<div>a <b>c</div> d", "a c\nd"),
         ("<main><p>x &lt;y&gt; &am</p></main><p>out of it, a much longer paragraph than that one</p>", "x <y> &am"),
         ("<nav>only a menu</nav>", ""),
         ('<div class="wrap has-sidebar no-ads"><article><div class="post-header"><h1>T</h1></div><p>x y z</p></article></div>', "T\nx y z"),
@@ -338,6 +338,75 @@ def test_page_forms(html, expected):
     assert html_ttr.main_text(html) == expected
 
 
+LONG_PARAGRAPH = "many long words of an article " * 12
+SMALL = "<div><b>Some</b> <i>small</i> things</div>" * 8
+#: Pages whose article no element names: the ratios decide.
+UNNAMED = [
+    (f"<body>{SMALL}<div><a href=1>One</a> two <a href=2>Three</a></div><div><h1>Head</h1><p>{LONG_PARAGRAPH}</p><p>short.</p></div>{SMALL}<div>Terms <a href=3>apply</a> <a href=4>here</a></div>", f"Head\n{LONG_PARAGRAPH.strip()}\nshort."),
+    (f"<body><section><h2>A</h2><p>{LONG_PARAGRAPH}</p></section><section><h2>B</h2><p>{LONG_PARAGRAPH}</p><p>x y.</p></section>{SMALL}{SMALL}<div>Tiny <a>x</a><a>y</a></div>", f"A\n{LONG_PARAGRAPH.strip()}\nB\n{LONG_PARAGRAPH.strip()}\nx y."),
+    (f"<body><table><tr><td><a>m</a><tr><td><a>n</a><tr><td><a>o</a></table><div><p>{LONG_PARAGRAPH}</p></div><div>{SMALL}</div>", LONG_PARAGRAPH.strip()),
+]
+
+
+@pytest.mark.parametrize(("html", "expected"), UNNAMED)
+def test_ratios_decide_where_no_element_does(html, expected, monkeypatch):
+    assert html_ttr.main_text(html) == expected
+    monkeypatch.setattr(html_ttr, "content_lines", lambda lines, out: np.array([not o for o in out]))
+    assert html_ttr.main_text(html) != expected
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("<html><head><title>x</title><body><p>Hello world</p>", "Hello world"),
+        ("<head><title>x</title>Hello <b>world</b>", "Hello world"),
+        ('<body><div class="legal"><h1>Legal news</h1><p>Of today.</p></div>', "Legal news\nOf today."),
+        ('<article><p>a b c</p><section id="discussion"><p>d e f</p></section><ul class="search-engines"><li>g</li><li>h</li></ul></article>', "a b c\nd e f\ng\nh"),
+        ('<body><div class="right-sidebar"><h1>T</h1><p>a long paragraph</p></div><div class=ad>buy it</div>', "T\na long paragraph"),
+        ("<body><form><nav>m</nav><h1>T</h1><p>a long paragraph</p></form>", "T\na long paragraph"),
+        ("<article><p>part one</p></article><hr><article><p>part two</p></article>", "part one\npart two"),
+        ("<article><p>a b c</p><ul><li><a>x</a><li><a>y</a><li><a>z</a></ul><p>d</p></article>", "a b c\nd"),
+        ('<article><p>text</p></article><section class="comments"><article><p>A comment that is longer than the article</p></article></section>', "text"),
+        ('<article class="has-sidebar"><p>text</p><div class="ad-box-2">buy</div><div class="shared-history">kept</div></article>', "text\nkept"),
+    ],
+)
+def test_pages_of_many_kinds(html, expected):
+    assert html_ttr.main_text(html) == expected
+
+
+def smoothed_by_hand(ratios):
+    out = []
+    for i in range(len(ratios)):
+        total = weight = 0.0
+        for k in range(-html_ttr.REACH, html_ttr.REACH + 1):
+            if 0 <= i + k < len(ratios):
+                w = 2.718281828459045 ** (-0.5 * (k / html_ttr.SIGMA) ** 2)
+                total, weight = total + w * ratios[i + k], weight + w
+        out.append(total / weight)
+    return out
+
+
+def test_content_lines_against_plain_python():
+    r = random.Random(8)
+    for _ in range(200):
+        lines = [html_ttr.Line("x" * r.choice([3, 20, 300]), r.randint(0, 6), r.choice([0, 0, 20]), (0,)) for _ in range(r.randint(1, 40))]
+        out = [r.random() < 0.2 for _ in lines]
+        smooth = smoothed_by_hand([0.0 if o else max(0, len(x.text) - x.links) / max(1, x.tags) for x, o in zip(lines, out)])
+        mean = sum(smooth) / len(smooth)
+        cut = min(html_ttr.THRESHOLD * (sum((s - mean) ** 2 for s in smooth) / len(smooth)) ** 0.5, max(smooth))
+        found = html_ttr.content_lines(lines, out)
+        assert all(f == (s >= cut and not o) or abs(s - cut) < 1e-9 for f, s, o in zip(found, smooth, out))
+
+
+def test_page_rows(spark):
+    long = "<article>" + f"<p>{LONG_PARAGRAPH}</p><p>x</p>" * 3_000 + "</article>"
+    rows = [(1, "u", long), (2, "u", PAGE), (2, "u", PAGE), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text", "1 AS n_chars", "'z' AS HTML")
+    found = sorted(html_ttr.extract(pages).collect(), key=lambda r: (r["page_id"] or 0))
+    assert [r["n_chars"] for r in found] == [0, 3_000 * (len(LONG_PARAGRAPH.strip()) + 3) - 1, found[2]["n_chars"], found[2]["n_chars"]]
+    assert found[2] == found[3] and html_ttr.extract(pages.where("false")).collect() == []
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="<>/=\"' &;!-pdivaul\n", max_size=80))
 def test_any_html_is_read(html):
