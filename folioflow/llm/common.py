@@ -150,18 +150,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-#: Bits of the bitmaps that tell rows apart by hash: 16 bytes for 64 of them, a broadcast of 1 MB at most.
-FILTER_BITS = 1 << 22
+#: Bits that a bitmap of hashes has for each wanted value, and the most of all: 2^20 rows of 16 bytes, whatever is wanted.
+BITS_EACH, MOST_BITS = 16, 1 << 26
 
 
 def marked(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     """``rows`` with ``maybe``: whether ``column`` may be among ``wanted``'s (false: surely not).
 
-    A bitmap of FILTER_BITS hashes decides, so what is broadcast has a fixed
-    size whatever ``wanted`` holds; a row is true wrongly only if its hash
-    meets another's.
+    A bitmap of hashes decides, sized by the number of ``wanted`` rows (stored,
+    or cheap to count) up to MOST_BITS, so what is broadcast is bounded; a row is
+    true wrongly only if its hash meets another's.
     """
-    at = lambda: F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    bits = min(MOST_BITS, 1 << max(16, (BITS_EACH * wanted.count()).bit_length()))
+    at = lambda: F.pmod(F.xxhash64(column), F.lit(bits))
     slot = lambda: (at() / 64).cast("long").alias("slot")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at() % 64).cast("int")).alias("bit")
     bitmap = wanted.select(slot(), bit).groupBy("slot").agg(F.bit_or("bit").alias("bits"))

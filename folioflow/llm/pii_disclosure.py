@@ -1,26 +1,30 @@
 """Personal data, and the words that give it away, in DataFrame functions only.
 
-Base spans are patterns: e-mail and IP addresses, card and phone numbers. Each
-distinct value is a protected entity. All words of the documents that mention
-it are then weighed by what they reveal about it: with N texts, n_e texts
-that mention entity e, n_t texts with word t, and n_te texts with both,
+Base spans are patterns: e-mail and IP addresses, card and phone numbers. What
+is protected is each distinct value, its contact class (the domain of an
+e-mail address, the network of an IP address, the issuer of a card, the area of
+a phone number) and its kind as such: three entities a span. All words of the
+documents that mention one are then weighed by what they reveal about it: with
+N texts, n_e texts that mention entity e, n_t texts with word t, and n_te texts
+with both,
 
     disclosure(t, e) = log2(n_te * N / (n_t * n_e)) / log2(N / n_e),
 
 the pointwise mutual information as a share of all the information there is
 about e. A word that gives away REMOVE of it is removed wherever it stands in
-the entity's documents, one that gives away GENERALISE is replaced by a general
-term; both need SUPPORT different texts, since a word seen beside an entity once shows nothing. Equal
-texts count once everywhere.
+the entity's documents, one that gives away GENERALISE is replaced by the
+broader term of its form (a number, a code, a name, a word); both need SUPPORT
+different texts for a value and CLASS_SUPPORT for a class or kind, since a word
+seen beside an entity once shows nothing. All four numbers count equal texts once.
 
 Patterns are written so that matching is linear in the text: possessive runs
 that start only where a run starts, and bounded or possessive groups (the
 matcher's plain groups recurse). A match's place comes from the lengths of the
 pieces between matches. Documents without any match, nearly all, end there.
-The others are stored; words are counted over all documents with partial
-aggregation. Entity-word pairs come from one row of each distinct text, and only
-for entities with SUPPORT texts; they are counted by pair with partial
-aggregation. Words are runs of letters, marks and digits, without case; those
+The others are stored. Entity-word pairs come from one row of each distinct
+text, and only for entities with support; they are counted by pair with partial
+aggregation. The words of such pairs are then counted over all documents (a
+bitmap holds the others back before the shuffle). Words are runs of letters, marks and digits, without case; those
 inside a span go with the span.
 
 Edge cases: a null text is the empty text; overlapping kinds are both reported
@@ -42,9 +46,13 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Words: runs of letters, marks and digits.
 TERM = r"[\p{L}\p{M}\p{N}]++"
-GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 2
+GENERALISE, REMOVE, SUPPORT, CLASS_SUPPORT = 0.8, 0.95, 2, 5
+#: Digits that name a card's issuer, and a phone number's country and area.
+ISSUER_DIGITS, AREA_DIGITS = 6, 4
 #: What stands in a sanitised text for a span of each kind.
-SHOWN = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[WORD]"}
+SHOWN = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
+#: Broader terms by the form of a word, the first that fits.
+BROADER = {r"^\p{N}+$": "[NUMBER]", r"\p{N}": "[CODE]", r"^\p{Lu}": "[NAME]", "": "[WORD]"}
 
 SPAN = "struct<k:int,s:int,e:int,v:string>"
 
@@ -119,8 +127,15 @@ def words_of(text: Column) -> Column:
 
 
 def entities_of(spans: Column) -> Column:
-    """The distinct entities of a text."""
-    return F.array_distinct(F.transform(spans, lambda x: F.concat(x["k"].cast("string"), F.lit(":"), x["v"])))
+    """The distinct entities of a text: values (v), contact classes (c) and kinds (k), each by kind."""
+    group = lambda x: F.when(x["k"] == 0, F.substring_index(x["v"], "@", -1)).when(x["k"] == 1, F.substring_index(x["v"], ".", 2)).otherwise(F.left(x["v"], F.when(x["k"] == 2, F.lit(ISSUER_DIGITS)).otherwise(F.lit(AREA_DIGITS))))
+    named = lambda level, x, value: F.concat(F.lit(level), x["k"].cast("string"), F.lit(":"), value)
+    return F.array_distinct(F.flatten(F.transform(spans, lambda x: F.array(named("v", x, x["v"]), named("c", x, group(x)), named("k", x, F.lit(""))))))
+
+
+def _support() -> Column:
+    """Distinct texts that must show what an entity's words reveal."""
+    return F.when(F.col("entity").startswith("v"), F.lit(SUPPORT)).otherwise(F.lit(CLASS_SUPPORT))
 
 
 def blanked(text: Column, spans: Column) -> Column:
@@ -155,18 +170,18 @@ def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
     firsts = stored(found.groupBy(F.xxhash64("text").alias("content")).agg(F.min("row").alias("row")).select("row"), "pii-texts")
     once = join_small(found.select("row", "text", entities_of(F.col("spans")).alias("entities")), firsts, "row")
     mentions = once.select("text", F.explode("entities").alias("entity"))
-    entities = stored(mentions.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT), "pii-entities")
+    entities = stored(mentions.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= _support()), "pii-entities")
     together = marked(mentions, entities, "entity").where("maybe").select("entity", F.explode(words_of(F.col("text"))).alias("term"))
-    pairs = together.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
+    pairs = stored(together.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= _support()), "pii-pairs")
     # Equal texts count once: words of texts that repeat (or meet one that does in the bitmap) by text first, others at once.
     hashed = docs.select("text", F.xxhash64("text").alias("content"))
     copies = stored(hashed.groupBy("content").count(), "pii-copies")
     total = copies.agg(F.count("*").alias("total"))
     told = marked(hashed, copies.where("count > 1"), "content")
-    held = told.select(F.when(F.col("maybe"), F.col("content")).alias("content"), F.explode(words_of(F.col("text"))).alias("term")).groupBy("content", "term").agg(F.count("*").alias("n"))
+    held = told.select(F.when(F.col("maybe"), F.col("content")).alias("content"), F.explode(words_of(F.col("text"))).alias("term"))
+    held = marked(held, stored(pairs.select("term").distinct(), "pii-words"), "term").where("maybe").groupBy("content", "term").agg(F.count("*").alias("n"))
     terms = held.groupBy("term").agg(F.sum(F.when(F.col("content").isNull(), F.col("n")).otherwise(1)).alias("n_t"))
-    pairs = stored(pairs, "pii-pairs")
-    weighed = pairs.join(entities, "entity").join(terms, "term").crossJoin(F.broadcast(total))  # total: one row
+    weighed = join_small(join_small(pairs, entities, "entity"), stored(terms, "pii-terms"), "term").crossJoin(F.broadcast(total))  # total: one row
     information = F.log2(F.col("total") / F.col("n_e"))
     share = F.log2(F.col("n_te") * F.col("total") / (F.col("n_t") * F.col("n_e"))) / information
     return weighed.where(information > 0).select("entity", "term", F.least(share, F.lit(1.0)).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
@@ -213,12 +228,17 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
+def broader(word: Column) -> Column:
+    """The broader term that stands for a word."""
+    return F.coalesce(*[F.when(F.rlike(word, F.lit(form)), F.lit(term)) for form, term in BROADER.items()])
+
+
 def sanitised(text: Column, spans: Column, terms: Column) -> Column:
-    """``text`` with each span replaced by what stands for its kind; removed words leave nothing."""
-    shown = F.array(*[F.lit(SHOWN[k]) for k in KINDS])
+    """``text`` with spans replaced by their kind and revealing words by a broader term; removed words leave nothing."""
+    shown = F.array(*map(F.lit, SHOWN.values()))
     cuts = F.concat(
         F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.element_at(shown, x["k"] + 1).alias("by"))),
-        F.transform(terms, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.when(x["removed"], F.lit("")).otherwise(F.lit(SHOWN["term"])).alias("by"))),
+        F.transform(terms, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.when(x["removed"], F.lit("")).otherwise(broader(F.substring(text, x["s"] + 1, x["e"] - x["s"]))).alias("by"))),
     )
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 

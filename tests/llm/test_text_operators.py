@@ -140,7 +140,7 @@ def test_base_spans(spark, docs):
 
 
 def test_disclosing_terms(spark):
-    texts = {i: f"plain words number {i} about nothing at all" for i in range(100)}
+    texts = {i: f"plain words number {i} about the nothing at all" for i in range(100)}
     texts |= {200 + i: f"Call Zanzibarian at +1 (743) 555-3824 about the matter {i}." for i in range(4)}
     texts |= {300: "Zanzibarian stands alone here", 301: "the the about +1 (999) 111-2222 plain"}
     rows = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
@@ -153,6 +153,72 @@ def test_disclosing_terms(spark):
     assert "Zanzibarian" not in clean[200] and "[PHONE]" in clean[200] and clean[300] == texts[300]
 
 
+def entities_by_hand(spans, text):
+    out = set()
+    for part in filter(None, spans.split(",")):
+        kind, s, e = part.split(":")
+        k, m = pii_disclosure.KINDS.index(kind), text[int(s) : int(e)]
+        v = m.lower() if kind == "email" else m if kind == "ip" else re.sub("[^0-9]", "", m)
+        group = {"email": v.rsplit("@", 1)[-1], "ip": ".".join(v.split(".")[:2]), "card": v[:6], "phone": v[:4]}[kind]
+        out |= {("v", k, v), ("c", k, group), ("k", k, "")}
+    return out
+
+
+def revealing_by_hand(texts):
+    """Places of revealing words by text, straight from the definition over distinct texts."""
+    import regex
+
+    words_in = {t: {w.lower() for w in regex.findall(r"[\p{L}\p{M}\p{N}]+", t)} for t in set(texts)}
+    entities = {t: entities_by_hand(base_spans(t), t) for t in words_in}
+    n_e = collections.Counter(e for es in entities.values() for e in es)
+    n_t = collections.Counter(w for ws in words_in.values() for w in ws)
+    n_te = collections.Counter((e, w) for t, es in entities.items() for e in es for w in words_in[t])
+    total, reveals = len(words_in), collections.defaultdict(dict)
+    for (e, w), n in n_te.items():
+        least = pii_disclosure.SUPPORT if e[0] == "v" else pii_disclosure.CLASS_SUPPORT
+        if n >= least and n_e[e] < total:
+            share = np.log2(n * total / (n_t[w] * n_e[e])) / np.log2(total / n_e[e])
+            if share >= pii_disclosure.GENERALISE:
+                reveals[e][w] = share
+    out = {}
+    for t, es in entities.items():
+        inside = {i for part in filter(None, base_spans(t).split(",")) for i in range(*map(int, part.split(":")[1:]))}
+        blank = "".join(" " if i in inside else c for i, c in enumerate(t))
+        out[t] = [f"term:{m.start()}:{m.end()}" for m in regex.finditer(r"[\p{L}\p{M}\p{N}]+", blank) if any(m[0].lower() in reveals[e] for e in es)]
+    return out
+
+
+def test_disclosure_matches_brute_force_on_a_whole_table(spark):
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    r = random.Random(21)
+    # Besides the table: words that go with a domain, with an area, with cards as such, and copies of all that.
+    plain = [t for t in texts if not base_spans(t)][:60]
+    for i, t in enumerate(plain[:12]):
+        texts += [f"{t} ask the Wombatery at a{i}@wombat.example.org for it"] * r.randint(1, 3)
+    for i, t in enumerate(plain[12:24]):
+        texts += [f"{t} the Quokkadesk answers under +1 (743) 555-{1000 + i} today"] * r.randint(1, 3)
+    for i, t in enumerate(plain[24:40]):
+        digits = next(d for d in (f"{r.randrange(10**16):016d}" for _ in iter(int, 1)) if luhn(d))
+        texts.append(f"{t} cardholder {digits}" if i else t + " cardholder")
+    expected = revealing_by_hand(texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = 0
+    for row in pii_disclosure.report(rows).collect():
+        t = texts[row["doc_id"]]
+        base = base_spans(t)
+        assert row["spans"] == ",".join(filter(None, [base, *expected[t]])) and row["n_term"] == len(expected[t])
+        found += row["n_term"]
+    assert found >= 30
+    clean = {r["doc_id"]: r["text"] for r in pii_disclosure.sanitise(rows).collect()}
+    changed = [clean[i] for i, t in enumerate(texts) if "wombat.example" in t or "Quokkadesk" in t]
+    assert changed and not any("Wombatery" in t or "Quokkadesk" in t for t in changed)
+
+
+def test_broader_terms(spark):
+    rows = spark.createDataFrame([("1912",), ("x9",), ("Zoe",), ("zoe",), ("Élan",)], "w string")
+    assert [r[0] for r in rows.select(pii_disclosure.broader(rows["w"])).collect()] == ["[NUMBER]", "[CODE]", "[NAME]", "[WORD]", "[NAME]"]
+
+
 def test_revealing_terms_are_found_anywhere(spark):
     texts = [f"plain words number {i} about nothing at all" for i in range(100)]
     texts += [f"(Zanzibarian) {'filler ' * 40}+1 (743) 555-3824 {'filler ' * 40}Quux-Smythe's Xy K9zq 山田太郎 {i}" for i in ("p", "q", "r")]
