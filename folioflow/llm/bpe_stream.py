@@ -1,23 +1,32 @@
-"""Streaming byte-level BPE: a bounded-lookahead encoder and an incremental decoder.
-
-Encoding. Tokens of a byte stream become final once no further byte can change
-them. A later byte changes an earlier boundary only through a chain of merges:
-a merge loses its right symbol (or that symbol's last part) to a merge of
-better rank further right, which in turn can lose its own right symbol, and so
-on. Ranks fall strictly along such a chain, so its length in bytes is bounded
-by the merge list alone; ``sufficient_lookahead`` computes that bound in one
-pass. The transducer holds at most ``block + lookahead`` bytes of a pretoken,
-merges them, emits the tokens that end ``lookahead`` bytes or more before the
-end, and goes on from that boundary (a run of a text's tokens is the encoding
-of the bytes it covers). Pretokens shorter than that are merged at once, many
-at a time, and their ids cached.
+"""Streaming byte-level BPE: a bounded-lookahead transducer and an incremental decoder.
+
+Encoding. A text enters the transducer piece by piece, and tokens leave once
+nothing that follows can change them. Two lookaheads bound what is held back:
+
+* pretokens: where one ends is final two code points later (a contraction is at
+  most three), so complete ones leave, and only the unfinished one stays;
+* merges: a later byte changes an earlier token boundary only through a chain
+  of merges: a merge loses its right symbol (or that symbol's last part) to a
+  merge of better rank further right, which in turn can lose its own right
+  symbol, and so on. Ranks fall strictly along such a chain, so its length in
+  bytes is bounded by the merge list alone; ``sufficient_lookahead`` computes
+  that bound in one pass. A pretoken that has no end yet after OPEN code points
+  goes on through ``ByteTransducer``, which holds ``block + lookahead`` bytes at
+  most, merges them, emits the tokens that end ``lookahead`` bytes or more before
+  the end, and goes on from that boundary (a run of a text's tokens is the
+  encoding of the bytes it covers).
+
+So memory is constant in the text's length. The texts of a batch go through
+transducers side by side, a piece of each at a time; their new short pretokens
+are merged together, and a pretoken's ids are cached.
 
 Decoding. Token bytes enter a UTF-8 state machine that keeps an unfinished
 character's bytes (three at most) until it can emit the character or U+FFFD.
 
 Edge cases: a null text is the empty text (no tokens); special tokens written
 out in a text become their ids, as the library does by default; repeated rows
-give equal results; an empty table gives no rows.
+give equal results; ties of rank go to the leftmost pair; an empty table gives
+no rows; other columns of any name go.
 """
 
 from __future__ import annotations
@@ -25,8 +34,8 @@ from __future__ import annotations
 import codecs
 import hashlib
 import heapq
+import os
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +53,13 @@ BLOCK = 2048
 SHORT = 64
 #: Cached pretokens of a worker before the cache starts anew (about 250 MB).
 CACHE_WORDS = 900_000
-#: Pretokens of a text that are held at a time.
-HELD = 50_000
+#: Code points of a text that enter at a time, and those of a pretoken without an end that stay unmerged.
+PIECE, OPEN = 1 << 16, 1024
+#: Code points after a pretoken's end from which on it is final.
+SETTLED = 2
+#: What goes on with a pretoken: letters, digits, other characters, white space.
+_KINDS = [regex.compile(x) for x in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+", r"\s+")]
+_SPACE = 3
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -70,13 +84,13 @@ def sufficient_lookahead(table: MergeTable) -> int:
     return most + max(length.values())
 
 
-class Transducer:
+class ByteTransducer:
     """Encodes one pretoken of any length from pieces of bytes, in constant memory."""
 
-    def __init__(self, table: MergeTable, lookahead: int, block: int = BLOCK) -> None:
+    def __init__(self, table: MergeTable, lookahead: int, block: int = BLOCK, rules: dict | None = None) -> None:
         self.first, self.lookahead, self.block = table.first.tolist(), lookahead, block
-        self.size = {t: len(b) for t, b in table.token_bytes.items()}
-        self.rules = {(a, b): (r, m) for r, (a, b, m) in enumerate(zip(table.left.tolist(), table.right.tolist(), table.made.tolist()))}
+        self.token_bytes = table.token_bytes
+        self.rules = rules or {(a, b): (r, m) for r, (a, b, m) in enumerate(zip(table.left.tolist(), table.right.tolist(), table.made.tolist()))}
         self.buffer = b""
 
     def _merge(self, data: bytes) -> list[int]:
@@ -109,9 +123,9 @@ class Transducer:
             if len(self.buffer) >= self.block + self.lookahead:
                 end, final = 0, len(self.buffer) - self.lookahead
                 for token in self._merge(self.buffer):
-                    if end + self.size[token] > final:
+                    if end + len(self.token_bytes[token]) > final:
                         break
-                    end += self.size[token]
+                    end += len(self.token_bytes[token])
                     yield token
                 self.buffer = self.buffer[end:]
 
@@ -121,91 +135,163 @@ class Transducer:
         self.buffer = b""
 
 
+class Transducer:
+    """Takes a text in pieces; gives out what has become final, in constant memory.
+
+    What it gives are units: a complete pretoken (str), or a tuple of ids, of a
+    special token or of a stretch of a pretoken that has no end yet.
+    """
+
+    def __init__(self, encoder: Encoder) -> None:
+        self.encoder = encoder
+        self.buffer = ""
+        self.kind: int | None = None  # of the pretoken that goes on in ``bytes``
+        self.bytes: ByteTransducer | None = None
+
+    def feed(self, piece: str, last: bool) -> list[str | tuple[int, ...]]:
+        """Take a piece; ``last``: nothing follows it."""
+        text, self.buffer = self.buffer + piece, ""
+        encoder = self.encoder
+        if encoder.special is None or encoder.mark not in text:
+            return self._ordinary(text, last)
+        units: list[str | tuple[int, ...]] = []
+        held = 0 if last else encoder.unfinished(text)
+        parts = encoder.special.split(text[: len(text) - held])
+        for i, part in enumerate(parts):
+            if i % 2:
+                units.append((encoder.table.special[part],))
+            else:
+                # A special token ends what stands before it, as the end of the text does.
+                units += self._ordinary(self.buffer + part, last or i + 1 < len(parts))
+        if held:
+            self.buffer += text[len(text) - held :]
+        return units
+
+    def _ordinary(self, text: str, last: bool) -> list[str | tuple[int, ...]]:
+        if self.kind is None and last:
+            self.buffer = ""
+            return self.encoder.pretokens.findall(text)
+        units: list[str | tuple[int, ...]] = []
+        self.buffer = text
+        if self.kind is not None:
+            units.append(self._go_on(last))
+            if self.kind is not None:
+                return units
+            text = self.buffer
+        end, final = 0, len(text) if last else len(text) - SETTLED
+        for m in self.encoder.pretokens.finditer(text):
+            if m.end() > final:
+                break
+            units.append(m[0])
+            end = m.end()
+        self.buffer = text[end:]
+        if not last and len(self.buffer) > OPEN:
+            units.append(self._open())
+        return units
+
+    def _open(self) -> tuple[int, ...]:
+        """Begin to merge a pretoken before its end is known."""
+        lead = self.buffer[0] == " " and not self.buffer[1].isspace()
+        self.kind = next(k for k, x in enumerate(_KINDS) if x.match(self.buffer, int(lead)))
+        self.bytes = ByteTransducer(self.encoder.table, self.encoder.lookahead, rules=self.encoder.rules)
+        ids = tuple(self.bytes.feed(b" ")) if lead else ()
+        self.buffer = self.buffer[int(lead) :]
+        return ids + self._go_on(False)
+
+    def _go_on(self, last: bool) -> tuple[int, ...]:
+        """Merge what goes on with the open pretoken; its end leaves ``kind`` None."""
+        m = _KINDS[self.kind].match(self.buffer)
+        run = m.end() if m else 0
+        ended = last or run < len(self.buffer)
+        # White space before a word leaves its last character to what follows.
+        take = max(0, run - 1) if self.kind == _SPACE and not (last and run == len(self.buffer)) else run
+        ids = [x for i in range(0, take, BLOCK) for x in self.bytes.feed(self.buffer[i : min(take, i + BLOCK)].encode())]
+        self.buffer = self.buffer[take:]
+        if ended:
+            ids += self.bytes.finish()
+            self.kind = self.bytes = None
+        return tuple(ids)
+
+
 class Encoder:
     """Texts to ids; keeps the ids of short pretokens as decimal text."""
 
     def __init__(self, path: str) -> None:
         self.table = MergeTable(path)
         self.lookahead = sufficient_lookahead(self.table)
-        self.transducer = Transducer(self.table, self.lookahead)
+        self.whole = ByteTransducer(self.table, self.lookahead)
+        self.rules = self.whole.rules
         self.pretokens = regex.compile(PRETOKENS)
         self.cache: dict[str, str] = {}
         names = sorted(self.table.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
+        #: What all special tokens begin with, if they share it: texts without it have none.
+        self.mark = os.path.commonprefix(names)[:1]
         self.decimal_bytes = {str(i): b for i, b in self.table.token_bytes.items()} | {str(i): s.encode() for s, i in self.table.special.items()}
 
-    def _parts(self, text: str) -> Iterator[tuple[str, bool]]:
-        """Stretches of ordinary text, and special tokens between them."""
-        if self.special is None or not any(s in text for s in self.table.special):
-            yield text, False
-            return
-        for i, part in enumerate(self.special.split(text)):
-            if part:
-                yield part, i % 2 == 1
+    def unfinished(self, text: str) -> int:
+        """Code points at the end of ``text`` that may be the beginning of a special token."""
+        longest = max(map(len, self.table.special)) - 1
+        return next((n for n in range(min(longest, len(text)), 0, -1) if any(s.startswith(text[-n:]) and len(s) > n for s in self.table.special)), 0)
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.cache) + len(words) > CACHE_WORDS:
-            self.cache.clear()
         fresh = list(words)
         raw = [w.encode() for w in fresh]
         short = [i for i, b in enumerate(raw) if len(b) <= SHORT]
         for i, ids in zip(short, self.table.encode([raw[i] for i in short])):
             self.cache[fresh[i]] = ",".join(map(str, ids.tolist()))
 
-    def _long(self, word: str) -> Iterator[str]:
-        tokens: list[int] = []
-        machine = self.transducer
-        for i in range(0, len(word), BLOCK):
-            tokens += machine.feed(word[i : i + BLOCK].encode())
-            if len(tokens) > BLOCK:
-                yield ",".join(map(str, tokens))
-                tokens = []
-        tokens += machine.finish()
-        if tokens:
-            yield ",".join(map(str, tokens))
-
-    def stream(self, text: str, words: list[str] | None = None) -> Iterator[str]:
-        """The text's ids in order, as comma-joined runs of bounded length.
-
-        words: the text's pretokens, if ``split_all`` has found them.
-        """
-        for part, is_special in [(text, False)] if words is not None else self._parts(text):
-            if is_special:
-                yield str(self.table.special[part])
-                continue
-            found = iter(words) if words is not None else (m[0] for m in self.pretokens.finditer(part))
-            while held := list(islice(found, HELD)):
-                run = list(map(self.cache.get, held))
-                if None not in run:
-                    yield ",".join(run)
-                    continue
-                self._learn({w for w, x in zip(held, run) if x is None})
-                run = []
-                for w in held:
-                    if (x := self.cache.get(w)) is not None:
-                        run.append(x)
-                    else:
-                        if run:
-                            yield ",".join(run)
-                            run = []
-                        yield from self._long(w)
-                if run:
-                    yield ",".join(run)
-
-    def split_all(self, texts: list[str]) -> list[list[str] | None]:
-        """The pretokens of each text, new ones merged together; None for texts that are best streamed."""
-        split = self.pretokens.findall
-        out = [split(x) if len(x) <= 4 * HELD and not (self.special is not None and any(s in x for s in self.table.special)) else None for x in texts]
-        if new := set().union(*(x for x in out if x)).difference(self.cache):
+    def learn_units(self, units: list[list[str | tuple[int, ...]]]) -> None:
+        """Merge the short pretokens that are not cached, together."""
+        every = set().union(*units)
+        new = {w for w in every.difference(self.cache) if type(w) is str}
+        if len(self.cache) + len(new) > CACHE_WORDS:
+            self.cache.clear()
+            new = {w for w in every if type(w) is str}
+        if new:
             self._learn(new)
-        return out
+
+    def ids_of(self, units: list[str | tuple[int, ...]]) -> Iterator[str]:
+        """Comma-joined ids of units whose short pretokens are cached."""
+        run = list(map(self.cache.get, units))
+        if None in run:
+            for i, unit in enumerate(units):
+                if run[i] is None:
+                    run[i] = ",".join(map(str, unit if type(unit) is tuple else [*self.whole.feed(unit.encode()), *self.whole.finish()]))
+            run = [x for x in run if x]
+        if run:
+            yield ",".join(run)
+
+    def stream_all(self, texts: list[str], piece: int | None = None) -> Iterator[tuple[int, str]]:
+        """(index of a text, comma-joined ids): the texts side by side, a piece of each at a time."""
+        size = piece or PIECE
+        lanes = [(i, Transducer(self), text) for i, text in enumerate(texts) if text]
+        at = 0
+        while lanes:
+            units = [machine.feed(text[at : at + size] if len(text) > size else text, at + size >= len(text)) for _, machine, text in lanes]
+            self.learn_units(units)
+            for (i, _, _), found in zip(lanes, units):
+                for run in self.ids_of(found):
+                    yield i, run
+            at += size
+            lanes = [x for x in lanes if at < len(x[2])]
+
+    def stream(self, text: str, piece: int | None = None) -> Iterator[str]:
+        """The text's ids in order, as comma-joined runs of bounded length."""
+        return (run for _, run in self.stream_all([text], piece))
+
+    def decoder(self) -> codecs.IncrementalDecoder:
+        """A UTF-8 state machine for the bytes of a run of tokens after another."""
+        return codecs.getincrementaldecoder("utf-8")("replace")
+
+    def bytes_of(self, run: str) -> bytes:
+        return b"".join(map(self.decimal_bytes.__getitem__, run.split(",")))
 
     def decode(self, runs: Iterator[str]) -> Iterator[str]:
-        """Ids back to text, a run at a time, by an incremental UTF-8 state machine."""
-        machine = codecs.getincrementaldecoder("utf-8")("replace")
-        table = self.decimal_bytes.__getitem__
+        """Ids back to text, a run at a time."""
+        machine = self.decoder()
         for run in runs:
-            yield machine.decode(b"".join(map(table, run.split(","))))
+            yield machine.decode(self.bytes_of(run))
         yield machine.decode(b"", True)
 
 
@@ -217,26 +303,23 @@ def encoder(path: str) -> Encoder:
 def round_trip(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
     """Digests of each text's ids and of the text decoded from them (``RESULT``)."""
 
-    def digests(machine: Encoder, text: str, words: list[str] | None) -> tuple[int, str, str]:
-        ids, back, n = hashlib.sha256(), hashlib.sha256(), 0
-
-        def counted() -> Iterator[str]:
-            nonlocal n
-            for run in machine.stream(text, words):
-                ids.update(b"," + run.encode() if n else run.encode())
-                n += run.count(",") + 1
-                yield run
-
-        for piece in machine.decode(counted()):
-            back.update(piece.encode())
-        return n, ids.hexdigest(), back.hexdigest()
+    def digests(machine: Encoder, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
+        n = [0] * len(texts)
+        ids, back = [hashlib.sha256() for _ in texts], [hashlib.sha256() for _ in texts]
+        decoders = [machine.decoder() for _ in texts]
+        for i, run in machine.stream_all(texts):
+            ids[i].update(b"," + run.encode() if n[i] else run.encode())
+            n[i] += run.count(",") + 1
+            back[i].update(decoders[i].decode(machine.bytes_of(run)).encode())
+        for i, rest in enumerate(decoders):
+            back[i].update(rest.decode(b"", True).encode())
+        return n, [x.hexdigest() for x in ids], [x.hexdigest() for x in back]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = encoder(tokenizer_path(vocabulary))
         for whole in batches:
             for batch in slices(whole, "text", 2 << 20):
-                texts = [x or "" for x in batch.column("text").to_pylist()]
-                n, ids, back = zip(*map(digests, [machine] * len(texts), texts, machine.split_all(texts)))
+                n, ids, back = digests(machine, [x or "" for x in batch.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(back)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return pick(docs, doc_id="long", text="string").mapInArrow(run, RESULT)

@@ -56,16 +56,56 @@ def test_long_pretokens(stream):
     texts += ["".join(r.choice("abcdefghijklmnopqrstuvwxyzeeettaoo") for _ in range(n)) for n in (100, 3_000, 20_000)]
     for t in texts:
         assert ids_of(ours, t) == theirs.encode(t, add_special_tokens=False).ids
+        assert [int(i) for run in ours.stream(t, 700) for i in run.split(",")] == theirs.encode(t, add_special_tokens=False).ids
     assert 0 < ours.lookahead < bpe_stream.BLOCK
 
 
+def test_cache_starts_anew(stream, monkeypatch):
+    ours, theirs = stream
+    monkeypatch.setattr(bpe_stream, "CACHE_WORDS", 5)
+    for t in ("one two three four five six seven", "eight nine one two", "one"):
+        assert ids_of(ours, t) == theirs.encode(t, add_special_tokens=False).ids
+
+
+PIECES_ALPHABET = "abcé'stdrelv 12\n \u3000<|>-日" * 3 + "     \n"
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.lists(st.one_of(st.text(alphabet=PIECES_ALPHABET, max_size=12), st.sampled_from(["<|endoftext|>", "<|endoftext", "aaaaaaaaaaaaaa", "              ", "--------------", "1111111111111", "it's", "   x"])), max_size=12).map("".join), piece=st.integers(1, 30))
+def test_pieces_do_not_matter(stream, text, piece):
+    ours, theirs = stream
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(bpe_stream, "OPEN", 8)  # so that short runs are merged before their end is known
+        ids = [int(i) for run in ours.stream(text, piece) for i in run.split(",")]
+    assert ids == theirs.encode(text, add_special_tokens=False).ids
+
+
 def test_buffer_stays_bounded(stream):
-    machine = bpe_stream.Transducer(stream[0].table, stream[0].lookahead, 64)
+    machine = bpe_stream.ByteTransducer(stream[0].table, stream[0].lookahead, 64)
     for _ in range(500):
         list(machine.feed(b"theword"))
         assert len(machine.buffer) < 64 + 7 + machine.lookahead
 
 
+@pytest.mark.parametrize("text", ["The old words of a text, one by one. It's 1912!\n\n" * 400, "x" * 30_000, " " * 30_000, "<" * 20_000, "日本語" * 9_000])
+def test_tokens_leave_before_the_text_ends(stream, text):
+    ours, theirs = stream
+    machine, size = bpe_stream.Transducer(ours), 500
+    bound = size + bpe_stream.OPEN + bpe_stream.SETTLED
+    counts, done = [], []
+    for at in range(0, len(text), size):
+        units = machine.feed(text[at : at + size], at + size >= len(text))
+        ours.learn_units([units])
+        done += [int(i) for run in ours.ids_of(units) for i in run.split(",")]
+        counts.append(len(done))
+        assert len(machine.buffer) <= bound and (machine.bytes is None or len(machine.bytes.buffer) < bpe_stream.BLOCK + machine.bytes.lookahead)
+    assert done == theirs.encode(text, add_special_tokens=False).ids
+    # Long before the end, all but what the buffers hold has left.
+    middle = len(counts) // 2
+    behind = len("".join(theirs.decode(done[counts[middle] :], skip_special_tokens=False)).encode()) - len(text[(middle + 1) * size :].encode())
+    assert 0 < counts[middle] and behind <= 4 * bound + bpe_stream.BLOCK + ours.lookahead
+
+
 def test_decoder_replaces_broken_characters(stream):
     ours, theirs = stream
     ids = [i for i, b in ours.table.token_bytes.items() if b in (b"\xe6", b"\x97", b"a", b"\xff")]
