@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT, pick, releasing, resident, slices
+from .common import DOCUMENT, pick, releasing, resident, slices, stored
 
 WINDOW, HALF = 32, 16
 HOLD_OUT, SAMPLE_ROWS, SAMPLE_CHARS = 5, 1200, 10_000
@@ -368,17 +368,19 @@ def _cut(score: np.ndarray, label: np.ndarray) -> float:
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and toxic of the rows to train on: at most SAMPLE_ROWS of each label, none held out."""
+    """text and toxic of the rows to train on: at most SAMPLE_ROWS of each label, none held out.
+
+    Labels meet the ids of documents first, so that those of absent or too long
+    ones take no place; of rows that repeat an id, the least text stands.
+    """
     known = pick(labels, doc_id="long", toxic="int").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % HOLD_OUT != 0))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = pick(docs, doc_id="long", text="string").where(F.length("text") <= SAMPLE_CHARS)
-    order = F.xxhash64("doc_id")
-    # A few more ids than rows wanted, since some texts are too long; both numbers are fixed.
-    chosen = [known.where(F.col("toxic") == value).orderBy(order, "doc_id").limit(2 * SAMPLE_ROWS) for value in (0, 1)]
-    # Two fixed limits bound the broadcast side: at most 4 * SAMPLE_ROWS ids.
+    present = stored(known.join(texts.select("doc_id"), "doc_id", "left_semi"), "toxicity-labels")
+    chosen = [present.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS) for value in (0, 1)]
+    # Two fixed limits bound the broadcast side: at most 2 * SAMPLE_ROWS ids.
     found = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
-    rows = [found.where(F.col("toxic") == value).orderBy(order, "doc_id", "text").limit(SAMPLE_ROWS).select("text", "toxic") for value in (0, 1)]
-    return rows[0].unionByName(rows[1])
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Params | None:
