@@ -1,7 +1,9 @@
 """Telephony audio columns: companded and ADPCM speech to resampled PCM.
 
 ``store`` wraps a payload of 8-bit samples losslessly in a WAV container (mu-law,
-A-law) or IMA ADPCM blocks; ``read`` parses any of them back. Companded samples
+A-law) or IMA ADPCM blocks; ``decode`` adds the sound itself, 16-bit PCM at
+twice the rate, as a second stored column; ``features`` reads both back, and
+``save`` writes them as a table. Companded samples
 expand through 256-entry tables computed from the G.711 rule. ADPCM is a
 recurrence along a block's samples but independent between blocks, so the
 decoder runs one step for all blocks of a batch at a time. PCM is resampled by
@@ -13,7 +15,8 @@ frame size in use divides.
 
 Edge cases: a null text is the empty text (one padding block); equal texts give
 equal stored bytes; a null or damaged media value reads as a null payload;
-texts of any length are handled a text at a time; an empty table gives no rows.
+texts of any length are handled a text at a time; repeated rows are separate
+rows; an empty table gives no rows; other columns of any name go.
 """
 
 from __future__ import annotations
@@ -44,7 +47,8 @@ STEPS = np.array(
 )
 
 STORED = "doc_id long, n_bytes long, media binary"
-FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+SOUNDS = STORED + ", sound binary"
+FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, rate int, pcm_samples long, pcm_sha256 string"
 
 
 @lru_cache(maxsize=1)
@@ -143,11 +147,12 @@ def encode_adpcm(pcm: np.ndarray, block: int = 256) -> np.ndarray:
     return out
 
 
-def wav(payload: bytes, form: int, rate: int = RATE, align: int = 1, bits: int = 8) -> bytes:
+def wav(payload: bytes | memoryview, form: int, rate: int = RATE, align: int = 1, bits: int = 8) -> bytes:
     """A one-channel RIFF container around ``payload``."""
     fmt = struct.pack("<HHIIHHH", form, 1, rate, rate * align if form != IMA_ADPCM else rate // 2, align, bits, 0)
-    chunks = b"WAVEfmt " + struct.pack("<I", len(fmt)) + fmt + b"data" + struct.pack("<I", len(payload)) + payload + b"\0" * (len(payload) % 2)
-    return b"RIFF" + struct.pack("<I", len(chunks)) + chunks
+    pad = b"\0" * (len(payload) % 2)
+    size = 20 + len(fmt) + len(payload) + len(pad)
+    return b"".join([b"RIFF", struct.pack("<I", size), b"WAVEfmt ", struct.pack("<I", len(fmt)), fmt, b"data", struct.pack("<I", len(payload)), payload, pad])
 
 
 def unwav(media: bytes) -> tuple[int, int, int, memoryview] | None:
@@ -198,35 +203,46 @@ def store(docs: DataFrame, form: int = MU_LAW) -> DataFrame:
     return pick(docs, doc_id="long", text="string").mapInArrow(run, STORED)
 
 
+def sound_of(media: bytes | None, up: int) -> bytes | None:
+    """The resampled 16-bit PCM of a stored sound, in a container of its own; None if it is null or damaged."""
+    found = unwav(media) if media else None
+    if found is None:
+        return None
+    form, rate, align, payload = found
+    pcm = resample(expand(form, np.frombuffer(payload, np.uint8), align), up).astype("<i2")
+    return wav(memoryview(pcm).cast("B") if len(pcm) else b"", PCM, rate * up, 2, 16)
+
+
 def decode(media: DataFrame, up: int = 2) -> DataFrame:
-    """doc_id, rate and the resampled 16-bit PCM of each stored sound (null if damaged)."""
+    """The stored sounds with ``sound``: each one as ``up`` times as many samples of PCM (``SOUNDS``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "media", 4 << 20):
-                rates, sounds = [], []
-                for x in batch.column("media").to_pylist():
-                    found = unwav(x) if x else None
-                    rates.append(found[1] * up if found else None)
-                    sounds.append(resample(expand(found[0], np.frombuffer(found[3], np.uint8), found[2]), up).astype("<i2").tobytes() if found else None)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rates, pa.int32()), pa.array(sounds, pa.binary())], names=["doc_id", "rate", "pcm"])
+                sounds = pa.array([sound_of(x, up) for x in batch.column("media").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "n_bytes", "media")), sounds], names=["doc_id", "n_bytes", "media", "sound"])
+
+    return pick(media, doc_id="long", n_bytes="long", media="binary").mapInArrow(run, SOUNDS)
+
 
-    return pick(media, doc_id="long", media="binary").mapInArrow(run, "doc_id long, rate int, pcm binary")
+def save(docs: DataFrame, path: str, form: int = MU_LAW, up: int = 2) -> None:
+    """Write each text's telephony form and its resampled PCM as a Parquet table."""
+    decode(store(docs, form), up).write.parquet(path)
 
 
-def _levels(payloads: list[np.ndarray]) -> list[str]:
-    """A feature text for each payload.
+def _levels(payloads: list[np.ndarray], sounds: list[np.ndarray]) -> list[str]:
+    """A feature text for each payload and its resampled sound.
 
-    Read as mu-law and as A-law: root mean square; as mu-law, zero crossings and
-    the peak after resampling to 16 kHz; as ADPCM blocks of UNIT bytes: root
-    mean square. The ADPCM blocks of all payloads are decoded together.
+    Read as mu-law and as A-law: root mean square; as mu-law, zero crossings;
+    the sound's peak; as ADPCM blocks of UNIT bytes: root mean square. The ADPCM
+    blocks of all payloads are decoded together.
     """
     if not payloads:
         return []
     blocks = np.concatenate([p[: len(p) // UNIT * UNIT].reshape(-1, UNIT) for p in payloads])
     power = np.concatenate([(decode_adpcm(blocks[i : i + 2048]).T.astype(np.float64) ** 2).sum(0).astype(np.int64) for i in range(0, len(blocks), 2048)]) if len(blocks) else np.zeros(0, np.int64)
     out, at = [], 0
-    for p in payloads:
+    for p, sound in zip(payloads, sounds):
         words = []
         counts = np.bincount(p, minlength=256)
         for name, table in (("mu", mu_law_table()), ("a", a_law_table())):
@@ -235,8 +251,7 @@ def _levels(payloads: list[np.ndarray]) -> list[str]:
             words.append(f"{name}_rms={round((energy / max(1, len(p))) ** 0.5)}")
         pcm = mu_law_table()[p]
         negative = pcm < 0
-        sound = resample(pcm)
-        words.append(f"zero_crossings={int((negative[1:] != negative[:-1]).sum())};peak_16k={int(max(sound.max(initial=0), -int(sound.min(initial=0))))}")
+        words.append(f"zero_crossings={int((negative[1:] != negative[:-1]).sum())};peak={max(int(sound.max(initial=0)), -int(sound.min(initial=0)))}")
         n = len(p) // UNIT
         total = int(power[at : at + n].sum())
         at += n
@@ -245,25 +260,30 @@ def _levels(payloads: list[np.ndarray]) -> list[str]:
     return out
 
 
-def features(media: DataFrame) -> DataFrame:
-    """Read stored sounds back; digests of what was read and of the stored form, and levels (``FEATURES``)."""
+def features(sounds: DataFrame) -> DataFrame:
+    """Read both stored columns back; digests of what was read and of the stored form, and levels (``FEATURES``)."""
+    names = [x.split()[0] for x in FEATURES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = lambda x: None if x is None else hashlib.sha256(x).hexdigest()
         for whole in batches:
             for batch in slices(whole, "media", 4 << 20):
                 stored = [x or b"" for x in batch.column("media").to_pylist()]
-                read = [unwav(x) for x in stored]
-                payloads = [bytes(x[3]) if x else None for x in read]
-                levels = iter(_levels([np.frombuffer(p, np.uint8) for p in payloads if p is not None]))
+                payloads = [x and bytes(x[3]) for x in map(unwav, stored)]
+                heard = [unwav(x) if x else None for x in batch.column("sound").to_pylist()]
+                both = [(np.frombuffer(p, np.uint8), expand(h[0], np.frombuffer(h[3], np.uint8), h[2])) for p, h in zip(payloads, heard) if p is not None and h]
+                levels = iter(_levels([p for p, _ in both], [h for _, h in both]))
                 columns = [
                     pa.array([None if p is None else len(p) for p in payloads], pa.int64()),
-                    pa.array([None if p is None else hashlib.sha256(p).hexdigest() for p in payloads], pa.string()),
+                    pa.array(map(digest, payloads), pa.string()),
                     pa.array([None if p is None else zlib.crc32(p[-32:]) for p in payloads], pa.int64()),
-                    pa.array([len(x) for x in stored], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in stored], pa.string()),
-                    pa.array([None if p is None else next(levels) for p in payloads], pa.string()),
+                    pa.array(map(len, stored), pa.int64()),
+                    pa.array(map(digest, stored), pa.string()),
+                    pa.array([next(levels) if p is not None and h else None for p, h in zip(payloads, heard)], pa.string()),
+                    pa.array([h and h[1] for h in heard], pa.int32()),
+                    pa.array([h and len(h[3]) // 2 for h in heard], pa.int64()),
+                    pa.array([h and digest(h[3]) for h in heard], pa.string()),
                 ]
-                names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], names=["doc_id", "n_bytes", *names])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], names=names)
 
-    return pick(media, doc_id="long", n_bytes="long", media="binary").mapInArrow(run, FEATURES)
+    return pick(sounds, doc_id="long", n_bytes="long", media="binary", sound="binary").mapInArrow(run, FEATURES)

@@ -14,7 +14,7 @@ OPERATORS = {
     "quality": quality_mcd.judge,
     "pii": pii_disclosure.report,
     "jaccard": ngram_jaccard.join,
-    "telephony": lambda d: telephony.features(telephony.store(d)),
+    "telephony": lambda d: telephony.features(telephony.decode(telephony.store(d))),
     "licenses": license_scan.scan,
     "packing": packing.pack,
     "bpe": bpe_stream.round_trip,

@@ -192,23 +192,69 @@ def test_resampling():
     assert telephony.resample(np.zeros(0, np.int16)).size == 0
 
 
-def test_telephony_is_lossless(spark, docs):
+def test_telephony_is_lossless(spark, docs, tmp_path):
     texts = {r["doc_id"]: r["text"].encode() for r in docs.collect()}
-    for form in (telephony.MU_LAW, telephony.A_LAW):
-        stored = telephony.store(docs, form)
-        media = {r["doc_id"]: bytes(r["media"]) for r in stored.collect()}
-        for row in telephony.features(stored).collect():
-            raw = texts[row["doc_id"]]
+    for form, table in ((telephony.MU_LAW, telephony.mu_law_table()), (telephony.A_LAW, telephony.a_law_table())):
+        path = str(tmp_path / str(form))
+        telephony.save(docs, path, form)
+        sounds = spark.read.parquet(path)
+        media = {r["doc_id"]: r for r in sounds.collect()}
+        for row in telephony.features(sounds).collect():
+            raw, kept = texts[row["doc_id"]], media[row["doc_id"]]
             payload = raw + b"\xff" * (max(1, -(-len(raw) // 576)) * 576 - len(raw))
             assert row["n_bytes"] == len(raw) and row["payload_bytes"] == len(payload) and row["payload_sha256"] == hashlib.sha256(payload).hexdigest()
-            assert row["tail_crc32"] == zlib.crc32(payload[-32:]) and row["media_sha256"] == hashlib.sha256(media[row["doc_id"]]).hexdigest() and row["media_bytes"] == len(media[row["doc_id"]])
-    sounds = telephony.decode(stored).collect()
-    assert all(r["rate"] == 16000 and len(r["pcm"]) == 4 * len(telephony.unwav(media[r["doc_id"]])[3]) for r in sounds)
+            assert row["tail_crc32"] == zlib.crc32(payload[-32:]) and row["media_sha256"] == hashlib.sha256(kept["media"]).hexdigest() and row["media_bytes"] == len(kept["media"])
+            pcm = telephony.resample(table[np.frombuffer(payload, np.uint8)]).astype("<i2").tobytes()
+            heard = telephony.unwav(kept["sound"])
+            assert heard[:3] == (telephony.PCM, 16000, 2) and bytes(heard[3]) == pcm
+            assert row["rate"] == 16000 and row["pcm_samples"] == 2 * len(payload) and row["pcm_sha256"] == hashlib.sha256(pcm).hexdigest()
+
+
+def scalar_feature(payload):
+    """``feature`` a sample at a time, from the definitions of the codes."""
+
+    def mu(b):
+        b = ~b & 255
+        size = ((((b & 15) << 3) + 132) << (b >> 4 & 7)) - 132
+        return -size if b & 128 else size
+
+    def a_law(b):
+        b ^= 0x55
+        segment, size = b >> 4 & 7, (b & 15) << 4
+        size = size + 8 if not segment else (size + 264) << (segment - 1)
+        return size if b & 128 else -size
+
+    pcm = [mu(b) for b in payload]
+    rms = lambda x: round((sum(v * v for v in x) / max(1, len(x))) ** 0.5)
+    crossings = sum((x < 0) != (y < 0) for x, y in zip(pcm, pcm[1:]))
+    # Between two samples stand eight taps of a windowed sinc, at distances of half a sample.
+    peak = 0
+    held = [pcm[0]] * 3 + pcm + [pcm[-1]] * 4
+    for phase in (0, 1):
+        at = [3 - k + phase / 2 for k in range(8)]
+        taps = [np.sinc(x) * (0.5 + 0.5 * np.cos(np.pi * x / 4)) for x in at]
+        taps = [np.float32(t / sum(taps)) for t in taps]
+        for i in range(len(pcm)):
+            peak = max(peak, abs(max(-32768, min(32767, round(float(sum(t * v for t, v in zip(taps, held[i : i + 8]))))))))
+    blocks = [np.frombuffer(payload[i : i + 576], np.uint8) for i in range(0, len(payload), 576)]
+    adpcm = [v for x in blocks for v in scalar_adpcm(x)]
+    return {"mu_rms": rms(pcm), "a_rms": rms([a_law(b) for b in payload]), "zero_crossings": crossings, "peak": peak, "adpcm_rms": rms(adpcm)}
+
+
+def test_features_equal_a_scalar_version(spark, docs):
+    rows = docs.where("length(text) < 2500").limit(25).unionByName(spark.createDataFrame([(-1, "")], "doc_id long, text string"), allowMissingColumns=True)
+    texts = {r["doc_id"]: r["text"] for r in rows.collect()}
+    for row in telephony.features(telephony.decode(telephony.store(rows))).collect():
+        found = {k: int(v) for k, v in (x.split("=") for x in row["feature"].split(";"))}
+        expected = scalar_feature(telephony.payload_of(texts[row["doc_id"]])[1])
+        assert abs(found.pop("peak") - expected.pop("peak")) <= 1 and found == expected  # the filter sums in another order
 
 
 def test_damaged_media(spark):
     rows = spark.createDataFrame([(1, 0, bytearray(b"RIFF")), (2, 0, None), (3, 0, bytearray(telephony.wav(b"ab", 7)[:-1]))], "doc_id long, n_bytes long, media binary")
-    assert [r["payload_sha256"] for r in telephony.features(rows).collect()] == [None] * 3 and [r["pcm"] for r in telephony.decode(rows).collect()] == [None] * 3
+    sounds = telephony.decode(rows)
+    assert [r["sound"] for r in sounds.collect()] == [None] * 3
+    assert [(r["payload_sha256"], r["feature"], r["pcm_sha256"], r["rate"]) for r in telephony.features(sounds).collect()] == [(None,) * 4] * 3
 
 
 # --- sharding ----------------------------------------------------------------
@@ -229,13 +275,36 @@ def test_shards(spark, docs):
     assert all(totals[r["shard"]] == r["shard_bytes"] for r in rows) and len(rows) == len(sizes)
 
 
-def test_overflow_pages(spark):
-    rows = spark.createDataFrame([(1, "x" * 900)] * 50 + [(i, "y" * 10) for i in range(2, 40)], "doc_id long, text string")
-    placed = sharding.shard(rows, 2_000).collect()
+def test_overflow_pages_and_sql(spark, tmp_path):
+    import duckdb
+
+    r = random.Random(2)
+    rows = [(1, "x" * r.randint(0, 900)) for _ in range(60)] + [(i, "y" * 10) for i in range(2, 40)] + [(50, "z" * 2_500), (50, "é"), (None, "w" * 1_500), (None, None), (None, "v" * 1_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    placed = sharding.shard(docs, 2_000)
+    names = ["doc_id", "n_bytes", "depth", "shard", "page", "shard_bytes", "oversized"]
+    ours = sorted((tuple(x[n] for n in names) for x in placed.collect()), key=repr)
+    path = str(tmp_path / "documents")
+    docs.coalesce(1).write.parquet(path)
+    with duckdb.connect() as con:
+        con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+        theirs = sorted((tuple(x) for x in con.sql(f"SELECT {', '.join(names)} FROM ({sharding.shard_sql(2_000)})").fetchall()), key=repr)
+    assert ours == theirs and len(ours) == len(rows)
     pages = {}
-    for r in placed:
-        pages[r["shard"], r["page"]] = pages.get((r["shard"], r["page"]), 0) + r["n_bytes"]
-    assert max(pages.values()) <= 2_000 and len(placed) == 88
+    for x in ours:
+        pages[x[3], x[4]] = pages.get((x[3], x[4]), 0) + x[1]
+    assert all(pages[x[3], x[4]] == x[5] and (x[5] <= 2_000 or x[6]) for x in ours) and max(x[4] for x in ours) > 0
+
+
+def test_written_shards_fit(spark, docs, tmp_path):
+    limit, path = 20_000, str(tmp_path / "shards")
+    sharding.write(docs, path, limit)
+    back = spark.read.option("recursiveFileLookup", "true").parquet(path).selectExpr("input_file_name() AS file", "*").toPandas()
+    size = back.text.map(lambda t: len((t or "").encode()))
+    for _, g in size.groupby(back.file):
+        assert g.sum() <= limit or len(g) == 1
+    assert back.file.str.extract(r"(shard=[^/]*/page=[^/]*)")[0].nunique() == back.file.nunique() > 1  # one file a page
+    assert sorted(back.doc_id) == sorted(r["doc_id"] for r in docs.collect())
 
 
 # --- toxicity ----------------------------------------------------------------
@@ -279,6 +348,13 @@ def test_batches_do_not_matter(spark):
     assert np.allclose(scorer.score(texts), [toxicity_gru.Scorer(toxicity_gru.new_params(1)).score([t])[0] for t in texts], atol=2e-6)
 
 
+def test_labels_of_absent_documents_take_no_place(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
+    absent = spark.range(10**6, 10**6 + 50_000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    rows = lambda x: sorted(map(tuple, toxicity_gru.sample(docs, x).collect()))
+    assert len(rows(labels)) > 50 and rows(labels) == rows(labels.unionByName(absent))
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
     result = toxicity_gru.classify(docs, labels).join(labels, "doc_id").toPandas()
