@@ -21,11 +21,26 @@ ASCII_SPACE = r"[\x20\x09-\x0D]"
 
 #: Rows that go to a Python worker at once, so that long texts don't fill it or the JVM's buffers.
 ARROW_ROWS = 500
+_ARROW_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Make the session's Arrow batches ARROW_ROWS rows, as stages that share workers want them."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    """Make the session's Arrow batches ARROW_ROWS rows, as stages that share workers want them.
+
+    Spark reads the setting when a plan runs, so what a lazy stage asks for must
+    stand until then; ``batch_setting_restored`` puts the session's own value back.
+    """
+    spark.conf.set(_ARROW_SETTING, str(ARROW_ROWS))
+
+
+@contextlib.contextmanager
+def batch_setting_restored(spark: SparkSession) -> Iterator[None]:
+    """The session's Arrow batch size is what it was before, afterwards."""
+    before = spark.conf.get(_ARROW_SETTING)
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_SETTING, before)
 
 
 def pick(df: DataFrame, **want: str) -> DataFrame:
@@ -44,14 +59,25 @@ def pick(df: DataFrame, **want: str) -> DataFrame:
     return plain.select(*out)
 
 
+#: By application: the folder made where none is named, in local mode.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; made only where the cluster names none."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or the context's checkpoint folder.
+
+    A folder of this machine takes its place in local mode alone; on a cluster
+    the executors could not read it, so there the setting is required.
+    """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="folioflow-")
-        context.setCheckpointDir(named)
-    return named
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="folioflow-")
+    return _LOCAL[context.applicationId]
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -62,17 +88,45 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Paths that the innermost ``scratch`` will remove; without one, files go when the application ends.
+_SCRATCH: list[list[str]] = []
+
+
+def stored(df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs no recomputation of what lies
-    before. The files go when the application ends.
+    before. The files go at the end of the ``scratch`` about it (with
+    ``outlives``: not of the innermost), by ``discard``, or with the application.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/folioflow/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    scopes = _SCRATCH[:-1] if outlives else _SCRATCH
+    if scopes:
+        scopes[-1].append(path)
+    else:
+        atexit.register(_remove, spark, path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_path = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a ``stored`` table that nothing reads any more."""
+    if path := getattr(df, "stored_path", None):
+        _remove(df.sparkSession, path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``stored`` writes within goes at the end; results that are to stay are stored with ``outlives``."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            _remove(spark, path)
 
 
 def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:

@@ -8,15 +8,19 @@ distance; beyond CUT it is rejected.
 
 The MCD is found by concentration steps from two deterministic starts (medians
 with median deviations; classical moments). A step takes the SHARE of the pool
-that is nearest under the present estimate and re-estimates from it, which
-never raises the determinant; the start that ends with the smaller one wins and
-is reweighted once. A step is one aggregation: distances fall into CELLS per
-octave, moments are summed by pool and cell with partial aggregation, and a
-window over a pool's few hundred cells finds the nearest share. So no pool,
-however large, is gathered anywhere. Statistics are held in whole QUANTA, sums
-are exact integers, and the result does not depend on the order of rows. A
-variance floor per feature (FLOORS) keeps the scatter of constant statistics
-regular.
+that is nearest under the present estimate and re-estimates from it, until the
+determinants stay as they are (or after MOST_STEPS); the start that ends with
+the smaller one wins and is reweighted once. With half a pool in the estimate, as
+many equal outliers as nearly half of it can't pass for its middle. A step is one
+aggregation: distances fall into CELLS per octave, moments are summed by pool
+and cell with partial aggregation, and a window over a pool's few hundred cells
+finds the nearest share; of the cell at its edge, the moments count by the part
+of its rows that is still wanted. Cells and the floors below make the steps
+approximate: a determinant can rise in the last digits, which ends them too. So
+no pool, however large, is gathered anywhere. Statistics are held in whole
+QUANTA, sums are whole numbers, and the result does not depend on the order of
+rows. A variance floor per feature (FLOORS) keeps the scatter of constant
+statistics regular.
 
 Pools with fewer than MIN_POOL documents share one pool for their language, and
 languages that are still too small one pool for all; a document in a pool that
@@ -24,7 +28,8 @@ is smaller yet is judged by the base rules alone.
 
 Edge cases: a null text has no words and fails the base rules; null languages
 and sources are values of their own; equal texts of one pool get equal
-verdicts; repeated rows are separate rows; an empty table gives no rows.
+verdicts (so ties never part); repeated rows are separate rows; rows that share
+an id, or have none, are judged each by its own text; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT, join_small, pick, stored, without
+from .common import DOCUMENT, discard, join_small, pick, stored, without
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
@@ -49,7 +54,9 @@ FEATURES = tuple(FLOORS)
 PRIOR_WORDS = 40
 #: Whole units of a statistic: one QUANTUM each.
 QUANTUM = 1 / 2000
-SHARE, STEPS, MIN_POOL, CELLS = 0.75, 4, 80, 16
+SHARE, MOST_STEPS, MIN_POOL, CELLS = 0.5, 20, 80, 16
+#: Change of a determinant's logarithm that counts as none.
+SETTLED = 1e-6
 #: Chance that a document of a normal pool is rejected.
 TAIL = 1e-9
 #: Chance beyond which a document has no weight in the final estimate.
@@ -122,13 +129,20 @@ def _arcsine(part: Column, whole: Column) -> Column:
     return F.asin(F.sqrt(F.least(F.lit(1.0), part / whole)))
 
 
+def _row_key() -> Column:
+    """Two hashes of a row's id, language, source and text, which tell its verdict apart from those of others."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ("doc_id", "lang", "source", "text")]
+    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *reversed(parts)).alias("b"))
+
+
 def statistics(docs: DataFrame) -> DataFrame:
     """Base counts, base_failed and the quantised features of every document."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    worded = pick(docs, doc_id="long", text="string", lang="string", source="string").select("doc_id", "lang", "source", text.alias("text"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"))
+    rows = pick(docs, doc_id="long", text="string", lang="string", source="string")
+    worded = rows.select("doc_id", "lang", "source", _row_key().alias("key"), text.alias("text"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"))
     lines = F.filter(F.split("text", "\n"), lambda line: F.length(F.translate(line, SPACES, "")) > 0)
     counted = worded.select(
-        "doc_id", "lang", "source",
+        "doc_id", "lang", "source", "key",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.translate("text", SPACES, "")).cast("long").alias("word_chars"),
         _count_of(F.col("text"), SYMBOLS).alias("n_symbols"),
@@ -148,7 +162,7 @@ def statistics(docs: DataFrame) -> DataFrame:
         "repeat_share": _arcsine(F.col("n_repeat_words"), n + PRIOR_WORDS),
     }
     return counted.select(
-        "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols",
+        "doc_id", "lang", "source", "key", "n_words", "word_chars", "n_symbols",
         F.col("lines.dup").alias("n_dup_lines"), "n_repeat_words", failed.alias("base_failed"),
         *[F.round(v / QUANTUM).cast("long").alias(name) for name, v in values.items()],
     )
@@ -158,10 +172,12 @@ def pooled(rows: DataFrame) -> DataFrame:
     """``rows`` with the key of each one's pool."""
     part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
     keyed = rows.withColumn("by_lang", part("lang")).withColumn("by_both", F.concat_ws("\x1f", "by_lang", part("source")))
-    sizes = keyed.where(~F.col("base_failed")).groupBy("by_lang", "by_both").count()
+    sizes = stored(keyed.where(~F.col("base_failed")).groupBy("by_lang", "by_both").count(), "mcd-sizes")
     own = F.when(F.col("count") >= MIN_POOL, F.col("by_both"))
-    rest = F.sum(F.when(F.col("count") < MIN_POOL, F.col("count"))).over(Window.partitionBy("by_lang"))
-    pools = sizes.select("by_both", F.coalesce(own, F.when(rest >= MIN_POOL, F.col("by_lang")), F.lit("*")).alias("pool"))
+    # Languages with enough documents in small pools, by partial sums: sources may be many.
+    rests = sizes.where(F.col("count") < MIN_POOL).groupBy("by_lang").agg(F.sum("count").alias("rest")).where(F.col("rest") >= MIN_POOL)
+    told = join_small(sizes, stored(rests, "mcd-languages"), "by_lang", "left")
+    pools = told.select("by_both", F.coalesce(own, F.when(F.col("rest").isNotNull(), F.col("by_lang")), F.lit("*")).alias("pool"))
     return join_small(keyed, stored(pools, "mcd-pools"), "by_both", "left").withColumn("pool", F.coalesce("pool", F.lit("*"))).drop("by_lang", "by_both")
 
 
@@ -175,9 +191,11 @@ def _moments() -> list[Column]:
     return [F.count("*").alias("n"), *[whole(F.col(a)).alias(f"s{i}") for i, a in enumerate(FEATURES)], *[whole(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s{i}_{j}") for i, j in _pairs()]]
 
 
-def _added() -> list[Column]:
-    names = ["n", *[f"s{i}" for i in range(len(FEATURES))], *[f"s{i}_{j}" for i, j in _pairs()]]
-    return [F.sum(c).alias(c) for c in names]
+def _added(taken: Column) -> list[Column]:
+    """Sums of cells' moments, each cell's by the part of its rows that is taken."""
+    part = lambda c: F.when(taken == F.col("n"), F.col(c)).otherwise(F.round(F.col(c).cast("double") * taken / F.col("n")).cast("decimal(30,0)"))
+    names = [*[f"s{i}" for i in range(len(FEATURES))], *[f"s{i}_{j}" for i, j in _pairs()]]
+    return [F.sum(taken).alias("n"), *[F.sum(part(c)).alias(c) for c in names]]
 
 
 def _factored(moments: DataFrame, keys: list[str], factor: float) -> DataFrame:
@@ -226,14 +244,20 @@ def estimates(rows: DataFrame) -> DataFrame:
     p = len(FEATURES)
     present = stored(_first_estimates(rows), "mcd-start")
     factor = consistency(SHARE, p)
-    for _ in range(STEPS):
+    for _ in range(MOST_STEPS):
         measured = _distance(join_small(rows, present.drop("n"), "pool"))
         cell = F.floor(F.log2(1 + F.col("d2")) * CELLS).cast("int")
         cells = measured.withColumn("cell", cell).groupBy("pool", "start", "cell").agg(*_moments())
         within = Window.partitionBy("pool", "start")
         nearer = F.coalesce(F.sum("n").over(within.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        chosen = cells.withColumns({"nearer": nearer, "total": F.sum("n").over(within)}).where(F.col("nearer") < F.ceil(F.col("total") * SHARE))
-        present = stored(_factored(chosen.groupBy("pool", "start").agg(*_added()), ["pool", "start"], factor), "mcd-step")
+        wanted = F.ceil(F.sum("n").over(within) * SHARE) - nearer
+        chosen = cells.withColumn("taken", F.least(F.col("n"), wanted)).where("taken > 0")
+        before, present = present, stored(_factored(chosen.groupBy("pool", "start").agg(*_added(F.col("taken"))), ["pool", "start"], factor), "mcd-step")
+        moved = present.join(before.select("pool", "start", F.col("logdet").alias("old")), ["pool", "start"]).where(F.abs(F.col("logdet") - F.col("old")) > SETTLED)
+        settled = moved.isEmpty()
+        discard(before)
+        if settled:
+            break
     best = present.groupBy("pool").agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
     raw = stored(present.join(best, ["pool", "start"]).drop("start"), "mcd-best")
     near = _distance(join_small(rows, raw.drop("n"), "pool")).where(F.col("d2") <= chi2_quantile(REWEIGHT_TAIL, p))
@@ -241,20 +265,21 @@ def estimates(rows: DataFrame) -> DataFrame:
     return stored(final.where(F.col("n") >= MIN_POOL * SHARE / 2), "mcd-final")
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """A row a document: doc_id, lang, source, base counts, base_failed, distance and kept."""
+def _judged(docs: DataFrame) -> DataFrame:
     rows = stored(pooled(stored(statistics(docs), "mcd-statistics")), "mcd-rows")
     passed = rows.where(~F.col("base_failed")).select("pool", *FEATURES)
     measured = _distance(join_small(rows, estimates(passed).drop("n"), "pool", "left"))
     outlier = F.coalesce(F.col("d2") > chi2_quantile(TAIL, len(FEATURES)), F.lit(False))
-    return measured.select(
-        "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.round(F.sqrt("d2"), 6).alias("distance"), (~F.col("base_failed") & ~outlier).alias("kept"),
-    )
+    return measured.withColumns({"distance": F.round(F.sqrt("d2"), 6), "kept": ~F.col("base_failed") & ~outlier})
+
+
+def judge(docs: DataFrame) -> DataFrame:
+    """A row a document: doc_id, lang, source, base counts, base_failed, distance and kept."""
+    return _judged(docs).select("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept")
 
 
 def kept_only(docs: DataFrame) -> DataFrame:
-    """``documents`` without the ids that ``judge`` rejects."""
+    """``documents`` without the rows that ``judge`` rejects."""
     rows = pick(docs, **DOCUMENT)
-    rejected = stored(judge(rows).where(~F.col("kept")).select("doc_id"), "mcd-rejected")
-    return without(rows, rejected, "doc_id")
+    rejected = stored(_judged(rows).where(~F.col("kept")).select("key"), "mcd-rejected")
+    return without(rows.withColumn("key", _row_key()), rejected, "key").drop("key")

@@ -69,3 +69,37 @@ def test_stage_forms_keep_the_columns(spark):
     once = ngram_jaccard.one_of_each(full)
     assert once.columns == names and sorted(r["doc_id"] for r in once.collect()) == [1, 3, 4, 5, 6]
     assert pii_disclosure.sanitise(full).where("text is null").count() == 1
+
+
+def test_stored_tables_go(spark):
+    import os
+
+    from folioflow.llm import common
+
+    with common.scratch(spark):
+        inner = common.stored(spark.range(3), "test-inner")
+        outer = common.stored(inner, "test-outer", outlives=True)
+    assert not os.path.exists(inner.stored_path) and outer.count() == 3
+    common.discard(outer)
+    assert not os.path.exists(outer.stored_path)
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from folioflow.llm import common
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_dir(Session())
+    Context.master = "local[2]"
+    assert common.shared_dir(Session()) == common.shared_dir(Session())

@@ -58,16 +58,20 @@ def brute_mcd(x):
     mad = 1.4826 * np.median(np.abs(np.sign(x - median) * np.floor(np.abs(x - median) + 0.5)), 0)
     ends = []
     for m, c in ((median, np.diag(mad**2 + q)), (x.mean(0), cov(x, 1.0))):
-        for _ in range(quality_mcd.STEPS):
+        before = None
+        for _ in range(quality_mcd.MOST_STEPS):
             cell = np.floor(np.log2(1 + distance(m, c)) * quality_mcd.CELLS)
             sizes = collections.Counter(cell.tolist())
-            total, chosen = 0, set()
+            wanted, weight = np.ceil(n * quality_mcd.SHARE), {}
             for k in sorted(sizes):
-                if total < np.ceil(n * quality_mcd.SHARE):
-                    chosen.add(k)
-                total += sizes[k]
-            y = x[[v in chosen for v in cell.tolist()]]
-            m, c = y.mean(0), cov(y, quality_mcd.consistency(quality_mcd.SHARE, p))
+                weight[k] = max(0.0, min(1.0, wanted / sizes[k]))
+                wanted -= min(wanted, sizes[k])
+            w = np.array([weight[k] for k in cell.tolist()])
+            m = w @ x / w.sum()
+            c = (w[:, None] * (x - m)).T @ (x - m) / w.sum() * quality_mcd.consistency(quality_mcd.SHARE, p) + np.diag(q)
+            if before is not None and abs(np.linalg.slogdet(c)[1] - before) <= quality_mcd.SETTLED:
+                break
+            before = np.linalg.slogdet(c)[1]
         ends.append((np.linalg.slogdet(c)[1], m, c))
     _, m, c = min(ends, key=lambda e: e[0])
     y = x[distance(m, c) <= quality_mcd.chi2_quantile(quality_mcd.REWEIGHT_TAIL, p)]
@@ -87,6 +91,19 @@ def test_mcd_matches_numpy(spark):
     assert checked > 100
 
 
+def test_many_equal_outliers_do_not_hide_each_other(spark):
+    r = random.Random(4)
+    plain = [" ".join(r.choice("alpha beta gamma delta epsilon zeta eta theta iota kappa".split()) + str(r.randrange(90)) for _ in range(60)) for _ in range(400)]
+    odd = " ".join(f"#$%{i}|&*<{i}>" for i in range(60))
+    texts = plain + [odd] * 200  # a third of the pool
+    rows = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    judged = quality_mcd.judge(rows).collect()
+    assert all(x["kept"] == (x["doc_id"] < 400) for x in judged)
+    # Each row by its own verdict, whatever its id.
+    mixed = spark.createDataFrame([(None if i % 2 else 7, t, "en", "a", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(x["text"] for x in quality_mcd.kept_only(mixed).collect()) == sorted(plain)
+
+
 def test_large_parameter_tables_are_salted(spark, monkeypatch):
     from folioflow.llm import common
 
