@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from folioflow.llm import ngram_jaccard, packing, pii_disclosure, quality_mcd, toxicity_gru
-from folioflow.llm.common import small_batches, stored
+from folioflow.llm.common import batch_setting_restored, discard, scratch, small_batches, stored
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to ``documents``."""
+    """All stages applied to ``documents``.
+
+    A stage's intermediate tables go when its result is written, and that goes
+    when the next one's is.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with batch_setting_restored(spark):
+        for name, stage in STAGES:
+            with scratch(spark):
+                after = stored(stage(spark, docs, sf_dir), f"pipeline-{name}", outlives=True)
+            discard(docs)
+            docs = after
     return docs
