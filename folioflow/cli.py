@@ -19,7 +19,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--merge", choices=("first", "collect"), default="collect", help="how rows of one entity merge (default: %(default)s)")
     p.add_argument("--lists", choices=("multi", "list"), default="multi", help="array fields as single statements or as ordered lists")
     p.add_argument("--strict", action="store_true", help="fail at the first bad required value")
-    p.add_argument("--many-files", action="store_true", help="write in parallel, not to one file")
+    p.add_argument("--single", action="store_true", help="write one file, by one task")
     p.add_argument("--master", help="Spark master, where the environment names none")
     return p
 
@@ -27,7 +27,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = session("folioflow", args.master)
-    pipelines.convert_catalogue(spark, args.input, args.output, args.format, not args.many_files, merge_mode=args.merge, list_mode=args.lists, strict=args.strict)
+    pipelines.convert_catalogue(spark, args.input, args.output, args.format, args.single, merge_mode=args.merge, list_mode=args.lists, strict=args.strict)
     print(f"Wrote {args.output}")
     return 0
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space that trimming removes: Unicode separators without the no-break ones, and controls.
 TRIM_CLASS = r" \x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}\x09-\x0D\x1C-\x1F"
@@ -30,11 +31,21 @@ def blank_to_null(c: Column) -> Column:
     return F.when(c.rlike(f"[^{TRIM_CLASS}]"), c)
 
 
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _part(c: Column, pattern: str, group: int) -> Column:
     """A group of the first match as an integer; null where it is absent."""
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit("")).cast("int")
 
 
+def _parts(c: Column, pattern: str, **groups: int) -> Column:
+    """A struct of groups as integers."""
+    return F.struct(*[_part(c, pattern, g).alias(name) for name, g in groups.items()])
+
+
 def _failed(message: str, c: Column, kind: str) -> Column:
     return F.raise_error(F.concat(F.lit(f"{message}: "), F.coalesce(c.cast("string"), F.lit("null")))).cast(kind)
 
@@ -46,9 +57,14 @@ def to_integer(c: Column, strict: bool = False) -> Column:
     return F.when(found.isNull(), _failed("not an integer", c, "int")).otherwise(found) if strict else found
 
 
+def is_url(c: Column) -> Column:
+    """Whether the value is a URL with a host; null is none."""
+    return F.coalesce(F.try_parse_url(c, F.lit("HOST")).isNotNull(), F.lit(False))
+
+
 def to_url(c: Column, strict: bool = False) -> Column:
     """The value if it is a URL with a host; null stays null."""
-    found = F.when(F.try_parse_url(c, F.lit("HOST")).isNotNull(), c)
+    found = F.when(is_url(c), c)
     return F.when(c.isNotNull() & found.isNull(), _failed("not a URL", c, "string")).otherwise(found) if strict else found
 
 
@@ -62,24 +78,29 @@ def _date(year: Column, month: Column, day: Column, strict: bool) -> Column:
     return F.when(d.between(1, last), F.make_date(year, F.when(m.between(1, 12), m), d))
 
 
+#: A year, a month, a day, with or without hyphens (fixed value).
 ISO_DATE = r"(\d{3,4})-?(\d{1,2})?-?(\d{1,2})?"
 
 
 def iso_partial_date(c: Column, strict: bool = False) -> Column:
     """The first yyyy[-mm[-dd]] in the value as a date."""
-    y, m, d = (_part(c, ISO_DATE, g) for g in (1, 2, 3))
-    found = _date(y, m, d, strict)
-    return F.when(y.isNull(), _failed("not a date", c, "date")).otherwise(found) if strict else found
 
+    def found(v: Column) -> Column:
+        date = bound(_parts(v, ISO_DATE, y=1, m=2, d=3), lambda x: _date(x["y"], x["m"], x["d"], strict))
+        return F.when(_part(v, ISO_DATE, 1).isNull(), _failed("not a date", v, "date")).otherwise(date) if strict else date
+
+    return bound(c, found)
 
+
+#: An era, its year, a month (fixed value).
 ERA_DATE = r"(明治|大正|昭和|平成)(\d{1,2})年(\d{1,2})?月?"
 
 
 def era_date(c: Column) -> Column:
     """Year n of an era, with the month if one is given; the day is the first."""
-    era = F.regexp_extract(c, ERA_DATE, 1)
-    base = F.coalesce(*[F.when(era == name, F.lit(year)) for name, year in ERA_YEARS.items()])
-    return _date(base + _part(c, ERA_DATE, 2) - 1, _part(c, ERA_DATE, 3), F.lit(None).cast("int"), False)
+    era = lambda x: F.coalesce(*[F.when(x["era"] == name, F.lit(year)) for name, year in ERA_YEARS.items()])
+    found = lambda v: F.struct(F.regexp_extract(v, ERA_DATE, 1).alias("era"), _part(v, ERA_DATE, 2).alias("n"), _part(v, ERA_DATE, 3).alias("m"))
+    return bound(bound(c, found), lambda x: _date(era(x) + x["n"] - 1, x["m"], F.lit(None).cast("int"), False))
 
 
 #: A western year, the era year in brackets, a month or the first of a span, a day (fixed value).
@@ -88,7 +109,7 @@ FREE_DATE = r"(\d{3,4})年?([\(（][^)）]+[）\)])?年?\s?((\d{1,2})|(\d{1,2})[
 
 def free_date(c: Column) -> Column:
     """A date written out: 1948（昭和23）年5月15日. A day needs its mark."""
-    return _date(*(_part(c, FREE_DATE, g) for g in (1, 4, 7)), False)
+    return bound(bound(c, lambda v: _parts(v, FREE_DATE, y=1, m=4, d=7)), lambda x: _date(x["y"], x["m"], x["d"], False))
 
 
 def catalogue_date(c: Column, iso_first: bool = True) -> Column:
@@ -97,12 +118,16 @@ def catalogue_date(c: Column, iso_first: bool = True) -> Column:
     iso_first: read yyyy-mm-dd in full. Without, such a value gives its year
     alone, as where only the free form is known.
     """
-    named = F.coalesce(*[F.when(c == text, F.make_date(F.lit(y), F.lit(m), F.lit(1))) for text, (y, m) in NAMED_DATES.items()])
-    unknown = (c == UNKNOWN_DATE) | ~c.rlike(r"[^ \t\n\x0B\f\r]")
-    steps = F.when(unknown, F.lit(None).cast("date")).when(named.isNotNull(), named)
-    if iso_first:
-        steps = steps.when(c.rlike(r"^\s*\d{4}-\d{1,2}(-\d{1,2})?\s*$"), iso_partial_date(c))
-    return steps.when(~c.rlike(r"\d{4}"), era_date(c)).otherwise(free_date(c))
+
+    def date(v: Column) -> Column:
+        named = F.coalesce(*[F.when(v == text, F.make_date(F.lit(y), F.lit(m), F.lit(1))) for text, (y, m) in NAMED_DATES.items()])
+        unknown = (v == UNKNOWN_DATE) | ~v.rlike(r"[^ \t\n\x0B\f\r]")
+        steps = F.when(unknown, F.lit(None).cast("date")).when(v.isin(*NAMED_DATES), named)
+        if iso_first:
+            steps = steps.when(v.rlike(r"^\s*\d{4}-\d{1,2}(-\d{1,2})?\s*$"), iso_partial_date(v))
+        return steps.when(~v.rlike(r"\d{4}"), era_date(v)).otherwise(free_date(v))
+
+    return bound(c, date)
 
 
 def _choice(c: Column, values: dict, kind: str, what: str, strict: bool) -> Column:
@@ -127,6 +152,7 @@ def inverse_relation(c: Column) -> Column:
     return F.concat(c, F.lit("_of"))
 
 
+#: One or two codes, each with or without the children's mark (fixed value).
 CLASS_CODES = r"NDC (K)?(\d{3})\s?(K)?(\d{3})?"
 
 
@@ -165,6 +191,21 @@ def compact(value: Column, fields: list[str]) -> Column:
     return F.when(some, value)
 
 
+def without_nulls(value: Column, kind: T.DataType) -> Column:
+    """A value without what is null in it, from the inside out.
+
+    A struct all of whose fields end as null is null, and so is an array left
+    with no element. kind: the value's type.
+    """
+    if isinstance(kind, T.StructType):
+        fields = [without_nulls(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return bound(F.struct(*fields), lambda x: compact(x, kind.names))
+    if isinstance(kind, T.ArrayType):
+        kept = F.array_compact(F.transform(value, lambda x: without_nulls(x, kind.elementType)))
+        return bound(kept, lambda x: F.when(F.size(x) > 0, x))
+    return value
+
+
 def with_about(value: Column, about: Column) -> Column:
     """A struct with the name of the node that it describes."""
     return value.withField("about", about)

@@ -65,6 +65,7 @@ def is_unknown(origin: Column) -> Column:
 # The flat part of the markup; nested text takes operators.markup.
 ANNOTATION = r"［＃([^］]*)］"
 RUBY = r"《([^《》]*)》"
+#: Characters that a reading without a base mark belongs to (fixed value).
 KANJI_RUN = r"[\x{3400}-\x{9FCB}\x{F900}-\x{FAD9}仝〆○々]+"
 RUBY_PAIR = rf"(?:｜([^｜《》\n]+)|({KANJI_RUN}))《([^《》\n]*)》"
 

@@ -43,10 +43,10 @@ RELATIONS = list(S.RELATIONS.values())
 
 
 def clean(rows: DataFrame) -> DataFrame:
-    """All known columns, absent ones null, blank cells null; ``row_ix`` is kept or made."""
+    """All known columns, absent ones null, blank cells null; ``row_ix`` is kept or made, ``file`` is kept."""
     have = set(rows.columns)
     ix = F.col("row_ix") if "row_ix" in have else F.monotonically_increasing_id()
-    return rows.select(ix.alias("row_ix"), *[(S.blank_to_null(F.col(f"`{c}`")) if c in have else F.lit(None).cast("string")).alias(c) for c in COLUMNS])
+    return rows.select(*["file"] * ("file" in have), ix.alias("row_ix"), *[(S.blank_to_null(F.col(f"`{c}`")) if c in have else F.lit(None).cast("string")).alias(c) for c in COLUMNS])
 
 
 def _resource(name: str, form: str, strict: bool) -> Column:
@@ -87,6 +87,9 @@ def _converters(strict: bool, labels: dict[str, str] | None) -> dict[str, Callab
 def entities(rows: DataFrame, prefix: str = "urn:folioflow:", labels: dict[str, str] | None = None, parity: bool = False, strict: bool = False) -> DataFrame:
     """row_ix, work and person: two structs a catalogue row.
 
+    row_ix: what orders the rows; with a column ``file`` both make it, as rows
+    are numbered within their file.
+
     parity: give both resources the text format and take the subtitle from the
     title's reading, as some consumers of older output expect.
     strict: raise at the first bad required value, instead of nulls.
@@ -114,7 +117,8 @@ def entities(rows: DataFrame, prefix: str = "urn:folioflow:", labels: dict[str,
         *[linked(r, work_id).alias(f"{r}_of") for r in RELATIONS],
         *[put(name, cell) for name, cell in PERSON_FIELDS.items()],
     )
-    return given.select("row_ix", work.alias("work"), person.alias("person"))
+    order = F.struct("file", "row_ix").alias("row_ix") if "file" in rows.columns else F.col("row_ix")
+    return given.select(order, work.alias("work"), person.alias("person"))
 
 
 def link_table(pairs: DataFrame) -> DataFrame:

@@ -5,7 +5,9 @@ the union of the fields. An array counts as a value even if it is empty.
 ``collect``: array fields become the distinct union of all rows' elements.
 
 Both are one aggregation with partial states, so a key that most rows share
-costs no more than any other.
+costs no more than any other. What "collect" unites of one entity stands in one
+row; where one may have more links than a row should hold, as with an author
+named "anonymous", ``catalog.link_table`` gives the links as rows instead.
 """
 
 from __future__ import annotations

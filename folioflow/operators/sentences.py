@@ -41,15 +41,12 @@ def nested(text: Column, terminators: str = X.TERMINATORS, closers: str = X.CLOS
     return F.transform(X.paragraphs(text), lambda p: F.struct(none.alias("tags"), F.transform(X.sentences(p, terminators, closers), sentence).alias("sentences")))
 
 
-def measures(text: Column, terminators: str = X.TERMINATORS, closers: str = X.CLOSERS) -> dict[str, Column]:
-    """character_count, paragraph_count and sentence_count of a text, null counting as empty."""
-    text = F.coalesce(text, F.lit(""))
-    paragraphs = X.paragraphs(text)
-    counts = F.transform(paragraphs, lambda p: F.size(X.sentences(p, terminators, closers)))
+def measured(text: Column, paragraphs: Column) -> dict[str, Column]:
+    """character_count, paragraph_count and sentence_count of a text and its ``nested`` paragraphs."""
     return {
         "character_count": F.length(text).cast("long"),
         "paragraph_count": F.size(paragraphs).cast("long"),
-        "sentence_count": F.aggregate(counts, F.lit(0), lambda a, x: a + x).cast("long"),
+        "sentence_count": F.aggregate(paragraphs, F.lit(0), lambda a, p: a + F.size(p["sentences"])).cast("long"),
     }
 
 
@@ -59,5 +56,8 @@ def document(rows: DataFrame, key: str, column: str, terminators: str = X.TERMIN
 
 
 def extent(rows: DataFrame, key: str, column: str, terminators: str = X.TERMINATORS, closers: str = X.CLOSERS) -> DataFrame:
-    """key and the ``measures`` of each text, by expressions alone."""
-    return rows.select(key, *[c.alias(n) for n, c in measures(F.col(column), terminators, closers).items()])
+    """key and the measures of each text, null counting as empty: one number of sentences for each paragraph, summed."""
+    text = F.coalesce(F.col(column), F.lit(""))
+    counts = F.transform(X.paragraphs(text), lambda p: F.size(X.sentences(p, terminators, closers)))
+    counted = rows.select(key, F.length(text).cast("long").alias("character_count"), counts.alias("_counts"))
+    return counted.select(key, "character_count", F.size("_counts").cast("long").alias("paragraph_count"), F.aggregate("_counts", F.lit(0), lambda a, x: a + x).cast("long").alias("sentence_count"))

@@ -31,8 +31,8 @@ def catalogue_violations(rows: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def convert_catalogue(spark: SparkSession, source: str, target: str, form: str = "turtle", single: bool = True, **options) -> DataFrame:
-    """Read a catalogue, write its graph, and return it."""
+def convert_catalogue(spark: SparkSession, source: str, target: str, form: str = "turtle", single: bool = False, **options) -> DataFrame:
+    """Read a catalogue, write its graph, and return it. single: to one file, by one task, for a small graph."""
     graph = catalogue_graph(zipcsv.read_catalogue(spark, source), **options)
     prefixes = {k: v for k, v in triples.PREFIXES.items() if k} if form == "turtle" else None
     rdf.write_graph(graph, target, form, prefixes, single)
@@ -40,13 +40,16 @@ def convert_catalogue(spark: SparkSession, source: str, target: str, form: str =
 
 
 def tei_documents(texts: DataFrame, key: str, column: str, title: Column, authors: Column | None = None, terminators: str = sentences.X.TERMINATORS, closers: str = sentences.X.CLOSERS) -> DataFrame:
-    """key and xml: a TEI document of every text, its extent measured. One pass, no shuffle."""
-    text = F.coalesce(F.col(column), F.lit(""))
-    none = F.lit(None)
-    extent = F.struct(*[c.alias(n) for n, c in sentences.measures(text, terminators, closers).items()])
-    ordered = F.struct(extent["character_count"].alias("character_count"), none.cast("long").alias("suw_count"), extent["paragraph_count"].alias("paragraph_count"), extent["sentence_count"].alias("sentence_count"))
-    unknown = ("publications", "source_description", "responsibilities", "factuality_type", "class_codes", "text_type", "derivation_type", "constitution_type", "purpose_type", "purpose_degree", "changes")
+    """key and xml: a TEI document of every text, its extent measured. One pass, no shuffle.
+
+    Paragraphs and sentences are cut once; the measures are their sizes.
+    """
+    text, none = F.coalesce(F.col(column), F.lit("")), F.lit(None)
     people = authors if authors is not None else F.array().cast("array<string>")
-    record = F.struct(title.alias("title"), people.alias("authors"), F.array().cast("array<string>").alias("editors"), ordered.alias("extent"), *[none.alias(n) for n in unknown])
-    prepared = texts.select(key, record.cast(tei.HEADER).alias("_record"), sentences.nested(text, terminators, closers).alias("_paragraphs"))
+    cut = texts.select(key, text.alias("_text"), title.alias("_title"), people.alias("_people"), sentences.nested(text, terminators, closers).alias("_paragraphs"))
+    sizes = sentences.measured(F.col("_text"), F.col("_paragraphs"))
+    extent = F.struct(*[sizes.get(n, none.cast("long")).alias(n) for n in ("character_count", "suw_count", "paragraph_count", "sentence_count")])
+    unknown = ("publications", "source_description", "responsibilities", "factuality_type", "class_codes", "text_type", "derivation_type", "constitution_type", "purpose_type", "purpose_degree", "changes")
+    record = F.struct(F.col("_title").alias("title"), F.col("_people").alias("authors"), F.array().cast("array<string>").alias("editors"), extent.alias("extent"), *[none.alias(n) for n in unknown])
+    prepared = cut.select(key, record.cast(tei.HEADER).alias("_record"), "_paragraphs")
     return prepared.select(key, tei.tei(tei.header(F.col("_record")), tei.body(F.col("_paragraphs"))).alias("xml"))

@@ -31,8 +31,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder that spark.checkpoint.dir names; make one only where none is named."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate files: spark.checkpoint.dir, or the context's checkpoint folder.
+
+    Only in local mode, where driver and executors are one machine, a temporary
+    folder takes its place.
+    """
     context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="folioflow-"))
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not named and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named or _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="folioflow-"))
+
+
+#: By application: the temporary folder of local mode.
+_LOCAL: dict[str, str] = {}
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the shared folder for checkpoints, unless the context has one."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))

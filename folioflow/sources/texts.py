@@ -74,6 +74,18 @@ def fetch(resources: DataFrame, folder: str) -> DataFrame:
     return resources.mapInPandas(run, T.StructType([*resources.schema.fields, T.StructField("path", T.StringType())]))
 
 
+def decoded(files: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and text of files (path, content, encoding): text null for archives without one."""
+    kept = [files.schema[c] for c in keep]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = [text_of(p, bytes(c), e if isinstance(e, str) else None) for p, c, e in zip(batch["path"], batch["content"], batch["encoding"])]
+            yield batch[list(keep)].assign(text=texts)
+
+    return files.mapInPandas(run, T.StructType([*kept, T.StructField("text", T.StringType())]))
+
+
 def read_texts(spark: SparkSession, files: str, encodings: DataFrame | None = None, pattern: str = "*") -> DataFrame:
     """path and text of the files under ``files``.
 
@@ -84,13 +96,7 @@ def read_texts(spark: SparkSession, files: str, encodings: DataFrame | None = No
         found = found.withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1)).join(encodings, "name", "left").select("path", "content", "encoding")
     else:
         found = found.withColumn("encoding", F.lit(None).cast("string"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [text_of(p, bytes(c), e if isinstance(e, str) else None) for p, c, e in zip(batch["path"], batch["content"], batch["encoding"])]
-            yield pd.DataFrame({"path": batch["path"], "text": texts})
-
-    return found.mapInPandas(run, "path string, text string")
+    return decoded(found, "path")
 
 
 def sources(works: DataFrame, form: str = "text/plain") -> DataFrame:
@@ -98,22 +104,34 @@ def sources(works: DataFrame, form: str = "text/plain") -> DataFrame:
     return works.select("work_id", F.explode("sources").alias("x")).where(F.col("x.format") == form).select("work_id", F.col("x.url").alias("url"), F.col("x.encoding").alias("encoding"))
 
 
+#: Resources up to which their paths are broadcast to the files, so that no file's bytes are shuffled.
+BROADCAST_RESOURCES = 500_000
+
+
 def extract_texts(spark: SparkSession, works: DataFrame, host_pattern: str, root: str, form: str = "text/plain") -> DataFrame:
     """work_id, url and text, without carriage returns, of every resource that has a file under ``root``.
 
     The filter on the format comes before any file is opened, and only files
-    that some work names are decoded.
+    that some work names are decoded. Up to BROADCAST_RESOURCES resources,
+    counted, their paths go to the files; beyond, paths without content say first
+    which files are wanted, and only those meet their resources in a shuffle.
     """
     wanted = sources(works, form).withColumn("path", route(F.col("url"), host_pattern, root)).where(F.col("path").isNotNull())
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "content")
-    joined = files.join(wanted, "path").select("work_id", "url", "path", "encoding", "content")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [text_of(p, bytes(c), e if isinstance(e, str) else None) for p, c, e in zip(batch["path"], batch["content"], batch["encoding"])]
-            yield pd.DataFrame({"work_id": batch["work_id"], "url": batch["url"], "text": texts})
-
-    return joined.mapInPandas(run, "work_id string, url string, text string").where(F.col("text").isNotNull()).withColumn("text", strip_cr(F.col("text")))
+    plain = F.regexp_replace("path", "^file:/*", "/").alias("path")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    found = files.select(plain, "content")
+    if wanted.count() <= BROADCAST_RESOURCES:
+        joined = found.join(F.broadcast(wanted), "path")
+    else:
+        named = files.select(plain).join(wanted.select("path").distinct(), "path").select(F.xxhash64("path").alias("hashed"))
+        # A bitmap of hashes: 2^20 rows at most, whatever the number of files.
+        bits = 1 << 26
+        slot, bit = F.pmod("hashed", F.lit(bits)), F.call_function("shiftleft", F.lit(1).cast("long"), (F.pmod("hashed", F.lit(64))).cast("int"))
+        bitmap = named.select((slot / 64).cast("long").alias("slot"), bit.alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("bits"))
+        marked = found.withColumn("hashed", F.xxhash64("path")).withColumn("slot", (slot / 64).cast("long")).join(F.broadcast(bitmap), "slot")
+        joined = marked.where(F.call_function("getbit", "bits", F.pmod("hashed", F.lit(64)).cast("int")) == 1).select("path", "content").join(wanted, "path")
+    texts = decoded(joined.select("work_id", "url", "path", "encoding", "content"), "work_id", "url")
+    return texts.where(F.col("text").isNotNull()).withColumn("text", strip_cr(F.col("text")))
 
 
 __all__ = ["CODECS", "cached", "decode", "extension", "extract_texts", "fetch", "read_texts", "sources", "text_of"]

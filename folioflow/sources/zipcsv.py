@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,10 @@ CSV = {"header": True, "multiLine": True, "escape": '"', "quote": '"', "encoding
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A plain CSV catalogue, all strings, with ``row_ix`` in file order (one file)."""
+    """Plain CSV catalogues, all strings, with ``file`` and ``row_ix`` in file order."""
     rows = spark.read.options(**CSV).csv(path)
-    clean = [c.lstrip("﻿") for c in rows.columns]
-    return rows.toDF(*clean).withColumn("row_ix", F.monotonically_increasing_id())
+    named = rows.select("*", F.col("_metadata.file_path"))
+    return named.toDF(*[c.lstrip("﻿") for c in rows.columns], "file").withColumn("row_ix", F.monotonically_increasing_id())
 
 
 def parse_table(data: bytes) -> Iterator[dict[str, str]]:
@@ -40,12 +41,12 @@ def first_member(data: bytes) -> bytes:
         return archive.read(archive.infolist()[0])
 
 
-def read_zip(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """The table in the first entry of each archive, with ``file`` and ``row_ix`` in file order.
+def unpacked(files: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The tables in the first entries of archives (path, content), with ``file`` and ``row_ix`` in file order.
 
-    Archives are read by Spark, so any store it knows will do, and unpacked on
-    the executors, an archive a row. Rows are numbered within their archive:
-    order by (file, row_ix) where there are several.
+    Archives are unpacked on the executors, an archive a row, and rows leave as
+    they are parsed. Rows are numbered within their archive, so what orders them
+    is (file, row_ix); ``catalog.entities`` takes both.
     """
     names = columns or COLUMNS
     schema = "file string, row_ix long, " + ", ".join(f"`{c}` string" for c in names)
@@ -53,11 +54,16 @@ def read_zip(spark: SparkSession, path: str, columns: list[str] | None = None) -
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for file, content in zip(batch["path"], batch["content"]):
-                rows = [[file, i, *[row.get(c) for c in names]] for i, row in enumerate(parse_table(first_member(bytes(content))))]
-                for k in range(0, len(rows), 10_000):
-                    yield pd.DataFrame(rows[k : k + 10_000], columns=["file", "row_ix", *names])
+                rows = ([file, i, *[row.get(c) for c in names]] for i, row in enumerate(parse_table(first_member(bytes(content)))))
+                while some := list(islice(rows, 10_000)):
+                    yield pd.DataFrame(some, columns=["file", "row_ix", *names])
+
+    return files.select("path", "content").mapInPandas(unpack, schema)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(unpack, schema)
+
+def read_zip(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """``unpacked`` archives under a path, read by Spark, so any store it knows will do."""
+    return unpacked(spark.read.format("binaryFile").load(path), columns)
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:

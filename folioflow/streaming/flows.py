@@ -17,11 +17,15 @@ from ..sources import rdf
 
 def catalogue_stream(spark: SparkSession, folder: str, per_trigger: int = 10) -> DataFrame:
     """Catalogue rows of CSV files as they appear in a folder, columns by their known order of names."""
-    return spark.readStream.schema(catalog.SCHEMA).option("header", True).option("multiLine", True).option("escape", '"').option("maxFilesPerTrigger", per_trigger).csv(folder)
+    rows = spark.readStream.schema(catalog.SCHEMA).option("header", True).option("multiLine", True).option("escape", '"').option("maxFilesPerTrigger", per_trigger).csv(folder)
+    return rows.select("*", F.col("_metadata.file_path").alias("file"))
 
 
 def entity_stream(rows: DataFrame, **options) -> DataFrame:
-    """work and person of each arriving row, with the time it was seen."""
+    """work and person of each arriving row, with the time it was seen.
+
+    A stream does not number rows, so ``row_ix`` orders them by file alone.
+    """
     return catalog.entities(rows.withColumn("row_ix", F.lit(0).cast("long")), **options).withColumn("seen", F.current_timestamp())
 
 

@@ -97,3 +97,25 @@ def test_blank_to_null_is_idempotent(spark, cells):
     once = values(spark, cells, S.blank_to_null)
     assert values(spark, once, S.blank_to_null) == once
     assert all(v is None or v == c for v, c in zip(once, cells))
+
+
+def test_small_expressions(spark):
+    from folioflow.functions import text as X
+
+    row = spark.range(1).select(
+        S.is_url(F.lit("http://a.example/x")).alias("u"), S.is_url(F.lit("no")).alias("n"), S.is_url(F.lit(None).cast("string")).alias("z"),
+        S.compact(F.struct(F.lit(None).cast("int").alias("a"), F.lit(None).cast("string").alias("b")), ["a", "b"]).alias("gone"),
+        S.compact(F.struct(F.lit(1).alias("a"), F.lit(None).cast("string").alias("b")), ["a", "b"]).alias("kept"),
+        S.with_about(F.struct(F.lit(1).alias("a")), F.lit("urn:x")).alias("about"), S.date_literal(F.lit("2001-02-03").cast("date")).alias("date"),
+        X.is_unknown(F.lit("未知")).alias("oov"), X.is_unknown(F.lit("既知")).alias("known"),
+    ).first()
+    assert (row["u"], row["n"], row["z"]) == (True, False, False) and row["gone"] is None and row["kept"]["a"] == 1
+    assert row["about"].asDict() == {"a": 1, "about": "urn:x"} and row["date"] == "2001-02-03" and row["oov"] and not row["known"]
+
+
+def test_nulls_go_from_the_inside_out(spark):
+    kind = "a int, b struct<c:int,d:array<struct<e:string>>>, f array<int>, g struct<h:struct<i:int>>"
+    rows = spark.createDataFrame([(1, (None, [("x",), (None,), None]), [None, 2], ((None,),)), (None, (None, [(None,)]), [None], None)], kind)
+    whole = F.struct(*rows.columns)
+    found = [r[0] for r in rows.select(S.without_nulls(whole, rows.schema)).collect()]
+    assert found[1] is None and found[0]["a"] == 1 and [x["e"] for x in found[0]["b"]["d"]] == ["x"] and found[0]["f"] == [2] and found[0]["g"] is None

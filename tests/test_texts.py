@@ -110,7 +110,7 @@ def test_tei_files(spark, tmp_path):
     assert tei.read(spark, str(tmp_path / "tei")).count() == 3
 
 
-def test_texts(spark, tmp_path):
+def test_texts(spark, tmp_path, monkeypatch):
     body = "本文\r\nです"
     with zipfile.ZipFile(tmp_path / "1.zip", "w") as z:
         z.writestr("fig.png", b"\x00")
@@ -128,6 +128,10 @@ def test_texts(spark, tmp_path):
     )
     found = texts.extract_texts(spark, works, r"https?://www\.lib\.example", str(tmp_path))
     assert [tuple(r) for r in found.collect()] == [("w1", "http://www.lib.example/1.zip", "本文\nです")]
+    monkeypatch.setattr(texts, "BROADCAST_RESOURCES", 0)
+    assert found.collect() == texts.extract_texts(spark, works, r"https?://www\.lib\.example", str(tmp_path)).collect()
+    read = {r["path"].rsplit("/", 1)[1]: r["text"] for r in texts.read_texts(spark, str(tmp_path), spark.createDataFrame([("1.zip", "SJIS")], "name string, encoding string")).collect()}
+    assert read == {"1.zip": body, "2.html": "<p>é</p>", "3.zip": None, "4.zip": None}
     html = texts.extract_texts(spark, works, r"https?://www\.lib\.example", str(tmp_path), "text/html")
     assert [r["text"] for r in html.collect()] == ["<p>é</p>"]
 
