@@ -6,16 +6,20 @@ from numeric and date columns by the same expression on both sides.
 
 from __future__ import annotations
 
+import io
+import uuid
+import zipfile
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..functions import text as X
 from ..operators import catalog, merge, sentences, tei, triples, validate
-from ..session import table
-from ..sources import rdf, revisions
+from ..session import shared_folder, table
+from ..sources import rdf, revisions, texts, zipcsv
 from . import bgp, pipelines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,7 +193,11 @@ SELECT 'w' || CAST(o_orderkey // 4 AS VARCHAR) AS work_id,
        coalesce(array_to_string(list_sort(list(DISTINCT 'p' || CAST(o_custkey AS VARCHAR)) FILTER (WHERE o_orderkey % 5 = 0)), ','), '') AS authors,
        first('題' || o_orderpriority ORDER BY o_orderkey) AS title, first(o_orderkey % 2 <> 0 ORDER BY o_orderkey) AS copyright_expired,
        strftime(first(o_orderdate ORDER BY o_orderkey), '%Y-%m-%d') AS published, lpad(CAST(min(o_orderkey) % 1000 AS VARCHAR), 3, '0') AS code,
-       CAST(first(CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END ORDER BY o_orderkey) AS BIGINT) AS n_sources
+       CAST(first(CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END ORDER BY o_orderkey) AS BIGINT) AS n_sources,
+       first(CASE WHEN o_orderkey % 3 = 0 THEN 'http://www.lib.example/cards/' || CAST(o_orderkey AS VARCHAR) || ' text/plain Unicode UTF-8 1 ' || strftime(o_orderdate, '%Y-%m-%d') END ORDER BY o_orderkey) AS resource,
+       CASE WHEN o_orderkey // 4 % 11 <> 0 THEN strftime(first(o_orderdate ORDER BY o_orderkey), '%Y-%m-%d') END AS modified,
+       coalesce(array_to_string(list_sort(list(DISTINCT 'p' || CAST(o_custkey AS VARCHAR)) FILTER (WHERE o_orderkey % 5 = 1)), ','), '') AS translators,
+       coalesce(array_to_string(list_sort(list(DISTINCT 'p' || CAST(o_custkey AS VARCHAR)) FILTER (WHERE o_orderkey % 5 = 2)), ','), '') AS editors
 FROM orders GROUP BY o_orderkey // 4
 """)
 def catalogue_works(spark: SparkSession, d: str) -> DataFrame:
@@ -197,6 +205,9 @@ def catalogue_works(spark: SparkSession, d: str) -> DataFrame:
     return works.select(
         "work_id", F.coalesce(F.array_join("author", ","), F.lit("")).alias("authors"), "title", "copyright_expired", F.col("publishing_date").cast("string").alias("published"),
         F.col("class_codes")[0]["category"].alias("code"), F.size("sources").cast("long").alias("n_sources"),
+        F.when(F.size("sources") > 0, F.concat_ws(" ", *[F.get("sources", 0)[x].cast("string") for x in ("url", "format", "character_set", "encoding", "revision_count", "last_modified_date")])).alias("resource"),
+        F.col("last_modified_date").cast("string").alias("modified"),
+        *[F.coalesce(F.array_join(x, ","), F.lit("")).alias(f"{x}s") for x in ("translator", "editor")],
     )
 
 
@@ -348,7 +359,7 @@ def strip_markup(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT p_partkey, CAST(CASE WHEN p_size % 2 = 0 THEN 8 ELSE 7 END AS BIGINT) AS n_nodes, p_brand || ',かんじ' AS readings FROM part
+SELECT p_partkey, CAST(CASE WHEN p_size % 2 = 0 THEN 10 ELSE 9 END AS BIGINT) AS n_nodes, p_brand || ',かんじ' AS readings FROM part
 """)
 def markup_nodes(spark: SparkSession, d: str) -> DataFrame:
     """Nodes of the parsed markup: the tree parser on the same marked text."""
@@ -358,7 +369,7 @@ def markup_nodes(spark: SparkSession, d: str) -> DataFrame:
     readings = F.array_sort(F.collect_list(F.when(F.col("tag") == "ruby", F.struct("node_id", F.col("attrs")["reading"].alias("reading")))))
     counted = nodes.groupBy("p_partkey").agg(F.count("*").alias("n"), readings.alias("r"), F.max(F.when(F.col("tag") == "emphasis", 1).otherwise(0)).alias("e"))
     # The document and its paragraph, then text, ruby and base, text, ruby and base, the note, and the text behind it.
-    return counted.select("p_partkey", (F.col("n") - 2).cast("long").alias("n_nodes"), F.array_join(F.transform("r", lambda x: x["reading"]), ",").alias("readings"))
+    return counted.select("p_partkey", F.col("n").cast("long").alias("n_nodes"), F.array_join(F.transform("r", lambda x: x["reading"]), ",").alias("readings"))
 
 
 _ESCAPE_SQL = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
@@ -374,13 +385,228 @@ def tei_body(spark: SparkSession, d: str) -> DataFrame:
     return nested.select("doc_id", tei.body(F.col("paragraphs")).alias("body"))
 
 
-@query()
+#: The header of a document of which only title and extent are known.
+_BARE_HEADER_SQL = """'<teiHeader><fileDesc><titleStmt><title>Document ' || CAST(d.doc_id AS VARCHAR) || '</title></titleStmt><editionStmt><p></p></editionStmt><extent>'
+  || '<measure unit="characters" quantity="' || CAST(length(text) AS VARCHAR) || '">' || CAST(length(text) AS VARCHAR) || ' characters</measure><measure unit="SUWs"> Short Unit Words</measure>'
+  || '<measure unit="paragraphs" quantity="' || CAST(count(para) AS VARCHAR) || '">' || CAST(count(para) AS VARCHAR) || ' paragraphs</measure>'
+  || '<measure unit="sentences" quantity="' || CAST(coalesce(sum(n), 0) AS VARCHAR) || '">' || CAST(coalesce(sum(n), 0) AS VARCHAR) || ' sentences</measure></extent>'
+  || '<publicationStmt><p></p></publicationStmt><sourceDesc><p></p></sourceDesc></fileDesc>'"""
+_ENCODING_SQL = f"""'<encodingDesc><projectDesc><p>{tei.PROJECT_NOTE}</p></projectDesc><editorialDecl><p>{tei.ENCODING_NOTE}</p></editorialDecl>'
+  || '<classDecl><taxonomy xml:id="NDC"><bibl><title>Nippon Decimal Classification</title><edition>9</edition></bibl></taxonomy></classDecl></encodingDesc>'"""
+_PROFILE_SQL = """'<profileDesc><langUsage><language ident="ja">Japanese</language></langUsage><textDesc{n}><channel mode="w"></channel><constitution{c}></constitution><derivation{d}></derivation><domain></domain>'
+  || '<factuality{f}></factuality><interaction></interaction><preparedness></preparedness><purpose{p}></purpose></textDesc><textClass>{k}</textClass></profileDesc>'"""
+
+
+@query(f"""
+WITH {_SENTENCES_SQL},
+p AS (SELECT doc_id, para, len(parts) AS n, '<p>' || array_to_string(list_transform(parts, lambda s: '<s>' || {_ESCAPE_SQL.format("s")} || '</s>'), '') || '</p>' AS p FROM cut)
+SELECT d.doc_id, '<TEI xmlns="{tei.NAMESPACE}">' || {_BARE_HEADER_SQL} || {_ENCODING_SQL} || {_PROFILE_SQL.format(n="", c="", d="", f="", p="", k="")}
+  || '<revisionDesc status="published"></revisionDesc></teiHeader><text><body><div>' || coalesce(string_agg(p, '' ORDER BY para), '') || '</div></body></text></TEI>' AS xml
+FROM documents d LEFT JOIN p USING (doc_id) GROUP BY d.doc_id, text
+""")
 def tei_doc(spark: SparkSession, d: str) -> DataFrame:
-    """Whole documents with headers; their form is tested with an XML parser."""
+    """Whole documents with headers; their form is tested with an XML parser too."""
     docs = table(spark, d, "documents")
     return pipelines.tei_documents(docs, "doc_id", "text", F.concat(F.lit("Document "), F.col("doc_id")), **WESTERN)
 
 
+_HEADER_SQL = _PROFILE_SQL.format(n=' n="novel"', c=' type="single"', d=' type="original"', f=' type="\' || p_brand || \'"', p=' type="entertain" degree="high"', k="\' || code || \'")
+
+
+@query(f"""
+WITH r AS (
+  SELECT *, DATE '2000-01-01' + CAST(p_partkey % 3000 AS INT) AS day,
+         '<classCode scheme="#NDC">' || CASE WHEN p_size % 2 = 0 THEN 'K' ELSE '' END || lpad(CAST(p_size AS VARCHAR), 3, '0') || '</classCode>' AS code
+  FROM part)
+SELECT p_partkey, '<teiHeader><fileDesc><titleStmt><title>' || {_ESCAPE_SQL.format("p_name || ' & <' || p_brand || '>'")} || '</title><author>' || p_type || '</author><author>B</author><editor>E</editor>'
+  || '<respStmt><resp>typing</resp><name>' || p_brand || '</name><name>N</name></respStmt></titleStmt><editionStmt><p></p></editionStmt><extent>'
+  || '<measure unit="characters" quantity="' || CAST(p_partkey AS VARCHAR) || '">' || CAST(p_partkey AS VARCHAR) || ' characters</measure><measure unit="SUWs" quantity="5">5 Short Unit Words</measure>'
+  || '<measure unit="paragraphs" quantity="2">2 paragraphs</measure><measure unit="sentences" quantity="3">3 sentences</measure></extent>'
+  || '<publicationStmt><publisher>P</publisher><distributor>D</distributor>' || CASE WHEN p_size % 3 = 0 THEN '<idno type="ISBN">' || CAST(p_partkey AS VARCHAR) || '</idno>' ELSE '' END
+  || '<availability status="free"><p>free</p></availability><date when="' || strftime(day, '%Y-%m-%d') || '">' || strftime(day, '%B %-d, %Y') || '</date></publicationStmt><sourceDesc><p>' || p_type || '</p></sourceDesc></fileDesc>'
+  || {_ENCODING_SQL} || {_HEADER_SQL}
+  || '<revisionDesc status="published"><change when="' || strftime(day, '%Y-%m-%d') || '" who="#me">Converted</change></revisionDesc></teiHeader>' AS header
+FROM r
+""")
+def tei_header(spark: SparkSession, d: str) -> DataFrame:
+    """Headers of records with every field filled."""
+    day = F.date_add(F.lit("2000-01-01").cast("date"), (F.col("p_partkey") % 3000).cast("int"))
+    text = lambda x: F.lit(x)
+    number = lambda x: F.lit(x).cast("long")
+    code = F.struct(F.lpad(F.col("p_size").cast("string"), 3, "0").alias("category"), (F.col("p_size") % 2 == 0).alias("childrens"))
+    fields = {
+        "title": F.concat("p_name", F.lit(" & <"), "p_brand", F.lit(">")), "authors": F.array("p_type", text("B")), "editors": F.array(text("E")),
+        "extent": F.struct(F.col("p_partkey").alias("character_count"), number(5).alias("suw_count"), number(2).alias("paragraph_count"), number(3).alias("sentence_count")),
+        "publications": F.array(F.struct(text("P").alias("publisher"), text("D").alias("distributor"), text("free").alias("availability"), day.alias("date"), F.when(F.col("p_size") % 3 == 0, F.col("p_partkey").cast("string")).alias("idno"))),
+        "source_description": F.col("p_type"), "responsibilities": F.array(F.struct(text("typing").alias("resp"), F.array("p_brand", text("N")).alias("names"))), "factuality_type": F.col("p_brand"),
+        "class_codes": F.array(code), "text_type": text("novel"), "derivation_type": text("original"), "constitution_type": text("single"), "purpose_type": text("entertain"), "purpose_degree": text("high"),
+        "changes": F.array(F.struct(day.alias("when"), text("#me").alias("who"))),
+    }
+    record = F.struct(*[c.alias(n) for n, c in fields.items()]).cast(tei.HEADER)
+    return table(spark, d, "part").select("p_partkey", record.alias("record")).select("p_partkey", tei.header(F.col("record")).alias("header"))
+
+
+@F.pandas_udf("binary")
+def _zipped(name: pd.Series, text: pd.Series, codec: pd.Series) -> pd.Series:
+    """Archives with a picture and, under ``name`` unless that is empty, a text."""
+
+    def one(entry: str, content: str, encoding: str) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as archive:
+            if entry.endswith(".csv"):
+                archive.writestr(entry, content.encode(encoding))
+            else:
+                archive.writestr("fig.png", b"0")
+                if entry:
+                    archive.writestr(entry, content.encode(encoding))
+        return out.getvalue()
+
+    return pd.Series([one(*x) for x in zip(name, text, codec)])
+
+
+@query("""
+SELECT 'f' || CAST(o_orderkey // 1000 AS VARCHAR) AS file, row_number() OVER (PARTITION BY o_orderkey // 1000 ORDER BY o_orderkey) - 1 AS row_ix,
+       CAST(o_orderkey AS VARCHAR) AS work, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'a "' || o_orderpriority || '"' || chr(10) || 'b' END AS title, CAST(o_custkey AS VARCHAR) AS person
+FROM orders
+""")
+def catalogue_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Zipped CSV files of a thousand rows each, with quotes and line breaks in cells, read back."""
+    o = F.col("o_orderkey")
+    title = F.when(o % 5 == 0, "\u3000").otherwise(F.concat(F.lit('a ""'), F.col("o_orderpriority"), F.lit('""\nb')))
+    line = F.concat(F.lit('"'), F.concat_ws('","', o.cast("string"), title, F.col("o_custkey").cast("string")), F.lit('"'))
+    lines = table(spark, d, "orders").groupBy(F.floor(o / 1000).alias("g")).agg(F.array_sort(F.collect_list(F.struct(o.alias("o"), line.alias("line")))).alias("lines"))
+    head = F.lit("\ufeff" + ",".join(f'"{c}"' for c in ("作品ID", "作品名", "人物ID")))
+    body = F.concat_ws("\r\n", head, F.array_join(F.transform("lines", lambda x: x["line"]), "\r\n"))
+    files = lines.select(F.concat(F.lit("f"), F.col("g")).alias("path"), _zipped(F.lit("list.csv"), body, F.lit("utf-8")).alias("content"))
+    cleaned = catalog.clean(zipcsv.unpacked(files))
+    return cleaned.select("file", "row_ix", F.col("作品ID").alias("work"), F.col("作品名").alias("title"), F.col("人物ID").alias("person"))
+
+
+@query("""
+SELECT p_partkey, CASE p_partkey % 4 WHEN 3 THEN NULL ELSE 'これは' || p_name || chr(10) || p_type END AS text FROM part
+""")
+def text_extraction(spark: SparkSession, d: str) -> DataFrame:
+    """Texts in three encodings from archives (one of four holds a picture alone), without carriage returns."""
+    k = (F.col("p_partkey") % 4).cast("int")
+    choose = lambda *x: F.element_at(F.array(*map(F.lit, x)), k + 1)
+    text = F.concat(F.lit("これは"), F.col("p_name"), F.lit("\r\n"), F.col("p_type"))
+    files = table(spark, d, "part").select(
+        "p_partkey", F.lit("x.zip").alias("path"), choose("SJIS", "EUC", "UTF-8", "SJIS").alias("encoding"),
+        _zipped(choose("a.TXT", "a.txt", "a.html", ""), text, choose("cp932", "euc_jp", "utf-8-sig", "cp932")).alias("content"),
+    )
+    return texts.decoded(files, "p_partkey").select("p_partkey", X.strip_cr(F.col("text")).alias("text"))
+
+
+@query(f"SELECT form, g.* FROM ({_NATIONS_SQL}) g, (VALUES ('ntriples'), ('turtle')) f(form)")
+def graph_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """A graph written in both forms and read back."""
+    back = []
+    for form, read in (("ntriples", rdf.read_ntriples), ("turtle", rdf.read_turtle)):
+        path = f"{shared_folder(spark)}/folioflow-graphs/{form}-{uuid.uuid4().hex}"
+        rdf.write_graph(_nations(spark, d), path, form, {"": NS} if form == "turtle" else None)
+        back.append(read(spark, path).select(F.lit(form).alias("form"), *triples.COLUMNS))
+    return back[0].unionByName(back[1])
+
+
+_CELL_SQL = "'_:l' || substr(sha256('{ns}p' || CAST(p_partkey AS VARCHAR) || chr(31) || 'names' || chr(31) || CAST({i} AS VARCHAR)), 1, 32)"
+
+
+@query(f"""
+WITH v AS (SELECT p_partkey, list_value(p_brand, p_type)[1:CAST(p_size % 3 AS INT)] AS names FROM part),
+e AS (SELECT p_partkey, len(names) AS n, unnest(names) AS name, unnest(range(len(names))) AS i FROM v)
+SELECT '{NS}p' || CAST(p_partkey AS VARCHAR) AS s, '{NS}names' AS p, CASE WHEN len(names) = 0 THEN '{triples.RDF}nil' ELSE {_CELL_SQL.format(ns=NS, i=0)} END AS o, CASE WHEN len(names) = 0 THEN 'iri' ELSE 'blank' END AS o_kind FROM v
+UNION ALL SELECT {_CELL_SQL.format(ns=NS, i="i")}, '{triples.RDF}first', name, 'literal' FROM e
+UNION ALL SELECT {_CELL_SQL.format(ns=NS, i="i")}, '{triples.RDF}rest', CASE WHEN i + 1 < n THEN {_CELL_SQL.format(ns=NS, i="(i + 1)")} ELSE '{triples.RDF}nil' END, CASE WHEN i + 1 < n THEN 'blank' ELSE 'iri' END FROM e
+""")
+def list_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Array fields as ordered lists of two, one or no elements."""
+    rows = table(spark, d, "part").select(F.concat(F.lit(NS + "p"), F.col("p_partkey")).alias("id"), F.slice(F.array("p_brand", "p_type"), F.lit(1), F.col("p_size") % 3).alias("names"))
+    return triples.lift(rows, "id", mode="list").select("s", "p", "o", "o_kind")
+
+
+@query(f"""
+SELECT '{NS}o' || CAST(o_orderkey AS VARCHAR) AS s, '{NS}published' AS p, strftime(o_orderdate, '%Y-%m-%d') AS o, 'literal' AS o_kind, '{triples.XSD}date' AS o_datatype FROM orders
+""")
+def date_literals(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select(F.concat(F.lit(NS + "o"), F.col("o_orderkey")).alias("id"), F.col("o_orderdate").cast("date").alias("published"))
+    return triples.lift(rows, "id").select("s", "p", "o", "o_kind", "o_datatype")
+
+
+@query("""
+WITH told AS (SELECT 'urn:c' || CAST(c_custkey AS VARCHAR) AS s, c_nationkey FROM customer)
+SELECT s, 'urn:n' || CAST(c_nationkey AS VARCHAR) AS o FROM told
+UNION SELECT s, 'urn:r' || CAST(n_regionkey AS VARCHAR) FROM told JOIN nation ON c_nationkey = n_nationkey
+UNION SELECT s, 'urn:world' FROM told JOIN nation ON c_nationkey = n_nationkey
+""")
+def inference(spark: SparkSession, d: str) -> DataFrame:
+    """Customers are of their nation, and so of its region, and of the world."""
+    triple = lambda rows, s, p, o: rows.select(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit("iri").alias("o_kind"), *[F.lit(None).cast("string").alias(x) for x in ("o_datatype", "o_lang")])
+    named = lambda kind, c: F.concat(F.lit(f"urn:{kind}"), F.col(c).cast("string"))
+    nation, region = table(spark, d, "nation"), table(spark, d, "region")
+    graph = triple(nation, named("n", "n_nationkey"), "urn:sub", named("r", "n_regionkey")).unionByName(triple(region, named("r", "r_regionkey"), "urn:sub", F.lit("urn:world")))
+    graph = graph.unionByName(triple(table(spark, d, "customer"), named("c", "c_custkey"), "urn:type", named("n", "c_nationkey")))
+    return bgp.closure(graph, "urn:sub", "urn:type").select("s", "o")
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN 'a part is missing' WHEN 1 THEN 'subject is no IRI' WHEN 2 THEN 'predicate is no IRI' WHEN 3 THEN 'object is no IRI'
+  WHEN 4 THEN 'only literals have a type' WHEN 5 THEN 'not of its type' WHEN 6 THEN 'not of its type' END AS reason
+FROM orders WHERE o_orderkey % 8 < 7
+""")
+def graph_validation(spark: SparkSession, d: str) -> DataFrame:
+    """Triples with one fault of each kind, and sound ones."""
+    o = F.col("o_orderkey")
+    fault = lambda k, bad, good: F.when(o % 8 == k, bad).otherwise(good)
+    none = F.lit(None).cast("string")
+    rows = table(spark, d, "orders").select(
+        "o_orderkey", fault(1, F.lit("no iri"), F.concat(F.lit("urn:o"), o)).alias("s"), fault(2, F.lit("name"), F.lit("urn:p")).alias("p"),
+        F.when(o % 8 == 0, none).when(o % 8 == 3, "two words").when(o % 8 == 4, "urn:x").when(o % 8 == 5, "twelve").when(o % 8 == 6, "1999-13-01").otherwise("text").alias("o"),
+        F.when(o % 8 == 3, "iri").when(o % 8 == 4, "iri").otherwise("literal").alias("o_kind"),
+        F.when(o % 8 == 4, triples.XSD + "integer").when(o % 8 == 5, triples.XSD + "integer").when(o % 8 == 6, triples.XSD + "date").otherwise(none).alias("o_datatype"), none.alias("o_lang"),
+    )
+    return triples.validate_graph(rows).select("o_orderkey", "reason")
+
+
+#: Forms of the markup with a word in the place of {}: what they are, and the nodes they parse to (tag, its text and attributes).
+MARKUP_FORMS = [
+    ("あの山《{}》", "paragraph;text あの;ruby reading={};text 山"),
+    ("あの｜{}《やま》", "paragraph;text あの;ruby reading=やま;text {}"),
+    ("字［＃「字」に二重傍線］{}", "paragraph;text 字;emphasis of=字 value=二重傍線;text {}"),
+    ("{}字［＃「字」の左に「よみ」のルビ］", "paragraph;text {}字;left_ruby of=字 value=よみ"),
+    ("{}字［＃「字」は大見出し］", "paragraph;text {}字;style of=字 value=大見出し"),
+    ("{}字［＃「字」は２段階大きな文字］", "paragraph;text {}字;char_size of=字 value=２段階大きな文字"),
+    ("{}字［＃「字」は底本では「宇」］", "paragraph;text {}字;source_reading of=字 value=宇"),
+    ("{}字［＃「字」はママ］", "paragraph;text {}字;as_in_source of=字 value=ママ"),
+    ("{}字［＃ルビの「じ」は底本では「し」］", "paragraph;text {}字;source_reading in=ruby of=じ value=し"),
+    ("［＃（{}）］［＃一レ］", "paragraph;okuri value={};return_mark value=一レ"),
+    ("［＃地図（{}.png、横100×縦２００）入る］", "paragraph;figure file={}.png height=200 of=地図 width=100"),
+    ("［＃割り注］{}［＃改行］b［＃割り注終わり］", "paragraph;split_note;text {};line_break;text b"),
+    ("［＃三字下げ］{}", "paragraph;indent n=3;text {}"),
+    ("［＃下げて、地より２字あきで］{}", "paragraph;lowered_bottom n=2;text {}"),
+    ("［＃{}知らない］", "paragraph;note value={}知らない"),
+    ("{}［＃太字終わり］", "paragraph;text {};unmatched_end ［＃太字終わり］ of=span"),
+    ("［＃ここから2段組み、段間に罫］\n{}\n［＃ここで段組み終わり］", "column_block n=2 rule=true;paragraph;text {}"),
+    ("［＃ここから改行天付き、折り返して１字下げ］\n{}\n", "indent_block flush=true n=1;paragraph;text {}"),
+    ("［＃ここから太字］\n{}\n［＃ここで太字終わり］\nb", "style_block value=太字;paragraph;text {};paragraph;text b"),
+    ("※［＃「てへん」］《{}》", "paragraph;ruby reading={};glyph value=「てへん」"),
+    ("{}\n\nb", "paragraph;text {};paragraph;paragraph;text b"),
+]
+
+
+@query("SELECT p_partkey, CASE p_partkey % " + str(len(MARKUP_FORMS)) + " " + " ".join(f"WHEN {i} THEN replace('{nodes}', '{{}}', p_brand)" for i, (_, nodes) in enumerate(MARKUP_FORMS)) + " END AS nodes FROM part")
+def markup_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Every kind of note, with a part's brand in it, parsed to tree nodes."""
+    from ..operators import markup
+
+    form = F.element_at(F.array(*[F.lit(text) for text, _ in MARKUP_FORMS]), (F.col("p_partkey") % len(MARKUP_FORMS) + 1).cast("int"))
+    rows = table(spark, d, "part").select("p_partkey", F.replace(form, F.lit("{}"), F.col("p_brand")).alias("marked"))
+    nodes = markup.parse_column(rows, "p_partkey", "marked").where("parent_id >= 0")
+    attrs = F.array_join(F.transform(F.array_sort(F.map_entries("attrs")), lambda x: F.concat_ws("=", x["key"], x["value"])), " ")
+    shown = F.concat_ws(" ", "tag", "text", F.when(F.size(F.map_keys("attrs")) > 0, attrs))
+    listed = nodes.groupBy("p_partkey").agg(F.array_sort(F.collect_list(F.struct("node_id", shown.alias("shown")))).alias("x"))
+    return listed.select("p_partkey", F.array_join(F.transform("x", lambda x: x["shown"]), ";").alias("nodes"))
+
+
 @query("""
 SELECT d.doc_id, concat_ws(',', CASE WHEN NOT coalesce(quality IN (0, 1), FALSE) THEN 'quality: one of a set' END, CASE WHEN NOT coalesce(toxic IN (0, 1), FALSE) THEN 'toxic: one of a set' END,
   CASE WHEN NOT coalesce(n_chars >= 500, FALSE) THEN 'long enough' END, CASE WHEN NOT coalesce(lang IN ('en', 'de'), FALSE) THEN 'lang: one of a set' END) AS violations
