@@ -249,5 +249,24 @@ def join_small(rows: DataFrame, small: DataFrame, key: str, how: str = "inner")
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
+#: Rows from which on a key's rows are joined where they lie.
+HOT_ROWS = 200_000
+
+
+def join_hot(rows: DataFrame, side: DataFrame, key: str, many: str) -> DataFrame:
+    """``rows`` with what ``side`` (stored, a row a key) says of their key.
+
+    many: the column of ``side`` that tells how many rows have the key. Those of
+    HOT_ROWS or more, which can be no more than the rows over HOT_ROWS, are
+    broadcast, and their rows stay where they are; the others meet in a shuffle.
+    """
+    hot = side.where(F.col(many) >= HOT_ROWS)
+    if hot.isEmpty():
+        return rows.join(side, key)
+    told = rows.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
+    there = told.where("_hot").drop("_hot").join(F.broadcast(hot), key)
+    return there.unionByName(told.where(F.col("_hot").isNull()).drop("_hot").join(side.where(F.col(many) < HOT_ROWS), key))
+
+
 #: The columns of ``documents``, which the stages of a pipeline pass on.
 DOCUMENT = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}

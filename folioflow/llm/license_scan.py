@@ -1,10 +1,12 @@
 """License notices by an exact set-similarity join of text blocks and templates.
 
-Blocks are windows of WINDOW words at every half window of each line, so any
-stretch of half a window lies whole in one block. A block meets a template if
-it holds ``need`` of the template's distinct words, the share CONTAINMENT
-rounded up. The join is exact and uses three filters over one global order of
-the template words, rarest in the corpus first:
+Blocks are windows of a text's words, across its lines, at every half window, so
+any stretch of half a window lies whole in one block. A block meets a template
+if it holds ``need`` of the template's distinct words, the share CONTAINMENT
+rounded up. Templates of up to SHORT_WORDS words are looked for in windows of
+SHORT_WINDOW words, so that they can't be put together from words far apart;
+longer ones in windows of WINDOW words. The join is exact and uses three filters
+over one global order of the template words, rarest in the corpus first:
 
 * prefix: ``need`` shared words leave a template at most size - need others, so
   a match shows within its first size - need + 1 words; only those are indexed,
@@ -12,15 +14,17 @@ the template words, rarest in the corpus first:
 * length: a block needs ``need`` template words at all;
 * position: the words that follow a hit on both sides must suffice.
 
-Blocks are cut down to template words before anything else (other words can't
-count), and most lines hold no indexed word at all, so few rows are exploded.
-The index has a row for each indexed word of each template: its size is that
-of the parameter, never of the corpus, and it is broadcast. The verified hits
-of a row meet again by a row number; nothing else is shuffled.
-
-Edge cases: a null text is the empty text (no words, score 0); very long lines
-are just more blocks; repeated rows are separate rows; a template with fewer
-words than its share is impossible; an empty table gives no rows.
+Texts are read once: their words, with all but template words blanked (others
+can't count), are stored, and give both the order and the blocks. Most texts
+hold no indexed word at all, so few rows are exploded. The index has a row for
+each indexed word of each template: its size is that of the parameter, never of
+the corpus, and it is broadcast. The verified hits of a row meet again by a row
+number; nothing else is shuffled.
+
+Edge cases: a null text is the empty text (no words, score 0); very long texts
+are just more blocks; words of equal frequency are ordered by themselves;
+repeated rows are separate rows; a template with more words than half a window
+is refused; an empty table gives no rows; other columns of any name go.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import pick, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -39,8 +43,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 #: Share of a template's words that a block must hold.
 CONTAINMENT = 0.8
-#: Words of a block; a template may have half as many.
-WINDOW = 48
+#: Words of a block; a template may have half as many. Those of up to SHORT_WORDS words take the short blocks.
+WINDOW, SHORT_WINDOW, SHORT_WORDS = 48, 12, 6
 #: Notices to look for, by label: short notices, the pieces of the standard texts, and lines of their usual wrapping.
 #: A template of at most four words needs them all, so that what names the license can't be the word that is missing.
 TEMPLATES: list[tuple[str, str]] = [
@@ -101,6 +105,11 @@ def _words_of(text: str) -> list[str]:
     return re.findall(WORD, text.translate(str.maketrans(UPPER, LOWER)))
 
 
+def window_of(words: list[str]) -> int:
+    """Words of the blocks in which a template is looked for."""
+    return SHORT_WINDOW if len(words) <= SHORT_WORDS else WINDOW
+
+
 def prepared(templates: list[tuple[str, str]], share: float) -> list[tuple[str, list[str], int]]:
     """Label, distinct words and needed words of each template."""
     out = []
@@ -120,14 +129,13 @@ def _lit(words: list[str]) -> Column:
     return F.array(*map(F.lit, words))
 
 
-def word_order(docs: DataFrame, vocabulary: list[str]) -> list[str]:
-    """The template words by the number of lines that hold them, rarest first.
+def word_order(held: DataFrame, vocabulary: list[str]) -> list[str]:
+    """The template words by the number of texts that hold them, rarest first.
 
-    A count for each template word reaches the driver, however large the corpus.
+    held: rows with ``words``, others than template words blank. A count for each
+    template word reaches the driver, however large the corpus.
     """
-    lines = pick(docs, text="string").select(F.explode(F.split(lowered(F.col("text")), "\n")).alias("line"))
-    held = F.array_intersect(_lit(vocabulary), F.regexp_extract_all("line", F.lit(WORD), F.lit(0)))
-    counts = lines.select(F.explode(held).alias("word")).groupBy("word").count().collect()
+    counts = held.select(F.explode(F.array_distinct("words")).alias("word")).where("word <> ''").groupBy("word").count().collect()
     found = {r["word"]: r["count"] for r in counts}
     return sorted(vocabulary, key=lambda w: (found.get(w, 0), w))
 
@@ -175,6 +183,15 @@ def phrase_places(words: Column, lower: Column) -> dict[str, Column]:
     }
 
 
+def _blocks(words: Column, window: int, order: list[str], indexed: list[str], least: int) -> Column:
+    """array<struct<window, block>>: the distinct blocks with ``least`` template words or more, in the global order; none without an indexed word."""
+    half = window // 2
+    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - half - 1, F.lit(0)), F.lit(half))
+    cut = F.transform(starts, lambda i: F.array_intersect(_lit(order), F.slice(words, i + 1, window)))
+    kept = F.transform(F.array_distinct(F.filter(cut, lambda b: F.size(b) >= least)), lambda b: F.struct(F.lit(window).alias("window"), b.alias("block")))
+    return F.when(F.arrays_overlap(words, _lit(indexed)), kept).otherwise(F.array().cast("array<struct<window:int,block:array<string>>>"))
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, share: float = CONTAINMENT) -> DataFrame:
     """A row a document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
@@ -182,38 +199,38 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, share:
     from ``share`` on; 1 where a phrase stands; else 0.
     """
     known = prepared(TEMPLATES if templates is None else templates, share)
-    spark = docs.sparkSession
-    order = word_order(docs, sorted({w for _, words, _ in known for w in words}))
-    rank = {w: i for i, w in enumerate(order)}
-    index_rows, indexed = [], set()
-    for label, words, need in known:
-        ranked = sorted(words, key=rank.__getitem__)
-        for place, word in enumerate(ranked[: len(ranked) - need + 1]):
-            index_rows.append((word, label, place, len(ranked), need, ranked))
-            indexed.add(word)
-    index = spark.createDataFrame(index_rows, "word string, label string, place int, size int, need int, template array<string>")
-    least = min(need for _, _, need in known)
-
+    vocabulary = sorted({w for _, words, _ in known for w in words})
     base = pick(docs, doc_id="long", text="string").select("doc_id", lowered(F.col("text")).alias("lower"))
-    base = base.select("doc_id", "lower", F.regexp_extract_all("lower", F.lit(WORD), F.lit(0)).alias("words"))
-    found = phrase_places(F.col("words"), F.col("lower"))
-    half = WINDOW // 2
-    likely = F.arrays_overlap("words", _lit(sorted(indexed)))
-    # Lines, then windows of their words, then the template words of a window in the global order.
-    line_words = F.transform(F.split("lower", "\n"), lambda line: F.regexp_extract_all(line, F.lit(WORD), F.lit(0)))
-    line_words = F.filter(line_words, lambda w: F.arrays_overlap(w, _lit(sorted(indexed))))
-    windows = F.flatten(F.transform(line_words, lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - half - 1, F.lit(0)), F.lit(half)), lambda i: F.array_intersect(_lit(order), F.slice(w, i + 1, WINDOW)))))
-    blocks = F.when(likely, F.array_distinct(F.filter(windows, lambda b: F.size(b) >= least))).otherwise(F.array().cast("array<array<string>>"))
+    base = base.select("doc_id", "lower", F.regexp_extract_all("lower", F.lit(WORD), F.lit(0)).alias("all_words"))
+    found = phrase_places(F.col("all_words"), F.col("lower"))
+    blanked = F.transform("all_words", lambda w: F.when(w.isin(*vocabulary), w).otherwise(F.lit("")))
     rows = base.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
-        F.size("words").cast("long").alias("n_words"),
+        F.size("all_words").cast("long").alias("n_words"),
         *[c.alias(n) for n, c in found.items()],
-        blocks.alias("blocks"),
+        F.when(F.arrays_overlap("all_words", _lit(vocabulary)), blanked).otherwise(F.array().cast("array<string>")).alias("words"),
     )
-    blocked = rows.select("row", "doc_id", "n_words", *found, F.explode_outer("blocks").alias("block"))
+    rows = stored(rows, "license-words")
+
+    order = word_order(rows, vocabulary)
+    rank = {w: i for i, w in enumerate(order)}
+    index_rows, blocks = [], []
+    for window in (SHORT_WINDOW, WINDOW):
+        indexed, least = set(), WINDOW
+        for label, words, need in known:
+            if window_of(words) == window:
+                ranked = sorted(words, key=rank.__getitem__)
+                least = min(least, need)
+                for place, word in enumerate(ranked[: len(ranked) - need + 1]):
+                    index_rows.append((window, word, label, place, len(ranked), need, ranked))
+                    indexed.add(word)
+        if indexed:
+            blocks.append(_blocks(F.col("words"), window, order, sorted(indexed), least))
+    index = docs.sparkSession.createDataFrame(index_rows, "window int, word string, label string, place int, size int, need int, template array<string>")
+    blocked = rows.select("row", "doc_id", "n_words", *found, F.explode_outer(F.concat(*blocks)).alias("x")).select("row", "doc_id", "n_words", *found, "x.window", "x.block")
     looked_up = blocked.select("*", F.posexplode_outer("block").alias("at", "word"))
-    hits = looked_up.join(F.broadcast(index), "word", "left")
+    hits = looked_up.join(F.broadcast(index), ["window", "word"], "left")
     size = F.size("block")
     remaining = F.lit(1) + F.least(F.col("size") - F.col("place") - 1, size - F.col("at") - 1)
     possible = (size >= F.col("need")) & (F.col("at") <= size - F.col("need")) & (remaining >= F.col("need"))
@@ -237,10 +254,9 @@ def oracle_sql(templates: list[tuple[str, str]] | None = None, share: float = CO
     """The same by brute force in DuckDB: every window against every template."""
     known = prepared(TEMPLATES if templates is None else templates, share)
     quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
-    rows = ", ".join(f"({i}, '{label}', {quoted(words)}, {need})" for i, (label, words, need) in enumerate(known))
+    rows = ", ".join(f"({i}, {window_of(words)}, '{label}', {quoted(words)}, {need})" for i, (label, words, need) in enumerate(known))
     phrases = ", ".join(f"({quoted(p.split(' '))}, '{label}')" for p, label in PHRASES.items())
     word = WORD.replace("'", "''")
-    half = WINDOW // 2
     return f"""
 WITH lowered AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS lower FROM documents),
 worded AS (SELECT doc_id, lower, regexp_extract_all(lower, '{word}') AS words FROM lowered),
@@ -251,16 +267,16 @@ places AS (
 base AS (
   SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS base_set
   FROM places GROUP BY doc_id),
-line AS (SELECT doc_id, regexp_extract_all(unnest(string_split(lower, chr(10))), '{word}') AS words FROM worded),
 block AS (
-  SELECT row_number() OVER () AS b, doc_id, words[s + 1:s + {WINDOW}] AS words
-  FROM (SELECT doc_id, words, unnest(range(0, greatest(len(words) - {half} - 1, 0) + 1, {half})) AS s FROM line)),
-templates(t, label, parts, need) AS (VALUES {rows}),
-parts AS (SELECT t, label, need, len(parts) AS size, unnest(parts) AS word FROM templates),
-block_words AS (SELECT DISTINCT b, doc_id, unnest(words) AS word FROM block),
+  SELECT row_number() OVER () AS b, doc_id, size_of, words[s + 1:s + size_of] AS words
+  FROM (SELECT doc_id, words, size_of, unnest(range(0, greatest(len(words) - size_of // 2 - 1, 0) + 1, size_of // 2)) AS s
+        FROM worded, (VALUES ({SHORT_WINDOW}), ({WINDOW})) sizes(size_of))),
+templates(t, size_of, label, parts, need) AS (VALUES {rows}),
+parts AS (SELECT t, size_of, label, need, len(parts) AS size, unnest(parts) AS word FROM templates),
+block_words AS (SELECT DISTINCT b, doc_id, size_of, unnest(words) AS word FROM block),
 met AS (
   SELECT doc_id, b, t, label, count(*) / size AS held
-  FROM block_words JOIN parts USING (word) GROUP BY doc_id, b, t, label, size, need HAVING count(*) >= need),
+  FROM block_words JOIN parts USING (size_of, word) GROUP BY doc_id, b, t, label, size, need HAVING count(*) >= need),
 own AS (SELECT doc_id, list(DISTINCT label) AS own_set, max(held) AS held FROM met GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
        coalesce(array_to_string(list_sort(base_set), ','), '') AS base_labels,

@@ -1,22 +1,25 @@
 """N-gram Jaccard self-join of documents by MinHash banding.
 
 1. Signatures, without a shuffle of texts: each text's distinct 5-word shingles
-   are hashed, BANDS * ROWS minima of multiplied-and-mixed hashes are taken, and
-   each band of ROWS minima is folded into one value. ``plan_bands`` chooses the
-   number of bands that misses a pair at the threshold with at most 1 - RECALL.
+   are hashed, bands * rows minima of multiplied-and-mixed hashes are taken, and
+   each band of minima is folded into one value. ``plan`` chooses both numbers:
+   for each number of rows the fewest bands that miss a pair at the threshold
+   with at most 1 - RECALL, and of these the cheapest in minima, shuffled bands
+   and chance candidates.
 2. Copies collapse: texts with the same words in the same order are one class
-   with a representative and a size (partial aggregation; no class is gathered).
+   with a representative row and a size (partial aggregation; no class is gathered).
 3. Representatives are shuffled on (band, value). Buckets of one are dropped,
    buckets with the same members in several bands are kept once, at the first.
 4. Pairs are verified on full shingle sets inside a bucket, in numpy. A bucket
    over BLOCK members is cut into blocks by a hash and each pair of blocks is
    a unit of its own, so a unit's size is bounded and a huge group of near
-   copies spreads over many tasks. A pair is counted in the first band that
-   its two signatures share, so in one unit only. No pair is ever a row: a unit
-   returns a row a member, with its number of links and the smallest id of its
-   component there.
+   copies spreads over many tasks; a text goes to as many units as its bucket has
+   blocks. A pair is counted in the first band that its two signatures share, so
+   in one unit only. No pair is ever a row: a unit returns a row a member, with
+   its number of links and the smallest id of its component there.
 5. Groups are the connected components of those links, by repeated minimum over
-   neighbours with pointer jumping, each round stored.
+   neighbours with pointer jumping, each round stored; joins on labels, which a
+   whole component shares, are broadcast or salted.
 
 A word is a run of anything but ASCII white space; texts with one to four words
 are one shingle. Shingles are compared by 64-bit hashes.
@@ -41,13 +44,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT, marked, pick, releasing, resident, slices, stored, without
+from .common import DOCUMENT, discard, join_hot, join_small, marked, pick, releasing, resident, slices, stored, without
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Minima in a band, and the share of pairs at SIMILARITY that some band shall find.
-ROWS, RECALL = 8, 0.9999
+#: Share of pairs at SIMILARITY that some band shall find, and minima in a band at most.
+RECALL, MOST_ROWS = 0.9999, 16
+#: Costs in minima of a text: a shuffled band, and a candidate pair of a text that is half alike in every document.
+BAND_COST, CANDIDATE_COST = 8, 4000
 #: Members of a unit's block, and words of one (long texts make smaller blocks).
-BLOCK, BLOCK_WORDS = 512, 400_000
+BLOCK, BLOCK_WORDS = 1024, 600_000
 #: Words whose hashes a worker keeps before it starts anew (about 30 MB).
 CACHE_WORDS = 200_000
 
@@ -55,11 +60,24 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def plan_bands(similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL) -> int:
-    """The fewest bands that find a pair of this similarity with this chance."""
+def plan_bands(similarity: float, rows: int, recall: float = RECALL) -> int:
+    """The fewest bands of so many rows that find a pair of this similarity with this chance."""
+    if similarity >= 1:
+        return 1
     return math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows))
 
 
+def plan(similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int]:
+    """bands and rows of least cost that reach the recall."""
+
+    def cost(rows: int) -> float:
+        bands = plan_bands(similarity, rows, recall)
+        return bands * rows + BAND_COST * bands + CANDIDATE_COST * (1 - (1 - 0.5**rows) ** bands)
+
+    rows = min(range(1, MOST_ROWS + 1), key=cost)
+    return plan_bands(similarity, rows, recall), rows
+
+
 class _Words(dict):
     """Word (bytes) to its 64-bit hash."""
 
@@ -98,7 +116,7 @@ def _multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
     return random.integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1), random.integers(0, 1 << 32, count, dtype=np.uint32)
 
 
-def signature(hashes: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
+def signature(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit value a band."""
     times, plus = _multipliers(bands * rows)
     low = hashes.astype(np.uint32)
@@ -117,7 +135,7 @@ def signature(hashes: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, words, content (digest of the words, null without any) and bands (null likewise)."""
+    """doc_id, text_key (hash of the text as it stands), words, content (digest of the words, null without any) and bands (null likewise)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: dict[str, np.ndarray] = {}
@@ -134,62 +152,71 @@ def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                             last.clear()
                         last[content] = signature(hashes, bands, rows)
                     values.append(last[content] if content else None)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(contents, pa.string()), pa.array(values, pa.list_(pa.int64()))], names=["doc_id", "words", "content", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(contents, pa.string()), pa.array(values, pa.list_(pa.int64()))], names=["doc_id", "text_key", "words", "content", "bands"])
 
-    return pick(docs, doc_id="long", text="string").mapInArrow(lambda batches: releasing(run(batches), True), "doc_id long, words long, content string, bands array<long>")
+    return docs.select("doc_id", "text", "text_key").mapInArrow(lambda batches: releasing(run(batches), True), "doc_id long, text_key long, words long, content string, bands array<long>")
 
 
-def intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all pairs' intersections.
+def intersections(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of the intersections of all pairs of two lists, or within one.
 
     They come from products of incidence matrices over the shingles that two or
     more sets hold, a slice of these at a time.
     """
-    n = len(sets)
-    if n == 2:
-        both = len(np.intersect1d(*sets, assume_unique=True))
-        return np.array([[len(sets[0]), both], [both, len(sets[1])]], np.float32)
-    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    sets = left + (right or [])
+    n, m = len(left), len(right) if right is not None else len(left)
+    if n == m == 1:
+        return np.array([[len(np.intersect1d(left[0], sets[-1], assume_unique=True))]], np.float32)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     _, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = counts[inverse] > 1
     owner = owner[shared]
     _, column = np.unique(inverse[shared], return_inverse=True)
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    common = np.zeros((n, n), np.float32)
-    step = max(256, min(4096, (2 << 20) // n))
+    common = np.zeros((n, m), np.float32)
+    step = max(256, min(4096, (2 << 20) // len(sets)))
     for first in range(0, int(column[-1]) + 1 if len(column) else 0, step):
         a, b = np.searchsorted(column, [first, first + step])
-        incidence = np.zeros((n, step), np.float32)
+        incidence = np.zeros((len(sets), step), np.float32)
         incidence[owner[a:b], column[a:b] - first] = 1
-        common += incidence @ incidence.T
+        common += incidence[:n] @ (incidence if right is None else incidence[n:]).T
+    if right is None:
+        # Shingles that one set holds alone count in its own size.
+        np.fill_diagonal(common, [len(x) for x in left])
     return common
 
 
-def pair_links(sets: list[np.ndarray], values: np.ndarray, band: int, limit: float) -> np.ndarray:
-    """Boolean matrix: pairs at ``limit`` or more whose first common band is ``band``."""
-    common = intersections(sets)
-    sizes = np.array([len(x) for x in sets], np.float32)
-    linked = common >= np.float32(limit) * (sizes[:, None] + sizes[None, :] - common) - 1e-3
-    np.fill_diagonal(linked, False)
-    if linked.any():
-        # Whole numbers decide what the tolerance let through.
-        i, j = np.nonzero(linked)
+def pair_links(left: list[np.ndarray], right: list[np.ndarray] | None, values: tuple[np.ndarray, np.ndarray], band: int, limit: float) -> np.ndarray:
+    """Boolean matrix: pairs at ``limit`` or more whose first common band is ``band``.
+
+    right: the sets across which to compare; None: ``left`` within itself.
+    """
+    common = intersections(left, right)
+    sizes = [np.array([len(x) for x in part], np.float32) for part in (left, left if right is None else right)]
+    linked = common >= np.float32(limit) * (sizes[0][:, None] + sizes[1][None, :] - common) - 1e-3
+    if right is None:
+        np.fill_diagonal(linked, False)
+    i, j = np.nonzero(linked)
+    if len(i):
+        # Whole numbers decide what the tolerance let through; then the bands, of the pairs that are left.
         inter = np.rint(common[i, j]).astype(np.int64)
-        union = np.rint(sizes[i] + sizes[j] - common[i, j]).astype(np.int64)
-        linked[i, j] = inter * 10**6 >= round(limit * 10**6) * union
-        linked &= values[:, None, band] == values[None, :, band]
+        union = (sizes[0][i] + sizes[1][j]).astype(np.int64) - inter
+        good = inter * 10**6 >= round(limit * 10**6) * union
+        good &= values[0][i, band] == values[1][j, band]
         for k in range(band):
-            linked &= values[:, None, k] != values[None, :, k]
+            good &= values[0][i, k] != values[1][j, k]
+        linked[i, j] = good
     return linked
 
 
-def local_roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The smallest id of each member's component within a unit."""
+def local_roots(i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The smallest id of each member's component within a unit, of its links (i, j)."""
     label = ids.copy()
-    high = np.iinfo(np.int64).max
     while True:
-        lower = np.minimum(label, np.where(linked, label[None, :], high).min(1))
+        lower = label.copy()
+        np.minimum.at(lower, i, label[j])
+        np.minimum.at(lower, j, label[i])
         if (lower == label).all():
             return label
         label = lower
@@ -203,26 +230,27 @@ def verified(units: DataFrame, limit: float) -> DataFrame:
     names = ["unit", "rep", "text", "bands", "copies", "band", "side", "content", "cross"]
 
     def unit(rows: list[tuple], known: dict[bytes, int]) -> list[tuple[int, int, int]]:
-        # Of rows that repeat an id, the one with the class's own words stands.
-        each = {}
-        for r in rows:
-            found = shingles(r[2] or "", SHINGLE, known)
-            if found[2] == r[7]:
-                each[r[1], r[7]] = (r, found[0])
-        if len(each) < 2:
-            return []
-        rows, sets = [r for r, _ in each.values()], [x for _, x in each.values()]
-        if rows[0][8] and len({r[6] for r in rows}) < 2:
-            return []
-        linked = pair_links(sets, np.array([r[3] for r in rows], np.int64), rows[0][5], limit)
-        side = np.array([r[6] for r in rows])
-        if rows[0][8]:
-            linked &= side[:, None] != side[None, :]
-        if not linked.any():
+        # By the sides of the unit; a row that came twice, as equal rows do, stands once.
+        rows = list({(r[1], r[7]): r for r in rows}.values())
+        cross = rows[0][8]
+        if cross:
+            rows.sort(key=itemgetter(6))
+        cut = sum(r[6] == rows[0][6] for r in rows) if cross else len(rows)
+        if len(rows) < 2 or (cross and cut == len(rows)):
             return []
+        sets = [shingles(r[2] or "", SHINGLE, known)[0] for r in rows]
+        values = np.array([r[3] for r in rows], np.int64)
         ids, weight = np.array([r[1] for r in rows], np.int64), np.array([r[4] for r in rows], np.int64)
-        roots = local_roots(linked, ids)
-        return [(rows[i][1], int(weight[linked[i]].sum()), int(roots[i])) for i in np.flatnonzero(linked.any(1))]
+        if cross:
+            i, j = np.nonzero(pair_links(sets[:cut], sets[cut:], (values[:cut], values[cut:]), rows[0][5], limit))
+            j = j + cut
+        else:
+            i, j = np.nonzero(np.triu(pair_links(sets, None, (values, values), rows[0][5], limit)))
+        if not len(i):
+            return []
+        links = np.bincount(i, weight[j], len(rows)) + np.bincount(j, weight[i], len(rows))
+        roots = local_roots(i, j, ids)
+        return [(rows[k][1], int(links[k]), int(roots[k])) for k in np.unique(np.concatenate([i, j]))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for part in slices(batch, "text", 4 << 20) for row in zip(*(part.column(c).to_pylist() for c in names)))
@@ -252,53 +280,58 @@ def components(edges: DataFrame) -> DataFrame:
     both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "jaccard-edges")
     labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "jaccard-labels")
     while True:
-        around = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        lowered = labels.join(around, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        around = join_small(both, labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
+        lowered = labels.select("id", "label").join(around, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("id").alias("label"), F.col("label").alias("further"))
-        moved = stored(lowered.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "jaccard-labels")
-        labels = moved.select("id", "label")
+        moved = stored(join_small(lowered, jump, "label", "left").select("id", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "jaccard-labels")
+        discard(labels)
         if moved.where("label <> old").isEmpty():
-            return labels.withColumnRenamed("label", "group")
+            return moved.select("id", F.col("label").alias("group"))
+        labels = moved
 
 
-def join(docs: DataFrame, similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL) -> DataFrame:
+def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """A row a document: doc_id, class_id, copy_id, n_links, n_words.
 
     class_id: smallest id of the group of linked documents; copy_id: smallest
     id among the copies of the same words; n_links: other documents whose
     similarity is ``similarity`` or more, copies included.
     """
-    bands = plan_bands(similarity, rows, recall)
-    texts = pick(docs, doc_id="long", text="string").where(F.col("doc_id").isNotNull())
+    bands, rows = plan(similarity, recall)
+    texts = pick(docs, doc_id="long", text="string").where(F.col("doc_id").isNotNull()).withColumn("text_key", F.xxhash64("text"))
     signed = stored(signatures(texts, bands, rows), "jaccard-signatures")
     copied = signed.where(F.col("content").isNotNull()).groupBy("content")
-    classes = stored(copied.agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("words").alias("words"), F.first("bands").alias("bands")).withColumn("key", F.xxhash64("content")), "jaccard-classes")
+    # A class is represented by one row, told by its id and its text's hash.
+    classes = copied.agg(F.min(F.struct("doc_id", "text_key")).alias("x"), F.count("*").alias("copies"), F.first("words").alias("words"), F.first("bands").alias("bands"))
+    classes = stored(classes.select("content", F.col("x.doc_id").alias("rep"), F.col("x.text_key").alias("text_key"), "copies", "words", "bands"), "jaccard-classes")
     placed = stored(_placements(classes), "jaccard-placements")
     near = marked(texts.withColumnRenamed("doc_id", "rep"), placed, "rep").where("maybe").drop("maybe")
-    units = placed.join(classes.select("rep", "key", "content", "bands"), ["rep", "key"]).join(near, "rep")
+    # Each representative's text once, whatever rows repeat it; then to its units.
+    chosen = classes.select("rep", "text_key", "content", "bands").join(near, ["rep", "text_key"]).dropDuplicates(["rep", "text_key"])
+    units = placed.join(chosen, ["rep", "text_key"])
     found = stored(verified(units.repartition("unit").sortWithinPartitions("unit"), similarity), "jaccard-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("rep").alias("a"), F.col("least").alias("b")))
     known = classes.select("content", "rep", "copies").join(links, "rep", "left").join(groups.withColumnRenamed("id", "rep"), "rep", "left")
-    known = known.select("content", F.col("rep").alias("copy_id"), F.coalesce("group", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    known = known.select("content", "copies", F.col("rep").alias("copy_id"), F.coalesce("group", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     columns = ["doc_id", "class_id", "copy_id", "n_links", F.col("words").alias("n_words")]
     alone = signed.where(F.col("content").isNull()).select("doc_id", "words", F.col("doc_id").alias("copy_id"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return signed.select("doc_id", "words", "content").join(known, "content").select(*columns).unionByName(alone.select(*columns))
+    return join_hot(signed.select("doc_id", "words", "content"), stored(known, "jaccard-known"), "content", "copies").select(*columns).unionByName(alone.select(*columns))
 
 
 def _placements(classes: DataFrame) -> DataFrame:
-    """rep, key, copies, band, side, unit and cross (whether of two blocks): the units in which each representative is compared."""
-    banded = classes.select("rep", "key", "words", "copies", F.posexplode("bands").alias("band", "value"))
+    """rep, text_key, copies, band, side, unit and cross (whether of two blocks): the units in which each representative is compared."""
+    banded = classes.select("rep", "text_key", "words", "copies", F.posexplode("bands").alias("band", "value"))
     # A bucket is told by its members: their number, extremes and summed hashes. Equal ones are the same bucket.
-    member = F.xxhash64("rep", "key").cast("decimal(20,0)")
+    member = F.xxhash64("rep", "text_key").cast("decimal(20,0)")
     buckets = banded.groupBy("band", "value").agg(F.count("*").alias("size"), F.min("rep").alias("low"), F.max("rep").alias("high"), F.sum(member).alias("mark"), F.sum("words").alias("all_words")).where("size > 1")
     buckets = buckets.groupBy("size", "low", "high", "mark").agg(F.min(F.struct("band", "value", "all_words")).alias("x")).select("x.*", "size")
     # Blocks: by a hash, enough that each is small by members and by words.
     number = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK), F.ceil(F.col("all_words") / BLOCK_WORDS)).cast("int")
     members = banded.drop("words").join(buckets.withColumn("blocks", F.least(number, F.col("size").cast("int"))), ["band", "value"])
-    members = members.withColumn("side", F.pmod(F.xxhash64("rep", "key", F.lit(7)), F.col("blocks")).cast("int"))
+    members = members.withColumn("side", F.pmod(F.xxhash64("rep", "text_key", F.lit(7)), F.col("blocks")).cast("int"))
     units = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.xxhash64("band", "value", F.least(o, F.col("side")), F.greatest(o, F.col("side"))).alias("unit"), (o != F.col("side")).alias("cross")))
-    return members.select("rep", "key", "copies", "band", "side", F.explode(units).alias("x")).select("rep", "key", "copies", "band", "side", "x.unit", "x.cross")
+    return members.select("rep", "text_key", "copies", "band", "side", F.explode(units).alias("x")).select("rep", "text_key", "copies", "band", "side", "x.unit", "x.cross")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -307,39 +307,70 @@ def test_empty_blocks_count_nothing(spark, monkeypatch):
         assert row["n_links"] == 1 and row["class_id"] == row["doc_id"] // 2 * 2
 
 
-def test_bands_and_recall():
+def test_repeated_ids_and_hot_copies(spark, monkeypatch):
+    from folioflow.llm import common
+
+    r = random.Random(13)
+    w = [f"w{r.randrange(400)}" for _ in range(120)]
+    a, b, other = " ".join(w), " ".join([*w, "end"]), " ".join(f"v{r.randrange(400)}" for _ in range(100))
+    rows = spark.createDataFrame([(1, a)] * 30 + [(1, other), (2, b), (2, other), (3, a)], "doc_id long, text string")
+    plain = sorted(map(tuple, ngram_jaccard.join(rows).collect()))
+    assert collections.Counter(x[3] for x in plain if x[0] == 1)[31] == 30  # 29 copies, document 3 and the near one
+    assert next(x for x in plain if x[0] == 3)[1:4] == (1, 1, 31)
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    assert plain == sorted(map(tuple, ngram_jaccard.join(rows).collect()))
+
+
+def test_bands_and_recall(spark):
     assert ngram_jaccard.plan_bands(0.8, 8, 0.9999) == 51
+    bands, rows = ngram_jaccard.plan()
+    assert 1 - (1 - 0.8**rows) ** bands >= 0.9999 and ngram_jaccard.plan(0.95)[1] > rows and ngram_jaccard.plan(0.8, 0.9)[0] < bands
     r = np.random.default_rng(3)
     found = 0
     for _ in range(150):
         shared, own = r.integers(0, 2**63, 160).astype(np.uint64), r.integers(0, 2**63, (2, 20)).astype(np.uint64)
-        a, b = (ngram_jaccard.signature(np.unique(np.concatenate([shared, o])), 51) for o in own)
+        a, b = (ngram_jaccard.signature(np.unique(np.concatenate([shared, o])), bands, rows) for o in own)
         found += bool((a == b).any())
     assert found >= 149
+    # Recall on a whole table, against all pairs by an inverted index of shingles.
+    texts = {x["doc_id"]: x["text"] or "" for x in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    sets = {i: shingle_sets(t) for i, t in texts.items()}
+    holders, common = collections.defaultdict(list), collections.Counter()
+    for i, shingles in sets.items():
+        for x in shingles:
+            for j in holders[x]:
+                common[j, i] += 1
+            holders[x].append(i)
+    expected = collections.Counter()
+    for (i, j), n in common.items():
+        if 10 * n >= 8 * (len(sets[i]) + len(sets[j]) - n):
+            expected[i] += 1
+            expected[j] += 1
+    rows = ngram_jaccard.join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    assert sum(x["n_links"] for x in rows) >= 0.999 * sum(expected.values()) > 0 and all(x["n_links"] <= expected[x["doc_id"]] for x in rows)
 
 
 # --- licenses ----------------------------------------------------------------
 
 
 def test_license_scan_finds_what_brute_force_finds(spark, docs):
-    extra = ["Released under the MIT\nLicense", "under the mit license under the mit license", "This is released under that mit license", "LICENSED UNDER CC BY-NC 4.0", "all rights are reserved here", "All   rights reserved", "é1 " * 60 + "licensed under apache license version 2 0 " + "x " * 60]
+    extra = ["Released under the MIT\nLicense", "under the mit license under the mit license", "This is released under that mit license", "LICENSED UNDER CC BY-NC 4.0", "all rights are reserved here", "All   rights reserved", "é1 " * 60 + "licensed under apache license version 2 0 " + "x " * 60, "all " + "x " * 20 + "rights " + "x " * 20 + "reserved", "Redistribution and use in\nsource and binary\nforms with or without"]
     texts = [r["text"] for r in docs.collect()] + extra
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     known = license_scan.prepared(license_scan.TEMPLATES, license_scan.CONTAINMENT)
     word = lambda t: re.findall(license_scan.WORD, t.translate(str.maketrans(license_scan.UPPER, license_scan.LOWER)))
-    half = license_scan.WINDOW // 2
     for row in license_scan.scan(rows).collect():
         text = texts[row["doc_id"]]
         w = word(text)
         places = [(i, label) for phrase, label in license_scan.PHRASES.items() for n in [len(phrase.split())] for i in range(len(w) - n + 1) if w[i : i + n] == phrase.split()]
         held = {}
-        for line in text.split("\n"):
-            lw = word(line)
-            for s in range(0, max(len(lw) - half - 1, 0) + 1, half):
-                block = set(lw[s : s + license_scan.WINDOW])
-                for label, parts, need in known:
-                    if len(block & set(parts)) >= need:
-                        held[label] = max(held.get(label, 0), len(block & set(parts)) / len(parts))
+        for label, parts, need in known:
+            window = license_scan.window_of(parts)
+            for s in range(0, max(len(w) - window // 2 - 1, 0) + 1, window // 2):
+                both = set(w[s : s + window]) & set(parts)
+                if len(both) >= need:
+                    held[label] = max(held.get(label, 0), len(both) / len(parts))
         base = {label for _, label in places}
         assert row["n_words"] == len(w) and row["n_base"] == len(places)
         assert row["first_word"] == min((i for i, _ in places), default=None) and row["last_word"] == max((i for i, _ in places), default=None)
