@@ -103,3 +103,28 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
         common.shared_dir(Session())
     Context.master = "local[2]"
     assert common.shared_dir(Session()) == common.shared_dir(Session())
+
+
+def test_ties(spark, docs):
+    """What happens where an operator has to choose among equals."""
+    rows = spark.createDataFrame([(i, WORDS, "en", "a") for i in (5, 3, 9)] + [(20, "x y z " * 30, "en", "a")], "doc_id long, text string, lang string, source string")
+    # Equal distances: all kept or none. Equal similarity: the smallest id names the group.
+    assert len({(r["distance"], r["kept"]) for r in quality_mcd.judge(rows).where("doc_id < 20").collect()}) == 1
+    assert {r["class_id"] for r in ngram_jaccard.join(rows).where("doc_id < 20").collect()} == {3}
+    # Words that are equally frequent: the result has no order of them.
+    both = spark.createDataFrame([(1, "all rights reserved released under the mit license")], "doc_id long, text string")
+    assert license_scan.scan(both).first()["labels"] == "all-rights-reserved,mit"
+    # Words that reveal equally: all of them go.
+    told = spark.createDataFrame([(i, f"alpha beta a{i}@x.example.org") for i in range(6)] + [(i, f"plain {i}") for i in range(10, 40)], "doc_id long, text string")
+    assert {r["n_term"] for r in pii_disclosure.report(told).where("doc_id < 10").collect()} == {2}
+    # Equal scores and equal sizes: one score a text; pages hold any of the equals.
+    scores = toxicity_gru.classify(rows, spark.createDataFrame([(3, 1), (9, 0), (20, 0)], "doc_id long, toxic int")).where("doc_id < 20").collect()
+    assert len({r["score"] for r in scores}) == 1
+    same = spark.createDataFrame([(1, "z" * 10)] * 7, "doc_id long, text string")
+    assert sorted((r["page"], r["shard_bytes"]) for r in sharding.shard(same, 25).collect()) == [(0, 20), (0, 20), (1, 20), (1, 20), (2, 10), (3, 20), (3, 20)]
+    # Lines of equal ratio: all content.
+    assert html_ttr.main_text("<div>aaa bbb</div><div>ccc ddd</div>") == "aaa bbb\nccc ddd"
+    # Equal texts have equal ids and sounds, whichever row comes first.
+    assert len({(r["ids_sha256"], r["n_tokens"]) for r in bpe_stream.round_trip(rows).where("doc_id < 20").collect()}) == 1
+    assert len({r["feature"] for r in telephony.features(telephony.decode(telephony.store(rows))).where("doc_id < 20").collect()}) == 1
+    assert {r["doc_tokens"] for r in packing.pack(rows).where("doc_id < 20").collect()} == {packing.pack(rows).where("doc_id = 3").first()["doc_tokens"]}
