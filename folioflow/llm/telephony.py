@@ -36,6 +36,8 @@ from .common import pick, slices
 #: Bytes of a padded payload come in multiples of this.
 UNIT = 576
 RATE = 8000
+#: Samples of stored PCM for each sample of speech.
+UP = 2
 #: WAV format tags (fixed values).
 PCM, A_LAW, MU_LAW, IMA_ADPCM = 1, 6, 7, 17
 #: IMA ADPCM index changes by the low three bits of a code (fixed values).
@@ -78,7 +80,7 @@ def _kernel(up: int) -> np.ndarray:
     return (phases / phases.sum(1, keepdims=True)).astype(np.float32)
 
 
-def resample(pcm: np.ndarray, up: int = 2) -> np.ndarray:
+def resample(pcm: np.ndarray, up: int = UP) -> np.ndarray:
     """``up`` times as many samples; both ends are held."""
     if up == 1 or not len(pcm):
         return pcm.astype(np.int16)
@@ -213,7 +215,7 @@ def sound_of(media: bytes | None, up: int) -> bytes | None:
     return wav(memoryview(pcm).cast("B") if len(pcm) else b"", PCM, rate * up, 2, 16)
 
 
-def decode(media: DataFrame, up: int = 2) -> DataFrame:
+def decode(media: DataFrame, up: int = UP) -> DataFrame:
     """The stored sounds with ``sound``: each one as ``up`` times as many samples of PCM (``SOUNDS``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +227,7 @@ def decode(media: DataFrame, up: int = 2) -> DataFrame:
     return pick(media, doc_id="long", n_bytes="long", media="binary").mapInArrow(run, SOUNDS)
 
 
-def save(docs: DataFrame, path: str, form: int = MU_LAW, up: int = 2) -> None:
+def save(docs: DataFrame, path: str, form: int = MU_LAW, up: int = UP) -> None:
     """Write each text's telephony form and its resampled PCM as a Parquet table."""
     decode(store(docs, form), up).write.parquet(path)
 
@@ -261,16 +263,23 @@ def _levels(payloads: list[np.ndarray], sounds: list[np.ndarray]) -> list[str]:
 
 
 def features(sounds: DataFrame) -> DataFrame:
-    """Read both stored columns back; digests of what was read and of the stored form, and levels (``FEATURES``)."""
+    """Read both stored columns back; digests of what was read and of the stored form, and levels (``FEATURES``).
+
+    A table without ``sound`` gets it here, the same column as ``decode`` makes, a
+    few megabytes at a time: sounds are four times the payload, and batches of
+    ten thousand of them between two operators would fill an executor.
+    """
+    made = "sound" not in sounds.columns
     names = [x.split()[0] for x in FEATURES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = lambda x: None if x is None else hashlib.sha256(x).hexdigest()
         for whole in batches:
-            for batch in slices(whole, "media", 4 << 20):
+            for batch in slices(whole, "media", 2 << 20):
+                kept = pa.array([sound_of(x, UP) for x in batch.column("media").to_pylist()], pa.binary()) if made else batch.column("sound")
                 stored = [x or b"" for x in batch.column("media").to_pylist()]
                 payloads = [x and bytes(x[3]) for x in map(unwav, stored)]
-                heard = [unwav(x) if x else None for x in batch.column("sound").to_pylist()]
+                heard = [unwav(x) if x else None for x in kept.to_pylist()]
                 both = [(np.frombuffer(p, np.uint8), expand(h[0], np.frombuffer(h[3], np.uint8), h[2])) for p, h in zip(payloads, heard) if p is not None and h]
                 levels = iter(_levels([p for p, _ in both], [h for _, h in both]))
                 columns = [
@@ -286,4 +295,5 @@ def features(sounds: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], names=names)
 
-    return pick(sounds, doc_id="long", n_bytes="long", media="binary", sound="binary").mapInArrow(run, FEATURES)
+    rows = pick(sounds, doc_id="long", n_bytes="long", media="binary", **({} if made else {"sound": "binary"}))
+    return rows.mapInArrow(run, FEATURES)

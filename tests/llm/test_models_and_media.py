@@ -199,7 +199,9 @@ def test_telephony_is_lossless(spark, docs, tmp_path):
         telephony.save(docs, path, form)
         sounds = spark.read.parquet(path)
         media = {r["doc_id"]: r for r in sounds.collect()}
-        for row in telephony.features(sounds).collect():
+        features = telephony.features(sounds)
+        assert features.orderBy("doc_id").collect() == telephony.features(telephony.store(docs, form)).orderBy("doc_id").collect()
+        for row in features.collect():
             raw, kept = texts[row["doc_id"]], media[row["doc_id"]]
             payload = raw + b"\xff" * (max(1, -(-len(raw) // 576)) * 576 - len(raw))
             assert row["n_bytes"] == len(raw) and row["payload_bytes"] == len(payload) and row["payload_sha256"] == hashlib.sha256(payload).hexdigest()
