@@ -3,9 +3,9 @@
 A directory is indexed by the leading bits of a key's hash. All keys begin in
 one bucket; a bucket over the byte limit, and only that one, splits on its next
 bit, until every bucket fits. The bytes of buckets come from histograms over
-hash prefixes, ``STRIDE`` bits deeper in each round and only under the buckets
-that are still too large, so the documents themselves are read once and moved
-only by a writer. The finished directory is joined to the keys on their
+hash prefixes: first over about twice as many as there will be shards, then
+``STRIDE`` bits deeper in each round and only under the buckets that are still
+too large, so the documents themselves are read once and moved only by a writer. The finished directory is joined to the keys on their
 shortest common prefix.
 
 A row's key is its doc_id; its hash is the first 60 bits of the id's MD5. Rows
@@ -54,7 +54,8 @@ def keys(docs: DataFrame) -> DataFrame:
 def directory(rows: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     """The buckets of ``keys`` rows: depth, prefix, bytes, rows, lo and hi of their hashes.
 
-    Depth grows by STRIDE bits a round; a round ends the search under each
+    The first round goes as deep as even buckets would need, and one bit more;
+    then depth grows by STRIDE bits a round. A round ends the search under each
     bucket that fits and keeps the oversized ones for the next.
     """
     root = rows.groupBy(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix")).agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("rows"))
@@ -62,7 +63,8 @@ def directory(rows: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     leaves, large = root.where(F.col("bytes") <= limit), root.where(F.col("bytes") > limit)
     depth = 0
     while depth < BITS and not large.isEmpty():
-        below = min(depth + STRIDE, BITS)
+        even = large.agg(F.max("bytes")).first()[0] // limit
+        below = min(depth + max(1 if depth == 0 else STRIDE, even.bit_length() + 1), BITS)
         fine = rows.select("n_bytes", _prefix(F.col("hashed"), below).alias("fine"), _prefix(F.col("hashed"), depth).alias("above"))
         if depth:
             fine = fine.join(large.select(F.col("prefix").alias("above")), "above", "left_semi")
