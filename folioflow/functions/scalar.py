@@ -194,15 +194,14 @@ def compact(value: Column, fields: list[str]) -> Column:
 def without_nulls(value: Column, kind: T.DataType) -> Column:
     """A value without what is null in it, from the inside out.
 
-    A struct all of whose fields end as null is null, and so is an array left
-    with no element. kind: the value's type.
+    A struct all of whose fields end as null is null; an array left with no
+    element stays, empty. kind: the value's type.
     """
     if isinstance(kind, T.StructType):
         fields = [without_nulls(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
         return bound(F.struct(*fields), lambda x: compact(x, kind.names))
     if isinstance(kind, T.ArrayType):
-        kept = F.array_compact(F.transform(value, lambda x: without_nulls(x, kind.elementType)))
-        return bound(kept, lambda x: F.when(F.size(x) > 0, x))
+        return F.array_compact(F.transform(value, lambda x: without_nulls(x, kind.elementType)))
     return value
 
 

@@ -121,6 +121,18 @@ def entities(rows: DataFrame, prefix: str = "urn:folioflow:", labels: dict[str,
     return given.select(order, work.alias("work"), person.alias("person"))
 
 
+def with_code_labels(works: DataFrame, labels: DataFrame, key: str = "work_id", codes: str = "class_codes") -> DataFrame:
+    """``works`` with the labels of their class codes in the codes' place; a code without one stands for itself.
+
+    labels: (code, label), a row a code. The codes meet them as rows, so the table may be of any size.
+    """
+    each = works.select(key, F.posexplode(codes).alias("place", "x")).select(key, "place", F.col("x.category").alias("code"), "x.childrens")
+    named = each.join(labels.select("code", "label"), "code", "left").select(key, "place", F.struct(F.coalesce("label", "code").alias("category"), "childrens").alias("x"))
+    lists = named.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "x"))), lambda v: v["x"]).alias("_labelled"))
+    joined = works.join(lists, key, "left")
+    return joined.select(*[F.coalesce("_labelled", codes).alias(c) if c == codes else F.col(f"`{c}`") for c in works.columns])
+
+
 def link_table(pairs: DataFrame) -> DataFrame:
     """work_id, person_id, relation: the links of ``entities`` rows."""
     links = [F.when(F.col(f"work.{r}").isNotNull(), F.lit(r)) for r in RELATIONS]

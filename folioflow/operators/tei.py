@@ -17,6 +17,8 @@ HEADER = (
     "responsibilities:array<struct<resp:string,names:array<string>>>,factuality_type:string,class_codes:array<struct<category:string,childrens:boolean>>,text_type:string,"
     "derivation_type:string,constitution_type:string,purpose_type:string,purpose_degree:string,changes:array<struct<when:date,who:string>>>"
 )
+#: Quotation record: what ``quotation`` takes besides the text.
+QUOTATION = "struct<type:string,direct:boolean,aloud:boolean,outside_referer:boolean>"
 ENCODING_NOTE = "Converted automatically; boundaries of words, sentences and paragraphs are encoded, some formatting is left out."
 PROJECT_NOTE = "Converted from a digital library."
 

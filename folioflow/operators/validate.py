@@ -39,6 +39,11 @@ def each(name: str, what: str, test) -> Rule:
     return f"{name}: every {what}", F.forall(F.col(name), test)
 
 
+def quotation_rules() -> list[Rule]:
+    """Of quotation records; that the other three are flags is a matter of the schema (``tei.QUOTATION``)."""
+    return [one_of("type", ("spoken", "thought"), nilable=True)]
+
+
 def validate(rows: DataFrame, rules: list[Rule], column: str = "violations") -> DataFrame:
     """``rows`` with the array of the broken rules' names, in the order given."""
     broken = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules]

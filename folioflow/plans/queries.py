@@ -102,6 +102,22 @@ def class_codes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", F.array_join(F.transform(codes, lambda x: F.concat(F.when(x["childrens"], "K").otherwise(""), x["category"])), ",").alias("codes"))
 
 
+@query("""
+SELECT p_partkey, CASE WHEN p_size % 10 = 9 THEN NULL ELSE coalesce(a.n_name, lpad(CAST(p_size AS VARCHAR), 3, '0')) || CASE WHEN p_size % 2 = 0 THEN ',K' || coalesce(b.n_name, lpad(CAST(p_size // 2 + 300 AS VARCHAR), 3, '0')) ELSE '' END END AS codes
+FROM part LEFT JOIN nation a ON a.n_nationkey = p_size LEFT JOIN nation b ON b.n_nationkey + 300 = p_size // 2 + 300
+""")
+def class_code_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Class codes with their labels from a table, some of which it lacks."""
+    three = lambda c: F.lpad(c.cast("string"), 3, "0")
+    cell = F.concat(F.lit("NDC "), three(F.col("p_size")), F.when(F.col("p_size") % 2 == 0, F.concat(F.lit(" K"), three(F.floor(F.col("p_size") / 2) + 300))).otherwise(""))
+    works = table(spark, d, "part").select("p_partkey", S.class_codes(F.when(F.col("p_size") % 10 == 9, "none").otherwise(cell)).alias("class_codes"))
+    nation = table(spark, d, "nation")
+    labels = nation.select(three(F.col("n_nationkey")).alias("code"), F.col("n_name").alias("label"))
+    labels = labels.unionByName(nation.select((F.col("n_nationkey") + 300).cast("string").alias("code"), F.col("n_name").alias("label")))
+    named = catalog.with_code_labels(works, labels, "p_partkey")
+    return named.select("p_partkey", F.array_join(F.transform("class_codes", lambda x: F.concat(F.when(x["childrens"], "K").otherwise(""), x["category"])), ",").alias("codes"))
+
+
 @query("""
 WITH c AS (SELECT p_partkey, p_name || '、' || p_brand || '、' || CASE WHEN p_size % 2 = 0 THEN '' ELSE p_type END AS v FROM part)
 SELECT p_partkey, CAST(len(string_split(rtrim(v, '、'), '、')) AS BIGINT) AS n, array_to_string(string_split(rtrim(v, '、'), '、'), '|') AS parts FROM c

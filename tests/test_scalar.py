@@ -4,6 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioflow.functions import scalar as S
 from folioflow.functions import text as X
@@ -115,7 +116,18 @@ def test_small_expressions(spark):
 
 def test_nulls_go_from_the_inside_out(spark):
     kind = "a int, b struct<c:int,d:array<struct<e:string>>>, f array<int>, g struct<h:struct<i:int>>"
-    rows = spark.createDataFrame([(1, (None, [("x",), (None,), None]), [None, 2], ((None,),)), (None, (None, [(None,)]), [None], None)], kind)
+    rows = spark.createDataFrame([(1, (None, [("x",), (None,), None]), [None, 2], ((None,),)), (None, (None, None), None, ((None,),))], kind)
     whole = F.struct(*rows.columns)
     found = [r[0] for r in rows.select(S.without_nulls(whole, rows.schema)).collect()]
     assert found[1] is None and found[0]["a"] == 1 and [x["e"] for x in found[0]["b"]["d"]] == ["x"] and found[0]["f"] == [2] and found[0]["g"] is None
+    assert spark.range(1).select(S.without_nulls(F.array(F.lit(None).cast("int")), T.ArrayType(T.IntegerType()))).first()[0] == []
+
+
+def test_quotation_rules(spark):
+    from folioflow.operators import validate
+
+    rows = spark.createDataFrame([(1, "spoken"), (2, "sung"), (3, None)], "i int, type string")
+    assert [r["i"] for r in validate.invalid(rows, validate.quotation_rules()).collect()] == [2]
+    lists = spark.createDataFrame([(1, [1, 2]), (-1, [0]), (2, [])], "i int, xs array<int>")
+    broken = [tuple(r["violations"]) for r in validate.validate(lists, [validate.non_negative("i"), validate.each("xs", "one", lambda x: x > 0)]).orderBy(F.abs("i"), "i").collect()]
+    assert sorted(broken) == [(), (), ("i: not negative", "xs: every one")]
