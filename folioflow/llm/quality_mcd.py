@@ -56,7 +56,7 @@ PRIOR_WORDS = 40
 QUANTUM = 1 / 2000
 SHARE, MOST_STEPS, MIN_POOL, CELLS = 0.5, 20, 80, 16
 #: Change of a determinant's logarithm that counts as none.
-SETTLED = 1e-6
+SETTLED = 1e-3
 #: Chance that a document of a normal pool is rejected.
 TAIL = 1e-9
 #: Chance beyond which a document has no weight in the final estimate.
@@ -245,21 +245,20 @@ def estimates(rows: DataFrame) -> DataFrame:
     present = stored(_first_estimates(rows), "mcd-start")
     factor = consistency(SHARE, p)
     for _ in range(MOST_STEPS):
-        measured = _distance(join_small(rows, present.drop("n"), "pool"))
+        measured = _distance(join_small(rows, present.drop("n", "old").withColumnRenamed("logdet", "old"), "pool"))
         cell = F.floor(F.log2(1 + F.col("d2")) * CELLS).cast("int")
-        cells = measured.withColumn("cell", cell).groupBy("pool", "start", "cell").agg(*_moments())
-        within = Window.partitionBy("pool", "start")
+        cells = measured.withColumn("cell", cell).groupBy("pool", "start", "old", "cell").agg(*_moments())
+        within = Window.partitionBy("pool", "start", "old")
         nearer = F.coalesce(F.sum("n").over(within.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         wanted = F.ceil(F.sum("n").over(within) * SHARE) - nearer
         chosen = cells.withColumn("taken", F.least(F.col("n"), wanted)).where("taken > 0")
-        before, present = present, stored(_factored(chosen.groupBy("pool", "start").agg(*_added(F.col("taken"))), ["pool", "start"], factor), "mcd-step")
-        moved = present.join(before.select("pool", "start", F.col("logdet").alias("old")), ["pool", "start"]).where(F.abs(F.col("logdet") - F.col("old")) > SETTLED)
-        settled = moved.isEmpty()
+        keys = ["pool", "start", "old"]
+        before, present = present, stored(_factored(chosen.groupBy(*keys).agg(*_added(F.col("taken"))), keys, factor), "mcd-step")
         discard(before)
-        if settled:
+        if present.where(F.abs(F.col("logdet") - F.col("old")) > SETTLED).isEmpty():
             break
     best = present.groupBy("pool").agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
-    raw = stored(present.join(best, ["pool", "start"]).drop("start"), "mcd-best")
+    raw = stored(present.join(best, ["pool", "start"]).drop("start", "old"), "mcd-best")
     near = _distance(join_small(rows, raw.drop("n"), "pool")).where(F.col("d2") <= chi2_quantile(REWEIGHT_TAIL, p))
     final = _factored(near.groupBy("pool").agg(*_moments()), ["pool"], consistency(1 - REWEIGHT_TAIL, p))
     return stored(final.where(F.col("n") >= MIN_POOL * SHARE / 2), "mcd-final")
