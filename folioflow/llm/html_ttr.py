@@ -325,10 +325,10 @@ def article_lines(parser: LineParser, lines: list[Line], out: list[bool], conten
         own, paragraph = lines[i].own() >= OWN_TEXT * lines[i].tags, parser.kind[lines[i].boxes[-1]] not in HOLDERS
         if content[i]:
             return own or paragraph
-        if block[i] not in span or not own:
+        if block[i] not in span:
             return False
         first, last = span[block[i]]
-        return paragraph or first < i < last
+        return lines[i].own() > 0 if paragraph else own and first < i < last
 
     return [h and not k and belongs(i) for i, (h, k) in enumerate(zip(held, linked))]
 

@@ -488,6 +488,27 @@ def test_pages_of_many_kinds(html, expected):
     assert html_ttr.main_text(html) == expected
 
 
+def test_ratios_find_articles_that_nothing_names(spark, monkeypatch):
+    """The generated pages without any element or class that names a part: only ratios are left."""
+    import html as entities
+
+    def articles():
+        exact = 0
+        for r in rows:
+            page = r["html"]
+            for name in ("article", "nav", "footer"):
+                page = page.replace(f"<{name}>", "<div>").replace(f"</{name}>", "</div>")
+            parts = [re.sub(r"<[^>]+>", " ", x) for x in re.split(r"</?(?:h1|p)>", r["html"].split("<article>")[1].split("</article>")[0])]
+            expected = "\n".join(x for x in (re.sub(r"\s+", " ", entities.unescape(p)).strip() for p in parts) if x)
+            exact += html_ttr.main_text(page.replace(' class="ad"', "")) == expected
+        return exact
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    by_ratios = articles()
+    monkeypatch.setattr(html_ttr, "content_lines", lambda lines, out: np.array([not o for o in out]))
+    assert by_ratios > 0.8 * len(rows) and by_ratios > articles()
+
+
 def smoothed_by_hand(ratios):
     out = []
     for i in range(len(ratios)):
