@@ -56,7 +56,7 @@ PRIOR_WORDS = 40
 QUANTUM = 1 / 2000
 SHARE, MOST_STEPS, MIN_POOL, CELLS = 0.5, 20, 80, 16
 #: Change of a determinant's logarithm that counts as none.
-SETTLED = 1e-3
+SETTLED = 1e-2
 #: Chance that a document of a normal pool is rejected.
 TAIL = 1e-9
 #: Chance beyond which a document has no weight in the final estimate.
@@ -209,10 +209,12 @@ def _factored(moments: DataFrame, keys: list[str], factor: float) -> DataFrame:
         exact = (F.col("n").cast("decimal(14,0)") * F.col(f"s{i}_{j}") - F.col(f"s{i}") * F.col(f"s{j}")).cast("double") / n / n
         covariance[f"c{i}_{j}"] = exact * factor + (F.lit((FLOORS[FEATURES[i]] / QUANTUM) ** 2) if i == j else F.lit(0.0))
     out = out.withColumns(covariance)
-    for i, j in _pairs():
-        inner = [F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)]
-        left = F.col(f"c{i}_{j}") - (reduce(Column.__add__, inner) if inner else F.lit(0.0))
-        out = out.withColumn(f"l{i}_{j}", F.sqrt(left) if i == j else left / F.col(f"l{j}_{j}"))
+    for j in range(p):
+        # A column of the factor: its diagonal, then what stands below.
+        left = lambda i: F.col(f"c{i}_{j}") - (reduce(Column.__add__, [F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)]) if j else F.lit(0.0))  # noqa: B023, E731
+        out = out.withColumn(f"l{j}_{j}", F.sqrt(left(j)))
+        if j + 1 < p:
+            out = out.withColumns({f"l{i}_{j}": left(i) / F.col(f"l{j}_{j}") for i in range(j + 1, p)})
     logdet = reduce(Column.__add__, [2 * F.log(F.col(f"l{i}_{i}")) for i in range(p)])
     return out.select(*keys, "n", logdet.alias("logdet"), *[f"m{i}" for i in range(p)], *[f"l{i}_{j}" for i, j in _pairs()])
 
