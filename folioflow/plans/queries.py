@@ -14,6 +14,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalar as S
 from ..functions import text as X
@@ -462,7 +463,7 @@ def tei_header(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", record.alias("record")).select("p_partkey", tei.header(F.col("record")).alias("header"))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _zipped(name: pd.Series, text: pd.Series, codec: pd.Series) -> pd.Series:
     """Archives with a picture and, under ``name`` unless that is empty, a text."""
 
