@@ -92,8 +92,8 @@ def _remove(spark: SparkSession, path: str) -> None:
 _SCRATCH: list[list[str]] = []
 
 
-def stored(df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stored(df: DataFrame, name: str, outlives: bool = False, packed: bool = False) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back. packed: long arrays of bytes, worth a denser codec.
 
     Cuts the lineage: a lost executor costs no recomputation of what lies
     before. The files go at the end of the ``scratch`` about it (with
@@ -101,7 +101,7 @@ def stored(df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/folioflow/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", "zstd") if packed else df.write).parquet(path)
     scopes = _SCRATCH[:-1] if outlives else _SCRATCH
     if scopes:
         scopes[-1].append(path)

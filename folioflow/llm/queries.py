@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_stream, html_ttr, license_scan, ngram_jaccard, packing, pii_disclosure, quality_mcd, sharding, telephony, toxicity_gru
+from . import bpe_stream, collocations, conversations, html_ttr, license_scan, ngram_jaccard, packing, pii_disclosure, quality_mcd, sharding, telephony, token_counts, toxicity_gru
 
 
 #: Bytes of a shard in the registered query: small enough that the test tables split.
@@ -67,6 +67,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), QUERY_SHARD_BYTES)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two and three words of each language, mined by pivot."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    return conversations.repair(_table(spark, sf_dir, "conversations"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every text, from pieces counted once a pretoken."""
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_mcd": op1_quality_mcd,
     "op2_pii_disclosure": op2_pii_disclosure,
@@ -78,9 +93,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_bpe_stream": op9_bpe_stream,
     "op10_sharding": op10_sharding,
+    "op11_collocations": op11_collocations,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_license_scan": license_scan.oracle_sql(),
     "op10_sharding": sharding.shard_sql(QUERY_SHARD_BYTES),
+    "op11_collocations": collocations.oracle_sql(),
+    "op12_conversation_repair": conversations.oracle_sql(),
 }
