@@ -1,0 +1,101 @@
+"""What follows from a graph: transitive closures to their fixpoint, and the RDFS rules.
+
+Closures double their reach each round and are semi-naive: a round joins only
+the pairs found exactly at the last round's distance, and what is known already
+is taken out by an anti-join. A pair is kept with its distance, so a round of
+reach 2n finds the pairs at n+1 to 2n as (exactly n) then (1 to n): every pair
+of a chain once, and a chain of a thousand in ten rounds. Rounds end when one
+finds nothing, whatever the hierarchy's depth; cycles end like that too.
+
+Each round is a table in the shared folder, removed at the end, so a lost
+executor repeats one round and no plan grows with the rounds.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..plans.joins import join_counted
+from ..session import Workspace
+from .triples import COLUMNS, RDF
+
+RDFS = "http://www.w3.org/2000/01/rdf-schema#"
+TYPE = RDF + "type"
+SUBCLASS, SUBPROPERTY, DOMAIN, RANGE = (RDFS + x for x in ("subClassOf", "subPropertyOf", "domain", "range"))
+
+
+def transitive(edges: DataFrame) -> DataFrame:
+    """a, b, distance: every pair that a path of ``edges`` (a, b) joins, with the length of the shortest.
+
+    A node that lies on a cycle reaches itself. Nulls and repeated edges add nothing.
+    """
+    with Workspace(edges.sparkSession, "closure") as space:
+        known = space.store(edges.where("a is not null and b is not null").select("a", "b").distinct().withColumn("distance", F.lit(1).cast("long")))
+        found, reach = [known], 1
+        while True:
+            every = reduce(DataFrame.unionByName, found)
+            frontier = found[-1].where(F.col("distance") == reach)
+            steps = frontier.select("a", F.col("b").alias("mid")).join(every.select(F.col("a").alias("mid"), "b", (F.col("distance") + reach).alias("distance")), "mid")
+            fresh = space.store(steps.groupBy("a", "b").agg(F.min("distance").alias("distance")).join(every.select("a", "b"), ["a", "b"], "left_anti"))
+            if fresh.isEmpty():
+                return space.keep(every)
+            found.append(fresh)
+            reach *= 2
+
+
+def _iri(s: str, p: str, o: str) -> list:
+    """Columns of a triple between names."""
+    return [F.col(s).alias("s"), F.lit(p).alias("p"), F.col(o).alias("o"), F.when(F.col(o).startswith("_:"), "blank").otherwise("iri").alias("o_kind"), *[F.lit(None).cast("string").alias(c) for c in ("o_datatype", "o_lang")]]
+
+
+def _pairs(triples: DataFrame, p: str) -> DataFrame:
+    return triples.where((F.col("p") == p) & (F.col("o_kind") != "literal")).select(F.col("s").alias("a"), F.col("o").alias("b"))
+
+
+def closure(triples: DataFrame, subclass: str, kind: str) -> DataFrame:
+    """``kind`` triples with those that follow from the hierarchy of ``subclass``, to any depth."""
+    told = triples.where(F.col("p") == kind).select(*COLUMNS)
+    above = transitive(_pairs(triples, subclass)).select(F.col("a").alias("o"), "b")
+    inferred = join_counted(told.where("o_kind != 'literal'").select("s", "o"), above, ["o"]).select(*_iri("s", kind, "b"))
+    return told.unionByName(inferred).dropDuplicates(["s", "p", "o"])
+
+
+def _superproperties(triples: DataFrame) -> DataFrame:
+    """a, b: the closure of the subproperty pairs, with those told by way of a subproperty of "subproperty" itself."""
+    pairs = _pairs(triples, SUBPROPERTY)
+    while True:
+        above = transitive(pairs).select("a", "b")
+        ways = above.where(F.col("b") == SUBPROPERTY).select(F.col("a").alias("p"))
+        if ways.isEmpty():
+            return above
+        told = join_counted(triples.where("o_kind != 'literal'").select("s", "p", "o"), ways, ["p"]).select(F.col("s").alias("a"), F.col("o").alias("b"))
+        more = told.join(above, ["a", "b"], "left_anti")
+        if more.isEmpty():
+            return above
+        pairs = above.unionByName(more.distinct())
+
+
+def rdfs(triples: DataFrame) -> DataFrame:
+    """The graph with all that RDFS has follow from it by subproperty, domain, range, subclass and type, as a set.
+
+    Superproperties come first, as to be of a domain or range, or a subclass, may
+    itself be said by a subproperty; then domains and ranges give types, and types
+    their classes' superclasses. Schema tables are counted and broadcast where
+    they are small; else they meet the triples in a shuffle that splits uneven keys.
+    """
+    told = triples.select(*COLUMNS).where("s is not null and p is not null and o is not null")
+    above = _superproperties(told)
+    with Workspace(triples.sparkSession, "rdfs") as space:
+        lifted = join_counted(told, above.select(F.col("a").alias("p"), F.col("b").alias("q")), ["p"]).select("s", F.col("q").alias("p"), "o", "o_kind", "o_datatype", "o_lang")
+        every = space.store(told.unionByName(lifted).dropDuplicates(COLUMNS))
+        classes = lambda p: _pairs(every, p).select(F.col("a").alias("p"), F.col("b").alias("class")).distinct()
+        by_domain = join_counted(every.select("s", "p"), classes(DOMAIN), ["p"]).select("s", "class")
+        by_range = join_counted(every.where("o_kind != 'literal'").select(F.col("o").alias("s"), "p"), classes(RANGE), ["p"]).select("s", "class")
+        types = space.store(_pairs(every, TYPE).toDF("s", "class").unionByName(by_domain).unionByName(by_range).distinct())
+        order = transitive(_pairs(every, SUBCLASS)).select("a", "b")
+        higher = join_counted(types.select("s", F.col("class").alias("a")), order, ["a"]).select("s", F.col("b").alias("class"))
+        entailed = types.unionByName(higher).select(*_iri("s", TYPE, "class")).unionByName(order.select(*_iri("a", SUBCLASS, "b"))).unionByName(above.select(*_iri("a", SUBPROPERTY, "b")))
+        return space.keep(every.unionByName(entailed).dropDuplicates(COLUMNS))

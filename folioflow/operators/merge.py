@@ -7,15 +7,17 @@ the union of the fields. An array counts as a value even if it is empty.
 Both are one aggregation with partial states, so a key that most rows share
 costs no more than any other. What "collect" unites of one entity stands in one
 row; where one may have more links than a row should hold, as with an author
-named "anonymous", ``catalog.link_table`` gives the links as rows instead.
+named "anonymous", ``linked_chunks`` gives them as rows of bounded size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import Workspace
+
 
 def first_value(value: Column, order: Column) -> Column:
     """The value of least ``order`` among those that are not null."""
@@ -43,6 +45,29 @@ def merge(rows: DataFrame, key: str, order: str, mode: str = "first", collect: l
     return rows.groupBy(key).agg(*out)
 
 
+#: Links in a row of ``linked_chunks``.
+CHUNK = 10_000
+
+
+def linked_chunks(rows: DataFrame, key: str, field: str, size: int = CHUNK) -> DataFrame:
+    """key, chunk, links: each key's distinct, sorted elements of array ``field``, ``size`` to a row but for the last.
+
+    Numbered on two levels, so that no task gathers a key: links are dealt by
+    ranges of key and link and stored sorted; within a range a link's number is its
+    place among the rows of its key there, and a key's ranges, of which there are
+    few, are added up before them. A key without links has no row.
+    """
+    with Workspace(rows.sparkSession, "links") as space:
+        links = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.explode(field).alias("link")).where("link is not null").distinct()
+        sorted_ = links.repartitionByRange("key", "link").sortWithinPartitions("key", "link")
+        placed = space.store(sorted_.select("key", "link", F.monotonically_increasing_id().alias("at"), F.spark_partition_id().alias("part")))
+        ranges = placed.groupBy("key", "part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+        before = F.sum("n").over(Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+        starts = space.store(ranges.select("key", "part", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift")))
+        number = placed.join(starts, ["key", "part"]).select("key", "link", F.floor((F.col("at") + F.col("shift")) / size).cast("long").alias("chunk"))
+        return space.keep(number.groupBy("key", "chunk").agg(F.array_sort(F.collect_list("link")).alias("links")).select(F.col("key").alias(key), "chunk", "links"))
+
+
 def merged_catalogue(pairs: DataFrame, mode: str = "collect") -> tuple[DataFrame, DataFrame]:
     """works and persons of ``catalog.entities`` rows."""
     works = merge(pairs.select("row_ix", "work.*"), "work_id", "row_ix", mode, collect=[r for r in pairs.schema["work"].dataType.names if r in _LINKS])

@@ -10,17 +10,19 @@ import io
 import uuid
 import zipfile
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalar as S
 from ..functions import text as X
-from ..operators import catalog, merge, sentences, tei, triples, validate
+from ..operators import catalog, inference as rules, isomorphism, merge, sentences, sequences, tei, triples, validate
 from ..session import shared_folder, table
 from ..sources import rdf, revisions, texts, zipcsv
+from ..sources.triple_table import TripleTable
 from . import bgp, pipelines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -514,15 +516,15 @@ def text_extraction(spark: SparkSession, d: str) -> DataFrame:
     return texts.decoded(files, "p_partkey").select("p_partkey", X.strip_cr(F.col("text")).alias("text"))
 
 
-@query(f"SELECT form, g.* FROM ({_NATIONS_SQL}) g, (VALUES ('ntriples'), ('turtle')) f(form)")
+@query(f"SELECT form, g.* FROM ({_NATIONS_SQL}) g, (VALUES ('ntriples'), ('turtle'), ('blocks')) f(form)")
 def graph_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """A graph written in both forms and read back."""
+    """A graph written in both forms and read back, by any reader's rules and in splits."""
     back = []
-    for form, read in (("ntriples", rdf.read_ntriples), ("turtle", rdf.read_turtle)):
+    for form, read in (("ntriples", rdf.read_ntriples), ("turtle", rdf.read_turtle), ("blocks", rdf.read_turtle_blocks)):
         path = f"{shared_folder(spark)}/folioflow-graphs/{form}-{uuid.uuid4().hex}"
-        rdf.write_graph(_nations(spark, d), path, form, {"": NS} if form == "turtle" else None)
+        rdf.write_graph(_nations(spark, d), path, "ntriples" if form == "ntriples" else "turtle", None if form == "ntriples" else {"": NS})
         back.append(read(spark, path).select(F.lit(form).alias("form"), *triples.COLUMNS))
-    return back[0].unionByName(back[1])
+    return reduce(DataFrame.unionByName, back)
 
 
 _CELL_SQL = "'_:l' || substr(sha256('{ns}p' || CAST(p_partkey AS VARCHAR) || chr(31) || 'names' || chr(31) || CAST({i} AS VARCHAR)), 1, 32)"
@@ -646,3 +648,173 @@ def graph_diff(spark: SparkSession, d: str) -> DataFrame:
     old = lift(nation.where("n_nationkey < 20"))
     new = lift(nation.where("n_nationkey >= 3").withColumn("n_name", F.when(F.col("n_nationkey") % 5 == 0, F.concat(F.upper("n_name"), F.lit("!"))).otherwise(F.col("n_name"))))
     return triples.graph_diff(old, new).groupBy("change").agg(F.count("*").alias("n"))
+
+
+def _links(rows: DataFrame, s, p: str, o, kind: str = "iri") -> DataFrame:
+    """Triples of one predicate; s and o: Columns."""
+    return rows.select(s.cast("string").alias("s"), F.lit(p).alias("p"), o.cast("string").alias("o"), F.lit(kind).alias("o_kind"), *[F.lit(None).cast("string").alias(c) for c in ("o_datatype", "o_lang")])
+
+
+def _iri(kind: str, column: str):
+    return F.concat(F.lit(f"urn:{kind}"), F.col(column).cast("string"))
+
+
+#: The customers of a nation, each below the one before and below half its place; in every fifth nation the first is below the last.
+_RANKS_SQL = """ranks AS (SELECT c_custkey AS c, c_nationkey AS g, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS i FROM customer),
+edges AS (
+  SELECT x.c AS a, y.c AS b FROM ranks x JOIN ranks y ON x.g = y.g AND (y.i = x.i - 1 OR (y.i = x.i // 2 AND x.i % 7 = 0))
+  UNION SELECT x.c, y.c FROM ranks x JOIN ranks y ON x.g = y.g WHERE x.g % 5 = 0 AND x.i = 1 AND y.i = (SELECT max(i) FROM ranks z WHERE z.g = x.g)
+)"""
+
+
+def _hierarchy(spark: SparkSession, d: str) -> DataFrame:
+    """a, b: the edges of _RANKS_SQL, among customers' numbers."""
+    place = Window.partitionBy("g").orderBy("c")
+    ranks = table(spark, d, "customer").select(F.col("c_custkey").alias("c"), F.col("c_nationkey").alias("g")).withColumns({"i": F.row_number().over(place), "n": F.count("*").over(Window.partitionBy("g"))})
+    below = ranks.select(F.col("c").alias("a"), "g", F.explode(F.array_distinct(F.array_compact(F.array(
+        F.when(F.col("i") > 1, F.col("i") - 1), F.when((F.col("i") % 7 == 0) & (F.col("i") > 1), (F.col("i") / 2).cast("int")), F.when((F.col("g") % 5 == 0) & (F.col("i") == 1), F.col("n").cast("int")),
+    )))).alias("i"))
+    return below.join(ranks.select("g", "i", F.col("c").alias("b")), ["g", "i"]).select("a", "b")
+
+
+@query(f"""
+WITH RECURSIVE {_RANKS_SQL},
+reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b)
+SELECT a, b FROM reach
+""")
+def inference_closure(spark: SparkSession, d: str) -> DataFrame:
+    """The transitive closure of hierarchies as deep as a nation has customers, with diamonds and cycles."""
+    return rules.transitive(_hierarchy(spark, d)).select("a", "b")
+
+
+@query(f"""
+WITH RECURSIVE {_RANKS_SQL},
+reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+told AS (SELECT o_orderkey AS o, o_custkey AS c FROM orders WHERE o_orderkey % 4 = 0)
+SELECT 'urn:o' || CAST(o AS VARCHAR) AS s, count(DISTINCT c) AS n FROM (SELECT o, c FROM told UNION SELECT o, b FROM told JOIN reach ON a = c) GROUP BY o
+""")
+def inference_types(spark: SparkSession, d: str) -> DataFrame:
+    """How many types each order has, whose customer's number is its told type in a deep hierarchy."""
+    sub = _hierarchy(spark, d)
+    graph = _links(sub, _iri("c", "a"), "urn:sub", _iri("c", "b")).unionByName(_links(table(spark, d, "orders").where("o_orderkey % 4 = 0"), _iri("o", "o_orderkey"), "urn:type", _iri("c", "o_custkey")))
+    return bgp.closure(graph, "urn:sub", "urn:type").groupBy("s").agg(F.count("*").alias("n"))
+
+
+_SCHEMA = [
+    ("urn:placedBy", rules.SUBPROPERTY, "urn:involves"), ("urn:involves", rules.SUBPROPERTY, "urn:concerns"), ("urn:involves", rules.DOMAIN, "urn:Event"), ("urn:concerns", rules.RANGE, "urn:Party"),
+    ("urn:kindOf", rules.SUBPROPERTY, rules.SUBCLASS), ("urn:Event", "urn:kindOf", "urn:Thing"), ("urn:Party", rules.SUBCLASS, "urn:Thing"),
+]
+
+
+@query(f"""
+WITH o AS (SELECT 'urn:o' || CAST(o_orderkey AS VARCHAR) AS s, 'urn:c' || CAST(o_custkey AS VARCHAR) AS o FROM orders)
+SELECT s, p, o FROM o, (VALUES ('urn:placedBy'), ('urn:involves'), ('urn:concerns')) v(p)
+UNION SELECT s, '{rules.TYPE}', t FROM o, (VALUES ('urn:Event'), ('urn:Thing')) v(t)
+UNION SELECT o, '{rules.TYPE}', t FROM o, (VALUES ('urn:Party'), ('urn:Thing')) v(t)
+UNION SELECT * FROM (VALUES {", ".join(f"('{s}', '{p}', '{o}')" for s, p, o in _SCHEMA)}) v
+UNION SELECT * FROM (VALUES ('urn:placedBy', '{rules.SUBPROPERTY}', 'urn:concerns'), ('urn:Event', '{rules.SUBCLASS}', 'urn:Thing')) v
+""")
+def inference_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Orders placed by customers under a schema of subproperties, a domain, a range and a subproperty of "subclass"."""
+    schema = spark.createDataFrame([(*x, "iri", None, None) for x in _SCHEMA], rdf.SCHEMA)
+    facts = _links(table(spark, d, "orders"), _iri("o", "o_orderkey"), "urn:placedBy", _iri("c", "o_custkey"))
+    return rules.rdfs(facts.unionByName(schema)).select("s", "p", "o")
+
+
+@query("""
+WITH c AS (SELECT c_custkey, c_nationkey, coalesce(string_agg(o_orderstatus, ',' ORDER BY o_orderstatus), '') AS said FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderkey % 8 = 0 GROUP BY ALL),
+classes AS (SELECT *, dense_rank() OVER (ORDER BY c_nationkey, said) AS k FROM c),
+nodes AS (
+  SELECT '_:c' || CAST(c_custkey AS VARCHAR) AS node, 'c' || CAST(k AS VARCHAR) AS colour FROM classes
+  UNION ALL SELECT '_:o' || CAST(o_orderkey AS VARCHAR), 'o' || o_orderstatus || CAST(k AS VARCHAR) FROM orders JOIN classes ON o_custkey = c_custkey WHERE o_orderkey % 8 = 0
+)
+SELECT node, count(*) OVER (PARTITION BY colour) AS class_size, min(node) OVER (PARTITION BY colour) AS class FROM nodes
+""")
+def blank_colours(spark: SparkSession, d: str) -> DataFrame:
+    """Orders and customers as blank nodes: the classes that their content and links tell apart."""
+    orders = table(spark, d, "orders").where("o_orderkey % 8 = 0")
+    graph = (
+        _links(orders, _iri("", "o_orderkey").substr(F.lit(5), F.lit(40)), "urn:status", F.col("o_orderstatus"), "literal").withColumn("s", F.concat(F.lit("_:o"), "s"))
+        .unionByName(_links(orders, F.concat(F.lit("_:o"), "o_orderkey"), "urn:by", F.concat(F.lit("_:c"), "o_custkey"), "blank"))
+        .unionByName(_links(table(spark, d, "customer"), F.concat(F.lit("_:c"), "c_custkey"), "urn:in", _iri("n", "c_nationkey")))
+    )
+    same = Window.partitionBy("colour")
+    return isomorphism.blank_colours(graph).select("node", F.count("*").over(same).alias("class_size"), F.min("node").over(same).alias("class"))
+
+
+def _order_graph(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders")
+    o = _iri("o", "o_orderkey")
+    return (
+        _links(orders, o, "urn:by", _iri("c", "o_custkey")).unionByName(_links(orders, o, "urn:status", F.col("o_orderstatus"), "literal")).unionByName(_links(orders, o, "urn:type", F.lit("urn:Order")))
+        .unionByName(_links(table(spark, d, "customer"), _iri("c", "c_custkey"), "urn:in", _iri("n", "c_nationkey"))).unionByName(_links(table(spark, d, "nation"), _iri("n", "n_nationkey"), "urn:name", F.col("n_name"), "literal"))
+    )
+
+
+@query("""
+SELECT 'urn:o' || CAST(o_orderkey AS VARCHAR) AS o, 'urn:c' || CAST(o_custkey AS VARCHAR) AS c, o_orderstatus AS status FROM orders
+""")
+def triple_table_star(spark: SparkSession, d: str) -> DataFrame:
+    """A star pattern over a stored triple table to which the same triples were added twice."""
+    stored = TripleTable(spark, buckets=8)
+    graph = _order_graph(spark, d)
+    stored.add(graph.where("p != 'urn:status' or s like '%1'"))
+    stored.add(graph)
+    stored.add(graph.where("p = 'urn:by'"))
+    return bgp.compile_query(stored.read(), bgp.Query(["?o", "?c", "?status"], [("?o", "urn:by", "?c"), ("?o", "urn:status", "?status")], distinct=False))
+
+
+@query("""
+SELECT 'urn:o' || CAST(o_orderkey AS VARCHAR) AS o, 'urn:c' || CAST(o_custkey AS VARCHAR) AS c FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+WHERE n_name = (SELECT min(n_name) FROM nation) AND o_orderstatus = 'F'
+""")
+def bgp_by_cost(spark: SparkSession, d: str) -> DataFrame:
+    """Orders of one nation: by statistics its name leads the joins, not the type that every order has."""
+    graph = _order_graph(spark, d)
+    name = table(spark, d, "nation").agg(F.min("n_name").alias("n")).first()["n"]
+    wanted = bgp.Query(["?o", "?c"], [("?o", "urn:type", "urn:Order"), ("?o", "urn:status", '"F"'), ("?o", "urn:by", "?c"), ("?c", "urn:in", "?n"), ("?n", "urn:name", "?name")], {"?name": name})
+    return bgp.compile_query(graph, wanted, bgp.statistics(graph), heavy=2_000)
+
+
+@query("""
+SELECT 'g' || CAST(p_size AS VARCHAR) AS work_id, string_agg(p_name, chr(10) ORDER BY p_partkey) || chr(10) AS text FROM part WHERE p_size % 5 = 0 GROUP BY p_size
+""")
+def text_files(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of catalogue entries from a folder of files, of which the plain ones that a work names are opened."""
+    root = f"{shared_folder(spark)}/folioflow-texts/{uuid.uuid4().hex}"
+    lines = table(spark, d, "part").groupBy("p_size").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))).alias("x"))
+    lines.select("p_size", F.array_join(F.transform("x", lambda x: x["p_name"]), "\r\n").alias("value")).write.partitionBy("p_size").text(root)
+    place = texts.plain_path(F.lit(root))
+    # Names of Spark's files are found by listing; the folder's parts stand for a host's.
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(texts.plain_path(F.col("path")).alias("path"))
+    size = F.regexp_extract("path", "p_size=([0-9]+)/", 1)
+    form = F.when(size % 5 == 0, "text/plain").otherwise("text/html")
+    source = F.struct(F.concat(F.lit("https://texts.example"), F.substr("path", F.length(place) + 1)).alias("url"), form.alias("format"), F.lit("UTF-8").alias("encoding"))
+    works = listed.select(F.concat(F.lit("g"), size).alias("work_id"), F.array(source).alias("sources"))
+    plain = spark.range(1).select(place.alias("p")).first()["p"]
+    return texts.extract_texts(spark, works, "https://texts.example", plain).select("work_id", "text")
+
+
+@query(r"""
+WITH p AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+marks AS (SELECT doc_id, array_to_string(list_transform(lines, lambda x: CASE WHEN length(x) = 0 THEN 'e' WHEN length(x) < 60 THEN 's' ELSE 'l' END), '') AS m FROM p)
+SELECT doc_id, regexp_full_match(m, '(s?l+)*') AS shaped,
+  CASE WHEN regexp_full_match(m, '(s?l+)*') THEN NULL ELSE CASE WHEN length(m) = length(regexp_extract(m, '^(s?l+)*s?')) THEN length(m) ELSE length(regexp_extract(m, '^(s?l+)*s?')) END END AS misfit FROM marks
+""")
+def document_shapes(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose lines are long ones in groups, a short one before a group at most; the first line that breaks this."""
+    lines = table(spark, d, "documents").select("doc_id", F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
+    short, long = sequences.one(lambda x: (F.length(x) > 0) & (F.length(x) < 60)), sequences.one(lambda x: F.length(x) >= 60)
+    shape = sequences.many(sequences.cat(sequences.maybe(short), sequences.some(long)))
+    return lines.select("doc_id", sequences.fits(F.col("lines"), shape).alias("shaped"), sequences.first_misfit(F.col("lines"), shape).cast("long").alias("misfit"))
+
+
+@query("""
+WITH l AS (SELECT DISTINCT o_custkey, o_orderdate FROM orders), n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey % 10 ORDER BY CAST(o_orderdate AS DATE)) - 1 AS i FROM (SELECT DISTINCT o_custkey % 10 AS o_custkey, o_orderdate FROM l))
+SELECT o_custkey AS key, i // 100 AS chunk, count(*) AS n, strftime(min(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS first, strftime(max(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS last FROM n GROUP BY ALL
+""")
+def linked_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """The links of few entities that have many, sorted, a hundred to a row."""
+    rows = table(spark, d, "orders").select((F.col("o_custkey") % 10).alias("key"), F.array(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("days"))
+    chunks = merge.linked_chunks(rows, "key", "days", 100)
+    return chunks.select("key", "chunk", F.size("links").cast("long").alias("n"), F.element_at("links", 1).alias("first"), F.element_at("links", -1).alias("last"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +55,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder for checkpoints, unless the context has one."""
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def remove_files(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared store, wherever that is; nothing happens if it is gone."""
+    with contextlib.suppress(Exception):  # the session may be gone at exit
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Workspace:
+    """Tables that an algorithm of several rounds writes to the shared folder and reads again.
+
+    Each cuts the lineage, so that a lost executor repeats one round's work. Their
+    files go when the ``with`` ends; what is ``kept`` goes with the application.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.folder = spark, f"{shared_folder(spark)}/folioflow/{name}-{uuid.uuid4().hex}"
+        self.n = 0
+
+    def store(self, rows: DataFrame) -> DataFrame:
+        self.n += 1
+        return self._written(rows, f"{self.folder}/{self.n}")
+
+    def keep(self, rows: DataFrame) -> DataFrame:
+        path = f"{self.folder}-kept"
+        atexit.register(remove_files, self.spark, path)
+        return self._written(rows, path)
+
+    def _written(self, rows: DataFrame, path: str) -> DataFrame:
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        remove_files(self.spark, self.folder)

@@ -1,8 +1,11 @@
 """Triples as N-Triples and Turtle, written and read.
 
 N-Triples is a line a triple: writing is one expression, reading one regular
-expression, both without a shuffle. Turtle blocks are grouped by subject (one
-shuffle). Full Turtle is read by a tokeniser over whole files.
+expression, both without a shuffle. Turtle is written from triples that are dealt
+by range and sorted: a task streams its rows and opens and closes the blocks of
+subjects, so a subject with any number of triples takes no memory. Such files are
+read in splits, cut at the ends of statements; Turtle of any other form is read by
+a tokeniser over whole files.
 """
 
 from __future__ import annotations
@@ -12,6 +15,8 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,10 +62,48 @@ def turtle_blocks(triples: DataFrame) -> DataFrame:
     return pairs.select("s", F.concat(_name(F.col("s")), F.lit(" "), F.array_join("pairs", " ;\n    "), F.lit(" .")).alias("block"))
 
 
+def turtle_lines(triples: DataFrame) -> DataFrame:
+    """``value``: the graph as lines of Turtle, sorted, a block of lines for each subject.
+
+    Triples are dealt by ranges of subject and what is said of it, so that a
+    subject with many of them lies in several tasks, and each of these writes a
+    block of its own, as Turtle allows. A task holds one batch of rows and the one
+    before: a line ends with a full stop if the next row has another subject.
+    """
+    pair = F.concat_ws(" ", F.concat(F.lit("<"), F.col("p"), F.lit(">")), object_term())
+    pairs = triples.select(_name(F.col("s")).alias("s"), pair.alias("pair")).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None  # the last row, whose end is not known yet
+        before = None  # the subject of the row before it
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            if rows.num_rows > 1:
+                yield _lines(rows.slice(0, rows.num_rows - 1), before, rows["s"].slice(1))
+                before = rows["s"][rows.num_rows - 2].as_py()
+            held = rows.slice(rows.num_rows - 1)
+        if held is not None and held.num_rows:
+            yield _lines(held, before, pa.chunked_array([pa.nulls(1, held["s"].type)]))
+
+    return pairs.repartitionByRange("s", "pair").sortWithinPartitions("s", "pair").mapInArrow(run, "value string")
+
+
+def _lines(rows: pa.Table, before: str | None, after: pa.ChunkedArray) -> pa.RecordBatch:
+    """A line for each row; before and after: the subjects of the row before the first, and of the next row of each."""
+    s, pair = rows["s"].combine_chunks(), rows["pair"].combine_chunks()
+    previous = pa.concat_arrays([pa.array([before], s.type), s.slice(0, len(s) - 1)])
+    begins = pc.fill_null(pc.not_equal(s, previous), True)
+    ends = pc.fill_null(pc.not_equal(s, after.combine_chunks()), True)
+    head = pc.if_else(begins, pc.binary_join_element_wise(s, pa.scalar(" ", s.type), pa.scalar("", s.type)), pa.scalar("    ", s.type))
+    tail = pc.if_else(ends, pa.scalar(" .", s.type), pa.scalar(" ;", s.type))
+    return pa.RecordBatch.from_arrays([pc.binary_join_element_wise(head, pair, tail, pa.scalar("", s.type))], names=["value"])
+
+
 def write_graph(triples: DataFrame, path: str, form: str = "turtle", prefixes: dict[str, str] | None = None, single: bool = False) -> None:
     """Write a graph as files of turtle or ntriples. single: one file, for a small graph or a final product."""
     if form == "turtle":
-        lines = turtle_blocks(triples).select(F.col("block").alias("value"))
+        lines = turtle_lines(triples)
         if prefixes:
             head = "\n".join(f"@prefix {k}: <{v}> ." for k, v in prefixes.items())
             lines = triples.sparkSession.createDataFrame([(head,)], "value string").unionByName(lines)
@@ -209,6 +252,35 @@ def read_turtle(spark: SparkSession, path: str, several: bool = False) -> DataFr
     return files.mapInPandas(parse, SCHEMA)
 
 
+#: One "predicate object" of a statement of ``turtle_lines``; groups as in _LINE from the predicate on.
+_PAIR = r'^<([^>]*)>\s+(?:<([^>]*)>|(_:\S+)|"((?:[^"\\]|\\.)*+)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)$'
+_SUBJECT = r"^\s*(?:<([^>]*)>|(_:\S+)) "
+
+
+def read_turtle_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """Triples of Turtle files as ``write_graph`` makes them, without a Python worker.
+
+    Statements are the records of a text scan, so Spark cuts a large file into
+    splits at their ends, and each feeds a task of its own. Names are written out
+    in such files; prefix lines of their heads are passed over. What is no
+    statement of this form is an error: it is Turtle for ``read_turtle``.
+    """
+    records = spark.read.option("lineSep", " .\n").text(path).select(F.regexp_replace("value", "^(@prefix [^\n]*\n)+", "").alias("value"))
+    statements = records.where(~F.col("value").rlike("^\\s*(@prefix .*)?$"))
+    subject = F.coalesce(*[F.nullif(F.regexp_extract("value", _SUBJECT, g), F.lit("")) for g in (1, 2)])
+    rest = F.regexp_replace("value", _SUBJECT, "")
+    # Line breaks within literals are escaped, so this stands between pairs alone.
+    pairs = statements.select(subject.alias("s"), F.explode(F.split(rest, " ;\n    ")).alias("pair"))
+    part = lambda g: F.nullif(F.regexp_extract("pair", _PAIR, g), F.lit(""))
+    sound = F.col("s").isNotNull() & F.col("pair").rlike(_PAIR)
+    checked = pairs.select(F.when(sound, F.col("s")).otherwise(F.raise_error(F.concat(F.lit("no statement in block form: "), F.coalesce(F.substring("pair", 1, 100), F.lit(""))))).alias("s"), "pair")
+    is_name = part(2).isNotNull() | part(3).isNotNull()
+    return checked.select(
+        "s", part(1).alias("p"), F.coalesce(part(2), part(3), _unescaped(F.regexp_extract("pair", _PAIR, 4))).alias("o"),
+        F.when(part(2).isNotNull(), "iri").when(is_name, "blank").otherwise("literal").alias("o_kind"), part(5).alias("o_datatype"), part(6).alias("o_lang"),
+    )
+
+
 def read_graph(spark: SparkSession, path: str) -> DataFrame:
     """Triples of files whose names tell their form (.nt, else Turtle)."""
     return read_ntriples(spark, path) if path.rstrip("/*").endswith(".nt") else read_turtle(spark, path)

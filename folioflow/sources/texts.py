@@ -8,10 +8,11 @@ import posixpath
 import urllib.request
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,32 +107,53 @@ def sources(works: DataFrame, form: str = "text/plain") -> DataFrame:
 
 #: Resources up to which their paths are broadcast to the files, so that no file's bytes are shuffled.
 BROADCAST_RESOURCES = 500_000
+#: Paths in one scan's filter, and paths up to which the driver plans scans by them.
+SCAN_PATHS, MOST_PATHS = 20_000, 500_000
+
+
+def plain_path(path: Column) -> Column:
+    """A file's path without its scheme, as catalogues and routes write local paths; other stores keep theirs."""
+    return F.regexp_replace(path, "^file:/*", "/")
+
+
+def named_files(spark: SparkSession, root: str, paths: DataFrame) -> DataFrame:
+    """path and content of the files under ``root`` that ``paths`` (path) names.
+
+    The files are listed, and the filter on a file's name is decided when the scan
+    is planned: no other file gets a task or is opened. Paths are names alone, as
+    Spark's own listing holds them; SCAN_PATHS of them make a scan. Beyond
+    MOST_PATHS the named folders filter the listing instead, and a join takes out
+    their other files.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    # Listed names have their special characters encoded; a plus sign stands for itself.
+    place = plain_path(F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")))
+    named = [r["path"] for r in paths.select("path").distinct().limit(MOST_PATHS + 1).collect()]
+    if len(named) <= MOST_PATHS:
+        scans = [files.where(place.isin(named[i : i + SCAN_PATHS])) for i in range(0, len(named), SCAN_PATHS)] or [files.where("false")]
+        return reduce(DataFrame.unionByName, [x.select(plain_path(F.col("path")).alias("path"), "content") for x in scans])
+    # Listed paths without their contents say which are wanted; those are then scanned by folder.
+    folders = paths.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder")).distinct()
+    there = [r["folder"] for r in folders.limit(MOST_PATHS + 1).collect()]
+    of = F.regexp_extract(place, r"^(.*)/[^/]*$", 1)
+    near = files.where(of.isin(there)) if len(there) <= MOST_PATHS else files
+    return near.select(plain_path(F.col("path")).alias("path"), "content").join(paths.select("path").distinct(), "path", "left_semi")
 
 
 def extract_texts(spark: SparkSession, works: DataFrame, host_pattern: str, root: str, form: str = "text/plain") -> DataFrame:
     """work_id, url and text, without carriage returns, of every resource that has a file under ``root``.
 
-    The filter on the format comes before any file is opened, and only files
-    that some work names are decoded. Up to BROADCAST_RESOURCES resources,
-    counted, their paths go to the files; beyond, paths without content say first
-    which files are wanted, and only those meet their resources in a shuffle.
+    The resources of the format come first; only the files they name are opened
+    (``named_files``). Up to BROADCAST_RESOURCES resources, counted, what is said of
+    them goes to the files, so that no file's bytes are shuffled.
     """
     wanted = sources(works, form).withColumn("path", route(F.col("url"), host_pattern, root)).where(F.col("path").isNotNull())
-    plain = F.regexp_replace("path", "^file:/*", "/").alias("path")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    found = files.select(plain, "content")
-    if wanted.count() <= BROADCAST_RESOURCES:
-        joined = found.join(F.broadcast(wanted), "path")
-    else:
-        named = files.select(plain).join(wanted.select("path").distinct(), "path").select(F.xxhash64("path").alias("hashed"))
-        # A bitmap of hashes: 2^20 rows at most, whatever the number of files.
-        bits = 1 << 26
-        slot, bit = F.pmod("hashed", F.lit(bits)), F.call_function("shiftleft", F.lit(1).cast("long"), (F.pmod("hashed", F.lit(64))).cast("int"))
-        bitmap = named.select((slot / 64).cast("long").alias("slot"), bit.alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("bits"))
-        marked = found.withColumn("hashed", F.xxhash64("path")).withColumn("slot", (slot / 64).cast("long")).join(F.broadcast(bitmap), "slot")
-        joined = marked.where(F.call_function("getbit", "bits", F.pmod("hashed", F.lit(64)).cast("int")) == 1).select("path", "content").join(wanted, "path")
+    wanted = wanted.withColumn("path", plain_path(F.col("path")))
+    found = named_files(spark, root, wanted)
+    few = wanted.limit(BROADCAST_RESOURCES + 1).count() <= BROADCAST_RESOURCES
+    joined = found.join(F.broadcast(wanted) if few else wanted, "path")
     texts = decoded(joined.select("work_id", "url", "path", "encoding", "content"), "work_id", "url")
     return texts.where(F.col("text").isNotNull()).withColumn("text", strip_cr(F.col("text")))
 
 
-__all__ = ["CODECS", "cached", "decode", "extension", "extract_texts", "fetch", "read_texts", "sources", "text_of"]
+__all__ = ["CODECS", "cached", "decode", "extension", "extract_texts", "fetch", "named_files", "read_texts", "sources", "text_of"]
