@@ -62,6 +62,21 @@ def from_planes(data: bytes, kind: str) -> np.ndarray:
     return np.zeros(0, kind) if not data else np.ascontiguousarray(np.frombuffer(data, "<u2").reshape(n, -1).T).view(kind).ravel()
 
 
+def packed_words(words: pa.Array, starts: list[int]) -> tuple[list[bytes], list[bytes]]:
+    """Runs of a string or binary array as their bytes in a row, and their lengths (``planes``); starts: where runs begin."""
+    offsets = np.frombuffer(words.buffers()[1], "<i8" if words.type in (pa.large_string(), pa.large_binary()) else "<i4")[words.offset : words.offset + len(words) + 1]
+    data = memoryview(words.buffers()[2] or b"")
+    spans = list(zip(starts, [*starts[1:], len(words)]))
+    return [bytes(data[offsets[a] : offsets[b]]) for a, b in spans], [planes(np.diff(offsets[a : b + 1]).astype(np.uint32)) for a, b in spans]
+
+
+def unpacked_words(data: bytes, lengths: bytes, kind: pa.DataType) -> pa.Array:
+    """A run of ``packed_words`` as an array of ``kind``, string or binary."""
+    sizes = from_planes(lengths, "<u4")
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(kind, len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+
+
 def by_key(rows: DataFrame, key: str, order: list[str], function: Callable[[int, list[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``function`` of each key's rows, brought together by a shuffle and sorted by ``order``.
 

@@ -25,18 +25,18 @@ from pyspark.sql import functions as F
 
 from .bpe_stream import SHORT, Encoder, encoder
 from .common import gathered, pick, stored, tokenizer_path
-from .exchange import BLOCK_BYTES, by_key, from_planes, owner_of, owners_for, packed_rows, planes, values_of
+from .exchange import BLOCK_BYTES, by_key, from_planes, owner_of, owners_for, packed_rows, packed_words, planes, unpacked_words, values_of
 
 #: Entries of the sparse table in a row, at least one document.
 ENTRIES = 1 << 16
 
-BLOCKS = "block long, owner long, start long, words array<string>, doc_ids array<long>, n_bytes array<long>, n_special array<long>, lengths binary, codes binary, frequencies binary"
+BLOCKS = "block long, owner long, start long, words binary, sizes binary, doc_ids array<long>, n_bytes array<long>, n_special array<long>, lengths binary, codes binary, frequencies binary"
 ANSWERS = "block long, start long, counts binary"
 RESULT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
 def _batch(n: int, **columns: pa.Array) -> pa.RecordBatch:
-    kinds = {"words": pa.list_(pa.string()), "doc_ids": pa.list_(pa.int64()), "n_bytes": pa.list_(pa.int64()), "n_special": pa.list_(pa.int64()), "lengths": pa.binary(), "codes": pa.binary(), "frequencies": pa.binary()}
+    kinds = {"words": pa.binary(), "sizes": pa.binary(), "doc_ids": pa.list_(pa.int64()), "n_bytes": pa.list_(pa.int64()), "n_special": pa.list_(pa.int64()), "lengths": pa.binary(), "codes": pa.binary(), "frequencies": pa.binary()}
     names = [x.split(" ")[0] for x in BLOCKS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(columns[c], kinds.get(c, pa.int64())) if c in columns else pa.nulls(n, kinds.get(c, pa.int64())) for c in names], names=names)
 
@@ -67,10 +67,11 @@ def blocks(docs: DataFrame, vocabulary: str, owners: int) -> DataFrame:
             place[order] = np.arange(len(order))
             key, frequency = np.unique(np.repeat(np.arange(len(texts)), sizes) * max(1, len(entries)) + place[codes], return_counts=True)
             doc, code = np.divmod(key, max(1, len(entries)))
-            groups = [g for g in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1) if len(g)]
-            starts = np.cumsum([0, *map(len, groups)])[:-1].tolist()
-            if groups:
-                yield _batch(len(groups), block=[block] * len(groups), owner=[int(owner[g[0]]) for g in groups], start=starts, words=[entries[g].tolist() for g in groups])
+            if len(order):
+                dealt = owner[order]
+                starts = [0, *(np.flatnonzero(np.diff(dealt)) + 1).tolist()]
+                words, sizes_ = packed_words(encoded.dictionary.take(pa.array(order)), starts)
+                yield _batch(len(starts), block=[block] * len(starts), owner=dealt[starts].tolist(), start=starts, words=words, sizes=sizes_)
             lengths = np.bincount(doc, minlength=len(texts)).astype(np.uint32)
             ends = np.cumsum(lengths)
             ids, n_bytes = batch.column("doc_id").to_pylist(), [len(x.encode()) for x in texts]
@@ -103,11 +104,10 @@ def count_pieces(dictionaries: DataFrame, vocabulary: str) -> DataFrame:
     def run(owner: int, batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = encoder(tokenizer_path(vocabulary))
         block, start = values_of(batches, "block"), values_of(batches, "start")
-        columns = [b.column("words") for b in batches]
-        sizes = [n for c in columns for n in np.diff(c.offsets.to_numpy()).tolist()]
-        encoded = pa.concat_arrays([c.flatten() for c in columns]).dictionary_encode()
+        runs = [unpacked_words(w, n, pa.string()) for w, n in zip(values_of(batches, "words"), values_of(batches, "sizes"))]
+        encoded = pa.concat_arrays(runs).dictionary_encode()
         pieces = pieces_of(machine, encoded.dictionary.to_pylist())
-        answers = np.split(pieces[encoded.indices.to_numpy()], np.cumsum(sizes)[:-1])
+        answers = np.split(pieces[encoded.indices.to_numpy()], np.cumsum(list(map(len, runs)))[:-1])
         yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(start, pa.int64()), pa.array([planes(x) for x in answers], pa.binary())], names=["block", "start", "counts"])
 
     return by_key(dictionaries, "owner", ["block"], run, ANSWERS)
@@ -120,7 +120,7 @@ def count_tokens(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit:
         cut = stored(blocks(docs, vocabulary, owners_for(pick(docs, text="string"))), "tokens-blocks", packed=True)
     tables = ["doc_ids", "n_bytes", "n_special", "lengths", "codes", "frequencies"]
     with packed_rows(spark):
-        answers = stored(count_pieces(cut.where("words is not null").select("block", "owner", "start", "words"), vocabulary), "tokens-pieces", packed=True)
+        answers = stored(count_pieces(cut.where("words is not null").select("block", "owner", "start", "words", "sizes"), vocabulary), "tokens-pieces", packed=True)
         told = answers.select("block", F.lit(0).alias("kind"), "start", "counts", *[F.lit(None).cast(cut.schema[c].dataType).alias(c) for c in tables])
         rows = cut.where("doc_ids is not null").select("block", F.lit(1).alias("kind"), "start", F.lit(None).cast("binary").alias("counts"), *tables)
         return stored(by_key(told.unionByName(rows), "block", ["kind", "start"], lambda _, batches: _summed(batches, limit), RESULT), "tokens-counts")
