@@ -4,20 +4,23 @@ Encoding. A text enters the transducer piece by piece, and tokens leave once
 nothing that follows can change them. Two lookaheads bound what is held back:
 
 * pretokens: where one ends is final two code points later (a contraction is at
-  most three), so complete ones leave, and only the unfinished one stays;
+  most three), so complete ones leave, and only the last one or two stay;
 * merges: a later byte changes an earlier token boundary only through a chain
   of merges: a merge loses its right symbol (or that symbol's last part) to a
   merge of better rank further right, which in turn can lose its own right
   symbol, and so on. Ranks fall strictly along such a chain, so its length in
   bytes is bounded by the merge list alone; ``sufficient_lookahead`` computes
-  that bound in one pass. A pretoken that has no end yet after OPEN code points
-  goes on through ``ByteTransducer``, which holds ``block + lookahead`` bytes at
-  most, merges them, emits the tokens that end ``lookahead`` bytes or more before
-  the end, and goes on from that boundary (a run of a text's tokens is the
-  encoding of the bytes it covers).
-
-So memory is constant in the text's length. The texts of a batch go through
-transducers side by side, a piece of each at a time; their new short pretokens
+  that bound in one pass. The pretoken that a piece of text breaks off in, of
+  more than OPEN code points, goes on through ``ByteTransducer``, whatever its
+  length turns out to be: that holds ``block + lookahead`` bytes at most, merges
+  them, emits the tokens that end ``lookahead`` bytes or more before the end, and
+  goes on from that boundary (a run of a text's tokens is the encoding of the
+  bytes it covers); what it still holds when the pretoken ends leaves then.
+
+Every text takes this one path in pieces of PIECE code points, and no piece is
+known to be the last one; so memory is constant in the text's length, and tokens
+leave while the text is still being read. The texts of a batch go through
+transducers side by side, a piece of each at a time; their new complete pretokens
 are merged together, and a pretoken's ids are cached.
 
 Decoding. Token bytes enter a UTF-8 state machine that keeps an unfinished
@@ -53,10 +56,12 @@ BLOCK = 2048
 SHORT = 64
 #: Cached pretokens of a worker before the cache starts anew (about 250 MB).
 CACHE_WORDS = 900_000
-#: Code points of a text that enter at a time, and those of a pretoken without an end that stay unmerged.
-PIECE, OPEN = 1 << 16, 1024
+#: Code points of a text that enter at a time.
+PIECE = 512
 #: Code points after a pretoken's end from which on it is final.
 SETTLED = 2
+#: Code points of the longest contraction: a longer pretoken that has no end yet can only go on as what it is.
+OPEN = 3
 #: What goes on with a pretoken: letters, digits, other characters, white space.
 _KINDS = [regex.compile(x) for x in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+", r"\s+")]
 _SPACE = 3
@@ -148,45 +153,51 @@ class Transducer:
         self.kind: int | None = None  # of the pretoken that goes on in ``bytes``
         self.bytes: ByteTransducer | None = None
 
-    def feed(self, piece: str, last: bool) -> list[str | tuple[int, ...]]:
-        """Take a piece; ``last``: nothing follows it."""
+    def feed(self, piece: str, last: bool = False) -> list[str | tuple[int, ...]]:
+        """Take a piece; with ``last``, the end of the text as well."""
         text, self.buffer = self.buffer + piece, ""
         encoder = self.encoder
         if encoder.special is None or encoder.mark not in text:
-            return self._ordinary(text, last)
-        units: list[str | tuple[int, ...]] = []
-        held = 0 if last else encoder.unfinished(text)
-        parts = encoder.special.split(text[: len(text) - held])
-        for i, part in enumerate(parts):
-            if i % 2:
-                units.append((encoder.table.special[part],))
-            else:
-                # A special token ends what stands before it, as the end of the text does.
-                units += self._ordinary(self.buffer + part, last or i + 1 < len(parts))
-        if held:
-            self.buffer += text[len(text) - held :]
-        return units
-
-    def _ordinary(self, text: str, last: bool) -> list[str | tuple[int, ...]]:
-        if self.kind is None and last:
-            self.buffer = ""
-            return self.encoder.pretokens.findall(text)
-        units: list[str | tuple[int, ...]] = []
+            units = self._ordinary(text)
+        else:
+            units, held = [], encoder.unfinished(text)
+            parts = encoder.special.split(text[: len(text) - held])
+            for i, part in enumerate(parts):
+                if i % 2:
+                    # A special token ends what stands before it, as the end of the text does.
+                    units += [*self._end(), (encoder.table.special[part],)]
+                else:
+                    units += self._ordinary(self.buffer + part)
+            if held:
+                self.buffer += text[len(text) - held :]
+        return units + self._end() if last else units
+
+    def finish(self) -> list[str | tuple[int, ...]]:
+        """The end of the text: what was held back leaves."""
+        return self._end()
+
+    def _end(self) -> list[str | tuple[int, ...]]:
+        units: list[str | tuple[int, ...]] = [] if self.kind is None else [self._go_on(True)]
+        rest, self.buffer = self.buffer, ""
+        return units + self.encoder.pretokens.findall(rest)
+
+    def _ordinary(self, text: str) -> list[str | tuple[int, ...]]:
         self.buffer = text
+        units: list[str | tuple[int, ...]] = []
         if self.kind is not None:
-            units.append(self._go_on(last))
+            units.append(self._go_on(False))
             if self.kind is not None:
                 return units
-            text = self.buffer
-        end, final = 0, len(text) if last else len(text) - SETTLED
-        for m in self.encoder.pretokens.finditer(text):
-            if m.end() > final:
-                break
-            units.append(m[0])
-            end = m.end()
-        self.buffer = text[end:]
-        if not last and len(self.buffer) > OPEN:
-            units.append(self._open())
+        found = self.encoder.pretokens.findall(self.buffer)
+        held = 0
+        while found and held < SETTLED:
+            last = found.pop()
+            held += len(last)
+        units += found
+        if held:
+            self.buffer = self.buffer[-held:]
+            if held == len(last) > OPEN:
+                units.append(self._open())
         return units
 
     def _open(self) -> tuple[int, ...]:
@@ -268,13 +279,13 @@ class Encoder:
         lanes = [(i, Transducer(self), text) for i, text in enumerate(texts) if text]
         at = 0
         while lanes:
-            units = [machine.feed(text[at : at + size] if len(text) > size else text, at + size >= len(text)) for _, machine, text in lanes]
+            units = [machine.feed(text[at : at + size]) if at < len(text) else machine.finish() for _, machine, text in lanes]
             self.learn_units(units)
             for (i, _, _), found in zip(lanes, units):
                 for run in self.ids_of(found):
                     yield i, run
-            at += size
             lanes = [x for x in lanes if at < len(x[2])]
+            at += size
 
     def stream(self, text: str, piece: int | None = None) -> Iterator[str]:
         """The text's ids in order, as comma-joined runs of bounded length."""

@@ -80,6 +80,34 @@ def test_pieces_do_not_matter(stream, text, piece):
     assert ids == theirs.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(text=st.lists(st.one_of(st.text(alphabet=PIECES_ALPHABET, max_size=12), st.sampled_from(["<|endoftext|>", "we're", "I'll", "   ", "''''", "it's", "1234567"])), max_size=12).map("".join), piece=st.integers(1, 30))
+def test_pieces_end_anywhere(stream, text, piece):
+    """The same with the limits in use: a piece may break off in a contraction, a special token or a run."""
+    ours, theirs = stream
+    assert [int(i) for run in ours.stream(text, piece) for i in run.split(",")] == theirs.encode(text, add_special_tokens=False).ids
+
+
+def test_ordinary_texts_stream(stream, docs):
+    """Over a whole table: most tokens leave before their text ends, and pretokens at the ends of pieces wait for the lookahead."""
+    ours, theirs = stream
+    early = total = waited = 0
+    for text in (r["text"] for r in docs.collect()):
+        machine, ids = bpe_stream.Transducer(ours), []
+        for at in range(0, len(text), bpe_stream.PIECE):
+            units = machine.feed(text[at : at + bpe_stream.PIECE])
+            waited += machine.bytes is not None and len(machine.bytes.buffer) > 0
+            ours.learn_units([units])
+            ids += [int(i) for run in ours.ids_of(units) for i in run.split(",")]
+        early += len(ids)
+        units = machine.finish()
+        ours.learn_units([units])
+        ids += [int(i) for run in ours.ids_of(units) for i in run.split(",")]
+        assert ids == theirs.encode(text, add_special_tokens=False).ids
+        total += len(ids)
+    assert waited > 100 and 0.9 * total < early < total
+
+
 def test_buffer_stays_bounded(stream):
     machine = bpe_stream.ByteTransducer(stream[0].table, stream[0].lookahead, 64)
     for _ in range(500):
