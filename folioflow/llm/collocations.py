@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import gathered, pick, stored
-from .exchange import BLOCK_BYTES, by_key, from_planes, owner_of, owners_for, packed_rows, planes, values_of
+from .exchange import BLOCK_BYTES, by_key, from_planes, owner_of, owners_for, packed_rows, packed_words, planes, unpacked_words, values_of
 
 #: Occurrences that make a phrase a candidate, percent of them inside a longer one that drop it, and rows a language.
 LEAST, INSIDE, TOP = 10, 50, 2000
@@ -54,7 +54,7 @@ RANK_SALTS = 64
 #: A-Z to a-z; ends of pieces to full stops, which are no part of a word.
 _PREPARE = bytes.maketrans(bytes(range(65, 91)) + b",;:!?\n\x0b\x0c\r", bytes(range(97, 123)) + b"." * 9)
 
-BLOCKS = "block long, owner long, start long, lang string, words array<binary>, counts array<long>, codes binary"
+BLOCKS = "block long, owner long, start long, lang string, words binary, sizes binary, counts binary, codes binary"
 OWNED = "block long, owner long, start long, lang string, words array<binary>, counts array<long>, ids binary, frequencies binary, total long"
 FRAGMENT_ROWS = "part long, hot boolean, fragments binary, weights binary"
 MINED = "w1 long, w2 long, w3 long, a long, partial boolean"
@@ -90,13 +90,15 @@ def blocks(docs: DataFrame, owners: int) -> DataFrame:
         place = np.empty(len(order), np.uint32)
         place[order] = np.arange(start, start + len(order), dtype=np.uint32)  # 0 of the block's first language is a gap
         place[stop] = 0
-        cuts = np.flatnonzero(np.diff(owner[order])) + 1
-        groups = np.split(order, cuts)[1:]
+        dealt, listed = owner[order[1:]], order[1:]  # without the full stop
 
         def rows() -> Iterator[pa.RecordBatch]:
-            if groups:
-                starts = (start + cuts).tolist()
-                yield _batch(BLOCKS, block=[block] * len(groups), owner=[int(owner[g[0]]) for g in groups], start=starts, lang=[lang] * len(groups), words=[entries[g].tolist() for g in groups], counts=[counts[g].tolist() for g in groups])
+            if len(listed):
+                starts = [0, *(np.flatnonzero(np.diff(dealt)) + 1).tolist()]
+                n = len(starts)
+                words, sizes = packed_words(encoded.dictionary.take(pa.array(listed)), starts)
+                told = [planes(x.astype(np.uint64)) for x in np.split(counts[listed], starts[1:])]
+                yield _batch(BLOCKS, block=[block] * n, owner=dealt[starts].tolist(), start=[start + 1 + x for x in starts], lang=[lang] * n, words=words, sizes=sizes, counts=told)
             numbers = place[codes]
             chunks = [numbers[i : i + CODES] for i in range(0, len(numbers), CODES)]
             yield _batch(BLOCKS, block=[block] * len(chunks), start=[(start << 32) + i for i in range(len(chunks))], codes=[planes(x) for x in chunks])
@@ -128,8 +130,8 @@ def count_words(dictionaries: DataFrame, least: int) -> DataFrame:
 
     def run(owner: int, batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, block, start = (values_of(batches, c) for c in ("lang", "block", "start"))
-        lists = [x for b in batches for x in _lists(b.column("words"))]
-        counted = [x.to_numpy() for b in batches for x in _lists(b.column("counts"))]
+        lists = [unpacked_words(w, n, pa.binary()) for w, n in zip(values_of(batches, "words"), values_of(batches, "sizes"))]
+        counted = [from_planes(x, "<u8") for x in values_of(batches, "counts")]
         given = 0
         for lang in sorted(set(langs)):
             mine = [i for i, x in enumerate(langs) if x == lang]
@@ -153,12 +155,6 @@ def count_words(dictionaries: DataFrame, least: int) -> DataFrame:
     return by_key(dictionaries, "owner", ["lang", "block"], run, OWNED)
 
 
-def _lists(column: pa.Array) -> list[pa.Array]:
-    """The lists of a list column as arrays."""
-    ends = column.offsets.to_pylist()
-    return [column.values.slice(a, b - a) for a, b in zip(ends, ends[1:])]
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     """Well-spread 64 bits of 64 bits."""
     x = values.astype(np.uint64)
