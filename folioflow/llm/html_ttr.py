@@ -17,10 +17,14 @@ its text is link text, and the containers around it. Then:
    small part of all regions' text; else the innermost container about
    nearly all of it;
 4. within the holders, content regions are the article, with what belongs to
-   them: an <article> is taken whole but for lists of mere links; elsewhere a
-   line below the threshold stays only if it has text of its own and is a
-   paragraph of a block that holds a region, or lies between two lines of one,
-   and loose link lines that smoothing drew in go.
+   them: a line below the threshold stays if it has text of its own and is a
+   paragraph of a block that holds a region, or lies between two lines of one;
+   loose link lines that smoothing drew in go. A list of mere links goes, unless
+   it stands in an <article> between two lines of its regions, as references do;
+5. inside an <article> or <main> a class, id or role of a paragraph, or one that
+   article parts may have too (WEAK_NAMES), rules nothing out by itself: such
+   lines are weighed like any other, and stay if they are in a region and have
+   text of their own.
 
 Character references are decoded, white space inside a line becomes one space,
 and the lines are joined in page order.
@@ -74,6 +78,8 @@ ASIDE_NAMES = frozenset(
 )
 #: Words that may stand beside such a name without changing what it names.
 PLAIN_NAMES = frozenset("area bar block box btn button buttons container content footer form group holder icons inline inner item items left link links list main message outer page panel post row right section site skip slot small text the title top bottom unit wrap wrapper".split())
+#: Names of these that a part of an article may have too.
+WEAK_NAMES = frozenset({"notice", "alert", "search", "comment", "promotion", "subscription", "sponsor", "sponsored", "related"})
 #: A name that begins with one of these says that the thing is not there, or merely present.
 NEGATIONS = frozenset({"no", "has", "with", "without", "hide", "is"})
 _PARTS = re.compile(r"[^\W\d_]+|\d+")
@@ -88,17 +94,17 @@ OWN_TEXT = 1.0
 LINK_LINES = 3
 #: Share of the content regions' text that named holders need, that a sibling needs of the largest, and that a container is about.
 TRUSTED, SIBLING, NEARLY_ALL = 0.1, 0.1, 0.85
-#: How a container is ruled out: not; by its name, which its content can overrule; by what it is.
-IN, NAMED, OUT = 0, 1, 2
+#: How a container is ruled out: not; by its name, which its content can overrule; by what it is; by a name that leaves it to the regions.
+IN, NAMED, OUT, WEAK = 0, 1, 2, 3
 
 
-def says_aside(value: str, within: bool) -> bool:
-    """Whether a class, id or role names something beside the article; an article's own header is part of it."""
+def says_aside(value: str, within: bool, ignored: frozenset[str] = frozenset()) -> bool:
+    """Whether a class, id or role names something beside the article; an article's own header is part of it. ignored: names that count for nothing."""
     for name in value.lower().split():
         parts = [x for x in _PARTS.findall(name) if not x.isdigit()]
         if not parts or parts[0] in NEGATIONS:
             continue
-        named = [x for x in parts if x in ASIDE_NAMES and not (within and x == "header")]
+        named = [x for x in parts if x in ASIDE_NAMES and x not in ignored and not (within and x == "header")]
         if named and all(x in ASIDE_NAMES or x in PLAIN_NAMES for x in parts):
             return True
     return False
@@ -180,8 +186,13 @@ class LineParser(HTMLParser):
         within = self.articles > 0 or tag in ("article", "main")
         if tag in OTHER or any(k == "hidden" or (k == "aria-hidden" and (v or "").lower() == "true") for k, v in attrs):
             return OUT
-        named = tag == "form" or (tag == "header" and not within) or any(k in ("class", "id", "role") and v and says_aside(v, within) for k, v in attrs)
-        return NAMED if named else IN
+        if tag == "form" or (tag == "header" and not within):
+            return NAMED
+        names = [v for k, v in attrs if k in ("class", "id", "role") and v]
+        if not any(says_aside(v, within) for v in names):
+            return IN
+        weak = within and (tag not in HOLDERS | LISTS or not any(says_aside(v, within, WEAK_NAMES) for v in names))
+        return WEAK if weak else NAMED
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -262,7 +273,7 @@ def left_out(parser: LineParser, lines: list[Line]) -> list[bool]:
                         heads[b] += main
         wrappers = {b for b, n in heads.items() if n == all_heads > 0 and 2 * size[b] >= total}
         standing = [IN if b in wrappers else x for b, x in enumerate(standing)]
-    return [any(standing[b] for b in x.boxes) for x in lines]
+    return [any(standing[b] in (NAMED, OUT) for b in x.boxes) for x in lines]
 
 
 def content_lines(lines: list[Line], out: list[bool]) -> np.ndarray:
@@ -312,25 +323,27 @@ def article_lines(parser: LineParser, lines: list[Line], out: list[bool], conten
     holders, named = holders_of(parser, lines, content)
     held = [not o and not holders.isdisjoint(x.boxes) for x, o in zip(lines, out)]
     links = mere_links(parser, lines)
-    linked = [bool(links) and not links.isdisjoint(x.boxes) for x in lines]
-    if named:
-        return [h and not k for h, k in zip(held, linked)]
     block = [next(b for b in reversed(x.boxes) if parser.kind[b] in HOLDERS) for x in lines]
+    regions = [i for i, chosen in enumerate(content) if chosen and held[i]]
     span: dict[int, tuple[int, int]] = {}
-    for i, chosen in enumerate(content):
-        if chosen and held[i]:
-            span[block[i]] = (span.get(block[i], (i, i))[0], i)
+    for i in regions:
+        span[block[i]] = (span.get(block[i], (i, i))[0], i)
 
     def belongs(i: int) -> bool:
-        own, paragraph = lines[i].own() >= OWN_TEXT * lines[i].tags, parser.kind[lines[i].boxes[-1]] not in HOLDERS
+        line = lines[i]
+        own, paragraph = line.own() >= OWN_TEXT * line.tags, parser.kind[line.boxes[-1]] not in HOLDERS
+        if any(parser.ruled_out[b] == WEAK for b in line.boxes):
+            return own and bool(content[i])
+        if not links.isdisjoint(line.boxes):
+            return named and bool(regions) and regions[0] < i < regions[-1]
         if content[i]:
             return own or paragraph
         if block[i] not in span:
             return False
         first, last = span[block[i]]
-        return lines[i].own() > 0 if paragraph else own and first < i < last
+        return (line.own() > 0 or (named and first < i < last)) if paragraph else own and first < i < last
 
-    return [h and not k and belongs(i) for i, (h, k) in enumerate(zip(held, linked))]
+    return [h and belongs(i) for i, h in enumerate(held)]
 
 
 def main_text(html: str | None) -> str:

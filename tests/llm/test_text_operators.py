@@ -479,7 +479,11 @@ def test_ratios_decide_where_no_element_does(html, expected, monkeypatch):
         ('<body><div class="right-sidebar"><h1>T</h1><p>a long paragraph</p></div><div class=ad>buy it</div>', "T\na long paragraph"),
         ("<body><form><nav>m</nav><h1>T</h1><p>a long paragraph</p></form>", "T\na long paragraph"),
         ("<article><p>part one</p></article><hr><article><p>part two</p></article>", "part one\npart two"),
-        ("<article><p>a b c</p><ul><li><a>x</a><li><a>y</a><li><a>z</a></ul><p>d</p></article>", "a b c\nd"),
+        ("<article><p>a b c</p><ul><li><a>x</a><li><a>y</a><li><a>z</a></ul><p>d</p></article>", "a b c\nx\ny\nz\nd"),
+        ("<article><p>a b c</p><p>d e f</p><ul><li><a>x</a><li><a>y</a><li><a>z</a></ul></article>", "a b c\nd e f"),
+        ('<article><p>a long first paragraph</p><p class="notice">a notice, which is text of it</p><p>the end</p></article>', "a long first paragraph\na notice, which is text of it\nthe end"),
+        ('<article><p>a long first paragraph</p><p>and another</p><p class="share"><a>x</a> <a>y</a> <i>z</i></p><p class="share"><a>x</a> <a>y</a></p></article>', "a long first paragraph\nand another"),
+        ('<article><p>a long first paragraph</p><div class="search"><p>how people search the web</p></div><div class="ad"><p>buy this thing, it is good</p></div></article>', "a long first paragraph\nhow people search the web"),
         ('<article><p>text</p></article><section class="comments"><article><p>A comment that is longer than the article</p></article></section>', "text"),
         ('<article class="has-sidebar"><p>text</p><div class="ad-box-2">buy</div><div class="shared-history">kept</div></article>', "text\nkept"),
     ],
@@ -533,6 +537,66 @@ def test_content_lines_against_plain_python():
         assert all(f == (s >= cut and not o) or abs(s - cut) < 1e-9 for f, s, o in zip(found, smooth, out))
 
 
+def lines_by_hand(parser, lines, out, content):
+    """Which lines are the article, by the docstring's rules, one line at a time."""
+    total = sum(len(x.text) for x, c in zip(lines, content) if c)
+    holders, named = {0}, False
+    about = [b for b in range(len(parser.kind)) if parser.kind[b] in html_ttr.HOLDERS and sum(len(x.text) for x, c in zip(lines, content) if c and b in x.boxes) >= html_ttr.NEARLY_ALL * total]
+    if total and about:
+        holders = {max(about)}
+    for kind in ("main", "article"):
+        outer = {next((b for b in x.boxes if parser.kind[b] == kind), None) for x, c in zip(lines, content) if c} - {None}
+        weight = {b: sum(len(x.text) for x, c in zip(lines, content) if c and b in x.boxes) for b in outer}
+        if outer and sum(weight.values()) >= html_ttr.TRUSTED * total:
+            holders, named = {b for b in outer if weight[b] >= html_ttr.SIBLING * max(weight.values())}, kind == "article"
+    inside = [not o and any(b in holders for b in x.boxes) for x, o in zip(lines, out)]
+    inner = [[b for b in x.boxes if parser.kind[b] in html_ttr.HOLDERS][-1] for x in lines]
+    chosen = [i for i in range(len(lines)) if content[i] and inside[i]]
+    kept = []
+    for i, x in enumerate(lines):
+        own, holder = len(x.text) - x.links if x.links < len(x.text) else 0, parser.kind[x.boxes[-1]] in html_ttr.HOLDERS
+        near = [j for j in chosen if inner[j] == inner[i]]
+        listed = False
+        for b in x.boxes:
+            if parser.kind[b] in html_ttr.LISTS:
+                members = [y for y in lines if b in y.boxes]
+                listed |= len(members) >= html_ttr.LINK_LINES and sum(max(0, len(y.text) - y.links) for y in members) < html_ttr.OWN_TEXT * sum(y.tags for y in members)
+        between = near and near[0] < i < near[-1]
+        if any(parser.ruled_out[b] == html_ttr.WEAK for b in x.boxes):
+            good = content[i] and own >= html_ttr.OWN_TEXT * x.tags
+        elif listed:
+            good = named and chosen and chosen[0] < i < chosen[-1]
+        elif content[i]:
+            good = not holder or own >= html_ttr.OWN_TEXT * x.tags
+        elif holder:
+            good = between and own >= html_ttr.OWN_TEXT * x.tags
+        else:
+            good = near and (own > 0 or (named and between))
+        kept.append(bool(inside[i] and good))
+    return kept
+
+
+def test_article_lines_against_plain_python(spark):
+    r = random.Random(11)
+    tags = ["div", "section", "article", "main", "p", "p", "ul", "li", "a", "b", "h2", "table", "td", "nav", "form", "blockquote"]
+    names = ["", "", "", ' class="notice"', ' class="ad"', ' class="share"', ' id="search"', ' class="text"']
+
+    def page(depth):
+        if depth == 0 or r.random() < 0.25:
+            return "word " * r.choice([1, 3, 40])
+        tag = r.choice(tags)
+        return f"<{tag}{r.choice(names)}>" + "".join(page(depth - 1) for _ in range(r.randint(1, 4))) + f"</{tag}>"
+
+    pages = ["<body>" + "".join(page(4) for _ in range(4)) for _ in range(400)] + [x["html"] for x in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    for html in pages:
+        parser = html_ttr.LineParser()
+        parser.feed(html)
+        if lines := parser.finish():
+            out = html_ttr.left_out(parser, lines)
+            content = html_ttr.content_lines(lines, out)
+            assert [bool(x) for x in html_ttr.article_lines(parser, lines, out, content)] == lines_by_hand(parser, lines, out, content), html
+
+
 def test_page_rows(spark):
     long = "<article>" + f"<p>{LONG_PARAGRAPH}</p><p>x</p>" * 3_000 + "</article>"
     rows = [(1, "u", long), (2, "u", PAGE), (2, "u", PAGE), (None, None, None)]
