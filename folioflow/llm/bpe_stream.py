@@ -35,9 +35,11 @@ no rows; other columns of any name go.
 from __future__ import annotations
 
 import codecs
+import contextlib
 import hashlib
 import heapq
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,8 +58,15 @@ BLOCK = 2048
 SHORT = 64
 #: Cached pretokens of a worker before the cache starts anew (about 250 MB).
 CACHE_WORDS = 900_000
+_ANY = regex.compile(PRETOKENS)
+#: The same for text of Latin-1 characters alone, whose letters, digits and white space can be listed.
+_LATIN = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+".format(
+        L="".join(map(re.escape, filter(regex.compile(r"\p{L}").match, map(chr, range(256))))), N="".join(filter(regex.compile(r"\p{N}").match, map(chr, range(256)))), S="".join(filter(regex.compile(r"\s").match, map(chr, range(256)))),
+    )
+)
 #: Code points of a text that enter at a time.
-PIECE = 512
+PIECE = 1024
 #: Code points after a pretoken's end from which on it is final.
 SETTLED = 2
 #: Code points of the longest contraction: a longer pretoken that has no end yet can only go on as what it is.
@@ -89,6 +98,15 @@ def sufficient_lookahead(table: MergeTable) -> int:
     return most + max(length.values())
 
 
+def pretokens_in(text: str) -> list[str]:
+    """The pretokens of a text, or of a stretch that a special token or the end of the text bounds."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _ANY.findall(text)
+    return _LATIN.findall(text)
+
+
 class ByteTransducer:
     """Encodes one pretoken of any length from pieces of bytes, in constant memory."""
 
@@ -179,7 +197,7 @@ class Transducer:
     def _end(self) -> list[str | tuple[int, ...]]:
         units: list[str | tuple[int, ...]] = [] if self.kind is None else [self._go_on(True)]
         rest, self.buffer = self.buffer, ""
-        return units + self.encoder.pretokens.findall(rest)
+        return units + pretokens_in(rest)
 
     def _ordinary(self, text: str) -> list[str | tuple[int, ...]]:
         self.buffer = text
@@ -188,7 +206,7 @@ class Transducer:
             units.append(self._go_on(False))
             if self.kind is not None:
                 return units
-        found = self.encoder.pretokens.findall(self.buffer)
+        found = pretokens_in(self.buffer)
         held = 0
         while found and held < SETTLED:
             last = found.pop()
@@ -232,8 +250,9 @@ class Encoder:
         self.lookahead = sufficient_lookahead(self.table)
         self.whole = ByteTransducer(self.table, self.lookahead)
         self.rules = self.whole.rules
-        self.pretokens = regex.compile(PRETOKENS)
+        self.pretokens = _ANY
         self.cache: dict[str, str] = {}
+        self.run_bytes: dict[str, bytes] = {}
         names = sorted(self.table.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         #: What all special tokens begin with, if they share it: texts without it have none.
@@ -262,19 +281,24 @@ class Encoder:
         if new:
             self._learn(new)
 
+    def runs_of(self, units: list[str | tuple[int, ...]]) -> list[str]:
+        """Comma-joined ids of each unit (short pretokens are cached); units without any are left out."""
+        runs = list(map(self.cache.get, units))
+        at = -1
+        with contextlib.suppress(ValueError):
+            while True:
+                at = runs.index(None, at + 1)
+                unit = units[at]
+                runs[at] = ",".join(map(str, unit if type(unit) is tuple else [*self.whole.feed(unit.encode()), *self.whole.finish()]))
+        return runs if at < 0 else list(filter(None, runs))
+
     def ids_of(self, units: list[str | tuple[int, ...]]) -> Iterator[str]:
-        """Comma-joined ids of units whose short pretokens are cached."""
-        run = list(map(self.cache.get, units))
-        if None in run:
-            for i, unit in enumerate(units):
-                if run[i] is None:
-                    run[i] = ",".join(map(str, unit if type(unit) is tuple else [*self.whole.feed(unit.encode()), *self.whole.finish()]))
-            run = [x for x in run if x]
-        if run:
-            yield ",".join(run)
-
-    def stream_all(self, texts: list[str], piece: int | None = None) -> Iterator[tuple[int, str]]:
-        """(index of a text, comma-joined ids): the texts side by side, a piece of each at a time."""
+        """Comma-joined ids of the units, in one run if there are any."""
+        if runs := self.runs_of(units):
+            yield ",".join(runs)
+
+    def stream_all(self, texts: list[str], piece: int | None = None) -> Iterator[tuple[int, list[str]]]:
+        """(index of a text, runs of comma-joined ids): the texts side by side, a piece of each at a time."""
         size = piece or PIECE
         lanes = [(i, Transducer(self), text) for i, text in enumerate(texts) if text]
         at = 0
@@ -282,14 +306,14 @@ class Encoder:
             units = [machine.feed(text[at : at + size]) if at < len(text) else machine.finish() for _, machine, text in lanes]
             self.learn_units(units)
             for (i, _, _), found in zip(lanes, units):
-                for run in self.ids_of(found):
-                    yield i, run
+                if runs := self.runs_of(found):
+                    yield i, runs
             lanes = [x for x in lanes if at < len(x[2])]
             at += size
 
     def stream(self, text: str, piece: int | None = None) -> Iterator[str]:
         """The text's ids in order, as comma-joined runs of bounded length."""
-        return (run for _, run in self.stream_all([text], piece))
+        return (",".join(runs) for _, runs in self.stream_all([text], piece))
 
     def decoder(self) -> codecs.IncrementalDecoder:
         """A UTF-8 state machine for the bytes of a run of tokens after another."""
@@ -298,6 +322,18 @@ class Encoder:
     def bytes_of(self, run: str) -> bytes:
         return b"".join(map(self.decimal_bytes.__getitem__, run.split(",")))
 
+    def bytes_of_runs(self, runs: list[str]) -> bytes:
+        """The bytes of runs after another; those of a run are kept as long as the ids of pretokens are."""
+        if len(self.run_bytes) > CACHE_WORDS:
+            self.run_bytes.clear()
+        found = list(map(self.run_bytes.get, runs))
+        at = -1
+        with contextlib.suppress(ValueError):
+            while True:
+                at = found.index(None, at + 1)
+                found[at] = self.run_bytes[runs[at]] = self.bytes_of(runs[at])
+        return b"".join(found)
+
     def decode(self, runs: Iterator[str]) -> Iterator[str]:
         """Ids back to text, a run at a time."""
         machine = self.decoder()
@@ -318,10 +354,11 @@ def round_trip(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFr
         n = [0] * len(texts)
         ids, back = [hashlib.sha256() for _ in texts], [hashlib.sha256() for _ in texts]
         decoders = [machine.decoder() for _ in texts]
-        for i, run in machine.stream_all(texts):
+        for i, runs in machine.stream_all(texts):
+            run = ",".join(runs)
             ids[i].update(b"," + run.encode() if n[i] else run.encode())
             n[i] += run.count(",") + 1
-            back[i].update(decoders[i].decode(machine.bytes_of(run)).encode())
+            back[i].update(decoders[i].decode(machine.bytes_of_runs(runs)).encode())
         for i, rest in enumerate(decoders):
             back[i].update(rest.decode(b"", True).encode())
         return n, [x.hexdigest() for x in ids], [x.hexdigest() for x in back]

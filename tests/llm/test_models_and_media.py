@@ -108,6 +108,18 @@ def test_ordinary_texts_stream(stream, docs):
     assert waited > 100 and 0.9 * total < early < total
 
 
+@settings(max_examples=400, deadline=None)
+@given(text=st.text(alphabet=st.characters(max_codepoint=255), max_size=40))
+def test_latin_pretokens(text):
+    assert bpe_stream.pretokens_in(text) == bpe_stream._ANY.findall(text)
+
+
+def test_every_latin_character():
+    for c in map(chr, range(256)):
+        for text in (c, f"a{c}1{c}{c} {c}'s", f" {c} {c}a"):
+            assert bpe_stream.pretokens_in(text) == bpe_stream._ANY.findall(text)
+
+
 def test_buffer_stays_bounded(stream):
     machine = bpe_stream.ByteTransducer(stream[0].table, stream[0].lookahead, 64)
     for _ in range(500):
