@@ -295,11 +295,14 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
 
     class_id: smallest id of the group of linked documents; copy_id: smallest
     id among the copies of the same words; n_links: other documents whose
-    similarity is ``similarity`` or more, copies included.
+    similarity is ``similarity`` or more, copies included. A row without an id
+    can't be named by a link: it comes back with null ids, no links and its words.
     """
     bands, rows = plan(similarity, recall)
-    texts = pick(docs, doc_id="long", text="string").where(F.col("doc_id").isNotNull()).withColumn("text_key", F.xxhash64("text"))
-    signed = stored(signatures(texts, bands, rows), "jaccard-signatures")
+    every = pick(docs, doc_id="long", text="string").withColumn("text_key", F.xxhash64("text"))
+    texts = every.where(F.col("doc_id").isNotNull())
+    told = stored(signatures(every, bands, rows), "jaccard-signatures")
+    signed = told.where(F.col("doc_id").isNotNull())
     copied = signed.where(F.col("content").isNotNull()).groupBy("content")
     # A class is represented by one row, told by its id and its text's hash.
     classes = copied.agg(F.min(F.struct("doc_id", "text_key")).alias("x"), F.count("*").alias("copies"), F.first("words").alias("words"), F.first("bands").alias("bands"))
@@ -316,7 +319,10 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     known = known.select("content", "copies", F.col("rep").alias("copy_id"), F.coalesce("group", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     columns = ["doc_id", "class_id", "copy_id", "n_links", F.col("words").alias("n_words")]
     alone = signed.where(F.col("content").isNull()).select("doc_id", "words", F.col("doc_id").alias("copy_id"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return join_hot(signed.select("doc_id", "words", "content"), stored(known, "jaccard-known"), "content", "copies").select(*columns).unionByName(alone.select(*columns))
+    none = F.lit(None).cast("long")
+    nameless = told.where(F.col("doc_id").isNull()).select("doc_id", "words", none.alias("copy_id"), none.alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    linked = join_hot(signed.select("doc_id", "words", "content"), stored(known, "jaccard-known"), "content", "copies")
+    return linked.select(*columns).unionByName(alone.select(*columns)).unionByName(nameless.select(*columns))
 
 
 def _placements(classes: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text stored as mu-law speech and as resampled PCM, both read back and described."""
-    return telephony.features(telephony.store(_table(spark, sf_dir, "documents")))
+    return telephony.stored_features(_table(spark, sf_dir, "documents"))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

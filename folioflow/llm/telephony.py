@@ -31,7 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import pick, slices
+from .common import pick, slices, stored
+from .exchange import packed_rows
 
 #: Bytes of a padded payload come in multiples of this.
 UNIT = 576
@@ -232,6 +233,21 @@ def save(docs: DataFrame, path: str, form: int = MU_LAW, up: int = UP) -> None:
     decode(store(docs, form), up).write.parquet(path)
 
 
+#: Texts that go through a worker at once where sounds are stored: a sound is four times its payload.
+SOUND_ROWS = 200
+
+
+def stored_features(docs: DataFrame, form: int = MU_LAW, up: int = UP) -> DataFrame:
+    """Every text's telephony form and resampled PCM written to the shared folder, read back and described (``FEATURES``).
+
+    Both are columns of one stored table, made and read SOUND_ROWS rows at a time,
+    so that a worker's memory does not grow with the table.
+    """
+    with packed_rows(docs.sparkSession, SOUND_ROWS):
+        sounds = stored(decode(store(docs, form), up), "telephony-sounds", packed=True)
+        return stored(features(sounds), "telephony-features")
+
+
 def _levels(payloads: list[np.ndarray], sounds: list[np.ndarray]) -> list[str]:
     """A feature text for each payload and its resampled sound.
 
