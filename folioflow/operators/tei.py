@@ -120,6 +120,10 @@ def write(documents: DataFrame, path: str, column: str = "xml") -> None:
     documents.select(F.regexp_replace(F.regexp_replace(column, "\n", "&#10;"), "\r", "&#13;").alias("value")).write.mode("overwrite").text(path)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Documents as Spark's XML reader sees them, a row each."""
-    return spark.read.format("xml").option("rowTag", "TEI").load(path)
+def read(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Documents as Spark's XML reader sees them, a row each.
+
+    lines: files hold a document a line, as ``write`` makes them, and are cut into
+    splits between lines; without, each file is one document on any number of lines.
+    """
+    return spark.read.format("xml").option("rowTag", "TEI").option("multiLine", not lines).load(path)

@@ -108,6 +108,10 @@ def test_tei_files(spark, tmp_path):
         ET.fromstring(r["xml"])
     tei.write(made, str(tmp_path / "tei"))
     assert tei.read(spark, str(tmp_path / "tei")).count() == 3
+    tei.write(made.unionByName(made).coalesce(1), str(tmp_path / "one"))
+    assert tei.read(spark, str(tmp_path / "one")).where("teiHeader is not null").count() == 6
+    (tmp_path / "whole.xml").write_text(made.first()["xml"].replace("><", ">\n<"), encoding="utf-8")
+    assert tei.read(spark, str(tmp_path / "whole.xml"), lines=False).count() == 1
 
 
 def test_texts(spark, tmp_path, monkeypatch):
