@@ -21,11 +21,11 @@ Patterns are written so that matching is linear in the text: possessive runs
 that start only where a run starts, and bounded or possessive groups (the
 matcher's plain groups recurse). A match's place comes from the lengths of the
 pieces between matches. Documents without any match, nearly all, end there.
-The others are stored. Entity-word pairs come from one row of each distinct
-text, and only for entities with support; they are counted by pair with partial
-aggregation. The words of such pairs are then counted over all documents (a
-bitmap holds the others back before the shuffle). Words are runs of letters, marks and digits, without case; those
-inside a span go with the span.
+The others are stored. The words of one row of each distinct text are counted
+over all documents (a bitmap holds other words back before the shuffle), and only
+pairs of an entity with support and a word rare enough to reveal it are made and
+counted. Words are runs of letters, marks and digits, without case; those inside a
+span go with the span.
 
 Edge cases: a null text is the empty text; overlapping kinds are both reported
 and replaced once; repeated rows are separate rows; an empty table gives no rows.
@@ -47,6 +47,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Words: runs of letters, marks and digits.
 TERM = r"[\p{L}\p{M}\p{N}]++"
 GENERALISE, REMOVE, SUPPORT, CLASS_SUPPORT = 0.8, 0.95, 2, 5
+#: Pairs of an entity and a word that a part of a document may have before they are pruned.
+PAIRS = 1_000_000
 #: Digits that name a card's issuer, and a phone number's country and area.
 ISSUER_DIGITS, AREA_DIGITS = 6, 4
 #: What stands in a sanitised text for a span of each kind.
@@ -167,28 +169,56 @@ def _pair() -> Column:
     return F.concat_ws("\x1f", "entity", "term").alias("pair")
 
 
+def _counted_terms(once: DataFrame, docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """term and n_t, the distinct texts of the corpus with it, of the words that SUPPORT texts with entities or more have.
+
+    Equal texts count once: words of texts that repeat (or meet one that does in
+    the bitmap) by text first, others at once.
+    """
+    wanted = once.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT).select("term")
+    wanted = stored(wanted, "pii-words")
+    told = marked(docs.select("text", F.xxhash64("text").alias("content")), copies.where("count > 1"), "content")
+    held = told.select(F.when(F.col("maybe"), F.col("content")).alias("content"), F.explode(words_of(F.col("text"))).alias("term"))
+    held = marked(held, wanted, "term").where("maybe").groupBy("content", "term").agg(F.count("*").alias("n"))
+    counted = held.groupBy("term").agg(F.sum(F.when(F.col("content").isNull(), F.col("n")).otherwise(1)).alias("n_t"))
+    return stored(counted.join(wanted, "term", "left_semi"), "pii-terms")
+
+
+def _enough(n_t: Column, n_e: Column, total: Column) -> Column:
+    """Whether a word can reach GENERALISE at all: n_te is n_e at most, so n_t is no more than n_e * (N / n_e) ** (1 - GENERALISE)."""
+    return n_t <= n_e * F.pow(total / n_e, F.lit(1 - GENERALISE)) * 1.000001
+
+
 def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
     """entity, term and disclosure of the pairs that reach GENERALISE.
 
-    found: text and spans of the documents with entities; docs: text of all.
+    found: text and spans of the documents with entities; docs: text of all. Words
+    are counted first: of a document's words only those in SUPPORT texts or more,
+    and of these for each entity only those rare enough to reveal it, are paired
+    with its entities. A document's pairs are dealt by word, PAIRS to a part, so a
+    long list of addresses does not fall to one task.
     """
     firsts = stored(found.groupBy(F.xxhash64("text").alias("content")).agg(F.min("row").alias("row")).select("row"), "pii-texts")
     once = join_small(found.select("row", "text", entities_of(F.col("spans")).alias("entities")), firsts, "row")
-    mentions = once.select("entities", words_of(F.col("text")).alias("words")).select("words", F.explode("entities").alias("entity"))
-    entities = stored(once.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= _support()), "pii-entities")
-    together = marked(mentions, entities, "entity").where("maybe").select("entity", F.explode("words").alias("term"))
-    pairs = stored(together.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= _support()), "pii-pairs")
-    # Equal texts count once: words of texts that repeat (or meet one that does in the bitmap) by text first, others at once.
-    hashed = docs.select("text", F.xxhash64("text").alias("content"))
-    copies = stored(hashed.groupBy("content").count(), "pii-copies")
-    total = copies.agg(F.count("*").alias("total"))
-    told = marked(hashed, copies.where("count > 1"), "content")
-    held = told.select(F.when(F.col("maybe"), F.col("content")).alias("content"), F.explode(words_of(F.col("text"))).alias("term"))
-    held = marked(held, stored(pairs.select("term").distinct(), "pii-words"), "term").where("maybe").groupBy("content", "term").agg(F.count("*").alias("n"))
-    terms = held.groupBy("term").agg(F.sum(F.when(F.col("content").isNull(), F.col("n")).otherwise(1)).alias("n_t"))
-    weighed = join_small(join_small(pairs, entities, "entity"), stored(terms, "pii-terms"), "term").crossJoin(F.broadcast(total))  # total: one row
-    information = F.log2(F.col("total") / F.col("n_e"))
-    share = F.log2(F.col("n_te") * F.col("total") / (F.col("n_t") * F.col("n_e"))) / information
+    once = once.select("row", "entities", words_of(F.col("text")).alias("words"))
+    ways = F.greatest(F.lit(1), F.ceil(F.size("entities").cast("long") * F.size("words") / PAIRS))
+    once = stored(once.withColumn("ways", ways), "pii-once")
+    copies = stored(docs.select(F.xxhash64("text").alias("content")).groupBy("content").count(), "pii-copies")
+    total = copies.count()
+    listed = once.select("row", "ways", F.explode("entities").alias("entity"))
+    entities = stored(listed.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= _support()), "pii-entities")
+    terms = _counted_terms(once, docs, copies)
+    most = entities.agg(F.max("n_e").alias("n")).first()["n"] or 0
+    rare = stored(terms.where(_enough(F.col("n_t"), F.lit(most), F.lit(total))), "pii-rare") if most else terms.where("false")
+    named = join_small(marked(listed, entities, "entity").where("maybe").drop("maybe"), entities, "entity")
+    worded = join_small(marked(once.select("row", "ways", F.explode("words").alias("term")), rare, "term").where("maybe").drop("maybe"), rare, "term")
+    left = named.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1))).drop("ways")
+    right = worded.withColumn("part", F.pmod(F.xxhash64("term"), F.col("ways"))).drop("ways")
+    together = left.join(right, ["row", "part"]).where(_enough(F.col("n_t"), F.col("n_e"), F.lit(total)))
+    # Distinct texts: a row of ``once`` is one, and has each entity and each word once.
+    weighed = together.groupBy("entity", "term", "n_e", "n_t").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= _support())
+    information = F.log2(F.lit(total) / F.col("n_e"))
+    share = F.log2(F.col("n_te") * F.lit(total) / (F.col("n_t") * F.col("n_e"))) / information
     return weighed.where(information > 0).select("entity", "term", F.least(share, F.lit(1.0)).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
 
 

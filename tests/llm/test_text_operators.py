@@ -247,6 +247,16 @@ def test_revealing_terms_are_found_anywhere(spark):
             assert r["text"] == texts[r["doc_id"]]
 
 
+def test_pairs_of_long_lists_are_dealt(spark, monkeypatch):
+    """A text with many addresses and many words is paired in parts, with the same result."""
+    lists = [" ".join(f"u{i}@h{k}.example.org w{i}" for i in range(60)) + f" secret{k % 2}" for k in range(6)]
+    rows = spark.createDataFrame(list(enumerate(lists * 2 + [f"plain text {i}" for i in range(60)])), "doc_id long, text string")
+    whole = sorted(map(tuple, pii_disclosure.report(rows).collect()))
+    monkeypatch.setattr(pii_disclosure, "PAIRS", 500)
+    assert sorted(map(tuple, pii_disclosure.report(rows).collect())) == whole
+    assert all(r[6].count("term:") > 0 for r in whole[:12])
+
+
 def test_copies_count_once_in_disclosure(spark):
     texts = [f"plain words number {i} about nothing at all" for i in range(100)] + ["Zanzibarian +1 (743) 555-3824 one", "two +1 (743) 555-3824 Zanzibarian"] * 20
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
