@@ -25,13 +25,14 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import pick, slices, stored
+from .common import discard, pick, slices, stored
 from .exchange import packed_rows
 
 #: Bytes of a padded payload come in multiples of this.
@@ -233,19 +234,27 @@ def save(docs: DataFrame, path: str, form: int = MU_LAW, up: int = UP) -> None:
     decode(store(docs, form), up).write.parquet(path)
 
 
-#: Texts that go through a worker at once where sounds are stored: a sound is four times its payload.
-SOUND_ROWS = 200
+#: Texts that go through a worker at once where sounds are stored, and parts of the corpus whose sounds are stored at a time.
+SOUND_ROWS, SOUND_PARTS = 200, 8
 
 
-def stored_features(docs: DataFrame, form: int = MU_LAW, up: int = UP) -> DataFrame:
+def stored_features(docs: DataFrame, form: int = MU_LAW, up: int = UP, parts: int = SOUND_PARTS) -> DataFrame:
     """Every text's telephony form and resampled PCM written to the shared folder, read back and described (``FEATURES``).
 
-    Both are columns of one stored table, made and read SOUND_ROWS rows at a time,
-    so that a worker's memory does not grow with the table.
+    Sounds are about four times the corpus as it lies compressed, so a part of the
+    documents, told by a hash of the row, is stored at a time; its files go when it
+    has been read back and described. ``save`` is for sounds that are to stay. Rows
+    go through a worker SOUND_ROWS at a time, so its memory does not grow either.
     """
+    rows = pick(docs, doc_id="long", text="string")
+    done = []
     with packed_rows(docs.sparkSession, SOUND_ROWS):
-        sounds = stored(decode(store(docs, form), up), "telephony-sounds", packed=True)
-        return stored(features(sounds), "telephony-features")
+        for part in range(parts):
+            mine = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) == part)
+            sounds = stored(decode(store(mine, form), up), "telephony-sounds", packed=True)
+            done.append(stored(features(sounds), "telephony-features"))
+            discard(sounds)
+    return reduce(DataFrame.unionByName, done)
 
 
 def _levels(payloads: list[np.ndarray], sounds: list[np.ndarray]) -> list[str]:

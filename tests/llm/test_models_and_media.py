@@ -444,3 +444,16 @@ def test_pipeline(spark):
         text = left["pii"][r.doc_id]["text"]
         ids = np.array([*_word_library().encode(text, add_special_tokens=False).ids, 1], "<u4")
         assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+
+
+def test_stored_sounds_are_described(spark):
+    """The query's way through stored tables gives what one pass in memory gives, every row once; no sound's files stay."""
+    import os
+
+    from folioflow.llm import common
+
+    rows = spark.createDataFrame([(1, "abc"), (2, None), (None, "x" * 3000), (3, ""), (3, ""), (4, "é日 " * 500)], "doc_id long, text string")
+    with common.scratch(spark):
+        got = sorted(map(repr, telephony.stored_features(rows, parts=3).collect()))
+        assert not [p for p in common._SCRATCH[-1] if "telephony-sounds" in p and os.path.exists(p.removeprefix("file:"))]
+    assert got == sorted(map(repr, telephony.features(telephony.decode(telephony.store(rows))).collect())) and len(got) == 6
