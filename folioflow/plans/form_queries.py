@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..functions import text as X
-from ..operators import catalog, sentences, tei, validate
+from ..operators import catalog, sentences, tei, triples, validate
 from ..session import shared_folder, table
 from ..sources import revisions, texts
 from . import pipelines
@@ -188,6 +188,22 @@ def latest_lines(spark: SparkSession, d: str) -> DataFrame:
     return revisions.file_log(lines).limit(20).select("path", "line_no", F.date_format("author_ts", "yyyy-MM-dd").alias("day"))
 
 
+_NODE_SQL = "CASE WHEN p_size % 2 = 0 THEN 'urn:brand:' || p_brand ELSE '_:b' || substr(sha256('{\"title\":\"' || p_brand || '\",\"size\":' || CAST(p_size AS VARCHAR) || '}'), 1, 32) END"
+
+
+@query(f"""
+WITH n AS (SELECT 'urn:p' || CAST(p_partkey AS VARCHAR) AS id, {_NODE_SQL} AS node, p_brand, CAST(p_size AS VARCHAR) AS size FROM part)
+SELECT DISTINCT * FROM (
+  SELECT id AS s, '{triples.PREFIXES[""]}book' AS p, node AS o, CASE WHEN starts_with(node, '_:') THEN 'blank' ELSE 'iri' END AS o_kind FROM n
+  UNION ALL SELECT node, '{triples.PREFIXES[""]}title', p_brand, 'literal' FROM n UNION ALL SELECT node, '{triples.PREFIXES[""]}size', size, 'literal' FROM n)
+""")
+def nested_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Nested records as nodes: named by what they are about, else by their content, so that equal ones are one node."""
+    book = F.struct(F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("urn:brand:"), "p_brand")).alias("about"), F.col("p_brand").alias("title"), F.col("p_size").alias("size"))
+    rows = table(spark, d, "part").select(F.concat(F.lit("urn:p"), F.col("p_partkey")).alias("id"), book.alias("book"))
+    return triples.as_graph(triples.lift(rows, "id")).select("s", "p", "o", "o_kind")
+
+
 @query("SELECT doc_id, lang, n_chars FROM documents")
 def schema_contract(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose schema is what a contract says; another contract is refused before any row is read."""
@@ -199,4 +215,4 @@ def schema_contract(spark: SparkSession, d: str) -> DataFrame:
     raise AssertionError("a wrong schema was let through")
 
 
-__all__ = ["latest_lines", "nil_removal", "paragraph_forms", "plain_sources", "record_mapping", "schema_contract", "tei_quotations", "tei_round_trip", "text_tests", "url_forms"]
+__all__ = ["latest_lines", "nested_nodes", "nil_removal", "paragraph_forms", "plain_sources", "record_mapping", "schema_contract", "tei_quotations", "tei_round_trip", "text_tests", "url_forms"]

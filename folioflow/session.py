@@ -51,12 +51,6 @@ def shared_folder(spark: SparkSession) -> str:
 _LOCAL: dict[str, str] = {}
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder for checkpoints, unless the context has one."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-
-
 def remove_files(spark: SparkSession, path: str) -> None:
     """Remove a folder of the shared store, wherever that is; nothing happens if it is gone."""
     with contextlib.suppress(Exception):  # the session may be gone at exit
