@@ -109,6 +109,8 @@ def sources(works: DataFrame, form: str = "text/plain") -> DataFrame:
 BROADCAST_RESOURCES = 500_000
 #: Paths in one scan's filter, and paths up to which the driver plans scans by them.
 SCAN_PATHS, MOST_PATHS = 20_000, 500_000
+#: Bits of the bitmap of paths beyond that.
+BITMAP_BITS = 1 << 26
 
 
 def plain_path(path: Column) -> Column:
@@ -122,8 +124,9 @@ def named_files(spark: SparkSession, root: str, paths: DataFrame) -> DataFrame:
     The files are listed, and the filter on a file's name is decided when the scan
     is planned: no other file gets a task or is opened. Paths are names alone, as
     Spark's own listing holds them; SCAN_PATHS of them make a scan. Beyond
-    MOST_PATHS the named folders filter the listing instead, and a join takes out
-    their other files.
+    MOST_PATHS the named folders filter the listing instead, and a bitmap of the
+    paths' hashes, of 2^20 rows at most, holds the contents of other files back
+    before a join decides.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     # Listed names have their special characters encoded; a plus sign stands for itself.
@@ -136,8 +139,13 @@ def named_files(spark: SparkSession, root: str, paths: DataFrame) -> DataFrame:
     folders = paths.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder")).distinct()
     there = [r["folder"] for r in folders.limit(MOST_PATHS + 1).collect()]
     of = F.regexp_extract(place, r"^(.*)/[^/]*$", 1)
-    near = files.where(of.isin(there)) if len(there) <= MOST_PATHS else files
-    return near.select(plain_path(F.col("path")).alias("path"), "content").join(paths.select("path").distinct(), "path", "left_semi")
+    near = (files.where(of.isin(there)) if len(there) <= MOST_PATHS else files).select(plain_path(F.col("path")).alias("path"), "content")
+    at = F.pmod(F.xxhash64("path"), F.lit(BITMAP_BITS))
+    word, place_in = F.floor(at / 64).alias("word"), (at % 64).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place_in).alias("bit")
+    bitmap = paths.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    maybe = near.withColumn("word", word).join(F.broadcast(bitmap), "word").where(F.call_function("getbit", "bits", place_in) == 1)
+    return maybe.select("path", "content").join(paths.select("path").distinct(), "path", "left_semi")
 
 
 def extract_texts(spark: SparkSession, works: DataFrame, host_pattern: str, root: str, form: str = "text/plain") -> DataFrame:
