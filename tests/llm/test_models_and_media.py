@@ -457,3 +457,50 @@ def test_stored_sounds_are_described(spark):
         got = sorted(map(repr, telephony.stored_features(rows, parts=3).collect()))
         assert not [p for p in common._SCRATCH[-1] if "telephony-sounds" in p and os.path.exists(p.removeprefix("file:"))]
     assert got == sorted(map(repr, telephony.features(telephony.decode(telephony.store(rows))).collect())) and len(got) == 6
+
+
+def score_by_hand(params, text):
+    """One text's score a word and a step at a time, in double precision."""
+    t = toxicity_gru
+    p = {k: v.astype(np.float64) for k, v in params.items()}
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+
+    def vector(chunk):
+        word = t._OTHER.sub("", chunk.lower())
+        if not word:
+            return np.zeros(t.EMBED)
+        ids, marked = [zlib.crc32(word.encode()) % t.WORDS], f"\x02{word}\x03"
+        for n in (3, 4, 5):
+            for i in range(len(marked) - n + 1):
+                value = n
+                for c in marked[i : i + n]:
+                    value = (value * 0x100000001B3 + ord(c)) % 2**64
+                ids.append(t.WORDS + ((value * 0x9E3779B97F4A7C15) % 2**64 >> 40) % t.GRAMS)
+        return sum(p["E"][i] for i in ids) / len(ids) ** 0.5
+
+    def states(vectors, d):
+        h, out = np.zeros(t.STATE), []
+        for x in vectors if d == "f" else vectors[::-1]:
+            given, rec = x @ p[f"W{d}"] + p[f"c{d}"], h @ p[f"U{d}"]
+            z, r = logistic(given[: t.STATE] + rec[: t.STATE]), logistic(given[t.STATE : 2 * t.STATE] + rec[t.STATE : 2 * t.STATE])
+            h = (1 - z) * np.tanh(given[2 * t.STATE :] + r * rec[2 * t.STATE :]) + z * h
+            out.append(h)
+        return out if d == "f" else out[::-1]
+
+    words, best = text.split(), -np.inf
+    for start in range(0, max(1, len(words) - t.HALF), t.HALF):
+        vectors = [vector(w) for w in words[start : start + t.WINDOW]]
+        both = [np.concatenate(x) for x in zip(states(vectors, "f"), states(vectors, "b"))]
+        energy = np.array([np.tanh(s @ p["A"] + p["a"]) @ p["v"] for s in both])
+        weight = np.exp(energy - energy.max()) if len(both) else energy
+        pooled = sum((w * s for w, s in zip(weight / weight.sum(), both)), np.zeros(2 * t.STATE)) if len(both) else np.zeros(2 * t.STATE)
+        best = max(best, float(pooled @ p["w"] + p["b"][0]))
+    return logistic(best)
+
+
+def test_scores_against_plain_steps(docs):
+    params = toxicity_gru.new_params(3)
+    texts = [r["text"] for r in docs.limit(12).collect()] + ["", "one", "-- !! ??", "É日 x's " * 150, " ".join(f"w{i}" for i in range(3 * toxicity_gru.HALF)), " ".join(f"w{i}" for i in range(2 * toxicity_gru.HALF + 1))]
+    texts = [" ".join(x.split()[:400]) for x in texts]
+    scores = toxicity_gru.Scorer(params).score(texts)
+    assert np.abs(scores - [score_by_hand(params, x) for x in texts]).max() < 2e-4 and len(set(scores.tolist())) > 8
