@@ -56,7 +56,7 @@ def ntriples(triples: DataFrame) -> DataFrame:
 
 
 def turtle_blocks(triples: DataFrame) -> DataFrame:
-    """s and ``block``: all that is said of a subject, sorted."""
+    """s and ``block``: all that is said of a subject, sorted, in one row; files of any graph take ``turtle_lines``."""
     pair = F.concat_ws(" ", F.concat(F.lit("<"), F.col("p"), F.lit(">")), object_term())
     pairs = triples.select("s", pair.alias("pair")).distinct().groupBy("s").agg(F.array_sort(F.collect_list("pair")).alias("pairs"))
     return pairs.select("s", F.concat(_name(F.col("s")), F.lit(" "), F.array_join("pairs", " ;\n    "), F.lit(" .")).alias("block"))
