@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import catalog, triples
 from ..sources import rdf
+from ..sources.triple_table import TripleTable
 
 
 def catalogue_stream(spark: SparkSession, folder: str, per_trigger: int = 10) -> DataFrame:
@@ -51,3 +52,13 @@ def write_ntriples(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
     """Append a stream of triples to N-Triples files."""
     lines = rdf.ntriples(stream).select(F.col("line").alias("value"))
     return lines.writeStream.format("text").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").start()
+
+
+def grow_table(stream: DataFrame, table: TripleTable, checkpoint: str) -> StreamingQuery:
+    """Add a stream of triples to a stored table, what has arrived so far, batch by batch.
+
+    Adding what is there changes nothing, so a batch that is repeated after a
+    failure leaves each triple in the table once.
+    """
+    added = stream.select(*triples.COLUMNS).writeStream.foreachBatch(lambda rows, _: table.add(rows) and None)
+    return added.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -195,6 +195,22 @@ def test_triple_table(spark):
     assert not table.exists()
 
 
+def test_a_stream_grows_a_table(spark, tmp_path):
+    from folioflow.streaming import flows
+
+    graph = graph_of(spark, [(f"urn:s{i}", f"urn:p{i % 2}", f"urn:o{i}") for i in range(20)])
+    table = TripleTable(spark, buckets=2)
+    try:
+        # Each checkpoint begins anew, as after a loss: what comes again is there already.
+        for folder, checkpoint, n in (("a", "c1", 20), ("a", "c2", 20), ("b", "c2", 23)):
+            (graph if folder == "a" else graph_of(spark, [(f"urn:t{i}", "urn:p0", "urn:o") for i in range(3)])).write.mode("append").parquet(str(tmp_path / "in"))
+            stream = spark.readStream.schema(graph.schema).option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in"))
+            flows.grow_table(stream, table, str(tmp_path / checkpoint)).awaitTermination()
+            assert table.read().count() == n
+    finally:
+        table.drop()
+
+
 def test_joins_by_cost(spark):
     """Of two patterns with two bound terms each the rare one leads, and the order avoids the large middle."""
     rows = [(f"urn:x{i}", "type", "urn:Thing") for i in range(500)] + [(f"urn:x{i}", "knows", f"urn:x{(i * 7) % 500}") for i in range(500)] + [("urn:x3", "name", '"Ada"'), ("urn:x4", "name", '"Bob"')]
