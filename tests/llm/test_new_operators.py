@@ -266,3 +266,20 @@ def test_token_counts_equal_the_library(spark, monkeypatch, library):
 def test_token_counts_of_nothing(spark):
     assert token_counts.count_tokens(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     assert [tuple(r) for r in token_counts.count_tokens(spark.createDataFrame([(1, None)], "doc_id long, text string")).collect()] == [(1, 0, 0, False)]
+
+
+# --- very long texts -----------------------------------------------------------
+
+LONG = "word" * 30_000 + " " + "ab cd\n" * 20_000 + "é日 x " * 500
+
+
+def test_very_long_texts(spark, library):
+    rows = [(1, LONG, "en"), (1, LONG, "en"), (2, "ab cd ef", "en"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {tuple(r) for r in collocations.collocations(docs).collect()} == brute_collocations([(t, lang) for _, t, lang in rows])
+    n = library(LONG)
+    want = [(1, len(LONG.encode()), n, True)] * 2 + [(2, 8, library("ab cd ef"), False), (None, 0, 0, False)]
+    assert sorted(map(tuple, token_counts.count_tokens(docs).collect()), key=repr) == sorted(want, key=repr)
+    talk = [(7, 0, "user", LONG + "."), (7, 1, "assistant", LONG + "."), (7, 2, "user", LONG + "."), (7, 3, "assistant", "Yes. " + LONG + "!")]
+    table = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")
+    assert {r[0]: tuple(r)[1:] for r in conversations.repair(table).collect()} == brute_repair(talk)
