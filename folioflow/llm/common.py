@@ -109,9 +109,21 @@ def stored(df: DataFrame, name: str, outlives: bool = False, packed: bool = Fals
         atexit.register(_remove, spark, path)
     back = spark.read.schema(df.schema).parquet(path)
     back.stored_path = path
+    ease(spark)
     return back
 
 
+def ease(spark: SparkSession) -> None:
+    """Have the driver collect its garbage once its heap has grown past half of what it may take.
+
+    Plans of many columns leave much, and Spark frees the broadcasts and shuffles
+    of those that are done only when the driver's garbage goes.
+    """
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    if 2 * runtime.totalMemory() > runtime.maxMemory():
+        spark._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Remove the files of a ``stored`` table that nothing reads any more."""
     if path := getattr(df, "stored_path", None):
@@ -204,8 +216,22 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-#: Bits that a bitmap of hashes has for each wanted value, and the most of all: 2^20 rows of 16 bytes, whatever is wanted.
-BITS_EACH, MOST_BITS = 16, 1 << 26
+#: Bits that a bitmap of hashes has for each wanted value, and the most of all: 8 MiB, whatever is wanted. Words of 64 bits that are broadcast in a row.
+BITS_EACH, MOST_BITS, ROW_WORDS = 16, 1 << 26, 128
+
+
+def bitmap(wanted: DataFrame, column: str, bits: int) -> DataFrame:
+    """shelf and its ROW_WORDS words, in order, of a bitmap of the hashes of ``column``.
+
+    A row for each word would cost the driver, which builds what is broadcast,
+    several times the bitmap in keys and pointers.
+    """
+    at = lambda: F.pmod(F.xxhash64(column), F.lit(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at() % 64).cast("int")).alias("bit")
+    every = wanted.sparkSession.range(bits // 64).select(F.col("id").alias("slot"), F.lit(0).cast("long").alias("bit"))
+    words = wanted.select((at() / 64).cast("long").alias("slot"), bit).unionByName(every).groupBy("slot").agg(F.bit_or("bit").alias("bits"))
+    shelves = words.groupBy((F.col("slot") / ROW_WORDS).cast("long").alias("shelf")).agg(F.sort_array(F.collect_list(F.struct("slot", "bits"))).alias("words"))
+    return shelves.select("shelf", F.col("words.bits").alias("words"))
 
 
 def marked(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
@@ -216,12 +242,10 @@ def marked(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     true wrongly only if its hash meets another's.
     """
     bits = min(MOST_BITS, 1 << max(16, (BITS_EACH * wanted.count()).bit_length()))
-    at = lambda: F.pmod(F.xxhash64(column), F.lit(bits))
-    slot = lambda: (at() / 64).cast("long").alias("slot")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at() % 64).cast("int")).alias("bit")
-    bitmap = wanted.select(slot(), bit).groupBy("slot").agg(F.bit_or("bit").alias("bits"))
-    held = rows.withColumns({"slot": slot(), "place": (at() % 64).cast("int")}).join(F.broadcast(bitmap), "slot", "left")
-    return held.select(*rows.columns, (F.call_function("getbit", F.coalesce("bits", F.lit(0).cast("long")), F.col("place")) == 1).alias("maybe"))
+    at = F.pmod(F.xxhash64(column), F.lit(bits))
+    placed = rows.withColumns({"_shelf": (at / (64 * ROW_WORDS)).cast("long"), "_word": (at / 64).cast("long") % ROW_WORDS, "_place": (at % 64).cast("int")})
+    held = placed.join(F.broadcast(bitmap(wanted, column, bits).toDF("_shelf", "_words")), "_shelf")
+    return held.select(*rows.columns, (F.call_function("getbit", F.get("_words", F.col("_word").cast("int")), F.col("_place")) == 1).alias("maybe"))
 
 
 def without(rows: DataFrame, gone: DataFrame, column: str) -> DataFrame:

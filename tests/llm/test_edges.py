@@ -150,3 +150,16 @@ def test_ties(spark, docs):
     assert len({(r["ids_sha256"], r["n_tokens"]) for r in bpe_stream.round_trip(rows).where("doc_id < 20").collect()}) == 1
     assert len({r["feature"] for r in telephony.features(telephony.decode(telephony.store(rows))).where("doc_id < 20").collect()}) == 1
     assert {r["doc_tokens"] for r in packing.pack(rows).where("doc_id < 20").collect()} == {packing.pack(rows).where("doc_id = 3").first()["doc_tokens"]}
+
+
+def test_bitmaps_are_broadcast_in_few_rows(spark):
+    """A row of a broadcast holds many words of a bitmap, so the driver keeps little besides its bits."""
+    from folioflow.llm import common
+
+    wanted = spark.range(0, 30_000, 3).withColumnRenamed("id", "words")
+    rows = common.bitmap(wanted, "words", 1 << 18).collect()
+    assert len(rows) * common.ROW_WORDS == (1 << 18) // 64 and all(len(r["words"]) == common.ROW_WORDS for r in rows)
+    told = common.marked(spark.range(30_000).withColumnRenamed("id", "words"), wanted, "words")
+    assert told.columns == ["words", "maybe"] and told.count() == 30_000
+    assert told.where("not maybe and words % 3 = 0").isEmpty() and told.where("maybe and words % 3 != 0").count() < 3_000
+    assert common.marked(wanted, wanted.where("false"), "words").where("maybe").isEmpty()
