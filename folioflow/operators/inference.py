@@ -1,25 +1,38 @@
 """What follows from a graph: transitive closures to their fixpoint, and the RDFS rules.
 
-Closures double their reach each round and are semi-naive: a round joins only
+A closure has up to the square of its nodes as rows, so no round joins or
+shuffles pairs that were found. The edges are parted by component (what no
+path joins shares no pair), a component's starts are dealt in blocks, and a
+task walks from a block's starts breadth first over the edges of its component,
+which it holds as two arrays of numbers, and sends on each pair as it is met,
+once and at its least distance. Only edges and starts are shuffled and stored;
+pairs are streamed to whatever asks for them.
+
+Components of more than MOST_EDGES edges, which one task should not hold, are
+closed in rounds that double their reach and are semi-naive: a round joins only
 the pairs found exactly at the last round's distance, and what is known already
 is taken out by an anti-join. A pair is kept with its distance, so a round of
 reach 2n finds the pairs at n+1 to 2n as (exactly n) then (1 to n): every pair
 of a chain once, and a chain of a thousand in ten rounds. Rounds end when one
-finds nothing, whatever the hierarchy's depth; cycles end like that too.
-
-Each round is a table in the shared folder, removed at the end, so a lost
-executor repeats one round and no plan grows with the rounds.
+finds nothing, whatever the hierarchy's depth; cycles end like that too. Each is
+a table in the shared folder, removed at the end, so a lost executor repeats
+one round and no plan grows with the rounds.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.joins import join_counted
 from ..session import Workspace
+from .components import components
 from .triples import COLUMNS, RDF
 
 RDFS = "http://www.w3.org/2000/01/rdf-schema#"
@@ -27,13 +40,122 @@ TYPE = RDF + "type"
 SUBCLASS, SUBPROPERTY, DOMAIN, RANGE = (RDFS + x for x in ("subClassOf", "subPropertyOf", "domain", "range"))
 
 
+#: Edges of a component that one task may hold, and those of a graph that is taken for one component; starts that a task walks from.
+MOST_EDGES, FEW_EDGES, BLOCK = 200_000, 5_000, 1024
+#: Starts by nodes and edges that a task walks at once, which bounds its memory, and the most tasks.
+CELLS, MOST_TASKS = 1 << 21, 4096
+#: Rows that a task sends on together.
+SENT = 1 << 15
+
+
+def _walk(start: np.ndarray, first: np.ndarray, begins: np.ndarray, ends: np.ndarray, nodes: int, starts: int, own: bool) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Level by level, the (start, node) met first at that distance, from 0 on with ``own``. (start, first): where walks begin; node n's edges end at ends[begins[n]:begins[n + 1]]."""
+    seen = np.zeros(starts * nodes, bool)
+    mark = np.empty(starts * nodes, np.int32)
+    distance = 0
+    if own:
+        seen[start * nodes + first] = True
+        yield start, first, distance
+    while len(start):
+        sizes = begins[first + 1] - begins[first]
+        places = np.repeat(begins[first] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        start, first = np.repeat(start, sizes), ends[places]
+        cell = start * nodes + first
+        fresh = np.flatnonzero(~seen[cell])
+        mark[cell[fresh]] = np.arange(len(fresh))
+        fresh = fresh[mark[cell[fresh]] == np.arange(len(fresh))]  # a cell met twice counts once
+        seen[cell[fresh]] = True
+        start, first, distance = start[fresh], first[fresh], distance + 1
+        if len(start):
+            yield start, first, distance
+
+
+def _block(table: pa.Table, own: bool) -> Iterator[pa.RecordBatch]:
+    """a, b, distance from one block's rows: the edges (no ``s``) of a component, and the starts s with their first nodes a."""
+    is_edge = pc.is_null(table["s"])
+    edges, starts = table.filter(is_edge), table.filter(pc.invert(is_edge))
+    names = pc.unique(pa.chunked_array([*edges["a"].chunks, *edges["b"].chunks]))
+    number = lambda c: pc.index_in(c, names).to_numpy().astype(np.int64)
+    a, b = number(edges["a"]), number(edges["b"])
+    order = np.argsort(a, kind="stable")
+    begins, ends = np.searchsorted(a[order], np.arange(len(names) + 1)), b[order]
+    who = pc.unique(starts["s"])
+    owner, first = pc.index_in(starts["s"], who).to_numpy().astype(np.int64), number(starts["a"])
+    together = max(1, CELLS // (len(names) + len(a)))
+    for low in range(0, len(who), together):
+        some = (owner >= low) & (owner < low + together)
+        held, size = [], 0
+        for found in _walk(owner[some] - low, first[some], begins, ends, len(names), min(together, len(who) - low), own):
+            held.append((found[0] + low, found[1], np.full(len(found[0]), found[2])))
+            size += len(found[0])
+            if size >= SENT:
+                yield from _sent(held, who, names)
+                held, size = [], 0
+        if held:
+            yield from _sent(held, who, names)
+
+
+def _sent(held: list, who: pa.Array, names: pa.Array) -> Iterator[pa.RecordBatch]:
+    start, node, distance = map(np.concatenate, zip(*held))
+    for i in range(0, len(start), SENT):
+        part = slice(i, i + SENT)
+        yield pa.RecordBatch.from_arrays([who.take(pa.array(start[part])), names.take(pa.array(node[part])), pa.array(distance[part])], names=["a", "b", "distance"])
+
+
+def reached(starts: DataFrame, edges: DataFrame, own: bool = False) -> DataFrame:
+    """a, b, distance: the nodes b that a path of one of ``edges`` (a, b) or more joins to a node that a start says, each once, with the shortest's length.
+
+    starts: (s, a), a start and a node from which it goes, if edges have it; s comes back as a. own: such nodes
+    themselves too, at distance 0. Nulls and repeated rows add nothing. Starts and edges are stored until the
+    application ends; the pairs are made whenever the result is read.
+    """
+    with Workspace(edges.sparkSession, "closure") as space:
+        known = space.store(edges.where("a is not null and b is not null").select("a", "b").distinct())
+        few = known.limit(FEW_EDGES + 1).count() <= FEW_EDGES
+        ends = known.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        parts = space.store(ends.withColumn("component", F.lit(0))) if few else components(known)
+        parts = parts.withColumnRenamed("node", "a")
+        placed = space.keep(known.join(parts, "a"))
+        given = starts.where("s is not null and a is not null").select("s", "a").distinct()
+        told = space.keep(given.join(parts, "a").withColumn("deal", F.xxhash64("s")))
+        sizes = placed.groupBy("component").agg(F.count("*").alias("edges"))
+        fill = told.groupBy("component").agg(F.ceil(F.approx_count_distinct("s") / BLOCK).cast("int").alias("blocks"))
+        sizes = space.keep(sizes.join(fill, "component"))
+        small, large = sizes.where(F.col("edges") <= MOST_EDGES).drop("edges"), sizes.where(F.col("edges") > MOST_EDGES)
+        far = None
+        if not large.isEmpty():
+            here = told.join(large, "component", "left_semi").select("s", "a")
+            above = _rounds(placed.join(large, "component", "left_semi").select("a", "b"))
+            pairs = here.join(above, "a").select("s", "b", "distance")
+            pairs = pairs.unionByName(here.select("s", F.col("a").alias("b"), F.lit(0).cast("long").alias("distance"))) if own else pairs
+            far = space.keep(pairs.groupBy(F.col("s").alias("a"), "b").agg(F.min("distance").alias("distance")))
+        tasks = min(MOST_TASKS, 2 * (small.agg(F.sum("blocks")).first()[0] or 1))
+    kind = lambda df, c: df.schema[c].dataType
+    copies = join_counted(placed, small, ["component"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = copies.select("component", "block", F.lit(None).cast(kind(starts, "s")).alias("s"), "a", "b")
+    begun = join_counted(told, small, ["component"]).select("component", F.pmod("deal", "blocks").cast("int").alias("block"), "s", "a", F.lit(None).cast(kind(edges, "b")).alias("b"))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _block(pa.Table.from_batches(batches), own)
+
+    # So many tasks whatever the bytes that go in, which say nothing about the pairs that come out.
+    groups = dealt.unionByName(begun).repartition(tasks, "component", "block").groupBy("component", "block")
+    near = groups.applyInArrow(walk, f"a {kind(starts, 's').simpleString()}, b {kind(edges, 'b').simpleString()}, distance long")
+    return near.unionByName(far) if far is not None else near
+
+
 def transitive(edges: DataFrame) -> DataFrame:
     """a, b, distance: every pair that a path of ``edges`` (a, b) joins, with the length of the shortest.
 
     A node that lies on a cycle reaches itself. Nulls and repeated edges add nothing.
     """
-    with Workspace(edges.sparkSession, "closure") as space:
-        known = space.store(edges.where("a is not null and b is not null").select("a", "b").distinct().withColumn("distance", F.lit(1).cast("long")))
+    return reached(edges.select(F.col("a").alias("s"), "a"), edges)
+
+
+def _rounds(edges: DataFrame) -> DataFrame:
+    """``transitive`` of distinct edges between nodes, by joins."""
+    with Workspace(edges.sparkSession, "rounds") as space:
+        known = space.store(edges.withColumn("distance", F.lit(1).cast("long")))
         found, reach = [known], 1
         while True:
             every = reduce(DataFrame.unionByName, found)
@@ -56,18 +178,30 @@ def _pairs(triples: DataFrame, p: str) -> DataFrame:
 
 
 def closure(triples: DataFrame, subclass: str, kind: str) -> DataFrame:
-    """``kind`` triples with those that follow from the hierarchy of ``subclass``, to any depth."""
-    told = triples.where(F.col("p") == kind).select(*COLUMNS)
-    above = transitive(_pairs(triples, subclass)).select(F.col("a").alias("o"), "b")
-    inferred = join_counted(told.where("o_kind != 'literal'").select("s", "o"), above, ["o"]).select(*_iri("s", kind, "b"))
-    return told.unionByName(inferred).dropDuplicates(["s", "p", "o"])
+    """``kind`` triples with those that follow from the hierarchy of ``subclass``, to any depth.
+
+    A subject's classes come from one walk that begins at all it is told, told ones
+    included, so they are a set as they come and only what is told is made one.
+    """
+    told = triples.where(F.col("p") == kind).select(*COLUMNS).dropDuplicates(COLUMNS)
+    pairs = _pairs(triples, subclass).where("a is not null and b is not null")
+    found = reached(told.where("o_kind != 'literal'").select("s", F.col("o").alias("a")), pairs, own=True)
+    classes = pairs.select(F.explode(F.array("a", "b")).alias("o")).distinct().withColumn("_class", F.lit(True))
+    alone = told.join(classes, "o", "left").where("_class is null or o_kind = 'literal' or s is null").select(*COLUMNS)
+    return alone.unionByName(found.select(*_iri("a", kind, "b")))
+
+
+def _order(pairs: DataFrame) -> DataFrame:
+    """a, b of ``transitive``, stored, for what reads them more than once."""
+    with Workspace(pairs.sparkSession, "order") as space:
+        return space.keep(transitive(pairs).select("a", "b"))
 
 
 def _superproperties(triples: DataFrame) -> DataFrame:
     """a, b: the closure of the subproperty pairs, with those told by way of a subproperty of "subproperty" itself."""
     pairs = _pairs(triples, SUBPROPERTY)
     while True:
-        above = transitive(pairs).select("a", "b")
+        above = _order(pairs)
         ways = above.where(F.col("b") == SUBPROPERTY).select(F.col("a").alias("p"))
         if ways.isEmpty():
             return above
@@ -95,7 +229,7 @@ def rdfs(triples: DataFrame) -> DataFrame:
         by_domain = join_counted(every.select("s", "p"), classes(DOMAIN), ["p"]).select("s", "class")
         by_range = join_counted(every.where("o_kind != 'literal'").select(F.col("o").alias("s"), "p"), classes(RANGE), ["p"]).select("s", "class")
         types = space.store(_pairs(every, TYPE).toDF("s", "class").unionByName(by_domain).unionByName(by_range).distinct())
-        order = transitive(_pairs(every, SUBCLASS)).select("a", "b")
+        order = _order(_pairs(every, SUBCLASS))
         higher = join_counted(types.select("s", F.col("class").alias("a")), order, ["a"]).select("s", F.col("b").alias("class"))
         entailed = types.unionByName(higher).select(*_iri("s", TYPE, "class")).unionByName(order.select(*_iri("a", SUBCLASS, "b"))).unionByName(above.select(*_iri("a", SUBPROPERTY, "b")))
         return space.keep(every.unionByName(entailed).dropDuplicates(COLUMNS))

@@ -74,7 +74,8 @@ class Workspace:
         return self._written(rows, f"{self.folder}/{self.n}")
 
     def keep(self, rows: DataFrame) -> DataFrame:
-        path = f"{self.folder}-kept"
+        self.n += 1
+        path = f"{self.folder}-kept-{self.n}"
         atexit.register(remove_files, self.spark, path)
         return self._written(rows, path)
 

@@ -60,6 +60,37 @@ def test_types_of_a_deep_hierarchy(spark):
     assert {t["o"] for t in types} == {f"urn:k{i}" for i in range(61)} and len(types) == 61
 
 
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_reach_of_starts_by_walks_and_by_rounds(spark, monkeypatch, most):
+    """Walks by component and, beyond MOST_EDGES, rounds of joins give the same pairs and distances."""
+    monkeypatch.setattr(inference, "MOST_EDGES", most)
+    monkeypatch.setattr(inference, "FEW_EDGES", 10)
+    monkeypatch.setattr(inference, "BLOCK", 5)
+    r = random.Random(5)
+    edges = [(100 * k + r.randrange(30), 100 * k + r.randrange(30)) for k in range(3) for _ in range(45)]
+    starts = [(f"x{i}", r.choice(edges)[0]) for i in range(40)] + [("x1", edges[0][0]), ("x1", 999), (None, 1), ("y", None)]
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, []).append(b)
+    want = {}
+    for s, a in [x for x in starts if None not in x and any(x[1] in e for e in edges)]:
+        want[s, a], level, n = 0, [a], 0
+        while level:
+            level, n = [b for x in level for b in near.get(x, []) if want.get((s, b), 1e9) > n + 1], n + 1
+            want.update({(s, b): n for b in level})
+    rows = inference.reached(spark.createDataFrame(starts, "s string, a long"), spark.createDataFrame(edges, "a long, b long"), own=True).collect()
+    assert {(x["a"], x["b"]): x["distance"] for x in rows} == want and len(rows) == len(want)
+
+
+def test_found_pairs_are_not_shuffled(spark):
+    """A closure's pairs go from the walks to the reader with no exchange, and are a set as they come."""
+    told = [(f"urn:k{i}", "sub", f"urn:k{(i + 1) % 50}") for i in range(50)] + [("urn:x", "type", "urn:k0"), ("urn:x", "type", "urn:k7"), ("urn:y", "type", "urn:other")]
+    types = bgp.closure(graph_of(spark, told), "sub", "type")
+    walked = plan_of(inference.transitive(spark.createDataFrame([("a", "b")], "a string, b string"))).split("== Physical Plan ==")[1]
+    assert "Exchange" in walked and "Exchange" not in walked[: walked.index("FlatMapGroupsInArrow")]
+    assert sorted((t["s"], t["o"]) for t in types.collect()) == sorted([("urn:x", f"urn:k{i}") for i in range(50)] + [("urn:y", "urn:other")])
+
+
 def test_closure_files_go(spark, tmp_path):
     from folioflow.session import Workspace
 
