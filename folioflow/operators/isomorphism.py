@@ -64,11 +64,14 @@ _DIGESTS = [f"_h{seed}" for seed in (1, 2)] + ["_n"]
 def _refined(triples: DataFrame, space: Workspace) -> DataFrame:
     """side, node, colour of the blank nodes of ``triples`` (with ``side``), refined until no class is parted."""
     edges = space.store(_edges(triples))
+    # Edges without a blank node at their other end have no key to meet a colour by: a join would deal them all to one task.
+    linked, alone = edges.where("other is not null"), edges.where("other is null").select("side", "node", "label", F.lit("-").alias("seen"))
     colours = edges.select("side", "node").distinct().withColumn("colour", F.lit(""))
     classes = 1
     while True:
-        near = edges.join(colours.select("side", F.col("node").alias("other"), F.col("colour").alias("seen")), ["side", "other"], "left")
-        sums = near.groupBy("side", "node").agg(*_multiset(F.col("label"), F.coalesce("seen", F.lit("-"))))
+        seen = colours.select("side", F.col("node").alias("other"), F.col("colour").alias("seen"))
+        near = alone.unionByName(linked.join(seen, ["side", "other"]).select("side", "node", "label", "seen"))
+        sums = near.groupBy("side", "node").agg(*_multiset(F.col("label"), F.col("seen")))
         colours = space.store(sums.join(colours, ["side", "node"]).select("side", "node", F.md5(F.concat_ws("|", "colour", *_DIGESTS)).alias("colour")))
         found = colours.select("colour").distinct().count()
         if found == classes:
