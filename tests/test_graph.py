@@ -424,17 +424,16 @@ def test_linked_chunks(spark):
 
 def test_nodes_without_linked_nodes_are_dealt_out(spark, monkeypatch):
     """What is said of a blank node with a name or a literal meets no colours: the rows that a round joins all have a key."""
-    from pyspark.sql import DataFrame
-
     told = [(f"_:x{i}", "p", f'"{i % 3}"') for i in range(60)] + [("_:x0", "q", "_:x1"), ("_:x3", "q", "_:x4")]
-    join, keyless = DataFrame.join, []
+    frame = type(spark.range(1))
+    join, keyless = frame.join, []
 
     def watched(self, other, on=None, how=None):
         if on == ["side", "other"]:
             keyless.append(self.where("other is null").count())
         return join(self, other, on, how)
 
-    monkeypatch.setattr(type(spark.range(1)), "join", watched)
+    monkeypatch.setattr(frame, "join", watched)
     colours = {r["node"]: r["colour"] for r in isomorphism.blank_colours(graph_of(spark, told)).collect()}
     assert keyless and not any(keyless)
     assert len(colours) == 60 and len(set(colours.values())) == 5 and colours["_:x0"] == colours["_:x3"] != colours["_:x6"] and colours["_:x1"] == colours["_:x4"] != colours["_:x7"] == colours["_:x10"]
