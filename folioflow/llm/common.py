@@ -100,6 +100,7 @@ def stored(df: DataFrame, name: str, outlives: bool = False, packed: bool = Fals
     ``outlives``: not of the innermost), by ``discard``, or with the application.
     """
     spark = df.sparkSession
+    ease(spark)
     path = f"{shared_dir(spark)}/folioflow/{name}-{uuid.uuid4().hex}"
     (df.write.option("compression", "zstd") if packed else df.write).parquet(path)
     scopes = _SCRATCH[:-1] if outlives else _SCRATCH
@@ -259,14 +260,14 @@ def without(rows: DataFrame, gone: DataFrame, column: str) -> DataFrame:
 BROADCAST_ROWS, SALTS = 50_000, 16
 
 
-def join_small(rows: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def join_small(rows: DataFrame, small: DataFrame, key: str, how: str = "inner", count: int | None = None) -> DataFrame:
     """``rows`` with what ``small`` (stored, a row a key) says of their key.
 
-    Up to BROADCAST_ROWS rows, counted, ``small`` is broadcast. Beyond, both
+    Up to BROADCAST_ROWS rows, counted here or told by ``count``, ``small`` is broadcast. Beyond, both
     sides are dealt by key and salt, so that a key which many rows share falls
     on SALTS tasks, and what follows aggregates partially before it meets.
     """
-    if small.count() <= BROADCAST_ROWS:
+    if (small.count() if count is None else count) <= BROADCAST_ROWS:
         return rows.join(F.broadcast(small), key, how)
     salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))

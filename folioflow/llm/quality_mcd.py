@@ -186,45 +186,59 @@ def _pairs() -> list[tuple[int, int]]:
 
 
 def _moments() -> list[Column]:
-    """Exact sums of the features and their products."""
-    whole = lambda c: F.sum(c.cast("decimal(20,0)"))
-    return [F.count("*").alias("n"), *[whole(F.col(a)).alias(f"s{i}") for i, a in enumerate(FEATURES)], *[whole(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s{i}_{j}") for i, j in _pairs()]]
+    """Exact sums of the features and their products.
+
+    Longs hold them: a statistic has 44,000 quanta at most (a text of 2^31
+    letters in one word), so that 4.7 billion such rows of a pool fit, and some
+    10^12 ordinary ones. Decimals would cost the driver, which compiles the code
+    of every step, and the tasks more.
+    """
+    return [F.count("*").alias("n"), *[F.sum(a).alias(f"s{i}") for i, a in enumerate(FEATURES)], *[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s{i}_{j}") for i, j in _pairs()]]
 
 
 def _added(taken: Column) -> list[Column]:
     """Sums of cells' moments, each cell's by the part of its rows that is taken."""
-    part = lambda c: F.when(taken == F.col("n"), F.col(c)).otherwise(F.round(F.col(c).cast("double") * taken / F.col("n")).cast("decimal(30,0)"))
+    part = lambda c: F.when(taken == F.col("n"), F.col(c)).otherwise(F.round(F.col(c).cast("double") * taken / F.col("n")).cast("long"))
     names = [*[f"s{i}" for i in range(len(FEATURES))], *[f"s{i}_{j}" for i, j in _pairs()]]
     return [F.sum(taken).alias("n"), *[F.sum(part(c)).alias(c) for c in names]]
 
 
+def _named(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``rows`` with ``columns``, each of which may use those before it.
+
+    One select with lateral aliases: a chain of ``withColumn`` would have the
+    driver analyse the whole plan anew for every link, step after step.
+    """
+    return rows.select("*", *[value.alias(name) for name, value in columns.items()])
+
+
 def _factored(moments: DataFrame, keys: list[str], factor: float) -> DataFrame:
     """Means, the Cholesky factor of the scatter (in quanta) and the logarithm of its determinant."""
     p = len(FEATURES)
     n = F.col("n").cast("double")
-    out = moments.withColumns({f"m{i}": F.col(f"s{i}").cast("double") / n for i in range(p)})
-    covariance = {}
+    named = {f"m{i}": F.col(f"s{i}").cast("double") / n for i in range(p)}
+    whole = lambda c: F.col(c).cast("decimal(19,0)")
     for i, j in _pairs():
         # n * sum(xy) - sum(x) * sum(y) in whole numbers: nothing is lost by cancellation.
-        exact = (F.col("n").cast("decimal(14,0)") * F.col(f"s{i}_{j}") - F.col(f"s{i}") * F.col(f"s{j}")).cast("double") / n / n
-        covariance[f"c{i}_{j}"] = exact * factor + (F.lit((FLOORS[FEATURES[i]] / QUANTUM) ** 2) if i == j else F.lit(0.0))
-    out = out.withColumns(covariance)
+        exact = (F.col("n").cast("decimal(14,0)") * whole(f"s{i}_{j}") - whole(f"s{i}") * whole(f"s{j}")).cast("double") / n / n
+        named[f"c{i}_{j}"] = exact * factor + (F.lit((FLOORS[FEATURES[i]] / QUANTUM) ** 2) if i == j else F.lit(0.0))
     for j in range(p):
         # A column of the factor: its diagonal, then what stands below.
         left = lambda i: F.col(f"c{i}_{j}") - (reduce(Column.__add__, [F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)]) if j else F.lit(0.0))  # noqa: B023, E731
-        out = out.withColumn(f"l{j}_{j}", F.sqrt(left(j)))
-        if j + 1 < p:
-            out = out.withColumns({f"l{i}_{j}": left(i) / F.col(f"l{j}_{j}") for i in range(j + 1, p)})
+        named[f"l{j}_{j}"] = F.sqrt(left(j))
+        named |= {f"l{i}_{j}": left(i) / F.col(f"l{j}_{j}") for i in range(j + 1, p)}
+    out = _named(moments, named)
     logdet = reduce(Column.__add__, [2 * F.log(F.col(f"l{i}_{i}")) for i in range(p)])
     return out.select(*keys, "n", logdet.alias("logdet"), *[f"m{i}" for i in range(p)], *[f"l{i}_{j}" for i, j in _pairs()])
 
 
 def _distance(rows: DataFrame) -> DataFrame:
     """Squared Mahalanobis distance by forward substitution, as column d2."""
+    named = {}
     for i, name in enumerate(FEATURES):
         inner = [F.col(f"l{i}_{k}") * F.col(f"z{k}") for k in range(i)]
-        rows = rows.withColumn(f"z{i}", (F.col(name) - F.col(f"m{i}") - (reduce(Column.__add__, inner) if inner else F.lit(0.0))) / F.col(f"l{i}_{i}"))
-    return rows.withColumn("d2", reduce(Column.__add__, [F.col(f"z{i}") * F.col(f"z{i}") for i in range(len(FEATURES))]))
+        named[f"z{i}"] = (F.col(name) - F.col(f"m{i}") - (reduce(Column.__add__, inner) if inner else F.lit(0.0))) / F.col(f"l{i}_{i}")
+    return _named(rows, named | {"d2": reduce(Column.__add__, [F.col(f"z{i}") * F.col(f"z{i}") for i in range(len(FEATURES))])})
 
 
 def _first_estimates(rows: DataFrame) -> DataFrame:
@@ -245,9 +259,9 @@ def estimates(rows: DataFrame) -> DataFrame:
     """The reweighted MCD estimate of every pool of MIN_POOL rows or more."""
     p = len(FEATURES)
     present = stored(_first_estimates(rows), "mcd-start")
-    factor = consistency(SHARE, p)
+    factor, count = consistency(SHARE, p), present.count()
     for _ in range(MOST_STEPS):
-        measured = _distance(join_small(rows, present.drop("n", "old").withColumnRenamed("logdet", "old"), "pool"))
+        measured = _distance(join_small(rows, present.drop("n", "old").withColumnRenamed("logdet", "old"), "pool", count=count))
         cell = F.floor(F.log2(1 + F.col("d2")) * CELLS).cast("int")
         cells = measured.withColumn("cell", cell).groupBy("pool", "start", "old", "cell").agg(*_moments())
         within = Window.partitionBy("pool", "start", "old")
@@ -257,7 +271,8 @@ def estimates(rows: DataFrame) -> DataFrame:
         keys = ["pool", "start", "old"]
         before, present = present, stored(_factored(chosen.groupBy(*keys).agg(*_added(F.col("taken"))), keys, factor), "mcd-step")
         discard(before)
-        if present.where(F.abs(F.col("logdet") - F.col("old")) > SETTLED).isEmpty():
+        count, moved = present.agg(F.count("*"), F.count_if(F.abs(F.col("logdet") - F.col("old")) > SETTLED)).first()
+        if not moved:
             break
     best = present.groupBy("pool").agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
     raw = stored(present.join(best, ["pool", "start"]).drop("start", "old"), "mcd-best")

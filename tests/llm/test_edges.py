@@ -163,3 +163,24 @@ def test_bitmaps_are_broadcast_in_few_rows(spark):
     assert told.columns == ["words", "maybe"] and told.count() == 30_000
     assert told.where("not maybe and words % 3 = 0").isEmpty() and told.where("maybe and words % 3 != 0").count() < 3_000
     assert common.marked(wanted, wanted.where("false"), "words").where("maybe").isEmpty()
+
+
+def test_a_step_of_the_mcd_is_a_small_plan(spark, monkeypatch):
+    """Moments are exact longs, a column chain is analysed once, and a count that is known is not taken again."""
+    from folioflow.llm import common
+    from folioflow.llm import quality_mcd as mcd
+
+    values = [[40_000 + 7 * k + i * k * k % 11 for i in range(len(mcd.FEATURES))] for k in range(50)]
+    rows = spark.createDataFrame([("p", *v) for v in values], "pool string, " + ", ".join(f"{c} long" for c in mcd.FEATURES))
+    sums = rows.groupBy("pool").agg(*mcd._moments())
+    assert {kind for name, kind in sums.dtypes if name != "pool"} == {"bigint"}
+    assert sums.first()["s5_4"] == sum(v[5] * v[4] for v in values)
+    told = mcd._factored(sums, ["pool"], 1.0)
+    found, (i, j) = told.first(), (1, 0)
+    exact = (50 * sum(v[i] * v[j] for v in values) - sum(v[i] for v in values) * sum(v[j] for v in values)) / 2500
+    assert abs(found["l0_0"] * found["l1_0"] - exact) < 1e-6 * abs(exact)
+    monkeypatch.setattr(type(told), "withColumn", None)
+    monkeypatch.setattr(type(told), "withColumns", None)
+    monkeypatch.setattr(type(told), "count", None)
+    measured = mcd._distance(common.join_small(rows, told.drop("n"), "pool", count=1))
+    assert abs(sum(r["d2"] for r in measured.collect())) > 0
