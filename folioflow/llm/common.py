@@ -249,11 +249,21 @@ def marked(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     return held.select(*rows.columns, (F.call_function("getbit", F.get("_words", F.col("_word").cast("int")), F.col("_place")) == 1).alias("maybe"))
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """``side``, to be met in a shuffle whatever Spark takes its size for.
+
+    Spark goes by the bytes of a stored table's files, which say little of its
+    rows' memory and nothing of copies made of them, and would have the driver
+    build and broadcast tables that grow with the input.
+    """
+    return side.hint("merge")
+
+
 def without(rows: DataFrame, gone: DataFrame, column: str) -> DataFrame:
     """``rows`` whose ``column`` is not among ``gone``'s; few other rows are shuffled."""
     told = marked(rows, gone, column)
     kept = told.where(~F.col("maybe")).drop("maybe")
-    return kept.unionByName(told.where("maybe").drop("maybe").join(gone.select(column), column, "left_anti").select(*rows.columns))
+    return kept.unionByName(told.where("maybe").drop("maybe").join(shuffled(gone.select(column)), column, "left_anti").select(*rows.columns))
 
 
 #: Rows that a side may have to be broadcast, and the ways a larger one's keys are dealt.
@@ -271,7 +281,7 @@ def join_small(rows: DataFrame, small: DataFrame, key: str, how: str = "inner",
         return rows.join(F.broadcast(small), key, how)
     salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    return salted.join(shuffled(copies), [key, "_salt"], how).drop("_salt")
 
 
 #: Rows from which on a key's rows are joined where they lie.
@@ -287,10 +297,10 @@ def join_hot(rows: DataFrame, side: DataFrame, key: str, many: str) -> DataFrame
     """
     hot = side.where(F.col(many) >= HOT_ROWS)
     if hot.isEmpty():
-        return rows.join(side, key)
+        return rows.join(shuffled(side), key)
     told = rows.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
     there = told.where("_hot").drop("_hot").join(F.broadcast(hot), key)
-    return there.unionByName(told.where(F.col("_hot").isNull()).drop("_hot").join(side.where(F.col(many) < HOT_ROWS), key))
+    return there.unionByName(told.where(F.col("_hot").isNull()).drop("_hot").join(shuffled(side.where(F.col(many) < HOT_ROWS)), key))
 
 
 #: The columns of ``documents``, which the stages of a pipeline pass on.

@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_small, marked, pick, stored
+from .common import join_small, marked, pick, shuffled, stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -181,7 +181,7 @@ def _counted_terms(once: DataFrame, docs: DataFrame, copies: DataFrame) -> DataF
     held = told.select(F.when(F.col("maybe"), F.col("content")).alias("content"), F.explode(words_of(F.col("text"))).alias("term"))
     held = marked(held, wanted, "term").where("maybe").groupBy("content", "term").agg(F.count("*").alias("n"))
     counted = held.groupBy("term").agg(F.sum(F.when(F.col("content").isNull(), F.col("n")).otherwise(1)).alias("n_t"))
-    return stored(counted.join(wanted, "term", "left_semi"), "pii-terms")
+    return stored(counted.join(shuffled(wanted), "term", "left_semi"), "pii-terms")
 
 
 def _enough(n_t: Column, n_e: Column, total: Column) -> Column:
@@ -247,7 +247,7 @@ def detect(docs: DataFrame, keep: dict[str, str]) -> tuple[DataFrame, DataFrame]
     hits = stored(near.groupBy("row", "term").agg((F.max("disclosure") >= REMOVE).alias("removed")).select("*", place), "pii-hits")
     cut = join_small(found.select("row", "text", "spans"), stored(hits.select("row").distinct(), "pii-hit-rows"), "row")
     words = cut.select("row", F.explode(free_terms(F.col("text"), F.col("spans"))).alias("x")).select("row", "x.s", "x.e", F.col("x.v").alias("term"))
-    each = marked(words.select("*", place), hits, "place").where("maybe").drop("maybe", "place").join(hits.drop("place"), ["row", "term"])
+    each = marked(words.select("*", place), hits, "place").where("maybe").drop("maybe", "place").join(shuffled(hits.drop("place")), ["row", "term"])
     terms = each.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("s", "e", "removed"))).alias("terms"))
     found = found.join(terms, "row", "left").drop("row").withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<s:int,e:int,removed:boolean>>")))
     return clean, found.select(*clean.columns)

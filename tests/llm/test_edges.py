@@ -184,3 +184,18 @@ def test_a_step_of_the_mcd_is_a_small_plan(spark, monkeypatch):
     monkeypatch.setattr(type(told), "count", None)
     measured = mcd._distance(common.join_small(rows, told.drop("n"), "pool", count=1))
     assert abs(sum(r["d2"] for r in measured.collect())) > 0
+
+
+def test_tables_past_the_limit_of_broadcasts_are_not_broadcast(spark, monkeypatch):
+    """Spark takes a stored table of few bytes for small, and would send the driver all the copies that are made of its rows."""
+    from folioflow.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 10)
+    with common.scratch(spark):
+        side = common.stored(spark.range(40).selectExpr("id as k", "id * 2 as told"), "test-side")
+        rows = spark.range(1000).selectExpr("id % 50 as k", "id")
+        for how, n in (("inner", 800), ("left", 1000)):
+            met = common.join_small(rows, side, "k", how)
+            assert "Broadcast" not in met._jdf.queryExecution().toString()
+            assert sorted((r["id"], r["told"]) for r in met.collect()) == [(i, i % 50 * 2 if i % 50 < 40 else None) for i in range(1000) if how == "left" or i % 50 < 40]
+            assert met.count() == n
