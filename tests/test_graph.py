@@ -455,3 +455,35 @@ def test_every_order_has_types(spark):
 
     told = {f"urn:o{r[0]}" for r in spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey").collect()}
     assert {r["s"] for r in QUERIES["inference_types"](spark, SF).select("s").collect()} == told
+
+
+@pytest.mark.parametrize("most", [0, 200_000])
+@pytest.mark.parametrize("own", [False, True])
+def test_pairs_and_numbers_without_distances(spark, monkeypatch, most, own):
+    """What goes once over the edges, with a bit a start, finds the pairs that walks from each start find."""
+    monkeypatch.setattr(inference, "MOST_EDGES", most)
+    monkeypatch.setattr(inference, "FEW_EDGES", 10)
+    monkeypatch.setattr(inference, "WIDE", 7)
+    monkeypatch.setattr(inference, "SPREAD", 32)
+    r = random.Random(6)
+    edges = [(100 * k + r.randrange(40), 100 * k + r.randrange(40)) for k in range(3) for _ in range(45)] + [(900, 900), (901, 902)]
+    starts = [(f"x{i}", r.choice(edges)[0]) for i in range(50)] + [("x1", edges[0][0]), ("x1", 999), (None, 1), ("y", None), ("z", 900), ("z", 901), ("end", 902)]
+    starts, edges = spark.createDataFrame(starts, "s string, a long"), spark.createDataFrame(edges, "a long, b long")
+    want = [(x["a"], x["b"]) for x in inference.reached(starts, edges, own=own).collect()]
+    assert len(want) == len(set(want)) and sorted(map(tuple, inference.linked(starts, edges, own=own).select("a", "b").collect())) == sorted(want)
+    assert {a: n for a, n in inference.counts(starts, edges, own=own).collect() if n} == {a: sum(x == a for x, _ in want) for a, _ in want}
+
+
+def test_numbers_of_types(spark):
+    """A subject's number of types is that of its triples in the closure, whatever it is told; a hundred thousand subjects of a class make no triples each."""
+    r = random.Random(8)
+    told = [(f"urn:k{r.randrange(40)}", "sub", f"urn:k{r.randrange(40)}") for _ in range(60)] + [(f"urn:x{r.randrange(30)}", "type", f"urn:k{r.randrange(50)}") for _ in range(60)]
+    told += [("urn:x1", "type", '"urn:k0"'), ("urn:only", "type", '"text"'), ("urn:other", "type", "urn:none"), ("urn:x2", "type", "urn:none")]
+    want = {}
+    for t in bgp.closure(graph_of(spark, told), "sub", "type").collect():
+        want[t["s"]] = want.get(t["s"], 0) + 1
+    assert dict(map(tuple, inference.type_counts(graph_of(spark, told), "sub", "type").collect())) == want
+    chain = graph_of(spark, [(f"urn:k{i}", "sub", f"urn:k{i + 1}") for i in range(999)])
+    many = spark.range(100_000).select(F.concat(F.lit("urn:x"), "id").alias("s"), F.lit("type").alias("p"), F.lit("urn:k0").alias("o"), F.lit("iri").alias("o_kind"), *[F.lit(None).cast("string").alias(c) for c in ("o_datatype", "o_lang")])
+    found = inference.type_counts(chain.unionByName(many), "sub", "type")
+    assert found.where("n = 1000").count() == 100_000
